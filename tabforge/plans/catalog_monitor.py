@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabforge.functions.timefn import ts_text
-from tabforge.operators import profile
+from tabforge.operators import drift, profile
 from tabforge.operators.payload import parse_json
 from tabforge.plans.registry import register
 from tabforge.sources.tables import load
@@ -58,3 +58,131 @@ def q_window_profile(spark, sf_dir):
         ev, "ts", "30 minutes", keys=["event_type"], num_cols=["value", "k"], cat_cols=["user_id"]
     )
     return _text_windows(prof)
+
+
+@register(
+    "window_classes",
+    oracle="""
+WITH g AS (
+  SELECT time_bucket(INTERVAL '30 minutes', ts) AS ws, event_type, CAST(value > 50 AS INTEGER) AS prediction,
+         count(*) AS n
+  FROM events GROUP BY 1, 2, 3)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(ws + INTERVAL '30 minutes', '%Y-%m-%d %H:%M:%S') AS window_end,
+       event_type, prediction, n, round(n / sum(n) OVER (PARTITION BY ws, event_type), 6) AS share
+FROM g
+""",
+)
+def q_window_classes(spark, sf_dir):
+    ev = load(spark, sf_dir, "events").withColumn("prediction", (F.col("value") > 50).cast("int"))
+    return _text_windows(profile.window_classes(ev, "ts", "prediction", "30 minutes", ["event_type"]))
+
+
+def _base_cur(spark, sf_dir):
+    ev = _events_with_k(spark, sf_dir)
+    is_base = F.col("ts") < F.lit(DRIFT_CUT).cast("timestamp_ntz")
+    return ev.filter(is_base), ev.filter(~is_base)
+
+
+_DRIFT_EVENTS_SQL = f"""
+WITH e AS (SELECT CAST(ts < TIMESTAMP '{DRIFT_CUT}' AS INTEGER) AS is_base, value,
+                  CAST(user_id AS DOUBLE) AS user_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+                  coalesce(event_type, '<null>') AS event_type_s, coalesce(CAST(user_id AS VARCHAR), '<null>') AS user_s
+           FROM events)"""
+
+
+@register(
+    "drift_ks",
+    oracle=_DRIFT_EVENTS_SQL
+    + """,
+l AS (SELECT 'value' AS column_name, value AS v, is_base FROM e
+      UNION ALL SELECT 'user_id', user_id, is_base FROM e
+      UNION ALL SELECT 'k', k, is_base FROM e),
+g AS (SELECT column_name, v, sum(is_base) AS nb, sum(1 - is_base) AS nc FROM l WHERE v IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT column_name, v, nb, nc,
+             sum(nb) OVER (PARTITION BY column_name ORDER BY v) AS cb,
+             sum(nc) OVER (PARTITION BY column_name ORDER BY v) AS cc,
+             sum(nb) OVER (PARTITION BY column_name) AS tb,
+             sum(nc) OVER (PARTITION BY column_name) AS tc FROM g)
+SELECT column_name, round(max(abs(cb / tb - cc / tc)), 6) AS ks_d,
+       round(sum(v * nb) / sum(nb), 6) AS base_mean, round(sum(v * nc) / sum(nc), 6) AS cur_mean,
+       round(round(sum(v * nc) / sum(nc), 6) - round(sum(v * nb) / sum(nb), 6), 6) AS mean_shift
+FROM c GROUP BY column_name
+""",
+)
+def q_drift_ks(spark, sf_dir):
+    base, cur = _base_cur(spark, sf_dir)
+    return drift.drift_numeric(base, cur, ["value", "user_id", "k"])
+
+
+_CAT_SQL = (
+    _DRIFT_EVENTS_SQL
+    + """,
+l AS (SELECT 'event_type' AS column_name, event_type_s AS v, is_base FROM e
+      UNION ALL SELECT 'user_id', user_s, is_base FROM e),
+g AS (SELECT column_name, v, sum(is_base) AS nb, sum(1 - is_base) AS nc FROM l GROUP BY 1, 2),
+t AS (SELECT *, sum(nb) OVER (PARTITION BY column_name) AS tb, sum(nc) OVER (PARTITION BY column_name) AS tc FROM g),
+s AS (SELECT column_name, nb, nc, tb, tc, nb / tb AS p, nc / tc AS q,
+             (nb + nc) * tb / (tb + tc) AS eb, (nb + nc) * tc / (tb + tc) AS ec FROM t)
+"""
+)
+
+
+@register(
+    "drift_psi",
+    oracle=_CAT_SQL
+    + """SELECT column_name,
+       round(sum((greatest(q, 1e-4) - greatest(p, 1e-4)) * ln(greatest(q, 1e-4) / greatest(p, 1e-4))), 6) AS psi
+FROM s GROUP BY column_name""",
+)
+def q_drift_psi(spark, sf_dir):
+    base, cur = _base_cur(spark, sf_dir)
+    return drift.drift_categorical(base, cur, ["event_type", "user_id"]).select("column_name", "psi")
+
+
+@register(
+    "drift_js",
+    oracle=_CAT_SQL
+    + """SELECT column_name,
+       round(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
+                 + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 6) AS js
+FROM s GROUP BY column_name""",
+)
+def q_drift_js(spark, sf_dir):
+    base, cur = _base_cur(spark, sf_dir)
+    return drift.drift_categorical(base, cur, ["event_type", "user_id"]).select("column_name", "js")
+
+
+@register(
+    "drift_chi2",
+    oracle=_CAT_SQL
+    + """SELECT column_name, round(sum(pow(nb - eb, 2) / eb + pow(nc - ec, 2) / ec), 6) AS chi2,
+       count(*) - 1 AS dof
+FROM s GROUP BY column_name""",
+)
+def q_drift_chi2(spark, sf_dir):
+    base, cur = _base_cur(spark, sf_dir)
+    return drift.drift_categorical(base, cur, ["event_type", "user_id"]).select("column_name", "chi2", "dof")
+
+
+@register(
+    "drift_consecutive",
+    oracle="""
+WITH p AS (
+  SELECT time_bucket(INTERVAL '30 minutes', ts) AS ws, event_type, count(*) AS n_rows,
+         round(avg(value), 6) AS value_mean
+  FROM events GROUP BY 1, 2),
+l AS (SELECT *, lag(n_rows) OVER (PARTITION BY event_type ORDER BY ws) AS prev_n_rows,
+             lag(value_mean) OVER (PARTITION BY event_type ORDER BY ws) AS prev_value_mean FROM p)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, n_rows, value_mean,
+       prev_n_rows, n_rows - prev_n_rows AS delta_n_rows,
+       prev_value_mean, round(value_mean - prev_value_mean, 6) AS delta_value_mean
+FROM l
+""",
+)
+def q_drift_consecutive(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    prof = profile.window_profile(ev, "ts", "30 minutes", keys=["event_type"], num_cols=["value"])
+    prof = prof.select("window_start", "event_type", "n_rows", "value_mean")
+    out = drift.drift_consecutive(prof, ["event_type"], "window_start", ["n_rows", "value_mean"])
+    return out.withColumn("window_start", ts_text(F.col("window_start")))
