@@ -53,14 +53,20 @@ def running_sums(
     descending: bool = False,
     buckets: int | None = None,
     prefix: str = "cum_",
+    bucket_col: str | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
     order (ties: rows sharing an order value are summed together, like a
-    RANGE frame), restarting per ``groups``."""
+    RANGE frame), restarting per ``groups``.
+
+    ``bucket_col`` (numeric, non-decreasing in ``order_col``) picks buckets
+    when ``order_col`` itself is not numeric (e.g. a string's byte prefix).
+    """
     groups = list(groups or [])
     buckets = buckets or default_buckets(df)
     key = F.col(order_col)
-    src = df.withColumn("_ord", -key.cast("double") if descending else key.cast("double"))
+    proxy = F.col(bucket_col).cast("double") if bucket_col else key.cast("double")
+    src = df.withColumn("_ord", -proxy if descending else proxy)
     b = with_bucket(src, "_ord", groups, buckets)
     totals = b.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,9 +92,16 @@ def dense_index(
     groups: list[str] | None = None,
     buckets: int | None = None,
     into: str = "row_index",
+    bucket_col: str | None = None,
 ) -> DataFrame:
     """0-based row number in ``order_col`` order (unique values expected),
     per group, computed without a one-task window."""
     src = df.withColumn("_one", F.lit(1))
-    out = running_sums(src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum")
+    out = running_sums(src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", bucket_col=bucket_col)
     return out.withColumn(into, F.col("_cum_one") - 1).drop("_one", "_cum_one")
+
+
+def string_order_proxy(c) -> "F.Column":
+    """Non-decreasing numeric proxy of a string's byte order: its first 7
+    UTF-8 bytes as a big-endian integer (shorter strings zero-padded)."""
+    return F.conv(F.rpad(F.hex(F.substring(c.cast("string"), 1, 7)), 14, "0"), 16, 10).cast("long")

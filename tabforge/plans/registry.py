@@ -32,7 +32,7 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-CATALOG_MODULES = ["catalog_monitor", "catalog_clean", "catalog_metrics", "catalog_sampling"]
+CATALOG_MODULES = ["catalog_monitor", "catalog_clean", "catalog_metrics", "catalog_sampling", "catalog_model"]
 
 
 def load_catalog() -> None:
