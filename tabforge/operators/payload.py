@@ -170,4 +170,4 @@ def metrics_wide(long_df: DataFrame, id_cols: list[str], key: str, value: str, k
 
     The key list is given, so Spark does not run a distinct job to find it.
     """
-    return long_df.groupBy(*id_cols).pivot(key, keys).agg(F.first(value))
+    return long_df.groupBy(*id_cols).pivot(key, keys).agg(F.max(value))
