@@ -112,6 +112,10 @@ def preview(df: DataFrame, n: int = 20):
     return df.limit(n).toPandas()
 
 
-def read_json_docs(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Multi-line JSON documents with an explicit schema."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_docs(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True) -> DataFrame:
+    """JSON documents with an explicit schema, no inference pass.
+
+    ``multi_line`` for one pretty-printed document per file; line-delimited
+    documents (as ``write.json`` produces) split across tasks.
+    """
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
