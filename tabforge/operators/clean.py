@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.functions.casts import try_cast_col
 from tabforge.plans.joins import join_small
 
 
@@ -125,9 +126,11 @@ def binarise(df: DataFrame, col: str, positive, negative, into: str | None = Non
 
 
 def cast_cols(df: DataFrame, types: dict[str, str], safe: bool = True) -> DataFrame:
-    """Cast columns; ``safe`` uses ``try_cast`` (bad value → NULL)."""
+    """Cast columns; ``safe`` uses ``try_cast`` (bad value → NULL) (P12),
+    with the fast path for text sources."""
+    src = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns(
-        {c: (F.col(c).try_cast(t) if safe else F.col(c).cast(t)) for c, t in types.items()}
+        {c: (try_cast_col(F.col(c), src[c], t) if safe else F.col(c).cast(t)) for c, t in types.items()}
     )
 
 

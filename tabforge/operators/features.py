@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.functions.casts import try_cast_col
 from tabforge.plans.joins import BROADCAST_MAX_ROWS, materialise
 from tabforge.plans.prefix import dense_index, string_order_proxy
 
@@ -100,10 +101,11 @@ def contract_violations(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     convert to the contract type (``try_cast`` → NULL).  One aggregate over
     all columns, unpivoted with ``stack`` (M9)."""
     aggs, rows = [], []
+    src = {f.name: f.dataType for f in df.schema.fields}
     for i, (c, t) in enumerate(contract.items()):
         if c in df.columns:
             v = F.col(f"`{c}`")
-            aggs.append(F.count_if(v.isNotNull() & v.try_cast(t).isNull()).alias(f"v{i}"))
+            aggs.append(F.count_if(v.isNotNull() & try_cast_col(v, src[c], t).isNull()).alias(f"v{i}"))
             rows.append(f"'{c}', '{t}', true, v{i}")
         else:
             rows.append(f"'{c}', '{t}', false, CAST(NULL AS BIGINT)")

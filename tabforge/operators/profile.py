@@ -117,14 +117,18 @@ def window_classes(
     )
 
 
-def column_profile(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
+def column_profile(
+    df: DataFrame, cols: list[str] | None = None, digits: int | None = 6, exact_distinct: bool = True
+) -> DataFrame:
     """Profile of any table, one row per column.
 
     One aggregate computes every statistic of every column in a single scan
     (global partial/final aggregation); ``stack`` then unpivots the single
     result row into ``(column, type, n_rows, n_nulls, n_distinct, min, max,
     mean, sd)``.  Numeric statistics are NULL for non-numeric columns;
-    min/max are rendered as text so all columns share one type.
+    min/max are rendered as text so all columns share one type.  Exact
+    distinct counts shuffle each column's distinct values (after map-side
+    de-duplication); ``exact_distinct=False`` uses HLL++ sketches instead.
     """
     from pyspark.sql import types as T
 
@@ -137,7 +141,7 @@ def column_profile(df: DataFrame, cols: list[str] | None = None, digits: int | N
         is_num = isinstance(f.dataType, numeric)
         aggs += [
             F.count_if(c.isNull()).alias(f"n{i}"),
-            F.count_distinct(c).alias(f"d{i}"),
+            (F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)).alias(f"d{i}"),
             F.min(c).cast("string").alias(f"lo{i}"),
             F.max(c).cast("string").alias(f"hi{i}"),
             (_round(F.avg(c.cast("double")), digits) if is_num else F.lit(None).cast("double")).alias(f"m{i}"),

@@ -25,7 +25,12 @@ def _sort_key(df: DataFrame, keys: list[str], seed) -> DataFrame:
     return df.withColumns({"_h": hash52(key_text(*keys, seed=seed)), "_kt": key_text(*keys)})
 
 
-def _boundary(df: DataFrame, k: int):
+def _histogram(df: DataFrame, prefix_filter, shift: int, mask: int) -> list[tuple[int, int]]:
+    b = F.shiftright(F.col("_h"), shift).bitwiseAND(F.lit(mask))
+    return sorted(tuple(r) for r in df.filter(prefix_filter).groupBy(b.alias("b")).count().collect())
+
+
+def _boundary(df: DataFrame, k: int, first_hist: list[tuple[int, int]]):
     """Find the k-th smallest ``(_h, _kt)`` (1-based) exactly.
 
     Histograms over successive 16-bit slices of ``_h`` (each ≤ 65,536 rows
@@ -37,16 +42,14 @@ def _boundary(df: DataFrame, k: int):
     """
     rest = k
     prefix_filter = F.lit(True)
-    count = None
-    for shift, mask in _LEVELS:
-        sub = df.filter(prefix_filter)
-        b = F.shiftright(F.col("_h"), shift).bitwiseAND(F.lit(mask))
-        hist = sorted(tuple(r) for r in sub.groupBy(b.alias("b")).count().collect())
-        cum = 0
+    for level, (shift, mask) in enumerate(_LEVELS):
+        hist = first_hist if level == 0 else _histogram(df, prefix_filter, shift, mask)
+        cum, count = 0, 0
         for bucket, c in hist:
             if cum + c >= rest:
                 rest -= cum
                 count = c
+                b = F.shiftright(F.col("_h"), shift).bitwiseAND(F.lit(mask))
                 prefix_filter = prefix_filter & (b == F.lit(bucket))
                 break
             cum += c
@@ -74,15 +77,17 @@ def assign_split_exact(
     When rows with an identical key straddle the cut, the required number
     of those copies is taken from a materialised copy of that group.
     """
-    n = df.count()
-    k = math.ceil(test_size * n) if isinstance(test_size, float) else int(test_size)
     keyed = _sort_key(df, keys, seed)
     cols = df.columns
+    # The level-1 histogram doubles as the row count (no separate count scan).
+    first_hist = _histogram(keyed, F.lit(True), *_LEVELS[0])
+    n = sum(c for _, c in first_hist)
+    k = math.ceil(test_size * n) if isinstance(test_size, float) else int(test_size)
     if k <= 0:
         return keyed.select(*cols, F.lit("train").alias(into))
     if k >= n:
         return keyed.select(*cols, F.lit("test").alias(into))
-    h, kt, take, group_count = _boundary(keyed, k)
+    h, kt, take, group_count = _boundary(keyed, k, first_hist)
     below = (F.col("_h") < h) | ((F.col("_h") == h) & (F.col("_kt") < kt))
     at = (F.col("_h") == h) & (F.col("_kt") == kt)
     if take == group_count:

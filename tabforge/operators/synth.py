@@ -97,8 +97,15 @@ def pick_category(rows: DataFrame, u_col: str, intervals: DataFrame, into: str,
             )
         ).alias("_b"),
     ).filter(F.col("_hi") > F.col("_lo"))
-    small = known_small or exploded.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    side = F.broadcast(exploded) if small else exploded
+    if known_small:
+        side = F.broadcast(exploded)
+    else:
+        # Materialised once (the intervals come from a running sum), counted,
+        # broadcast only within the bound.
+        from tabforge.plans.joins import materialise
+
+        exploded = materialise(exploded)
+        side = F.broadcast(exploded) if exploded.count() <= max_broadcast_rows else exploded
     keyed = rows.withColumn("_b", F.floor(F.col(u_col) * BUCKETS).cast("int"))
     cond = [keyed["_b"] == side["_b"], F.col(u_col) >= F.col("_lo"), F.col(u_col) < F.col("_hi")]
     out = keyed.join(side, cond, "left")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabforge.functions.casts import try_cast_text
 from tabforge.functions.timefn import epoch_ms
 from tabforge.operators import clean
 from tabforge.operators.payload import drop_null_or_keep
@@ -204,7 +205,7 @@ SELECT event_id, TRY_CAST(event_type AS INTEGER) AS prediction FROM events
 def q_drop_null_keep_all(spark, sf_dir):
     """Every prediction fails to parse → dropping would empty the table → keep all."""
     ev = load(spark, sf_dir, "events").select(
-        "event_id", F.col("event_type").try_cast("int").alias("prediction")
+        "event_id", try_cast_text(F.col("event_type"), "int").alias("prediction")
     )
     return drop_null_or_keep(ev, ["prediction"])
 

@@ -3,14 +3,14 @@
 ``Window.orderBy(x)`` with no partition moves every row to a single task.
 Here the ordered data is cut into value ranges first:
 
-1. range boundaries per group: ``percentile_approx(x, [1/B, ..., (B-1)/B])``
-   (one aggregation; the boundaries only balance the work, they do not
-   affect exactness);
+1. global range boundaries ``percentile_approx(x, [1/B, ..., (B-1)/B])``
+   (one aggregation read back as a scalar subquery; the boundaries only
+   balance the work, they do not affect exactness);
 2. ``bucket = #boundaries < x`` — monotone in ``x``;
-3. per-bucket totals (groups × B rows) and their exclusive running offsets
-   (a window over that tiny table);
+3. per-(group, bucket) totals and their exclusive running offsets (a window
+   over that small table, ≤ B rows per group);
 4. a window partitioned by ``(group, bucket)`` for the in-bucket running sum,
-   plus the bucket's offset from a broadcast join.
+   plus the bucket's offset from a (size-checked) broadcast join.
 
 Callers aggregate by the order value first (scores, values, keys), so each
 distinct value is one row and a hot value cannot make a bucket large.
@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.plans.joins import join_small
+
 
 def default_buckets(df: DataFrame) -> int:
     try:
@@ -30,19 +32,21 @@ def default_buckets(df: DataFrame) -> int:
     return max(2, n)
 
 
-def with_bucket(df: DataFrame, order_col: str, groups: list[str], buckets: int, accuracy: int = 10000) -> DataFrame:
-    """Add ``_bucket``: the value-range bucket of ``order_col`` within its group."""
+def with_bucket(df: DataFrame, order_col: str, buckets: int, accuracy: int = 10000) -> DataFrame:
+    """Add ``_bucket``: the global value-range bucket of ``order_col``.
+
+    One set of B-1 boundaries for the whole input (a scalar subquery, no
+    join).  Groups share them: a hot group spreads over all B ranges while
+    a small group touches only a few, so (group, range) partitions stay
+    balanced without per-group boundary tables.
+    """
     probs = [i / buckets for i in range(1, buckets)]
-    x = F.col(order_col)
-    agg = F.percentile_approx(x.cast("double"), probs, accuracy).alias("_bounds")
-    if groups:
-        # groups × (B-1) doubles: tiny, broadcast.
-        joined = df.join(F.broadcast(df.groupBy(*groups).agg(agg)), groups, "left")
-    else:
-        # one row: a scalar subquery, no join at all.
-        joined = df.withColumn("_bounds", df.agg(agg).scalar())
-    bucket = F.size(F.filter(F.col("_bounds"), lambda b: b < x.cast("double")))
-    return joined.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_bounds")
+    x = F.col(order_col).cast("double")
+    bounds = df.agg(F.percentile_approx(x, probs, accuracy).alias("_bounds")).scalar()
+    # (a subquery may not sit inside a higher-order function: project it first)
+    with_b = df.withColumn("_bounds", bounds)
+    bucket = F.size(F.filter(F.col("_bounds"), lambda b: b < x))
+    return with_b.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_bounds")
 
 
 def running_sums(
@@ -67,7 +71,7 @@ def running_sums(
     key = F.col(order_col)
     proxy = F.col(bucket_col).cast("double") if bucket_col else key.cast("double")
     src = df.withColumn("_ord", -proxy if descending else proxy)
-    b = with_bucket(src, "_ord", groups, buckets)
+    b = with_bucket(src, "_ord", buckets)
     totals = b.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -75,8 +79,12 @@ def running_sums(
         "_bucket",
         *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
     )
-    # groups × B rows: tiny, broadcast.
-    with_off = b.join(F.broadcast(offsets), [*groups, "_bucket"], "left")
+    # Present (group, range) pairs: ≤ min(rows, groups × B).  B rows when
+    # ungrouped (broadcast); size-checked before broadcasting otherwise.
+    if groups:
+        with_off = join_small(b, offsets, [*groups, "_bucket"], "left")
+    else:
+        with_off = b.join(F.broadcast(offsets), ["_bucket"], "left")
     # In-bucket order on the original column (the double only picks buckets).
     in_order = key.desc() if descending else key.asc()
     w_in = Window.partitionBy(*groups, "_bucket").orderBy(in_order).rangeBetween(Window.unboundedPreceding, 0)

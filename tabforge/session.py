@@ -71,3 +71,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def prepare_session(spark: SparkSession) -> None:
+    """Settings the operators rely on, applied to an existing session: UTC
+    session time zone (window bounds, epoch arithmetic) and a checkpoint
+    folder (read from the session; created only when unset)."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)

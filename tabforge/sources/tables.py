@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.functions.casts import try_cast_text
 from tabforge.functions.nulls import PANDAS_NA_TOKENS, na_token_to_null, nan_to_null
 
 TEST_TABLES = (
@@ -78,7 +79,7 @@ def read_csv_na(
     cols = []
     for f in schema.fields:
         if f.name in raw.columns:
-            cols.append(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name))
+            cols.append(try_cast_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return raw.select(*cols)
