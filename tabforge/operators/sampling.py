@@ -95,30 +95,23 @@ def assign_split_exact(
         return keyed.select(*cols, lab.alias(into))
     # Identical keys straddle the cut: copies are interchangeable, so take
     # `take` of them by per-partition quotas on a materialised copy.
-    # The partition id is recorded as data at materialisation time: inside a
-    # later union the task's own partition number would be offset.
-    tie = materialise(keyed.filter(at).select(*cols, F.spark_partition_id().alias("_pid")))
+    # Partition id and row id are recorded as data when the tie group is
+    # materialised, so they are stable for every later read (and unaffected
+    # by the union below).  Row position in its partition = id - (pid << 33).
+    tie = materialise(
+        keyed.filter(at).select(
+            *cols, F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
+        )
+    )
     per_part = sorted(tuple(r) for r in tie.groupBy("_pid").count().collect())
-    quota, left = {}, take
+    quota, left = [], take
     for p, c in per_part:
-        quota[p] = min(c, left)
-        left -= quota[p]
-    schema = T.StructType([*[f for f in tie.schema.fields if f.name != "_pid"], T.StructField(into, T.StringType())])
-
-    def label(it, _q=quota):
-        import numpy as np
-
-        seen = 0
-        for pdf in it:
-            if pdf.empty:
-                continue
-            q = _q.get(int(pdf["_pid"].iloc[0]), 0)
-            idx = seen + np.arange(len(pdf))
-            seen += len(pdf)
-            out = pdf.drop(columns=["_pid"])
-            yield out.assign(**{into: np.where(idx < q, "test", "train")})
-
-    tie_labelled = tie.mapInPandas(label, schema)
+        q = min(c, left)
+        quota += [F.lit(p), F.lit(q)]
+        left -= q
+    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    limit = F.element_at(F.create_map(*quota), F.col("_pid"))
+    tie_labelled = tie.select(*cols, F.when(pos < limit, "test").otherwise("train").alias(into))
     rest = keyed.filter(~at).select(*cols, F.when(below, "test").otherwise("train").alias(into))
     return rest.unionByName(tie_labelled)
 

@@ -21,7 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.plans.joins import join_small
+from tabforge.plans.joins import join_small, materialise
+
+# Up to this many (pre-aggregated) rows one window task is bounded work.
+SMALL_ROWS = 1_000_000
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -58,6 +61,7 @@ def running_sums(
     buckets: int | None = None,
     prefix: str = "cum_",
     bucket_col: str | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
     order (ties: rows sharing an order value are summed together, like a
@@ -65,10 +69,21 @@ def running_sums(
 
     ``bucket_col`` (numeric, non-decreasing in ``order_col``) picks buckets
     when ``order_col`` itself is not numeric (e.g. a string's byte prefix).
+
+    The input is materialised once (reliable checkpoint) and counted: up to
+    ``small_rows`` rows a plain window is bounded work for one task and is
+    used directly; beyond that the bucketed plan spreads the work.
     """
     groups = list(groups or [])
-    buckets = buckets or default_buckets(df)
     key = F.col(order_col)
+    in_order = key.desc() if descending else key.asc()
+    small_rows = SMALL_ROWS if small_rows is None else small_rows
+    if small_rows > 0:
+        df = materialise(df)
+        if df.count() <= small_rows:
+            w = Window.partitionBy(*groups).orderBy(in_order).rangeBetween(Window.unboundedPreceding, 0)
+            return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
+    buckets = buckets or default_buckets(df)
     proxy = F.col(bucket_col).cast("double") if bucket_col else key.cast("double")
     src = df.withColumn("_ord", -proxy if descending else proxy)
     b = with_bucket(src, "_ord", buckets)
@@ -86,7 +101,6 @@ def running_sums(
     else:
         with_off = b.join(F.broadcast(offsets), ["_bucket"], "left")
     # In-bucket order on the original column (the double only picks buckets).
-    in_order = key.desc() if descending else key.asc()
     w_in = Window.partitionBy(*groups, "_bucket").orderBy(in_order).rangeBetween(Window.unboundedPreceding, 0)
     out = with_off.withColumns(
         {f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(w_in) for c in sum_cols}
@@ -101,11 +115,14 @@ def dense_index(
     buckets: int | None = None,
     into: str = "row_index",
     bucket_col: str | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """0-based row number in ``order_col`` order (unique values expected),
     per group, computed without a one-task window."""
     src = df.withColumn("_one", F.lit(1))
-    out = running_sums(src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", bucket_col=bucket_col)
+    out = running_sums(
+        src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", bucket_col=bucket_col, small_rows=small_rows
+    )
     return out.withColumn(into, F.col("_cum_one") - 1).drop("_one", "_cum_one")
 
 

@@ -60,8 +60,9 @@ def test_running_sums_match_pandas(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 2000), "x": rng.permutation(2000), "v": rng.integers(0, 5, 2000)})
     df = spark.createDataFrame(pdf)
-    got = running_sums(df, "x", ["v"], ["g"], buckets=7).toPandas().sort_values(["g", "x"])
     exp = pdf.sort_values(["g", "x"]).groupby("g")["v"].cumsum()
-    assert list(got["cum_v"]) == list(exp)
-    idx = dense_index(df, "x", buckets=5).toPandas().sort_values("x")
-    assert list(idx["row_index"]) == list(range(2000))
+    for small in (0, None):  # bucketed plan, then the small-input window
+        got = running_sums(df, "x", ["v"], ["g"], buckets=7, small_rows=small).toPandas().sort_values(["g", "x"])
+        assert list(got["cum_v"]) == list(exp)
+        idx = dense_index(df, "x", buckets=5, small_rows=small).toPandas().sort_values("x")
+        assert list(idx["row_index"]) == list(range(2000))
