@@ -65,20 +65,15 @@ def response_predictions(text: Column, positive_label: str = "alive") -> Column:
 
 
 def parse_response(df: DataFrame, col: str = "response", into: str = "parsed_response") -> DataFrame:
-    """Response JSON → ``struct<predictions array<int>, databricks_output struct>``.
-
-    The envelope is parsed once with ``predictions`` kept as raw JSON text;
-    only that small text is then read under the two prediction shapes.
-    """
-    env = T.StructType(
-        [T.StructField("predictions", T.StringType()), T.StructField("databricks_output", RESPONSE_OUTPUT_SCHEMA)]
-    )
-    parsed = df.withColumn("_env", F.from_json(F.col(col), env))
-    preds = response_predictions(F.concat(F.lit('{"predictions":'), F.col("_env.predictions"), F.lit("}")))
-    out = parsed.withColumn(
-        into, F.struct(preds.alias("predictions"), F.col("_env.databricks_output").alias("databricks_output"))
+    """Response JSON → ``struct<predictions array<int>, databricks_output struct>``."""
+    out = F.from_json(F.col(col), T.StructType([T.StructField("databricks_output", RESPONSE_OUTPUT_SCHEMA)]))
+    return df.withColumn(
+        into,
+        F.struct(
+            response_predictions(F.col(col)).alias("predictions"),
+            out.getField("databricks_output").alias("databricks_output"),
+        ),
     )
-    return out.drop("_env")
 
 
 def explode_records(df: DataFrame, col: str, into: str = "record", outer: bool = False, pos: str = "pos") -> DataFrame:
