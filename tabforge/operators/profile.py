@@ -69,13 +69,30 @@ def window_profile(
     aggregates; a hot key only makes one bounded aggregation buffer larger.
     """
     keys = list(keys or [])
+    w = F.window(as_timestamp(F.col(ts)), duration).alias("w")
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     for c in num_cols or []:
         aggs += numeric_stats(c, quantiles, accuracy)
-    for c in cat_cols or []:
-        aggs += categorical_stats(c, exact_distinct)
-    w = F.window(as_timestamp(F.col(ts)), duration).alias("w")
-    out = df.groupBy(w, *keys).agg(*aggs)
+    cat_cols = list(cat_cols or [])
+    if exact_distinct and cat_cols:
+        # Exact distinct counts would make Spark group by (window, keys,
+        # value) first and carry every sketch at that grain.  Instead: one
+        # aggregate for the numeric statistics and one per categorical column
+        # (each reads only its own columns), joined on the profile-sized
+        # (window, keys) results.
+        out = df.groupBy(w, *keys).agg(*aggs, *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in cat_cols])
+        for c in cat_cols:
+            d = df.groupBy(F.window(as_timestamp(F.col(ts)), duration).alias("w"), *keys).agg(
+                F.count_distinct(F.col(c)).alias(f"{c}_distinct")
+            )
+            out = out.join(d, ["w", *keys], "left")
+        order = [a for c in cat_cols for a in (f"{c}_nulls", f"{c}_distinct")]
+        first = [x for x in out.columns if x not in ("w", *keys, *order)]
+        out = out.select("w", *keys, *first, *order)
+    else:
+        for c in cat_cols:
+            aggs += categorical_stats(c, exact_distinct)
+        out = df.groupBy(w, *keys).agg(*aggs)
     return out.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
@@ -117,18 +134,35 @@ def window_classes(
     )
 
 
+def _distinct_key(c: Column, dt) -> Column:
+    """Text key with the same equality as ``count(DISTINCT c)``."""
+    from pyspark.sql import types as T
+
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))  # -0.0 == 0.0
+    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(c)
+    if isinstance(dt, T.BinaryType):
+        return F.hex(c)
+    return c.cast("string")
+
+
 def column_profile(
     df: DataFrame, cols: list[str] | None = None, digits: int | None = 6, exact_distinct: bool = True
 ) -> DataFrame:
     """Profile of any table, one row per column.
 
-    One aggregate computes every statistic of every column in a single scan
-    (global partial/final aggregation); ``stack`` then unpivots the single
-    result row into ``(column, type, n_rows, n_nulls, n_distinct, min, max,
-    mean, sd)``.  Numeric statistics are NULL for non-numeric columns;
-    min/max are rendered as text so all columns share one type.  Exact
-    distinct counts shuffle each column's distinct values (after map-side
-    de-duplication); ``exact_distinct=False`` uses HLL++ sketches instead.
+    Output ``(n_rows, column_name, data_type, n_nulls, n_distinct,
+    min_value, max_value, mean, sd)``; numeric statistics are NULL for
+    non-numeric columns, min/max are text so all columns share one type.
+
+    Plan: ONE global aggregate for every non-distinct statistic of every
+    column (unpivoted with ``stack``); exact distinct counts come from ONE
+    stacked ``(column, value)`` aggregation (map-side de-duplication, then
+    a count per column) joined on the column name — instead of Spark's
+    multi-distinct rewrite, which expands every row once per column and
+    carries all aggregate buffers through it.  ``exact_distinct=False``
+    uses HLL++ sketches in the single aggregate.
     """
     from pyspark.sql import types as T
 
@@ -141,7 +175,7 @@ def column_profile(
         is_num = isinstance(f.dataType, numeric)
         aggs += [
             F.count_if(c.isNull()).alias(f"n{i}"),
-            (F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)).alias(f"d{i}"),
+            (F.approx_count_distinct(c) if not exact_distinct else F.lit(None).cast("long")).alias(f"d{i}"),
             F.min(c).cast("string").alias(f"lo{i}"),
             F.max(c).cast("string").alias(f"hi{i}"),
             (_round(F.avg(c.cast("double")), digits) if is_num else F.lit(None).cast("double")).alias(f"m{i}"),
@@ -155,4 +189,34 @@ def column_profile(
         f"stack({len(fields)}, {', '.join(stack_args)}) "
         "as (column_name, data_type, n_nulls, n_distinct, min_value, max_value, mean, sd)"
     )
-    return one.selectExpr("__rows as n_rows", expr)
+    prof = one.selectExpr("__rows as n_rows", expr)
+    if not exact_distinct:
+        return prof
+    keyed = df.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(f.name).alias("column_name"), _distinct_key(F.col(f"`{f.name}`"), f.dataType).alias("v"))
+                    for f in fields
+                ]
+            )
+        ).alias("_kv")
+    ).select("_kv.*")
+    distinct = (
+        keyed.filter(F.col("v").isNotNull())
+        .distinct()
+        .groupBy("column_name")
+        .agg(F.count(F.lit(1)).alias("_nd"))
+    )
+    out = prof.join(F.broadcast(distinct), "column_name", "left")  # ≤ one row per column
+    return out.select(
+        "n_rows",
+        "column_name",
+        "data_type",
+        "n_nulls",
+        F.coalesce(F.col("_nd"), F.lit(0)).alias("n_distinct"),
+        "min_value",
+        "max_value",
+        "mean",
+        "sd",
+    )

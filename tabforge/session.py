@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Percentile sketches are object buffers; sort-based fallback after 128
+    # groups per task is needlessly early for window-sized groups.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "512",
 }
 
 
