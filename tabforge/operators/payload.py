@@ -141,17 +141,26 @@ def to_payload(df: DataFrame, cols: list[str], into: str = "payload", keep: list
     return df.select(*(keep or []), body.alias(into))
 
 
-def to_payload_batches(df: DataFrame, cols: list[str], group_col: str, into: str = "payload") -> DataFrame:
-    """Several records per request, grouped by ``group_col`` (J5 batches).
+def to_payload_batches(
+    df: DataFrame, cols: list[str], order_col: str, batch_size: int, into: str = "payload"
+) -> DataFrame:
+    """Requests of at most ``batch_size`` records, in ``order_col`` order.
 
-    ``group_col`` must bound the batch size (e.g. ``floor(row_index / k)``);
-    records inside a batch are ordered by the first column for determinism.
+    Rows get a dense index without a one-task window
+    (:func:`tabforge.plans.prefix.dense_index`); ``batch = index //
+    batch_size`` bounds every group, so ``collect_list`` never gathers more
+    than ``batch_size`` records.  Output ``(batch, n_records, payload)``.
     """
-    rec = F.struct(*[F.col(c) for c in cols])
-    grouped = df.groupBy(group_col).agg(F.array_sort(F.collect_list(rec)).alias("dataframe_records"))
+    from tabforge.plans.prefix import dense_index
+
+    idx = dense_index(df, order_col, into="_i").withColumn("batch", F.floor(F.col("_i") / batch_size))
+    rec = F.struct(F.col("_i"), *[F.col(c) for c in cols])
+    grouped = idx.groupBy("batch").agg(F.array_sort(F.collect_list(rec)).alias("_recs"))
+    records = F.transform(F.col("_recs"), lambda r: F.struct(*[r[c].alias(c) for c in cols]))
     return grouped.select(
-        group_col,
-        F.to_json(F.struct("dataframe_records"), {"ignoreNullFields": "false"}).alias(into),
+        "batch",
+        F.size("_recs").alias("n_records"),
+        F.to_json(F.struct(records.alias("dataframe_records")), {"ignoreNullFields": "false"}).alias(into),
     )
 
 

@@ -211,3 +211,44 @@ def q_metrics_pivot(spark, sf_dir):
     )
     long = payload.metrics_long(ev.select("event_type", arr.alias("metrics")), "metrics", ["event_type"])
     return payload.metrics_wide(long, ["event_type"], "_key", "_value", ["value", "k", "hour"])
+
+
+@register("monitoring_refresh", oracle=_FLAT_SQL.format(pred="first_pred"))
+def q_monitoring_refresh(spark, sf_dir):
+    """The whole monitoring refresh run twice over the same request log (the
+    second run appends nothing); returns the monitoring table."""
+    import uuid
+
+    from tabforge.plans.monitoring import monitoring_table, refresh_monitoring
+    from tabforge.session import scratch_path
+
+    target = scratch_path(spark, f"monitoring/{uuid.uuid4().hex}")
+    log = request_log(spark, sf_dir)
+    first = refresh_monitoring(log, target, "customer-model", CUSTOMER_RECORD)
+    second = refresh_monitoring(log, target, "customer-model", CUSTOMER_RECORD)
+    assert second.written_rows == 0 and first.written_rows == first.valid_rows
+    out = monitoring_table(spark, target).drop("day")
+    return out.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS"))
+
+
+@register(
+    "payload_batches",
+    oracle="""
+WITH i AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS rn FROM customer)
+SELECT rn // 64 AS batch, count(*) AS n_records, min(c_custkey) AS first_key, max(c_custkey) AS last_key
+FROM i GROUP BY rn // 64
+""",
+)
+def q_payload_batches(spark, sf_dir):
+    """Request bodies of at most 64 records each, in key order; parsed back
+    to check the first and last record of every batch."""
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    b = payload.to_payload_batches(c, ["c_custkey", "c_acctbal", "c_mktsegment"], "c_custkey", 64)
+    parsed = payload.parse_json(b, "payload", payload.request_schema(CUSTOMER_RECORD), into="p")
+    recs = F.col("p.dataframe_records")
+    return parsed.select(
+        F.col("batch").cast("long").alias("batch"),
+        F.col("n_records").cast("long").alias("n_records"),
+        F.get(recs, 0)["c_custkey"].alias("first_key"),
+        F.element_at(recs, -1)["c_custkey"].alias("last_key"),
+    )
