@@ -57,6 +57,20 @@ def uniform_sql(text_sql: str) -> str:
     return f"(CAST({hash52_sql(text_sql)} AS DOUBLE) / 4503599627370496.0)"
 
 
+def uniform_pair(text: Column) -> tuple[Column, Column]:
+    """Two independent uniforms from ONE md5: hex digits 1-13 and 14-26."""
+    h = F.md5(text)
+    u1 = F.conv(F.substring(h, 1, 13), 16, 10).cast("long").cast("double") / F.lit(TWO_POW_52)
+    u2 = F.conv(F.substring(h, 14, 13), 16, 10).cast("long").cast("double") / F.lit(TWO_POW_52)
+    return u1, u2
+
+
+def uniform_pair_sql(text_sql: str) -> tuple[str, str]:
+    a = f"(CAST(('0x' || substr(md5({text_sql}), 1, 13))::BIGINT AS DOUBLE) / 4503599627370496.0)"
+    b = f"(CAST(('0x' || substr(md5({text_sql}), 14, 13))::BIGINT AS DOUBLE) / 4503599627370496.0)"
+    return a, b
+
+
 def md5_parity(text: Column) -> Column:
     """Parity of the full 128-bit md5 integer = parity of its last hex digit."""
     return F.conv(F.substring(F.md5(text), 32, 1), 16, 10).cast("int") % 2

@@ -12,7 +12,9 @@ so the output does not depend on partitioning and has a SQL oracle.
   it overlaps) plus the exact ``lo <= u < hi`` filter — no nested-loop
   range join;
 * timestamp: uniform in ``[min, max)`` microseconds;
-* anything else: bootstrap from the column (resampling, D3).
+* anything else (arrays, maps, ...): bootstrap from the column — a uniform
+  row draw, i.e. a frequency-weighted draw over distinct values, through
+  the same interval join.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.functions.hashing import key_text, uniform
+from tabforge.functions.hashing import key_text, uniform, uniform_pair
 from tabforge.operators.clean import floor_at, scale
 from tabforge.plans.joins import BROADCAST_MAX_ROWS
 from tabforge.plans.prefix import running_sums, string_order_proxy
@@ -39,9 +41,9 @@ def draw(id_col: Column, column: str, what: str, seed: int) -> Column:
 
 
 def normal(id_col: Column, column: str, mean: Column, sd: Column, seed: int) -> Column:
-    """Box-Muller normal from two hash uniforms (``1-u`` keeps ``ln`` finite)."""
-    u1 = draw(id_col, column, "u1", seed)
-    u2 = draw(id_col, column, "u2", seed)
+    """Box-Muller normal from two uniforms taken from ONE md5 of
+    (row, column, seed) (``1-u`` keeps ``ln`` finite)."""
+    u1, u2 = uniform_pair(key_text(id_col, salt=f"{column}:n", seed=seed))
     z = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - u1)) * F.cos(F.lit(2.0 * PI) * u2)
     return mean + sd * z
 
@@ -192,17 +194,10 @@ def synthesize(src: DataFrame, spec: SynthSpec) -> DataFrame:
             if spec.drift and name in spec.drift_redraw:
                 iv = weights_intervals(spark, spec.drift_redraw[name], f.dataType.simpleString())
                 rows = pick_category(rows, u_name, iv, name, known_small=True)
-            elif kind == "category":
-                rows = pick_category(rows, u_name, category_intervals(src, name), name)
             else:
-                from tabforge.operators.sampling import resample
-
-                from tabforge.plans.joins import materialise
-
-                # ids fixed by materialising once, so a retry sees the same order
-                ordered = materialise(src.select(name, F.monotonically_increasing_id().alias("_o")))
-                boot = resample(ordered, "_o", spec.n, spec.seed)
-                rows = rows.join(boot.select(F.col("draw_id").alias("_i"), name), "_i", "left")
+                # Categories and bootstrap (G4) alike: drawing a row uniformly
+                # is drawing a distinct value with frequency weights.
+                rows = pick_category(rows, u_name, category_intervals(src, name), name)
             rows = rows.drop(u_name)
         out_cols.append(name)
     if spec.id_col:

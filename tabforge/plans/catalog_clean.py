@@ -316,3 +316,15 @@ def q_clean_chain(spark, sf_dir):
     """The whole cleaning recipe on ``part``: rename → rare collapse →
     replace → allow-list → in-or-else → flags → classify → project."""
     return clean.clean(load(spark, sf_dir, "part"), PART_SPEC)
+
+
+@register(
+    "load_stamp",
+    oracle="SELECT count(*) AS n_rows, 1 AS n_stamps FROM orders",
+)
+def q_load_stamp(spark, sf_dir):
+    """Load timestamp: one value for every row of a write."""
+    out = clean.stamp(load(spark, sf_dir, "orders").select("o_orderkey"))
+    return out.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("update_timestamp_utc").alias("n_stamps")
+    )

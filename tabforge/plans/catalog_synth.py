@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabforge.functions.hashing import uniform_sql
+from tabforge.functions.hashing import uniform_pair_sql, uniform_sql
 from tabforge.operators import synth
 from tabforge.plans.registry import register
 from tabforge.sources.tables import load
@@ -22,10 +22,8 @@ def _u(column: str, what: str) -> str:
 
 
 def _normal_sql(column: str, m: str, s: str) -> str:
-    return (
-        f"({m} + {s} * sqrt(-2.0 * ln(1.0 - {_u(column, 'u1')})) * cos({2.0 * 3.141592653589793!r} * "
-        f"{_u(column, 'u2')}))"
-    )
+    u1, u2 = uniform_pair_sql(f"concat_ws('|', CAST(row_id AS VARCHAR), '{column}:n', '{SEED}')")
+    return f"({m} + {s} * sqrt(-2.0 * ln(1.0 - {u1})) * cos({2.0 * 3.141592653589793!r} * {u2}))"
 
 
 def _intervals_sql(name: str, src: str, expr: str, total: str) -> str:
@@ -138,3 +136,17 @@ def q_synthetic_table(spark, sf_dir):
 def q_synthetic_drift(spark, sf_dir):
     """Same with drift: balance ×1.5, segment redrawn 0.7 / 0.3."""
     return _table(spark, sf_dir, drift=True)
+
+
+@register("synthetic_bootstrap")
+def q_synthetic_bootstrap(spark, sf_dir):
+    """Array column (embeddings) bootstrapped: each synthetic row is a
+    source vector drawn with frequency weights.  Rows-only: distinct arrays
+    are ordered by their text, whose float formatting differs by engine."""
+    src = load(spark, sf_dir, "embeddings").select("embedding")
+    out = synth.synthesize(src, synth.SynthSpec(n=src.count(), seed=SEED, id_col=None))
+    return out.select(
+        "row_id",
+        F.size("embedding").cast("long").alias("dim"),
+        F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"),
+    )

@@ -66,3 +66,12 @@ def test_running_sums_match_pandas(spark):
         assert list(got["cum_v"]) == list(exp)
         idx = dense_index(df, "x", buckets=5, small_rows=small).toPandas().sort_values("x")
         assert list(idx["row_index"]) == list(range(2000))
+
+
+def test_bootstrap_draws_source_values(spark):
+    src = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+    out = synth.synthesize(src.select("embedding"), synth.SynthSpec(n=200, seed=3, id_col=None))
+    got = out.collect()
+    assert len(got) == 200
+    source = {tuple(r["embedding"]) for r in src.collect()}
+    assert all(tuple(r["embedding"]) in source for r in got)
