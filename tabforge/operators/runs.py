@@ -53,11 +53,14 @@ def find_by_tag(runs: DataFrame, key: str, value: str, n: int = 1) -> DataFrame:
     return search_runs(runs, tag_eq={key: value}).limit(n)
 
 
-def metric_history(events: DataFrame, run_col: str, key_col: str, value_col: str, ts_col: str) -> DataFrame:
+def metric_history(
+    events: DataFrame, run_col: str, key_col: str, value_col: str, ts_col: str, tiebreak_col: str | None = None
+) -> DataFrame:
     """Long metric table with a 0-based step per (run, key) in time order.
 
     The step is a dense index per (run, key) computed with the bucketed
-    prefix pattern, so one very long run is spread over many tasks.
+    prefix pattern, so one very long run is spread over many tasks;
+    ``tiebreak_col`` (e.g. an event id) orders events with equal times.
     """
     src = events.select(
         F.col(run_col).alias("run_id"),
@@ -65,8 +68,12 @@ def metric_history(events: DataFrame, run_col: str, key_col: str, value_col: str
         F.col(value_col).cast("double").alias("value"),
         F.col(ts_col).alias("ts"),
         F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"),
+        *([F.col(tiebreak_col).alias("_tb")] if tiebreak_col else []),
+    )
+    idx = dense_index(
+        src, "_us", groups=["run_id", "key"], into="step", tiebreak=["_tb"] if tiebreak_col else None
     )
-    return dense_index(src, "_us", groups=["run_id", "key"], into="step").drop("_us")
+    return idx.drop("_us", "_tb")
 
 
 def metric_latest(history: DataFrame) -> DataFrame:

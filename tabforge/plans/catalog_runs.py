@@ -116,14 +116,14 @@ def q_run_find_by_tag(spark, sf_dir):
 
 def _history(spark, sf_dir):
     ev = load(spark, sf_dir, "events").withColumn("run_id", F.concat(F.lit("run-"), F.col("user_id").cast("string")))
-    return R.metric_history(ev, "run_id", "event_type", "value", "ts")
+    return R.metric_history(ev, "run_id", "event_type", "value", "ts", tiebreak_col="event_id")
 
 
 @register(
     "metric_history",
     oracle="""
 SELECT 'run-' || CAST(user_id AS VARCHAR) AS run_id, event_type AS key,
-       row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts) - 1 AS step, value
+       row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) - 1 AS step, value
 FROM events
 """,
 )

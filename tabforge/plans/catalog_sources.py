@@ -75,21 +75,25 @@ def q_csv_na_scan(spark, sf_dir):
 
 
 def _cdf_versions(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    old = o.filter(F.col("o_orderkey") % 11 != 0)
-    new = o.filter(F.col("o_orderkey") % 10 != 0).withColumn(
-        "o_totalprice", F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    )
+    """Two versions of the whole orders table, told apart by row attributes:
+    pending (P) orders arrive in the new version, low-priority orders leave
+    it, open (O) orders are repriced."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    old = o.filter(F.col("o_orderstatus") != "P").drop("o_orderpriority")
+    new = o.filter(F.col("o_orderpriority") != "5-LOW").withColumn(
+        "o_totalprice",
+        F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+    ).drop("o_orderpriority")
     return old, new
 
 
 @register(
     "change_feed",
     oracle="""
-WITH old AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 11 != 0),
+WITH old AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus != 'P'),
 new AS (SELECT o_orderkey, o_orderstatus,
-               CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
-        FROM orders WHERE o_orderkey % 10 != 0)
+               CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM orders WHERE o_orderpriority != '5-LOW')
 SELECT n.*, 'insert' AS _change_type FROM new n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)
 UNION ALL SELECT o.*, 'delete' FROM old o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)
 UNION ALL SELECT o.*, 'update_preimage' FROM old o JOIN new n USING (o_orderkey)
@@ -99,8 +103,8 @@ UNION ALL SELECT n.*, 'update_postimage' FROM old o JOIN new n USING (o_orderkey
 """,
 )
 def q_change_feed(spark, sf_dir):
-    """Two versions of orders: keys ≡0 mod 11 inserted, ≡0 mod 10 deleted,
-    ≡0 mod 7 repriced — every row of both versions is compared."""
+    """Row-level changes between the two versions; every row of both
+    versions is compared."""
     old, new = _cdf_versions(spark, sf_dir)
     return versions.change_feed(old, new, ["o_orderkey"])
 

@@ -62,6 +62,7 @@ def running_sums(
     prefix: str = "cum_",
     bucket_col: str | None = None,
     small_rows: int | None = None,
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
     order (ties: rows sharing an order value are summed together, like a
@@ -69,6 +70,8 @@ def running_sums(
 
     ``bucket_col`` (numeric, non-decreasing in ``order_col``) picks buckets
     when ``order_col`` itself is not numeric (e.g. a string's byte prefix).
+    ``tiebreak`` columns extend the in-window order (rows equal in all of
+    them still share a running value, as a RANGE frame does).
 
     The input is materialised once (reliable checkpoint) and counted: up to
     ``small_rows`` rows a plain window is bounded work for one task and is
@@ -76,12 +79,13 @@ def running_sums(
     """
     groups = list(groups or [])
     key = F.col(order_col)
-    in_order = key.desc() if descending else key.asc()
+    in_order = [key.desc() if descending else key.asc()]
+    in_order += [F.col(t).desc() if descending else F.col(t).asc() for t in tiebreak or []]
     small_rows = SMALL_ROWS if small_rows is None else small_rows
     if small_rows > 0:
         df = materialise(df)
         if df.count() <= small_rows:
-            w = Window.partitionBy(*groups).orderBy(in_order).rangeBetween(Window.unboundedPreceding, 0)
+            w = Window.partitionBy(*groups).orderBy(*in_order).rangeBetween(Window.unboundedPreceding, 0)
             return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
     buckets = buckets or default_buckets(df)
     proxy = F.col(bucket_col).cast("double") if bucket_col else key.cast("double")
@@ -101,7 +105,7 @@ def running_sums(
     else:
         with_off = b.join(F.broadcast(offsets), ["_bucket"], "left")
     # In-bucket order on the original column (the double only picks buckets).
-    w_in = Window.partitionBy(*groups, "_bucket").orderBy(in_order).rangeBetween(Window.unboundedPreceding, 0)
+    w_in = Window.partitionBy(*groups, "_bucket").orderBy(*in_order).rangeBetween(Window.unboundedPreceding, 0)
     out = with_off.withColumns(
         {f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(w_in) for c in sum_cols}
     )
@@ -116,12 +120,14 @@ def dense_index(
     into: str = "row_index",
     bucket_col: str | None = None,
     small_rows: int | None = None,
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
-    """0-based row number in ``order_col`` order (unique values expected),
-    per group, computed without a one-task window."""
+    """0-based row number in ``(order_col, *tiebreak)`` order (unique per
+    group expected), computed without a one-task window."""
     src = df.withColumn("_one", F.lit(1))
     out = running_sums(
-        src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", bucket_col=bucket_col, small_rows=small_rows
+        src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", bucket_col=bucket_col,
+        small_rows=small_rows, tiebreak=tiebreak,
     )
     return out.withColumn(into, F.col("_cum_one") - 1).drop("_one", "_cum_one")
 
