@@ -128,6 +128,7 @@ class SynthSpec:
     drift_scale: dict[str, float] = field(default_factory=dict)
     drift_redraw: dict[str, list] = field(default_factory=dict)
     digits: int | None = 6
+    row_id: str | None = "row_id"  # None: output only the source's columns
 
 
 def _kind(dt: T.DataType, ints_as_normal: bool) -> str:
@@ -203,4 +204,6 @@ def synthesize(src: DataFrame, spec: SynthSpec) -> DataFrame:
     if spec.id_col:
         rows = rows.withColumn(spec.id_col, (F.lit(spec.id_base) + rid).cast("string"))
         out_cols.append(spec.id_col)
-    return rows.select("_i", *out_cols).withColumnRenamed("_i", "row_id")
+    if spec.row_id is None:
+        return rows.select(*out_cols)
+    return rows.select("_i", *out_cols).withColumnRenamed("_i", spec.row_id)
