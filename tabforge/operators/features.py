@@ -32,24 +32,33 @@ def fit_codes(df: DataFrame, cols: list[str]) -> DataFrame:
     return coded.select("column_name", "value", "code")
 
 
+def prepare_codes(codes: DataFrame, cols: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Materialise a dictionary once (reliable checkpoint) and fetch its size
+    per column (one tiny aggregate) — reusable across many applications."""
+    codes_m = materialise(codes.filter(F.col("column_name").isin(cols)))
+    sizes = {r["column_name"]: r["count"] for r in codes_m.groupBy("column_name").count().collect()}
+    return codes_m, sizes
+
+
 def apply_codes(
     df: DataFrame,
     codes: DataFrame,
     cols: list[str],
     suffix: str = "",
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    sizes: dict[str, int] | None = None,
 ) -> DataFrame:
     """Replace each categorical column by its code; unseen / NULL → -1 (M2).
 
-    The dictionary is materialised once (reliable checkpoint) and its size
-    per column fetched in one small aggregate; each column's join is
-    broadcast only if that column's dictionary is small.
+    Each column's join is broadcast only if that column's dictionary is
+    within the row bound.  Pass ``sizes`` from :func:`prepare_codes` to
+    reuse an already materialised dictionary.
     """
-    codes_m = materialise(codes.filter(F.col("column_name").isin(cols)))
-    sizes = {r["column_name"]: r["count"] for r in codes_m.groupBy("column_name").count().collect()}
+    if sizes is None:
+        codes, sizes = prepare_codes(codes, cols)
     out = df
     for c in cols:
-        d = codes_m.filter(F.col("column_name") == c).select(
+        d = codes.filter(F.col("column_name") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}")
         )
         side = F.broadcast(d) if sizes.get(c, 0) <= max_broadcast_rows else d

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.operators.features import apply_codes, assemble, fit_codes
+from tabforge.operators.features import apply_codes, assemble, fit_codes, prepare_codes
 from tabforge.session import ensure_checkpoint_dir
 
 
@@ -33,23 +33,25 @@ class BoostParams:
     seed: int = 42
     max_bins: int = 64
     checkpoint_interval: int = 10
+    cache_node_ids: bool | None = None  # None: on for deep trees (depth >= 5)
 
 
 @dataclass
 class TabularModel:
     """Fitted dictionary + assembled-feature GBT pipeline."""
 
-    codes: DataFrame
+    codes: DataFrame | None
     cat: list[str]
     num: list[str]
     pipeline: PipelineModel
+    code_sizes: dict[str, int] | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
         return score(df, self)
 
 
-def _features(df: DataFrame, codes: DataFrame, cat: list[str], num: list[str]) -> DataFrame:
-    enc = apply_codes(df, codes, cat, suffix="_code") if cat else df
+def _features(df: DataFrame, codes, cat: list[str], num: list[str], sizes=None) -> DataFrame:
+    enc = apply_codes(df, codes, cat, suffix="_code", sizes=sizes) if cat else df
     return assemble(enc, [f"{c}_code" for c in cat], num)
 
 
@@ -57,8 +59,8 @@ def train(df: DataFrame, cat: list[str], num: list[str], label: str, params: Boo
     """Fit the dictionary on the training rows, assemble, train GBT (M4)."""
     params = params or BoostParams()
     ensure_checkpoint_dir(df.sparkSession)
-    codes = fit_codes(df, cat) if cat else None
-    feats = _features(df, codes, cat, num).withColumn("_label", F.col(label).cast("double"))
+    codes, sizes = prepare_codes(fit_codes(df, cat), cat) if cat else (None, None)
+    feats = _features(df, codes, cat, num, sizes).withColumn("_label", F.col(label).cast("double"))
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol="_label",
@@ -68,10 +70,10 @@ def train(df: DataFrame, cat: list[str], num: list[str], label: str, params: Boo
         maxBins=params.max_bins,
         seed=params.seed,
         checkpointInterval=params.checkpoint_interval,
-        cacheNodeIds=True,
+        cacheNodeIds=params.cache_node_ids if params.cache_node_ids is not None else params.max_depth >= 5,
     )
     model = Pipeline(stages=[gbt]).fit(feats)
-    return TabularModel(codes, cat, num, model)
+    return TabularModel(codes, cat, num, model, sizes)
 
 
 def score(df: DataFrame, model: TabularModel, keep: list[str] | None = None) -> DataFrame:
@@ -80,7 +82,7 @@ def score(df: DataFrame, model: TabularModel, keep: list[str] | None = None) ->
     Narrow: the dictionary join is broadcast when small and the tree
     ensemble is evaluated row by row inside the JVM.
     """
-    feats = _features(df, model.codes, model.cat, model.num)
+    feats = _features(df, model.codes, model.cat, model.num, model.code_sizes)
     out = model.pipeline.transform(feats)
     cols = keep if keep is not None else df.columns
     return out.select(

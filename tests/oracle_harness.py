@@ -122,12 +122,18 @@ def compare(spark, con, name, fn, sql, sf_dir, show_diff: int = 5):
 def main(argv):
     sys.path.insert(0, ".")
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in argv[1:] if not a.startswith("/")]
-    from tabforge.session import build_session
-
+    bare = "--bare" in argv
+    names = [a for a in argv[1:] if not a.startswith(("/", "--"))]
     import __spark_entry__ as entry
 
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if bare:  # a plain session, as an outside caller would build it
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        from tabforge.session import build_session
+
+        spark = build_session("local[8]", shuffle_partitions=8)
     qs, orc = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0
