@@ -12,10 +12,10 @@ RAW_SCHEMA = (
     "Identity string, Gender string, `Marital Status` string, Alive string"
 )
 FIVE = [
-    (1, 1.8, 80.0, "Marvel", "Avengers", "Human", "Secret", "Male", "Single", "Alive"),
-    (2, 1.9, 85.0, "DC", None, "Mutant", "Public", "Female", "Married", "Dead"),
+    (1, 1.8, 80.0, "Earth-A", "Avengers", "Human", "Secret", "Male", "Single", "Alive"),
+    (2, 1.9, 85.0, "Earth-B", None, "Mutant", "Public", "Female", "Married", "Dead"),
     (3, None, 90.0, None, "X-Men", None, None, "Male", None, "Alive"),
-    (4, 1.7, None, "Marvel", "Avengers", "Alien", "Secret", None, "Widow", "Alive"),
+    (4, 1.7, None, "Earth-A", "Avengers", "Alien", "Secret", None, "Widow", "Alive"),
     (5, 1.6, 75.0, "Other", None, "Human", "Unknown", "Other", "Unknown", "Dead"),
 ]
 NUM = ["Height", "Weight", "Teams", "Magic", "Mutant"]
