@@ -117,16 +117,21 @@ def flatten_payload(
     )
 
 
-def drop_null_or_keep(df: DataFrame, cols: list[str]) -> DataFrame:
+def drop_null_or_keep(df: DataFrame, cols: list[str], lazy: bool = False) -> DataFrame:
     """Drop rows NULL in ``cols`` — unless that would drop every row.
 
-    One plan: a scalar subquery computes "is any row valid" (a global
-    partial/final max), the filter keeps valid rows, or all rows when none
-    is valid.  No driver round-trip, no cross join.
+    Default: a ``filter(valid).limit(1)`` probe decides the branch; Spark
+    stops scanning at the first valid row (usually in the first partition),
+    so the common case costs one partition, not a second full pass.
+    ``lazy=True`` keeps it a single plan instead: a scalar subquery computes
+    "is any row valid" (a global partial/final max) inside the filter.
+    No cross join either way.
     """
     valid = F.lit(True)
     for c in cols:
         valid = valid & F.col(c).isNotNull()
+    if not lazy:
+        return df.filter(valid) if df.filter(valid).limit(1).count() > 0 else df
     any_valid = df.select(F.max(valid.cast("int")).alias("any_valid")).scalar()
     return df.filter(valid | (F.coalesce(any_valid, F.lit(0)) == 0))
 

@@ -87,28 +87,35 @@ def weights_intervals(spark, weights: list[tuple[object, float]], value_type: st
 
 def pick_category(rows: DataFrame, u_col: str, intervals: DataFrame, into: str,
                   max_broadcast_rows: int = BROADCAST_MAX_ROWS, known_small: bool = False) -> DataFrame:
-    """Attach the interval containing ``u`` (bucketed equi-join + exact filter)."""
-    exploded = intervals.select(
+    """Attach the interval containing ``u`` (bucketed equi-join + exact filter).
+
+    The bucket count grows with the number of intervals (at least four
+    buckets per interval), so a draw meets about one candidate interval even
+    for millions of distinct values; heavy values span many buckets.
+    """
+    from tabforge.plans.joins import materialise
+
+    if known_small:
+        iv, k = intervals, None
+    else:
+        iv = materialise(intervals)
+        k = iv.count()
+    buckets = max(BUCKETS, 4 * (k or 0))
+    exploded = iv.select(
         F.col("value").alias(into),
         F.col("lo").alias("_lo"),
         F.col("hi").alias("_hi"),
         F.explode(
             F.sequence(
-                F.floor(F.col("lo") * BUCKETS).cast("int"),
-                F.least(F.floor(F.col("hi") * BUCKETS).cast("int"), F.lit(BUCKETS - 1)),
+                F.floor(F.col("lo") * buckets).cast("long"),
+                F.least(F.floor(F.col("hi") * buckets).cast("long"), F.lit(buckets - 1)),
             )
         ).alias("_b"),
     ).filter(F.col("_hi") > F.col("_lo"))
-    if known_small:
-        side = F.broadcast(exploded)
-    else:
-        # Materialised once (the intervals come from a running sum), counted,
-        # broadcast only within the bound.
-        from tabforge.plans.joins import materialise
-
-        exploded = materialise(exploded)
-        side = F.broadcast(exploded) if exploded.count() <= max_broadcast_rows else exploded
-    keyed = rows.withColumn("_b", F.floor(F.col(u_col) * BUCKETS).cast("int"))
+    # exploded rows ≤ intervals + buckets ≤ 5k: broadcast only within the bound
+    small = known_small or (k + buckets) <= max_broadcast_rows
+    side = F.broadcast(exploded) if small else exploded
+    keyed = rows.withColumn("_b", F.floor(F.col(u_col) * buckets).cast("long"))
     cond = [keyed["_b"] == side["_b"], F.col(u_col) >= F.col("_lo"), F.col(u_col) < F.col("_hi")]
     out = keyed.join(side, cond, "left")
     return out.drop("_b", "_lo", "_hi")

@@ -77,3 +77,10 @@ def test_payload_keeps_explicit_nulls(spark):
     df = spark.createDataFrame([(1, None)], "a long, b string")
     body = payload.to_payload(df, ["a", "b"]).first()["payload"]
     assert body == '{"dataframe_records":[{"a":1,"b":null}]}'
+
+
+def test_drop_null_or_keep_lazy_plan(spark):
+    df = spark.createDataFrame([(1, None), (2, 3)], "k int, p int")
+    assert payload.drop_null_or_keep(df, ["p"], lazy=True).count() == 1
+    none = spark.createDataFrame([(1, None), (2, None)], "k int, p int")
+    assert payload.drop_null_or_keep(none, ["p"], lazy=True).count() == 2
