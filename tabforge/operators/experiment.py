@@ -63,15 +63,13 @@ def ab_summary(df: DataFrame, arm_col: str, outcome: str, user_col: str | None =
     if user_col:
         aggs.append(F.count_distinct(user_col).alias("users"))
     per_arm = df.groupBy(arm_col).agg(*aggs)
-    ctl = control if control is not None else None
-    if ctl is None:
-        ctl_row = per_arm.agg(F.min(arm_col)).scalar()
-        is_ctl = F.col(arm_col) == ctl_row
+    if control is None:
+        is_ctl = F.col(arm_col) == per_arm.agg(F.min(arm_col)).scalar()
     else:
-        is_ctl = F.col(arm_col) == F.lit(ctl)
-    c_mean = per_arm.filter(is_ctl).agg(F.first("_mean")).scalar()
-    c_sd = per_arm.filter(is_ctl).agg(F.first("_sd")).scalar()
-    c_n = per_arm.filter(is_ctl).agg(F.first("n")).scalar()
+        is_ctl = F.col(arm_col) == F.lit(control)
+    # One scalar subquery over the (arms-sized) result carries the control's stats.
+    ctl = per_arm.filter(is_ctl).select(F.struct("_mean", "_sd", "n").alias("c")).scalar()
+    c_mean, c_sd, c_n = ctl.getField("_mean"), ctl.getField("_sd"), ctl.getField("n")
     diff = F.col("_mean") - c_mean
     se = F.sqrt(F.col("_sd") ** 2 / F.col("n") + c_sd**2 / c_n)
     return per_arm.select(

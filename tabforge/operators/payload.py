@@ -48,6 +48,13 @@ def parse_json(df: DataFrame, col: str, schema: T.StructType | str, into: str |
     return df.withColumn(into or f"{col}_parsed", F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"}))
 
 
+def _label_predictions(text: Column, positive_label: str) -> Column:
+    """Predictions from the label envelope ``{"predictions": {"<name>": [...]}}``."""
+    as_labels = F.from_json(text, "predictions map<string,array<string>>").getField("predictions")
+    first_list = F.element_at(F.map_values(as_labels), 1)
+    return F.transform(first_list, lambda x: F.when(F.lower(x) == F.lit(positive_label.lower()), 1).otherwise(0))
+
+
 def response_predictions(text: Column, positive_label: str = "alive") -> Column:
     """``array<int>`` predictions from either response envelope.
 
@@ -56,24 +63,29 @@ def response_predictions(text: Column, positive_label: str = "alive") -> Column:
     1 when equal to ``positive_label`` (case-insensitive), else 0.
     """
     as_ints = F.from_json(text, "predictions array<int>").getField("predictions")
-    as_labels = F.from_json(text, "predictions map<string,array<string>>").getField("predictions")
-    first_list = F.element_at(F.map_values(as_labels), 1)
-    decoded = F.transform(
-        first_list, lambda x: F.when(F.lower(x) == F.lit(positive_label.lower()), 1).otherwise(0)
+    return F.coalesce(as_ints, _label_predictions(text, positive_label))
+
+
+def parse_response(df: DataFrame, col: str = "response", into: str = "parsed_response",
+                   positive_label: str = "alive") -> DataFrame:
+    """Response JSON → ``struct<predictions array<int>, databricks_output struct>``.
+
+    One ``from_json`` reads the integer predictions and the output struct;
+    the label-map reading runs only for rows where that gave no predictions
+    (``coalesce`` evaluates lazily).
+    """
+    env = T.StructType(
+        [
+            T.StructField("predictions", T.ArrayType(T.IntegerType())),
+            T.StructField("databricks_output", RESPONSE_OUTPUT_SCHEMA),
+        ]
     )
-    return F.coalesce(as_ints, decoded)
-
-
-def parse_response(df: DataFrame, col: str = "response", into: str = "parsed_response") -> DataFrame:
-    """Response JSON → ``struct<predictions array<int>, databricks_output struct>``."""
-    out = F.from_json(F.col(col), T.StructType([T.StructField("databricks_output", RESPONSE_OUTPUT_SCHEMA)]))
-    return df.withColumn(
-        into,
-        F.struct(
-            response_predictions(F.col(col)).alias("predictions"),
-            out.getField("databricks_output").alias("databricks_output"),
-        ),
+    parsed = df.withColumn("_env", F.from_json(F.col(col), env))
+    preds = F.coalesce(F.col("_env.predictions"), _label_predictions(F.col(col), positive_label))
+    out = parsed.withColumn(
+        into, F.struct(preds.alias("predictions"), F.col("_env.databricks_output").alias("databricks_output"))
     )
+    return out.drop("_env")
 
 
 def explode_records(df: DataFrame, col: str, into: str = "record", outer: bool = False, pos: str = "pos") -> DataFrame:
