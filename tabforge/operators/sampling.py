@@ -16,25 +16,29 @@ from tabforge.functions.hashing import hash52, key_text
 from tabforge.plans.joins import BROADCAST_MAX_ROWS, materialise
 from tabforge.plans.prefix import dense_index
 
-# 52-bit hash refined 16 bits at a time: shifts of each histogram level.
-_LEVELS = [(36, 0xFFFF), (20, 0xFFFF), (4, 0xFFFF), (0, 0xF)]
+# The sort key is the first 13 hex digits (52 bits) of md5(key‖seed), kept
+# as TEXT: fixed-width lowercase hex sorts exactly like the integer it
+# spells, and skipping the hex→integer parse halves the per-row cost.
+# Histogram levels refine 16 bits (4 hex digits) at a time: (start, length).
+_LEVELS = [(1, 4), (5, 4), (9, 4), (13, 1)]
 RESOLVE_MAX = 50_000
 
 
 def _sort_key(df: DataFrame, keys: list[str], seed) -> DataFrame:
-    return df.withColumns({"_h": hash52(key_text(*keys, seed=seed)), "_kt": key_text(*keys)})
+    h = F.substring(F.md5(key_text(*keys, seed=seed)), 1, 13)
+    return df.withColumns({"_h": h, "_kt": key_text(*keys)})
 
 
-def _histogram(df: DataFrame, prefix_filter, shift: int, mask: int) -> list[tuple[int, int]]:
-    b = F.shiftright(F.col("_h"), shift).bitwiseAND(F.lit(mask))
+def _histogram(df: DataFrame, prefix_filter, start: int, length: int) -> list[tuple[str, int]]:
+    b = F.substring(F.col("_h"), start, length)
     return sorted(tuple(r) for r in df.filter(prefix_filter).groupBy(b.alias("b")).count().collect())
 
 
 def _boundary(df: DataFrame, k: int, first_hist: list[tuple[int, int]]):
     """Find the k-th smallest ``(_h, _kt)`` (1-based) exactly.
 
-    Histograms over successive 16-bit slices of ``_h`` (each ≤ 65,536 rows
-    to the driver) narrow the search to one bucket; when that bucket is at
+    Histograms over successive 4-hex-digit slices of ``_h`` (each ≤ 65,536
+    rows to the driver) narrow the search to one bucket; when that bucket is at
     most ``RESOLVE_MAX`` rows, its distinct ``(_h, _kt)`` with counts are
     fetched and ranked locally.  Returns ``(h, kt, take, group_count)``:
     everything strictly below ``(h, kt)`` is in, plus ``take`` of the
@@ -42,14 +46,14 @@ def _boundary(df: DataFrame, k: int, first_hist: list[tuple[int, int]]):
     """
     rest = k
     prefix_filter = F.lit(True)
-    for level, (shift, mask) in enumerate(_LEVELS):
-        hist = first_hist if level == 0 else _histogram(df, prefix_filter, shift, mask)
+    for level, (start, length) in enumerate(_LEVELS):
+        hist = first_hist if level == 0 else _histogram(df, prefix_filter, start, length)
         cum, count = 0, 0
         for bucket, c in hist:
             if cum + c >= rest:
                 rest -= cum
                 count = c
-                b = F.shiftright(F.col("_h"), shift).bitwiseAND(F.lit(mask))
+                b = F.substring(F.col("_h"), start, length)
                 prefix_filter = prefix_filter & (b == F.lit(bucket))
                 break
             cum += c
