@@ -1,11 +1,12 @@
 """Fast, exact ``try_cast`` from text.
 
 A failing text→number ``try_cast`` takes Spark's exception path (~20 µs a
-row — minutes per billion junk values).  Text without an ASCII digit can
-never become an integer or decimal (and, for floating types, neither
-without ``nan``/``inf``), so such values short-circuit to NULL through a
-regex test and only plausible text reaches the cast.  Results are identical
-to ``try_cast``.
+row — minutes per billion junk values).  Text that cannot be a number is
+recognised by a regex first and short-circuits to NULL: for integers and
+decimals, any character outside white space/control, signs, digits, ``.``
+and an exponent marker (or no digit at all); for floating types, no digit
+and no ``nan``/``inf``.  Only plausible text reaches the cast, so results
+are identical to ``try_cast``.
 """
 
 from __future__ import annotations
@@ -15,11 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Characters Spark's text→integer/decimal parsing can accept: trimmed
+# white space / control characters, signs, digits, the decimal point and an
+# exponent marker.  Anything else (letters, quotes, braces) cannot convert.
+_NUMBER_CHARS = r"[\p{javaWhitespace}\p{Cntrl}\x{80}-\x{9F}+\-.0-9eE]"
+_INTEGRAL_TEXT = rf"^{_NUMBER_CHARS}*[0-9]{_NUMBER_CHARS}*$"
+
+
 def try_cast_text(c: Column, to: T.DataType | str) -> Column:
     """``try_cast(c AS to)`` for a STRING column, without the slow failures."""
     dt = T._parse_datatype_string(to) if isinstance(to, str) else to
     if isinstance(dt, (T.IntegralType, T.DecimalType)):
-        return F.when(c.rlike("[0-9]"), c.try_cast(dt))
+        return F.when(c.rlike(_INTEGRAL_TEXT), c.try_cast(dt))
     if isinstance(dt, (T.DoubleType, T.FloatType)):
         return F.when(c.rlike("(?i)[0-9]|nan|inf"), c.try_cast(dt))
     return c.try_cast(dt)

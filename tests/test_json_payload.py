@@ -84,3 +84,14 @@ def test_drop_null_or_keep_lazy_plan(spark):
     assert payload.drop_null_or_keep(df, ["p"], lazy=True).count() == 1
     none = spark.createDataFrame([(1, None), (2, None)], "k int, p int")
     assert payload.drop_null_or_keep(none, ["p"], lazy=True).count() == 2
+
+
+def test_fast_text_cast_equals_try_cast(spark):
+    from tabforge.functions.casts import try_cast_text
+
+    vals = [" 12 ", "+7", "-0", "1.5", "1e3", "\t42\n", "x1", '{"k": 1}', "", None, "9" * 30, ".5", "1.", "--1",
+            " 3", "3 ", "NaN", "inf", "-Infinity", "1d", "0x10"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    for t in ("int", "bigint", "decimal(10,2)", "double", "float", "smallint"):
+        got = df.select(try_cast_text(F.col("s"), t).alias("a"), F.col("s").try_cast(t).alias("b")).collect()
+        assert all((r["a"] == r["b"]) or (r["a"] != r["a"] and r["b"] != r["b"]) for r in got), (t, got)
