@@ -1,5 +1,5 @@
 """Profiling: tumbling-window profiles and whole-table column profiles
-(W1, W2, W6; A1-A6 live in :mod:`tabforge.operators.aggregates`).
+(W1, W2, W6; A1-A6 live in :mod:`tabforge.operators.metrics`).
 
 Every profile is ONE aggregation: all statistics of all columns go into a
 single ``agg`` so the input is scanned once and the shuffle carries only

@@ -10,7 +10,6 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabforge.functions.hashing import hash52, key_text
 from tabforge.plans.joins import BROADCAST_MAX_ROWS, materialise
