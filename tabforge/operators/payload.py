@@ -170,7 +170,9 @@ def to_payload_batches(
     """
     from tabforge.plans.prefix import dense_index
 
-    idx = dense_index(df, order_col, into="_i").withColumn("batch", F.floor(F.col("_i") / batch_size))
+    idx = dense_index(df, order_col, into="_i", materialise_input=False).withColumn(
+        "batch", F.floor(F.col("_i") / batch_size)
+    )
     rec = F.struct(F.col("_i"), *[F.col(c) for c in cols])
     grouped = idx.groupBy("batch").agg(F.array_sort(F.collect_list(rec)).alias("_recs"))
     records = F.transform(F.col("_recs"), lambda r: F.struct(*[r[c].alias(c) for c in cols]))

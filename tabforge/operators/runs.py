@@ -71,7 +71,8 @@ def metric_history(
         *([F.col(tiebreak_col).alias("_tb")] if tiebreak_col else []),
     )
     idx = dense_index(
-        src, "_us", groups=["run_id", "key"], into="step", tiebreak=["_tb"] if tiebreak_col else None
+        src, "_us", groups=["run_id", "key"], into="step", tiebreak=["_tb"] if tiebreak_col else None,
+        materialise_input=False,
     )
     return idx.drop("_us", "_tb")
 

@@ -156,7 +156,7 @@ def resample(
     n = total if n is None else n
     if total == 0 or n == 0:
         return df.limit(0).withColumn("draw_id", F.lit(0).cast("long"))
-    indexed = dense_index(df, order_col, into="_rn")
+    indexed = dense_index(df, order_col, into="_rn", materialise_input=False)
     draws = spark.range(n).select(
         F.col("id").alias("draw_id"), (hash52(key_text(F.col("id"), seed=seed, salt="draw")) % total).alias("_rn")
     )

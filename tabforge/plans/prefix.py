@@ -63,6 +63,7 @@ def running_sums(
     bucket_col: str | None = None,
     small_rows: int | None = None,
     tiebreak: list[str] | None = None,
+    materialise_input: bool = True,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
     order (ties: rows sharing an order value are summed together, like a
@@ -73,9 +74,12 @@ def running_sums(
     ``tiebreak`` columns extend the in-window order (rows equal in all of
     them still share a running value, as a RANGE frame does).
 
-    The input is materialised once (reliable checkpoint) and counted: up to
-    ``small_rows`` rows a plain window is bounded work for one task and is
-    used directly; beyond that the bucketed plan spreads the work.
+    The input is counted: up to ``small_rows`` rows a plain window is
+    bounded work for one task and is used directly; beyond that the
+    bucketed plan spreads the work.  ``materialise_input`` checkpoints the
+    input first — right for pre-aggregated inputs (scores, distinct values)
+    that are costly to recompute; raw-table callers pass False, since
+    re-reading a column-pruned scan is cheaper than writing a copy of it.
     """
     groups = list(groups or [])
     key = F.col(order_col)
@@ -83,7 +87,8 @@ def running_sums(
     in_order += [F.col(t).desc() if descending else F.col(t).asc() for t in tiebreak or []]
     small_rows = SMALL_ROWS if small_rows is None else small_rows
     if small_rows > 0:
-        df = materialise(df)
+        if materialise_input:
+            df = materialise(df)
         if df.count() <= small_rows:
             w = Window.partitionBy(*groups).orderBy(*in_order).rangeBetween(Window.unboundedPreceding, 0)
             return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
@@ -121,13 +126,14 @@ def dense_index(
     bucket_col: str | None = None,
     small_rows: int | None = None,
     tiebreak: list[str] | None = None,
+    materialise_input: bool = True,
 ) -> DataFrame:
     """0-based row number in ``(order_col, *tiebreak)`` order (unique per
     group expected), computed without a one-task window."""
     src = df.withColumn("_one", F.lit(1))
     out = running_sums(
         src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", bucket_col=bucket_col,
-        small_rows=small_rows, tiebreak=tiebreak,
+        small_rows=small_rows, tiebreak=tiebreak, materialise_input=materialise_input,
     )
     return out.withColumn(into, F.col("_cum_one") - 1).drop("_one", "_cum_one")
 
