@@ -64,6 +64,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is unset: on a cluster it must name a shared, "
+            "fault-tolerant folder (a machine-local folder would not survive executor loss)"
+        )
     local = tempfile.mkdtemp(prefix="tabforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
