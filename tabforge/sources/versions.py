@@ -29,12 +29,22 @@ MANIFEST_SCHEMA = T.StructType(
 
 
 class VersionedTable:
-    """Snapshot versions of one table under ``root``."""
+    """Snapshot versions of one table under ``root`` (one writer at a time;
+    the writer remembers its last committed entry instead of re-reading the
+    manifest before every write)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.manifest_path = f"{self.root}/_manifest"
+        self._last: tuple[int, int, str] | None = None  # (version, num_rows, path)
+
+    def _latest_entry(self) -> tuple[int, int, str] | None:
+        if self._last is None:
+            row = self.history().first()
+            if row is not None:
+                self._last = (row["version"], row["num_rows"], row["path"])
+        return self._last
 
     def history(self) -> DataFrame:
         """The manifest, newest version first."""
@@ -52,19 +62,19 @@ class VersionedTable:
         """Write a new snapshot (S5); ``mode='append'`` makes the new version
         the previous one plus ``df`` (S6) by writing only ``df`` and listing
         both folders in the manifest."""
-        latest = self.latest_version()
-        v = 0 if latest is None else latest + 1
+        last = self._latest_entry()
+        v = 0 if last is None else last[0] + 1
         path = f"{self.root}/v={v}"
         obs = Observation(f"rows_v{v}")
         df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
         n = obs.get["n"]
         paths = path
-        if mode == "append" and latest is not None:
-            prev = self.history().filter(F.col("version") == latest).first()
-            paths = f"{prev['path']},{path}"
-            n += prev["num_rows"]
+        if mode == "append" and last is not None:
+            paths = f"{last[2]},{path}"
+            n += last[1]
         row = [(v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, int(n), paths)]
         self.spark.createDataFrame(row, MANIFEST_SCHEMA).write.mode("append").parquet(self.manifest_path)
+        self._last = (v, int(n), paths)
         return v
 
     def read(self, version: int | None = None) -> DataFrame:
