@@ -29,6 +29,29 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
+    """Settings for a large cluster run (pass as ``extra_conf``).
+
+    * scans: 512 MiB file splits → ~200k scan tasks for 100 TB, each far
+      below executor memory;
+    * shuffles: start wide (about 3 partitions per core, at least one per
+      512 MiB of input) and let AQE coalesce small partitions to ~256 MiB
+      and split skewed ones (skew join on by default here);
+    * broadcast: Spark's own size-based broadcast stays at its 10 MiB
+      default; operators broadcast larger dictionaries only after counting
+      them (see ``plans.joins.join_small``).
+    """
+    initial = max(3 * total_cores, int(input_tb * 1024 * 1024 / 512))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tabforge",
