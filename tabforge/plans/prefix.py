@@ -4,9 +4,10 @@
 Here the ordered data is cut into value ranges first:
 
 1. global range boundaries ``percentile_approx(x, [1/B, ..., (B-1)/B])``
-   (one aggregation read back as a scalar subquery; the boundaries only
-   balance the work, they do not affect exactness);
-2. ``bucket = #boundaries < x`` — monotone in ``x``;
+   (one aggregation, ≤ 65,535 doubles fetched; the boundaries only balance
+   the work, they do not affect exactness);
+2. ``bucket`` by binary search over the boundaries (ML ``Bucketizer``) —
+   monotone in ``x``;
 3. per-(group, bucket) totals and their exclusive running offsets (a window
    over that small table, ≤ B rows per group);
 4. a window partitioned by ``(group, bucket)`` for the in-bucket running sum,
@@ -27,29 +28,49 @@ from tabforge.plans.joins import join_small, materialise
 SMALL_ROWS = 1_000_000
 
 
+MAX_BUCKETS = 65_536
+
+
 def default_buckets(df: DataFrame) -> int:
+    """About one range per shuffle partition, clamped to [16, 65,536]."""
     try:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     except ValueError:
         n = 200
-    return max(2, n)
+    return min(max(16, n), MAX_BUCKETS)
 
 
-def with_bucket(df: DataFrame, order_col: str, buckets: int, accuracy: int = 10000) -> DataFrame:
+def with_bucket(df: DataFrame, order_col: str, buckets: int, nulls_last: bool = False) -> DataFrame:
     """Add ``_bucket``: the global value-range bucket of ``order_col``.
 
-    One set of B-1 boundaries for the whole input (a scalar subquery, no
-    join).  Groups share them: a hot group spreads over all B ranges while
-    a small group touches only a few, so (group, range) partitions stay
-    balanced without per-group boundary tables.
+    One set of boundaries for the whole input: ``percentile_approx`` with
+    B-1 probabilities (≤ 65,535 doubles fetched — bounded), de-duplicated
+    into split points for ML's ``Bucketizer``, which places each row by
+    binary search in the JVM (O(log B) a row).  Groups share the ranges: a
+    hot group spreads over all of them, a small one touches few.  NULL
+    order values go to range 0, or after every range with ``nulls_last``
+    (matching where the in-range window sorts them).
     """
+    from pyspark.ml.feature import Bucketizer
+
+    buckets = min(max(2, buckets), MAX_BUCKETS)
     probs = [i / buckets for i in range(1, buckets)]
     x = F.col(order_col).cast("double")
-    bounds = df.agg(F.percentile_approx(x, probs, accuracy).alias("_bounds")).scalar()
-    # (a subquery may not sit inside a higher-order function: project it first)
-    with_b = df.withColumn("_bounds", bounds)
-    bucket = F.size(F.filter(F.col("_bounds"), lambda b: b < x))
-    return with_b.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_bounds")
+    accuracy = max(10_000, 4 * buckets)
+    bounds = df.agg(F.percentile_approx(x, probs, accuracy).alias("b")).first()["b"] or []
+    inner = sorted({b for b in bounds if b is not None and b == b and abs(b) != float("inf")})
+    splits = [float("-inf"), *inner, float("inf")]
+    src = df.withColumn("_x", x)
+    first, after = F.lit(0), F.lit(len(splits) - 1)
+    # Spark order: NULL first / NaN last ascending, the reverse descending.
+    null_bucket, nan_bucket = (after, first) if nulls_last else (first, after)
+    if len(splits) < 3:
+        out, ranged = src, F.lit(0)
+    else:
+        out = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(src)
+        ranged = F.col("_b").cast("int")
+    bucket = F.when(F.col("_x").isNull(), null_bucket).when(F.isnan("_x"), nan_bucket).otherwise(ranged)
+    return out.withColumn("_bucket", bucket).drop("_x", "_b")
 
 
 def running_sums(
@@ -95,7 +116,8 @@ def running_sums(
     buckets = buckets or default_buckets(df)
     proxy = F.col(bucket_col).cast("double") if bucket_col else key.cast("double")
     src = df.withColumn("_ord", -proxy if descending else proxy)
-    b = with_bucket(src, "_ord", buckets)
+    # Spark sorts NULLs first ascending, last descending: ranges agree.
+    b = with_bucket(src, "_ord", buckets, nulls_last=descending)
     totals = b.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

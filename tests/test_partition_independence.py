@@ -75,3 +75,17 @@ def test_bootstrap_draws_source_values(spark):
     assert len(got) == 200
     source = {tuple(r["embedding"]) for r in src.collect()}
     assert all(tuple(r["embedding"]) in source for r in got)
+
+
+def test_running_sums_bucketed_edge_cases(spark):
+    import pandas as pd
+
+    rows = [(None, 1), (None, 2), (float("nan"), 4)] + [(float(i % 5), 1) for i in range(50)] + [(7.5, 3)]
+    df = spark.createDataFrame(rows, "x double, v int")
+    for desc in (False, True):
+        got = running_sums(df, "x", ["v"], descending=desc, buckets=64, small_rows=0).toPandas()
+        ref = running_sums(df, "x", ["v"], descending=desc, small_rows=10_000).toPandas()
+        key = ["x", "v", "cum_v"]
+        a = got[key].sort_values(key, na_position="first").reset_index(drop=True)
+        b = ref[key].sort_values(key, na_position="first").reset_index(drop=True)
+        pd.testing.assert_frame_equal(a, b, check_dtype=False)
