@@ -106,15 +106,19 @@ def assign_split_exact(
             *cols, F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
         )
     )
-    per_part = sorted(tuple(r) for r in tie.groupBy("_pid").count().collect())
+    per_part = sorted(tuple(r) for r in tie.groupBy("_pid").count().collect())  # ≤ #partitions rows
     quota, left = [], take
     for p, c in per_part:
         q = min(c, left)
-        quota += [F.lit(p), F.lit(q)]
+        quota.append((int(p), int(q)))
         left -= q
+    quotas = df.sparkSession.createDataFrame(quota, "_pid int, _quota long")
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    limit = F.element_at(F.create_map(*quota), F.col("_pid"))
-    tie_labelled = tie.select(*cols, F.when(pos < limit, "test").otherwise("train").alias(into))
+    # pid → quota is one row per partition: a broadcast hash lookup, not a
+    # per-row scan of a literal map.
+    tie_labelled = tie.join(F.broadcast(quotas), "_pid").select(
+        *cols, F.when(pos < F.col("_quota"), "test").otherwise("train").alias(into)
+    )
     rest = keyed.filter(~at).select(*cols, F.when(below, "test").otherwise("train").alias(into))
     return rest.unionByName(tie_labelled)
 
