@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.operators.payload import REQUEST_RECORD_SCHEMA, drop_null_or_keep, flatten_payload
+from tabforge.sources.tables import path_exists
 
 
 @dataclass
@@ -42,10 +43,10 @@ def refresh_monitoring(
 ) -> RefreshCounts:
     """Append the new part of ``log`` to the monitoring table at ``target_path``."""
     spark = log.sparkSession
-    try:
+    if path_exists(spark, target_path):
         seen = spark.read.parquet(target_path).select(id_col).distinct()
         log_new = log.join(seen, id_col, "left_anti")
-    except Exception:  # noqa: BLE001 - first refresh: no table yet
+    else:  # first refresh: no table yet
         log_new = log
     obs_log, obs_out = Observation("log"), Observation("out")
     src = log_new.observe(obs_log, F.count(F.lit(1)).alias("n"))

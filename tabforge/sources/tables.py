@@ -30,6 +30,14 @@ def register_views(spark: SparkSession, sf_dir: str, names=TEST_TABLES) -> None:
         load(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path
+    names (local, HDFS, object stores) — metadata only."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """Catalog table by name, or a parquet path."""
     if "/" in name_or_path:

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.sources.tables import path_exists
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -48,9 +50,9 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """The manifest, newest version first."""
-        try:
+        if path_exists(self.spark, self.manifest_path):
             m = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
-        except Exception:  # noqa: BLE001 - no version written yet
+        else:  # no version written yet
             m = self.spark.createDataFrame([], MANIFEST_SCHEMA)
         return m.orderBy(F.desc("version"))
 
@@ -127,10 +129,9 @@ def load_new(src: DataFrame, target_path: str, keys: list[str], partition_by=Non
     """Append only the new rows of ``src`` to the parquet table at
     ``target_path``; returns the number appended (from an Observation)."""
     spark = src.sparkSession
-    try:
-        target = spark.read.parquet(target_path)
-        fresh = new_rows(src, target, keys)
-    except Exception:  # noqa: BLE001 - first load: target does not exist yet
+    if path_exists(spark, target_path):
+        fresh = new_rows(src, spark.read.parquet(target_path), keys)
+    else:  # first load
         fresh = src
     obs = Observation("appended")
     w = fresh.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append")
