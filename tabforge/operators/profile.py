@@ -60,6 +60,8 @@ def window_profile(
     quantiles=(0.5,),
     accuracy: int = 10000,
     exact_distinct: bool = True,
+    salt: int = 0,
+    kll_k: int = 1024,
 ) -> DataFrame:
     """Tumbling-window profile per key.
 
@@ -67,9 +69,20 @@ def window_profile(
     column ``_nulls _min _max _mean _sd _pNN`` and per categorical column
     ``_nulls _distinct``.  One shuffle on (window, keys) of partial
     aggregates; a hot key only makes one bounded aggregation buffer larger.
+
+    ``salt > 0`` is for hot (window, key) groups: numeric statistics are
+    aggregated in two stages — per (window, key, salt) with salt = input
+    partition mod ``salt``, then merged — using mergeable states (count,
+    min, max, per-salt mean and M2 combined with Chan's formula, KLL
+    quantile sketches of size ``kll_k``), so the sketches of a hot group are
+    spread over ``salt`` reducers instead of all landing on one.
     """
     keys = list(keys or [])
     w = F.window(as_timestamp(F.col(ts)), duration).alias("w")
+    if salt > 0:
+        return _window_profile_salted(
+            df, ts, duration, keys, list(num_cols or []), list(cat_cols or []), quantiles, exact_distinct, salt, kll_k
+        )
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     for c in num_cols or []:
         aggs += numeric_stats(c, quantiles, accuracy)
@@ -101,6 +114,79 @@ def window_profile(
     )
 
 
+def _window_profile_salted(df, ts, duration, keys, num_cols, cat_cols, quantiles, exact_distinct, salt, kll_k):
+    from pyspark.sql import Window
+
+    win = F.window(as_timestamp(F.col(ts)), duration).alias("w")
+    src = df.withColumn("_salt", F.spark_partition_id() % salt)
+    s1 = [F.count(F.lit(1)).alias("n_rows")]
+    for c in num_cols:
+        x = F.col(c).cast("double")
+        s1 += [
+            F.count_if(x.isNull()).alias(f"{c}_nulls"),
+            F.count(x).alias(f"_{c}_n"),
+            F.min(x).alias(f"{c}_min"),
+            F.max(x).alias(f"{c}_max"),
+            F.avg(x).alias(f"_{c}_mean"),
+            (F.var_pop(x) * F.count(x)).alias(f"_{c}_m2"),
+            F.kll_sketch_agg_double(x, kll_k).alias(f"_{c}_kll"),
+        ]
+    for c in cat_cols:
+        s1.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
+        if not exact_distinct:
+            s1.append(F.hll_sketch_agg(F.col(c).cast("string")).alias(f"_{c}_hll"))
+    stage1 = src.groupBy(win, *keys, "_salt").agg(*s1)
+    # Combined mean per group over its ≤ salt stage-1 rows (tiny window).
+    g = Window.partitionBy("w", *keys)
+    for c in num_cols:
+        tot = F.sum(f"_{c}_n").over(g)
+        stage1 = stage1.withColumn(f"_{c}_gmean", F.sum(F.col(f"_{c}_mean") * F.col(f"_{c}_n")).over(g) / tot)
+    s2 = [F.sum("n_rows").alias("n_rows")]
+    for c in num_cols:
+        n, mean, gmean = F.col(f"_{c}_n"), F.col(f"_{c}_mean"), F.col(f"_{c}_gmean")
+        m2 = F.sum(F.coalesce(F.col(f"_{c}_m2") + n * (mean - gmean) * (mean - gmean), F.lit(0.0)))
+        ntot = F.sum(n)
+        s2 += [
+            F.sum(f"{c}_nulls").alias(f"{c}_nulls"),
+            F.min(f"{c}_min").alias(f"{c}_min"),
+            F.max(f"{c}_max").alias(f"{c}_max"),
+            F.round(F.first(gmean, ignorenulls=True), 6).alias(f"{c}_mean"),
+            F.round(F.when(ntot > 1, F.sqrt(m2 / (ntot - 1))), 6).alias(f"{c}_sd"),
+            F.kll_merge_agg_double(f"_{c}_kll").alias(f"_{c}_kll"),
+        ]
+    for c in cat_cols:
+        s2.append(F.sum(f"{c}_nulls").alias(f"{c}_nulls"))
+        if not exact_distinct:
+            s2.append(F.hll_union_agg(f"_{c}_hll").alias(f"_{c}_hll"))
+    out = stage1.groupBy("w", *keys).agg(*s2)
+    final = [F.col("w"), *keys, "n_rows"]
+    for c in num_cols:
+        final += [f"{c}_nulls", f"{c}_min", f"{c}_max", f"{c}_mean", f"{c}_sd"]
+        final += [
+            F.kll_sketch_get_quantile_double(f"_{c}_kll", F.lit(float(q))).alias(f"{c}_p{int(round(q * 100)):02d}")
+            for q in quantiles
+        ]
+    for c in cat_cols:
+        final.append(f"{c}_nulls")
+        if not exact_distinct:
+            final.append(F.hll_sketch_estimate(f"_{c}_hll").alias(f"{c}_distinct"))
+    out = out.select(*final)
+    if exact_distinct:
+        for c in cat_cols:
+            d = df.groupBy(F.window(as_timestamp(F.col(ts)), duration).alias("w"), *keys).agg(
+                F.count_distinct(F.col(c)).alias(f"{c}_distinct")
+            )
+            out = out.join(d, ["w", *keys], "left")
+        order = [a for c in cat_cols for a in (f"{c}_nulls", f"{c}_distinct")]
+        out = out.select("w", *keys, *[x for x in out.columns if x not in ("w", *keys, *order)], *order)
+    return out.select(
+        F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        *keys,
+        *[c for c in out.columns if c not in ("w", *keys)],
+    )
+
+
 def window_classes(
     df: DataFrame,
     ts: str,

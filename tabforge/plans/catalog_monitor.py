@@ -14,22 +14,7 @@ from tabforge.sources.tables import load
 DRIFT_CUT = "2024-01-16 00:00:00"
 
 
-def _events_with_k(spark, sf_dir):
-    ev = load(spark, sf_dir, "events")
-    return parse_json(ev, "props", "k long", into="p").select(
-        "ts", "event_type", "user_id", "value", F.col("p.k").cast("double").alias("k")
-    )
-
-
-def _text_windows(df):
-    return df.withColumns(
-        {"window_start": ts_text(F.col("window_start")), "window_end": ts_text(F.col("window_end"))}
-    )
-
-
-@register(
-    "window_profile",
-    oracle="""
+_WINDOW_PROFILE_SQL = """
 WITH e AS (
   SELECT time_bucket(INTERVAL '30 minutes', ts) AS ws, event_type, user_id, value,
          TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
@@ -49,8 +34,23 @@ SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
        count(*) FILTER (WHERE user_id IS NULL) AS user_id_nulls,
        count(DISTINCT user_id) AS user_id_distinct
 FROM e GROUP BY ws, event_type
-""",
-)
+"""
+
+
+def _events_with_k(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    return parse_json(ev, "props", "k long", into="p").select(
+        "ts", "event_type", "user_id", "value", F.col("p.k").cast("double").alias("k")
+    )
+
+
+def _text_windows(df):
+    return df.withColumns(
+        {"window_start": ts_text(F.col("window_start")), "window_end": ts_text(F.col("window_end"))}
+    )
+
+
+@register("window_profile", oracle=_WINDOW_PROFILE_SQL)
 def q_window_profile(spark, sf_dir):
     """Flagship: events → parse props JSON → 30-minute profile per event type."""
     ev = _events_with_k(spark, sf_dir)
@@ -186,3 +186,14 @@ def q_drift_consecutive(spark, sf_dir):
     prof = prof.select("window_start", "event_type", "n_rows", "value_mean")
     out = drift.drift_consecutive(prof, ["event_type"], "window_start", ["n_rows", "value_mean"])
     return out.withColumn("window_start", ts_text(F.col("window_start")))
+
+
+@register("window_profile_salted", oracle=_WINDOW_PROFILE_SQL)
+def q_window_profile_salted(spark, sf_dir):
+    """The flagship profile through the hot-key plan: two-stage salted
+    aggregation with mergeable moments and KLL quantile sketches."""
+    ev = _events_with_k(spark, sf_dir)
+    prof = profile.window_profile(
+        ev, "ts", "30 minutes", keys=["event_type"], num_cols=["value", "k"], cat_cols=["user_id"], salt=8
+    )
+    return _text_windows(prof)
