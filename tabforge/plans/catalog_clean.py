@@ -320,7 +320,7 @@ def q_clean_chain(spark, sf_dir):
 
 @register(
     "load_stamp",
-    oracle="SELECT count(*) AS n_rows, 1 AS n_stamps FROM orders",
+    oracle="SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_stamps FROM orders",
 )
 def q_load_stamp(spark, sf_dir):
     """Load timestamp: one value for every row of a write."""

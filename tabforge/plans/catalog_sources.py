@@ -121,9 +121,10 @@ def _versioned(spark, sf_dir):
 @register(
     "table_history",
     oracle="""
-SELECT 0 AS version, 'WRITE' AS operation, count(*) FILTER (WHERE o_orderstatus = 'F') AS num_rows FROM orders
-UNION ALL SELECT 1, 'APPEND', count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) FROM orders
-UNION ALL SELECT 2, 'WRITE', count(*) FROM orders
+SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation,
+       count(*) FILTER (WHERE o_orderstatus = 'F') AS num_rows FROM orders
+UNION ALL SELECT CAST(1 AS BIGINT), 'APPEND', count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) FROM orders
+UNION ALL SELECT CAST(2 AS BIGINT), 'WRITE', count(*) FROM orders
 """,
 )
 def q_table_history(spark, sf_dir):
@@ -162,7 +163,7 @@ def q_incremental_load(spark, sf_dir):
     oracle=f"""
 SELECT count(*) FILTER (WHERE ts < TIMESTAMP '{CUT}') AS first_run,
        count(*) FILTER (WHERE ts >= TIMESTAMP '{CUT}') AS second_run,
-       0 AS third_run, count(*) AS target_rows
+       CAST(0 AS BIGINT) AS third_run, count(*) AS target_rows
 FROM events
 """,
 )
