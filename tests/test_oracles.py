@@ -45,3 +45,19 @@ def test_bucketed_prefix_plan_matches_oracle(spark, con, name, monkeypatch):
     monkeypatch.setattr(prefix, "SMALL_ROWS", 0)
     res = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
     assert res["status"] == "match", res
+
+
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "date": "DATE",
+}
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_column_types_match_oracle(spark, con, name):
+    df = entry.queries()[name](spark, SF)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(entry.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert spark_types == duck_types
