@@ -172,15 +172,32 @@ def roc_auc(df: DataFrame, label: str, score: str, keys: list[str] | None = None
 
 
 def pr_auc(df: DataFrame, label: str, score: str, keys: list[str] | None = None,
-           digits: int | None = 6) -> DataFrame:
-    """Average precision (A11): thresholds at distinct scores, descending;
-    ``Σ_s pos(s)/P · TP(>=s) / (TP(>=s)+FP(>=s))``."""
+           digits: int | None = 6, method: str = "ap") -> DataFrame:
+    """Area under the precision-recall curve (A11), thresholds at distinct
+    scores (descending).
+
+    ``method="ap"`` — average precision: ``Σ_s pos(s)/P · prec(s)``;
+    ``method="trapezoid"`` — trapezoidal area of the curve through
+    ``(recall 0, precision 1)`` and every threshold's ``(recall,
+    precision)``: ``Σ_s pos(s)/P · (prec(s) + prec(prev))/2``.  The previous
+    point comes from the running sums minus the row's own counts, so no
+    extra window is needed.
+    """
     keys = list(keys or [])
     sc = score_counts(df, label, score, keys)
     cum = running_sums(sc, "_s", ["_pos", "_neg"], keys, descending=True)
-    prec = F.col("cum__pos") / (F.col("cum__pos") + F.col("cum__neg"))
+    tp, fp = F.col("cum__pos"), F.col("cum__neg")
+    prec = tp / (tp + fp)
+    if method == "ap":
+        term = F.col("_pos") * prec
+    elif method == "trapezoid":
+        tp0, fp0 = tp - F.col("_pos"), fp - F.col("_neg")
+        prev = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(F.lit(1.0))
+        term = F.col("_pos") * (prec + prev) / 2
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return cum.groupBy(*keys).agg(
-        _r(F.try_divide(F.sum(F.col("_pos") * prec), F.sum("_pos").cast("double")), digits).alias("pr_auc")
+        _r(F.try_divide(F.sum(term), F.sum("_pos").cast("double")), digits).alias("pr_auc")
     )
 
 

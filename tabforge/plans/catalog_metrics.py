@@ -73,7 +73,7 @@ def q_value_counts(spark, sf_dir):
 @register(
     "column_profile",
     oracle="""
-SELECT 10000 AS n_rows, * FROM (
+SELECT (SELECT count(*) FROM events) AS n_rows, * FROM (
   SELECT 'event_id' AS column_name, 'bigint' AS data_type, count(*) FILTER (WHERE event_id IS NULL) AS n_nulls,
          count(DISTINCT event_id) AS n_distinct, CAST(min(event_id) AS VARCHAR) AS min_value,
          CAST(max(event_id) AS VARCHAR) AS max_value, round(avg(event_id), 6) AS mean,
@@ -92,7 +92,7 @@ SELECT 10000 AS n_rows, * FROM (
   UNION ALL
   SELECT 'props', 'string', count(*) FILTER (WHERE props IS NULL), count(DISTINCT props),
          min(props), max(props), NULL, NULL FROM events)
-""".replace("SELECT 10000 AS n_rows, *", "SELECT (SELECT count(*) FROM events) AS n_rows, *"),
+""",
 )
 def q_column_profile(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
@@ -167,6 +167,22 @@ def q_pr_auc(spark, sf_dir):
     return metrics.pr_auc(scored(spark, sf_dir), "y", "p")
 
 
+@register(
+    "pr_auc_trapezoid",
+    oracle=SCORED_SQL
+    + """, g AS (SELECT p, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY p),
+c AS (SELECT pos, neg, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(neg) OVER (ORDER BY p DESC) AS fp FROM g),
+t AS (SELECT pos, CAST(tp AS DOUBLE) / (tp + fp) AS prec,
+             CASE WHEN tp - pos + fp - neg > 0 THEN CAST(tp - pos AS DOUBLE) / (tp - pos + fp - neg) ELSE 1.0 END
+               AS prev
+      FROM c)
+SELECT round(sum(pos * (prec + prev) / 2) / CAST(sum(pos) AS DOUBLE), 6) AS pr_auc FROM t""",
+)
+def q_pr_auc_trapezoid(spark, sf_dir):
+    """Trapezoidal area under the precision-recall curve."""
+    return metrics.pr_auc(scored(spark, sf_dir), "y", "p", method="trapezoid")
+
+
 @register(
     "roc_auc_by_group",
     oracle=SCORED_SQL

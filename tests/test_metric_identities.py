@@ -52,3 +52,10 @@ def test_gate_ties_pass_and_missing_champion_passes(spark):
     df = spark.createDataFrame(rows, "m string, y int, s double")
     assert metrics.champion_gate(df, "m", "new", "old", "y", "s").first()["improved"] is True
     assert metrics.champion_gate(df, "m", "new", "absent", "y", "s").first()["improved"] is True
+
+
+def test_pr_auc_trapezoid_hand_computed(spark):
+    # thresholds 0.9: (r=.5, p=1); 0.5: (r=1, p=2/3); 0.1: (r=1, p=1/2); start (0, 1)
+    df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9), (0, 0.1)], "y int, s double")
+    v = metrics.pr_auc(df, "y", "s", digits=None, method="trapezoid").first()["pr_auc"]
+    assert v == pytest.approx(0.5 * (1 + 1) / 2 + 0.5 * (2 / 3 + 1) / 2)
