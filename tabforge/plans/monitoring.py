@@ -2,8 +2,8 @@
 
 Request log → flatten (parse, explode, position-matched or first
 prediction, epoch ms) → drop rows without a prediction unless none has one
-→ append only requests not yet in the monitoring table → counts of every
-step from Observations on the same pass (no re-scans) → optional profile.
+→ append only requests not processed before → counts of every step from
+Observations on the same pass (no re-scans).
 
 The log is scanned once for the append; the "any valid prediction" flag is
 a scalar subquery and the new-request check is a left-anti join on the
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.operators.payload import REQUEST_RECORD_SCHEMA, drop_null_or_keep, flatten_payload
+from tabforge.operators.payload import REQUEST_RECORD_SCHEMA, flatten_payload
 from tabforge.sources.tables import path_exists
 
 
@@ -30,6 +30,12 @@ class RefreshCounts:
     flattened_rows: int
     valid_rows: int
     written_rows: int
+    skipped_requests: int = 0
+
+
+def _skipped_path(target_path: str) -> str:
+    # A "_"-prefixed folder inside the table folder: table reads ignore it.
+    return f"{target_path.rstrip('/')}/_skipped"
 
 
 def refresh_monitoring(
@@ -41,13 +47,29 @@ def refresh_monitoring(
     first_prediction_only: bool = True,
     partition_by_day: bool = True,
 ) -> RefreshCounts:
-    """Append the new part of ``log`` to the monitoring table at ``target_path``."""
+    """Append the new part of ``log`` to the monitoring table at ``target_path``.
+
+    * new = requests neither in the table nor in its ``_skipped`` ledger
+      (requests processed earlier whose rows were all dropped);
+    * rows without a prediction are dropped unless no row of the whole log
+      has one (decided by a ``limit(1)`` probe over the log);
+    * the append comes first, then the ids of new requests that produced no
+      row go to ``_skipped``; a failure in between only makes the next run
+      drop those requests again — the refresh stays idempotent.
+    """
     spark = log.sparkSession
-    if path_exists(spark, target_path):
-        seen = spark.read.parquet(target_path).select(id_col).distinct()
-        log_new = log.join(seen, id_col, "left_anti")
-    else:  # first refresh: no table yet
-        log_new = log
+    log = log.select(id_col, *[c for c in log.columns if c != id_col])
+    seen = None
+    for path in (target_path, _skipped_path(target_path)):
+        if path_exists(spark, path):
+            ids = spark.read.parquet(path).select(id_col)
+            seen = ids if seen is None else seen.unionByName(ids)
+    log_new = log.join(seen.distinct(), id_col, "left_anti") if seen is not None else log
+    # Branch decision on a plan WITHOUT observations (an Observation
+    # completes with the first action that runs its plan); the probe reads
+    # only until the first valid row of the whole log.
+    probe = flatten_payload(log, model_name, record_schema, first_prediction_only=first_prediction_only)
+    has_valid = probe.filter(F.col("prediction").isNotNull()).limit(1).count() > 0
     obs_log, obs_out = Observation("log"), Observation("out")
     src = log_new.observe(obs_log, F.count(F.lit(1)).alias("n"))
     flat = flatten_payload(src, model_name, record_schema, first_prediction_only=first_prediction_only)
@@ -56,7 +78,7 @@ def refresh_monitoring(
         F.count(F.lit(1)).alias("flat"),
         F.count_if(F.col("prediction").isNotNull()).alias("valid"),
     )
-    kept = drop_null_or_keep(flat, ["prediction"])
+    kept = flat.filter(F.col("prediction").isNotNull()) if has_valid else flat
     if partition_by_day:
         kept = kept.withColumn("day", F.to_date("timestamp"))
     w = kept.write.mode("append")
@@ -66,8 +88,17 @@ def refresh_monitoring(
     lg, out = obs_log.get, obs_out.get
     valid = int(out.get("valid", 0))
     flat_n = int(out.get("flat", 0))
-    written = valid if valid > 0 else flat_n
-    return RefreshCounts(int(lg.get("n", 0)), flat_n, valid, written)
+    written = valid if has_valid else flat_n
+    # New requests that produced no row (all predictions dropped, or no
+    # records at all) go to the ledger; one pass over the increment only.
+    plain = flatten_payload(log_new, model_name, record_schema, first_prediction_only=first_prediction_only)
+    if has_valid:
+        plain = plain.filter(F.col("prediction").isNotNull())
+    none = log_new.select(id_col).distinct().join(plain.select(id_col).distinct(), id_col, "left_anti")
+    obs_skip = Observation("skipped")
+    none.observe(obs_skip, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(_skipped_path(target_path))
+    skipped = int(obs_skip.get.get("n", 0))
+    return RefreshCounts(int(lg.get("n", 0)), flat_n, valid, written, skipped)
 
 
 def monitoring_table(spark, target_path: str) -> DataFrame:

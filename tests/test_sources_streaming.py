@@ -95,3 +95,28 @@ def test_stream_equals_batch_on_closed_windows(spark):
     a = sorted(tuple(r) for r in streamed.select(*cols).collect())
     b = sorted(tuple(r) for r in closed.select(*cols).collect())
     assert a == b and len(a) > 0
+
+
+def test_refresh_counts_are_whole(spark):
+    from pyspark.sql import types as T
+
+    from tabforge.plans.monitoring import refresh_monitoring
+
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    rows = [
+        (f"r{i}", f"2024-01-01 00:{i:02d}:00", 5, '{"dataframe_records":[{"a":%d},{"a":%d}]}' % (i, i + 100),
+         '{"predictions":[1,0]}' if i % 3 else "bad")
+        for i in range(30)
+    ]
+    log = spark.createDataFrame(
+        rows, "databricks_request_id string, request_time string, execution_duration_ms long, request string, "
+        "response string",
+    ).withColumn("request_time", F.col("request_time").cast("timestamp")).repartition(4)
+    target = scratch_path(spark, f"mon/{uuid.uuid4().hex}")
+    first = refresh_monitoring(log, target, "m", schema, first_prediction_only=False)
+    assert (first.log_rows, first.flattened_rows, first.valid_rows) == (30, 60, 40)
+    assert first.written_rows == 40 == spark.read.parquet(target).count()
+    assert first.skipped_requests == 10  # the "bad" responses: processed, all rows dropped
+    again = refresh_monitoring(log, target, "m", schema)
+    assert (again.log_rows, again.written_rows) == (0, 0)
+    assert spark.read.parquet(target).count() == 40
