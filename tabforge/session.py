@@ -26,6 +26,9 @@ DEFAULT_CONF = {
     # Percentile sketches are object buffers; sort-based fallback after 128
     # groups per task is needlessly early for window-sized groups.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "512",
+    # Reliable checkpoints (plans.joins.materialise) are deleted once the
+    # DataFrame that owns them is garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,6 +52,7 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
         "spark.sql.adaptive.localShuffleReader.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
