@@ -71,19 +71,21 @@ def drift_categorical(
     b = base.select(*[F.coalesce(F.col(c).cast("string"), F.lit("<null>")).alias(c) for c in cols])
     c_ = cur.select(*[F.coalesce(F.col(c).cast("string"), F.lit("<null>")).alias(c) for c in cols])
     counts = _with_totals(_value_counts(b, c_, cols, "STRING"))
-    p = F.col("nb") / F.col("tb")
-    q = F.col("nc") / F.col("tc")
+    p = F.try_divide(F.col("nb"), F.col("tb"))
+    q = F.try_divide(F.col("nc"), F.col("tc"))
     pe, qe = F.greatest(p, F.lit(eps)), F.greatest(q, F.lit(eps))
     m = (p + q) / 2
     js_term = F.when(p > 0, p * F.ln(p / m)).otherwise(0.0) + F.when(q > 0, q * F.ln(q / m)).otherwise(0.0)
     n = F.col("tb") + F.col("tc")
     tot = F.col("nb") + F.col("nc")
     eb, ec = tot * F.col("tb") / n, tot * F.col("tc") / n
-    chi = (F.col("nb") - eb) ** 2 / eb + (F.col("nc") - ec) ** 2 / ec
+    chi = F.try_divide((F.col("nb") - eb) ** 2, eb) + F.try_divide((F.col("nc") - ec) ** 2, ec)
+    # A side with no values makes every measure undefined (NULL), not an error.
+    both = (F.max("tb") > 0) & (F.max("tc") > 0)
     return counts.groupBy("column_name").agg(
-        F.round(F.sum((qe - pe) * F.ln(qe / pe)), digits).alias("psi"),
-        F.round(F.sum(js_term) / 2, digits).alias("js"),
-        F.round(F.sum(chi), digits).alias("chi2"),
+        F.round(F.when(both, F.sum((qe - pe) * F.ln(qe / pe))), digits).alias("psi"),
+        F.round(F.when(both, F.sum(js_term) / 2), digits).alias("js"),
+        F.round(F.when(both, F.sum(chi)), digits).alias("chi2"),
         (F.count(F.lit(1)) - 1).alias("dof"),
     )
 

@@ -140,7 +140,9 @@ def _window_profile_salted(df, ts, duration, keys, num_cols, cat_cols, quantiles
     g = Window.partitionBy("w", *keys)
     for c in num_cols:
         tot = F.sum(f"_{c}_n").over(g)
-        stage1 = stage1.withColumn(f"_{c}_gmean", F.sum(F.col(f"_{c}_mean") * F.col(f"_{c}_n")).over(g) / tot)
+        stage1 = stage1.withColumn(
+            f"_{c}_gmean", F.try_divide(F.sum(F.col(f"_{c}_mean") * F.col(f"_{c}_n")).over(g), tot)
+        )
     s2 = [F.sum("n_rows").alias("n_rows")]
     for c in num_cols:
         n, mean, gmean = F.col(f"_{c}_n"), F.col(f"_{c}_mean"), F.col(f"_{c}_gmean")
@@ -153,6 +155,7 @@ def _window_profile_salted(df, ts, duration, keys, num_cols, cat_cols, quantiles
             F.round(F.first(gmean, ignorenulls=True), 6).alias(f"{c}_mean"),
             F.round(F.when(ntot > 1, F.sqrt(m2 / (ntot - 1))), 6).alias(f"{c}_sd"),
             F.kll_merge_agg_double(f"_{c}_kll").alias(f"_{c}_kll"),
+            ntot.alias(f"_{c}_ntot"),
         ]
     for c in cat_cols:
         s2.append(F.sum(f"{c}_nulls").alias(f"{c}_nulls"))
@@ -162,8 +165,11 @@ def _window_profile_salted(df, ts, duration, keys, num_cols, cat_cols, quantiles
     final = [F.col("w"), *keys, "n_rows"]
     for c in num_cols:
         final += [f"{c}_nulls", f"{c}_min", f"{c}_max", f"{c}_mean", f"{c}_sd"]
+        # an all-NULL group has an empty sketch: no quantile (NULL)
         final += [
-            F.kll_sketch_get_quantile_double(f"_{c}_kll", F.lit(float(q))).alias(f"{c}_p{int(round(q * 100)):02d}")
+            F.when(
+                F.col(f"_{c}_ntot") > 0, F.kll_sketch_get_quantile_double(f"_{c}_kll", F.lit(float(q)))
+            ).alias(f"{c}_p{int(round(q * 100)):02d}")
             for q in quantiles
         ]
     for c in cat_cols:

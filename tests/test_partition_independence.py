@@ -89,3 +89,21 @@ def test_running_sums_bucketed_edge_cases(spark):
         a = got[key].sort_values(key, na_position="first").reset_index(drop=True)
         b = ref[key].sort_values(key, na_position="first").reset_index(drop=True)
         pd.testing.assert_frame_equal(a, b, check_dtype=False)
+
+
+def test_drift_with_an_empty_side_is_null_not_an_error(spark):
+    from tabforge.operators import drift
+
+    base = spark.createDataFrame([("a",), ("b",)], "v string")
+    cur = spark.createDataFrame([(None,)], "v string").filter(F.col("v").isNotNull())
+    row = drift.drift_categorical(base, cur, ["v"]).first()
+    assert row["psi"] is None and row["js"] is None and row["chi2"] is None
+
+
+def test_salted_profile_all_null_group(spark):
+    from tabforge.operators import profile
+
+    df = spark.createDataFrame([("2024-01-01 00:01:00", "k", None), ("2024-01-01 00:02:00", "k", None)],
+                               "ts string, key string, x double").withColumn("ts", F.col("ts").cast("timestamp"))
+    row = profile.window_profile(df, "ts", "30 minutes", ["key"], ["x"], salt=4).first()
+    assert row["n_rows"] == 2 and row["x_nulls"] == 2 and row["x_mean"] is None
