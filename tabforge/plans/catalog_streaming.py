@@ -108,3 +108,21 @@ def q_stream_score(spark, sf_dir):
     scored = model.score(stream, m, keep=["doc_id"])
     ingest.run_available(scored, sink, ckpt)
     return spark.read.parquet(sink)
+
+
+@register("stream_monitoring_refresh", oracle=_FLAT_SQL.format(pred="first_pred"))
+def q_stream_monitoring_refresh(spark, sf_dir):
+    """The scheduled monitoring refresh as a stream: two drops of the request
+    log, each scheduled run hands its micro-batches to the batch refresh;
+    a third run with a fresh checkpoint replays everything and adds nothing."""
+    landing, _, ckpt = _dirs(spark, "refresh")
+    target = landing.replace("/landing", "/monitoring")
+    log = request_log(spark, sf_dir).withColumn("_part", F.abs(F.hash("databricks_request_id")) % 2)
+    for part in (0, 1):
+        log.filter(F.col("_part") == part).drop("_part").write.mode("append").parquet(landing)
+        stream = ingest.file_stream(spark, landing, ingest.REQUEST_LOG_SCHEMA)
+        ingest.refresh_stream(stream, target, ckpt, "customer-model", CUSTOMER_RECORD)
+    replay = ingest.file_stream(spark, landing, ingest.REQUEST_LOG_SCHEMA)
+    ingest.refresh_stream(replay, target, ckpt + "-replay", "customer-model", CUSTOMER_RECORD)
+    out = spark.read.parquet(target).drop("day")
+    return out.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS"))

@@ -81,3 +81,26 @@ def window_profile_stream(stream: DataFrame, ts: str, duration: str, keys: list[
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
         *[c for c in out.columns if c not in ("w", *keys)],
     )
+
+
+def refresh_stream(stream: DataFrame, target_path: str, checkpoint: str, model_name: str,
+                   record_schema: T.StructType, first_prediction_only: bool = True) -> None:
+    """T1 through the batch refresh: each micro-batch of the request-log
+    stream is handed to :func:`tabforge.plans.monitoring.refresh_monitoring`
+    with ``foreachBatch``.  A micro-batch replayed after a failure is skipped
+    request by request (table ids ∪ the skipped-request ledger), so the
+    effect is exactly once; the keep-all fallback is decided per batch."""
+    from tabforge.plans.monitoring import refresh_monitoring
+
+    def run(batch: DataFrame, _epoch: int) -> None:
+        refresh_monitoring(batch, target_path, model_name, record_schema, first_prediction_only=first_prediction_only)
+
+    q = (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception() is not None:  # pragma: no cover
+        raise RuntimeError(str(q.exception()))
