@@ -6,7 +6,7 @@ codegen; no shuffle, no state.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import hash52, md5_parity
@@ -53,8 +53,8 @@ def score_routed(df: DataFrame, arm_col: str, models: dict, drop: list[str] | No
 def ab_summary(df: DataFrame, arm_col: str, outcome: str, user_col: str | None = None,
                control: str | None = None, digits: int = 6) -> DataFrame:
     """Per-arm rows, users, mean and sd of the outcome, difference to the
-    control arm and Welch z (M8).  One keyed aggregate; the control's row
-    is a scalar subquery over that tiny result."""
+    control arm and Welch z (M8).  One keyed aggregate; the control's
+    statistics come from a window over that arms-sized result."""
     aggs = [
         F.count(F.lit(1)).alias("n"),
         F.avg(outcome).alias("_mean"),
@@ -63,13 +63,19 @@ def ab_summary(df: DataFrame, arm_col: str, outcome: str, user_col: str | None =
     if user_col:
         aggs.append(F.count_distinct(user_col).alias("users"))
     per_arm = df.groupBy(arm_col).agg(*aggs)
-    if control is None:
-        is_ctl = F.col(arm_col) == per_arm.agg(F.min(arm_col)).scalar()
-    else:
-        is_ctl = F.col(arm_col) == F.lit(control)
-    # One scalar subquery over the (arms-sized) result carries the control's stats.
-    ctl = per_arm.filter(is_ctl).select(F.struct("_mean", "_sd", "n").alias("c")).scalar()
-    c_mean, c_sd, c_n = ctl.getField("_mean"), ctl.getField("_sd"), ctl.getField("n")
+    # The control's statistics via a window over the arms-sized result (one
+    # partition of a handful of rows) — no second aggregation of the input.
+    everything = Window.partitionBy()
+    ctl_name = F.lit(control) if control is not None else F.min(arm_col).over(everything)
+    is_ctl = F.col(arm_col) == ctl_name
+    per_arm = per_arm.withColumns(
+        {
+            "_c_mean": F.max(F.when(is_ctl, F.col("_mean"))).over(everything),
+            "_c_sd": F.max(F.when(is_ctl, F.col("_sd"))).over(everything),
+            "_c_n": F.max(F.when(is_ctl, F.col("n"))).over(everything),
+        }
+    )
+    c_mean, c_sd, c_n = F.col("_c_mean"), F.col("_c_sd"), F.col("_c_n")
     diff = F.col("_mean") - c_mean
     se = F.sqrt(F.col("_sd") ** 2 / F.col("n") + c_sd**2 / c_n)
     return per_arm.select(

@@ -42,10 +42,13 @@ def shape(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, col: str, digits: int | None = 6) -> DataFrame:
     """``(value, count, share)`` most frequent first (A2).
 
-    The total is a scalar subquery over the aggregated counts (Spark reuses
-    the aggregate's exchange), so no second full scan and no cross join.
+    The aggregated counts are checkpointed once and the total is a scalar
+    subquery over that checkpoint — no second pass over the input (Spark does
+    not reuse an exchange between a query and its subqueries), no cross join.
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    from tabforge.plans.joins import materialise
+
+    counts = materialise(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")))
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("share", _r(F.col("count") / total, digits)).orderBy(
         F.desc("count"), F.asc_nulls_first(col)

@@ -54,13 +54,17 @@ def category_intervals(src: DataFrame, col: str) -> DataFrame:
     Value counts are dictionary-sized; the running sum uses the bucketed
     prefix pattern, so even a high-cardinality column is not one task.
     """
+    from tabforge.plans.joins import materialise
+
     counts = src.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     # Order by the value's text (any fixed order works; text suits every type).
-    counts = counts.withColumns(
-        {"_vs": F.col("value").cast("string"), "_proxy": F.coalesce(string_order_proxy(F.col("value")), F.lit(-1))}
+    counts = materialise(
+        counts.withColumns(
+            {"_vs": F.col("value").cast("string"), "_proxy": F.coalesce(string_order_proxy(F.col("value")), F.lit(-1))}
+        )
     )
-    cum = running_sums(counts, "_vs", ["n"], bucket_col="_proxy")
-    total = counts.agg(F.sum("n")).scalar()
+    cum = running_sums(counts, "_vs", ["n"], bucket_col="_proxy", materialise_input=False)
+    total = counts.agg(F.sum("n")).scalar()  # over the checkpoint: no second pass over the source
     return cum.select(
         "value",
         ((F.col("cum_n") - F.col("n")) / total).alias("lo"),
@@ -170,10 +174,11 @@ def synthesize(src: DataFrame, spec: SynthSpec) -> DataFrame:
         elif kinds[f.name] == "timestamp":
             micros = F.unix_micros(c.cast("timestamp"))
             aggs += [F.min(micros).alias(f"lo_{f.name}"), F.max(micros).alias(f"hi_{f.name}")]
-    stats = src.agg(*aggs) if aggs else None
+    # ONE scalar subquery (one pass over the source) carries every statistic.
+    stats = src.agg(F.struct(*aggs).alias("s")).scalar() if aggs else None
 
     def stat(name: str) -> Column:
-        v = stats.select(name).scalar()
+        v = stats.getField(name)
         return F.round(v, spec.digits) if spec.digits is not None and not name.startswith(("lo_", "hi_")) else v
 
     rows = spark.range(spec.n).withColumnRenamed("id", "_i")
