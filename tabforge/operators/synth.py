@@ -174,12 +174,16 @@ def synthesize(src: DataFrame, spec: SynthSpec) -> DataFrame:
         elif kinds[f.name] == "timestamp":
             micros = F.unix_micros(c.cast("timestamp"))
             aggs += [F.min(micros).alias(f"lo_{f.name}"), F.max(micros).alias(f"hi_{f.name}")]
-    # ONE scalar subquery (one pass over the source) carries every statistic.
-    stats = src.agg(F.struct(*aggs).alias("s")).scalar() if aggs else None
+    # ONE aggregate (one pass over the source) for every statistic; its single
+    # row comes back as literals (Spark re-runs a subquery per reference).
+    stats = src.agg(*aggs).first().asDict() if aggs else {}
 
     def stat(name: str) -> Column:
-        v = stats.getField(name)
-        return F.round(v, spec.digits) if spec.digits is not None and not name.startswith(("lo_", "hi_")) else v
+        v = F.lit(stats[name])
+        if name.startswith(("lo_", "hi_")):
+            return v.cast("long")
+        v = v.cast("double")
+        return F.round(v, spec.digits) if spec.digits is not None else v
 
     rows = spark.range(spec.n).withColumnRenamed("id", "_i")
     rid = F.col("_i")
