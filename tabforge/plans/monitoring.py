@@ -101,6 +101,16 @@ def refresh_monitoring(
     return RefreshCounts(int(lg.get("n", 0)), flat_n, valid, written, skipped)
 
 
-def monitoring_table(spark, target_path: str) -> DataFrame:
-    """The monitoring table (day partitions pruned by filters on ``day``)."""
-    return spark.read.parquet(target_path)
+def monitoring_table(spark, target_path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """The monitoring table, optionally limited to ``[since, until)``.
+
+    The time bounds are applied to the ``day`` partition column as well as
+    to ``timestamp``, so only the folders of those days are listed and read
+    (partition pruning), not every file of the table.
+    """
+    df = spark.read.parquet(target_path)
+    if since is not None:
+        df = df.filter((F.col("day") >= F.to_date(F.lit(since))) & (F.col("timestamp") >= F.lit(since).cast("timestamp")))
+    if until is not None:
+        df = df.filter((F.col("day") <= F.to_date(F.lit(until))) & (F.col("timestamp") < F.lit(until).cast("timestamp")))
+    return df

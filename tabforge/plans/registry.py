@@ -32,7 +32,18 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-CATALOG_MODULES = ["catalog_monitor", "catalog_clean", "catalog_metrics", "catalog_sampling", "catalog_model", "catalog_json", "catalog_synth", "catalog_runs", "catalog_sources", "catalog_streaming"]
+CATALOG_MODULES = [
+    "catalog_monitor",
+    "catalog_clean",
+    "catalog_metrics",
+    "catalog_sampling",
+    "catalog_model",
+    "catalog_json",
+    "catalog_synth",
+    "catalog_runs",
+    "catalog_sources",
+    "catalog_streaming",
+]
 
 
 def load_catalog() -> None:

@@ -120,3 +120,23 @@ def test_refresh_counts_are_whole(spark):
     again = refresh_monitoring(log, target, "m", schema)
     assert (again.log_rows, again.written_rows) == (0, 0)
     assert spark.read.parquet(target).count() == 40
+
+
+def test_monitoring_time_range_prunes_day_partitions(spark):
+    from pyspark.sql import types as T
+
+    from tabforge.plans.monitoring import monitoring_table, refresh_monitoring
+
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    rows = [(f"r{i}", f"2024-01-{1 + i % 5:02d} 10:00:00", 5, '{"dataframe_records":[{"a":%d}]}' % i,
+             '{"predictions":[1]}') for i in range(20)]
+    log = spark.createDataFrame(
+        rows, "databricks_request_id string, request_time string, execution_duration_ms long, request string, "
+        "response string",
+    ).withColumn("request_time", F.col("request_time").cast("timestamp"))
+    target = scratch_path(spark, f"mon/{uuid.uuid4().hex}")
+    refresh_monitoring(log, target, "m", schema)
+    part = monitoring_table(spark, target, "2024-01-02 00:00:00", "2024-01-03 00:00:00")
+    assert part.count() == 4
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
