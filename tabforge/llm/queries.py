@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabforge.llm import langid, mixing, simhash, spdropout, toxicity
+from tabforge.llm import ann, langid, licenses, mixing, simhash, sitetree, spdropout, toxicity, urlfilter, vecdedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query(
+    "op1_urlfilter",
+    """
+    WITH cut AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+    u AS (
+        SELECT page_id,
+               coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+        FROM cut),
+    r(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+    j AS (
+        SELECT u.*, (SELECT max_by({'k': r.h || r.p, 'v': r.v}, length(r.h || r.p)) FROM r
+                     WHERE (u.host = r.h OR u.host LIKE '%.' || r.h) AND starts_with(u.path, r.p)) AS best
+        FROM u)
+    SELECT page_id, host, path, best.k AS rule, coalesce(best.v, 'allow') AS verdict FROM j
+    """,
+)
+def op1_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL by the listed rules; unlisted URLs are allowed."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, urlfilter.contract_rules(spark)).drop("url")
+
+
 @_query(
     "op2_mixing",
     """
@@ -61,6 +86,26 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_query("op3_ann")
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every vector whose id is divisible by 50."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+@_query("op4_vecdedup")
+def op4_vecdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.9 among all vectors, and their components."""
+    return vecdedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op5_sitetree")
+def op5_sitetree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return sitetree.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 @_query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conditional random field over every whole document; spans come with the scores."""
@@ -74,6 +119,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+@_query("op8_licenses")
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every whole document, one row each."""
+    return licenses.scan_docs(_table(spark, sf_dir, "documents"))
+
+
 @_query("op9_spdropout")
 def op9_spdropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole document under seeded merge dropout, and the round trip."""
