@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.casts import try_cast_col
-from tabforge.plans.joins import join_small
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -105,13 +104,13 @@ def collapse_rare(
     ``other`` (P10).  Counts are over the whole input passed in.
 
     Plan: ``groupBy.count`` (partial + final hash aggregate) → keep-set of
-    at most N/min_count values → size-checked broadcast left join.  No
+    at most N/min_count values → left join that adaptive execution broadcasts if its measured bytes allow.  No
     ``count() over (partition by col)``, which would shuffle every row by a
     possibly hot value.
     """
     src = fill(df, {col: fill_value}) if fill_value is not None else df
     keep = frequent_values(src, col, min_count)
-    joined = join_small(src, keep, on=col, how="left")
+    joined = src.join(keep, col, "left")
     target = into or col
     out = joined.withColumn(target, F.when(F.col("_keep"), F.col(col)).otherwise(F.lit(other)))
     order = src.columns + ([target] if target not in src.columns else [])

@@ -14,14 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.operators.features import quoted
 from tabforge.plans.prefix import running_sums
 
 
 def _stack(df: DataFrame, cols: list[str], is_base: int, as_type: str) -> DataFrame:
-    args = ", ".join(f"'{c}', CAST(`{c}` AS {as_type})" for c in cols)
-    return df.selectExpr(f"stack({len(cols)}, {args}) AS (column_name, value)").withColumn(
-        "is_base", F.lit(is_base)
-    )
+    pairs = [a for c in cols for a in (F.lit(c), F.col(quoted(c)).cast(as_type))]
+    long = df.select(F.stack(F.lit(len(cols)), *pairs).alias("column_name", "value"))
+    return long.withColumn("is_base", F.lit(is_base))
 
 
 def _value_counts(base: DataFrame, cur: DataFrame, cols: list[str], as_type: str) -> DataFrame:
@@ -51,10 +51,16 @@ def drift_numeric(base: DataFrame, cur: DataFrame, cols: list[str], digits: int
             F.max(F.abs(F.try_divide(F.col("cum_nb"), F.col("tb")) - F.try_divide(F.col("cum_nc"), F.col("tc")))),
             digits,
         ).alias("ks_d"),
-        F.round(F.try_divide(F.sum(F.col("value") * F.col("nb")), F.sum("nb")), digits).alias("base_mean"),
-        F.round(F.try_divide(F.sum(F.col("value") * F.col("nc")), F.sum("nc")), digits).alias("cur_mean"),
+        F.try_divide(F.sum(F.col("value") * F.col("nb")), F.sum("nb")).alias("base_mean"),
+        F.try_divide(F.sum(F.col("value") * F.col("nc")), F.sum("nc")).alias("cur_mean"),
+    )
+    return ks.select(
+        "column_name",
+        "ks_d",
+        F.round("base_mean", digits).alias("base_mean"),
+        F.round("cur_mean", digits).alias("cur_mean"),
+        F.round(F.col("cur_mean") - F.col("base_mean"), digits).alias("mean_shift"),
     )
-    return ks.withColumn("mean_shift", F.round(F.col("cur_mean") - F.col("base_mean"), digits))
 
 
 def drift_categorical(

@@ -6,7 +6,7 @@ codegen; no shuffle, no state.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import hash52, md5_parity
@@ -30,24 +30,35 @@ def route(df: DataFrame, id_col: str, arms=("A", "B"), into: str = "arm") -> Dat
 
 
 def score_routed(df: DataFrame, arm_col: str, models: dict, drop: list[str] | None = None,
-                 prediction: str = "prediction") -> DataFrame:
+                 prediction: str = "prediction", probability: str = "probability") -> DataFrame:
     """Score each row with the model of its arm; output ``(…, prediction, model)`` (M7).
 
-    ``models`` maps arm → a fitted ``pyspark.ml`` Transformer producing
-    ``prediction``.  Each arm is a filter of the same routed input, scored
-    and re-united with ``unionByName``; rows are never moved between tasks.
+    ``models`` maps arm → a fitted Transformer that adds ``prediction`` (and
+    possibly ``probability``) to its input's columns.  One pass: the input is read
+    once, every model scores it in the same plan and each row takes its arm's
+    result.  Rows of other arms get no prediction and no model.  ``drop`` columns
+    are not in the output.
     """
-    parts = []
-    for arm, model in models.items():
-        sub = df.filter(F.col(arm_col) == arm)
-        if drop:
-            sub = sub.drop(*drop)
-        scored = model.transform(sub)
-        parts.append(scored.withColumn("model", F.lit(arm)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    out, made = df, (prediction, probability)
+    for i, model in enumerate(models.values()):
+        scored = model.transform(out)
+        new = [c for c in scored.columns if c in made]
+        out = scored.select(*out.columns, *[F.col(c).alias(f"_{c}_{i}") for c in new])
+
+    def of_arm(pick) -> Column:
+        col = None
+        for i, arm in enumerate(models):
+            hit = F.col(arm_col) == F.lit(arm)
+            col = F.when(hit, pick(i, arm)) if col is None else col.when(hit, pick(i, arm))
+        return col
+
+    found = [c for c in made if all(f"_{c}_{i}" in out.columns for i in range(len(models)))]
+    cols = [c for c in df.columns if c not in (drop or []) and c not in found]
+    return out.select(
+        *cols,
+        *[of_arm(lambda i, _, c=c: F.col(f"_{c}_{i}")).alias(c) for c in found],
+        of_arm(lambda _, arm: F.lit(arm)).alias("model"),
+    )
 
 
 def ab_summary(df: DataFrame, arm_col: str, outcome: str, user_col: str | None = None,

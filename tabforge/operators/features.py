@@ -5,8 +5,10 @@ A dictionary is a DataFrame ``(column_name, value, code)``: sorted distinct
 non-null values per column mapped to ``0..k-1``.  It is built with ONE
 ``stack`` over all columns and a dense index per column computed with the
 bucketed prefix pattern (no one-task window even for a high-cardinality
-column).  Applying it is one left join per column, broadcast only when that
-column's dictionary is within the row bound; unseen and NULL get ``-1``.
+column).  Applying it is one left join per column, which adaptive execution
+broadcasts when that column's dictionary is small in bytes; unseen and NULL get
+``-1``.  Codes carry their categories as ``pyspark.ml`` metadata, so the tree
+learner splits on sets of categories, not on the alphabetical order of codes.
 """
 
 from __future__ import annotations
@@ -16,19 +18,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.functions.casts import try_cast_col
-from tabforge.plans.joins import BROADCAST_MAX_ROWS, materialise
-from tabforge.plans.prefix import dense_index, string_order_proxy
+from tabforge.plans.joins import materialise
+from tabforge.plans.prefix import dense_index
 
 UNSEEN = -1
 
 
+def quoted(name: str) -> str:
+    """A column name as ``F.col`` needs it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fit_codes(df: DataFrame, cols: list[str]) -> DataFrame:
     """Sorted distinct non-null values per column → codes 0..k-1 (M1)."""
-    args = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {args}) AS (column_name, value)")
+    pairs = [a for c in cols for a in (F.lit(c), F.col(quoted(c)).cast("string"))]
+    long = df.select(F.stack(F.lit(len(cols)), *pairs).alias("column_name", "value"))
     distinct = long.filter(F.col("value").isNotNull()).distinct()
-    distinct = distinct.withColumn("_proxy", string_order_proxy(F.col("value")))
-    coded = dense_index(distinct, "value", groups=["column_name"], into="code", bucket_col="_proxy")
+    coded = dense_index(distinct, "value", groups=["column_name"], into="code")
     return coded.select("column_name", "value", "code")
 
 
@@ -45,14 +51,14 @@ def apply_codes(
     codes: DataFrame,
     cols: list[str],
     suffix: str = "",
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
     sizes: dict[str, int] | None = None,
+    nominal_bins: int = 0,
 ) -> DataFrame:
     """Replace each categorical column by its code; unseen / NULL → -1 (M2).
 
-    Each column's join is broadcast only if that column's dictionary is
-    within the row bound.  Pass ``sizes`` from :func:`prepare_codes` to
-    reuse an already materialised dictionary.
+    Pass ``sizes`` from :func:`prepare_codes` to reuse an already materialised
+    dictionary.  With ``nominal_bins`` codes are shifted by one (0 = unseen or
+    NULL) and columns of fewer categories than that get nominal metadata.
     """
     if sizes is None:
         codes, sizes = prepare_codes(codes, cols)
@@ -61,11 +67,15 @@ def apply_codes(
         d = codes.filter(F.col("column_name") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}")
         )
-        side = F.broadcast(d) if sizes.get(c, 0) <= max_broadcast_rows else d
-        out = out.join(side, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
-        out = out.withColumn(c + suffix, F.coalesce(F.col(f"_code_{c}"), F.lit(UNSEEN).cast("long"))).drop(
-            f"_v_{c}", f"_code_{c}"
-        )
+        out = out.join(d, F.col(quoted(c)).cast("string") == F.col(quoted(f"_v_{c}")), "left")
+        code = F.coalesce(F.col(quoted(f"_code_{c}")), F.lit(UNSEEN).cast("long"))
+        if nominal_bins:
+            code = (code + 1).cast("double")
+            known = sizes.get(c, 0) + 1
+            if known <= nominal_bins:
+                kinds = {"type": "nominal", "name": c + suffix, "num_vals": known}
+                code = code.alias(c + suffix, metadata={"ml_attr": kinds})
+        out = out.withColumn(c + suffix, code).drop(f"_v_{c}", f"_code_{c}")
     return out
 
 
@@ -113,14 +123,14 @@ def contract_violations(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     src = {f.name: f.dataType for f in df.schema.fields}
     for i, (c, t) in enumerate(contract.items()):
         if c in df.columns:
-            v = F.col(f"`{c}`")
+            v = F.col(quoted(c))
             aggs.append(F.count_if(v.isNotNull() & try_cast_col(v, src[c], t).isNull()).alias(f"v{i}"))
-            rows.append(f"'{c}', '{t}', true, v{i}")
+            rows += [F.lit(c), F.lit(t), F.lit(True), F.col(f"v{i}")]
         else:
-            rows.append(f"'{c}', '{t}', false, CAST(NULL AS BIGINT)")
+            rows += [F.lit(c), F.lit(t), F.lit(False), F.lit(None).cast("long")]
     one = df.agg(*aggs) if aggs else df.sparkSession.range(1).select(F.lit(0).alias("_"))
-    return one.selectExpr(
-        f"stack({len(rows)}, {', '.join(rows)}) AS (column_name, expected_type, present, n_violations)"
+    return one.select(
+        F.stack(F.lit(len(rows) // 4), *rows).alias("column_name", "expected_type", "present", "n_violations")
     )
 
 

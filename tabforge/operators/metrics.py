@@ -83,12 +83,13 @@ def predicted(score: Column, threshold: float = 0.5) -> Column:
 
 def confusion_aggs(label: Column, pred: Column) -> list[Column]:
     y, p = label.cast("int"), pred.cast("int")
+    # rows without a label or prediction are in no count: the four add up to example_count
     return [
         F.count_if((y == 0) & (p == 0)).alias("tn"),
         F.count_if((y == 0) & (p == 1)).alias("fp"),
         F.count_if((y == 1) & (p == 0)).alias("fn"),
         F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count(F.lit(1)).alias("example_count"),
+        F.count_if(y.isin(0, 1) & p.isin(0, 1)).alias("example_count"),
     ]
 
 
@@ -212,10 +213,12 @@ def champion_gate(scores_long: DataFrame, model_col: str, challenger: str, champ
     """Champion/challenger gate (A13): both models scored on the same rows
     in ONE DataFrame ``(model, label, score)``; one keyed aggregation; the
     challenger passes when its metric is >= the champion's (ties pass) or
-    when there is no champion.  Returns one row."""
+    when there is no champion; a challenger without a metric does not pass a
+    champion that has one.  Metrics are compared and returned unrounded.
+    Returns one row."""
     per_model = class_metrics(
         scores_long.filter(F.col(model_col).isin(challenger, champion)), label, score,
-        threshold=threshold, keys=[model_col],
+        threshold=threshold, keys=[model_col], digits=None,
     )
     pick = per_model.agg(
         F.max(F.when(F.col(model_col) == challenger, F.col(metric))).alias("challenger_metric"),
@@ -225,7 +228,7 @@ def champion_gate(scores_long: DataFrame, model_col: str, challenger: str, champ
         F.lit(metric).alias("metric"),
         "challenger_metric",
         "champion_metric",
-        (F.col("champion_metric").isNull() | (F.col("challenger_metric") >= F.col("champion_metric"))).alias(
-            "improved"
-        ),
+        F.coalesce(
+            F.col("champion_metric").isNull() | (F.col("challenger_metric") >= F.col("champion_metric")), F.lit(False)
+        ).alias("improved"),
     )

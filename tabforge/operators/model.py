@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.operators.features import apply_codes, assemble, fit_codes, prepare_codes
+from tabforge.plans.joins import materialise
 from tabforge.session import ensure_checkpoint_dir
 
 
@@ -45,13 +46,14 @@ class TabularModel:
     num: list[str]
     pipeline: PipelineModel
     code_sizes: dict[str, int] | None = None
+    bins: int = 64
 
     def transform(self, df: DataFrame) -> DataFrame:
         return score(df, self)
 
 
-def _features(df: DataFrame, codes, cat: list[str], num: list[str], sizes=None) -> DataFrame:
-    enc = apply_codes(df, codes, cat, suffix="_code", sizes=sizes) if cat else df
+def _features(df: DataFrame, codes, cat: list[str], num: list[str], sizes=None, bins: int = 64) -> DataFrame:
+    enc = apply_codes(df, codes, cat, suffix="_code", sizes=sizes, nominal_bins=bins) if cat else df
     return assemble(enc, [f"{c}_code" for c in cat], num)
 
 
@@ -60,7 +62,8 @@ def train(df: DataFrame, cat: list[str], num: list[str], label: str, params: Boo
     params = params or BoostParams()
     ensure_checkpoint_dir(df.sparkSession)
     codes, sizes = prepare_codes(fit_codes(df, cat), cat) if cat else (None, None)
-    feats = _features(df, codes, cat, num, sizes).withColumn("_label", F.col(label).cast("double"))
+    feats = _features(df, codes, cat, num, sizes, params.max_bins).withColumn("_label", F.col(label).cast("double"))
+    feats = materialise(feats.select("features", "_label"))  # every boosting round reads it again
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol="_label",
@@ -73,16 +76,16 @@ def train(df: DataFrame, cat: list[str], num: list[str], label: str, params: Boo
         cacheNodeIds=params.cache_node_ids if params.cache_node_ids is not None else params.max_depth >= 5,
     )
     model = Pipeline(stages=[gbt]).fit(feats)
-    return TabularModel(codes, cat, num, model, sizes)
+    return TabularModel(codes, cat, num, model, sizes, params.max_bins)
 
 
 def score(df: DataFrame, model: TabularModel, keep: list[str] | None = None) -> DataFrame:
     """Batch scoring (M5): ``probability`` of class 1 and ``prediction``.
 
-    Narrow: the dictionary join is broadcast when small and the tree
+    Narrow where the dictionary is small enough to be broadcast; the tree
     ensemble is evaluated row by row inside the JVM.
     """
-    feats = _features(df, model.codes, model.cat, model.num, model.code_sizes)
+    feats = _features(df, model.codes, model.cat, model.num, model.code_sizes, model.bins)
     out = model.pipeline.transform(feats)
     cols = keep if keep is not None else df.columns
     return out.select(

@@ -105,6 +105,8 @@ def flatten_payload(
     duration_col: str = "execution_duration_ms",
     first_prediction_only: bool = True,
     exact_ms: bool = False,
+    keep: list[str] | None = None,
+    outer: bool = False,
 ) -> DataFrame:
     """Request log → monitoring table, one narrow stage.
 
@@ -112,10 +114,12 @@ def flatten_payload(
     prediction, model_name``.  ``first_prediction_only`` gives every
     exploded record the first prediction of its response (the monitored
     job's behaviour); otherwise the prediction at the record's position.
+    ``keep`` columns of the log ride along; ``outer`` keeps one row for a request
+    without records and adds ``_pos``, which is NULL there.
     """
     parsed = parse_json(df, request_col, request_schema(record_schema), into="_req")
     parsed = parse_response(parsed, response_col, into="_resp")
-    exploded = explode_records(parsed, "_req.dataframe_records", into="_rec", pos="_pos")
+    exploded = explode_records(parsed, "_req.dataframe_records", into="_rec", pos="_pos", outer=outer)
     preds = F.col("_resp.predictions")
     prediction = F.get(preds, 0) if first_prediction_only else F.get(preds, F.col("_pos"))
     return exploded.select(
@@ -126,6 +130,8 @@ def flatten_payload(
         *[F.col(f"_rec.{f.name}").alias(f.name) for f in record_schema.fields],
         prediction.cast("int").alias("prediction"),
         F.lit(model_name).alias("model_name"),
+        *[F.col(c) for c in keep or []],
+        *([F.col("_pos")] if outer else []),
     )
 
 
@@ -170,7 +176,7 @@ def to_payload_batches(
     """
     from tabforge.plans.prefix import dense_index
 
-    idx = dense_index(df, order_col, into="_i", materialise_input=False).withColumn(
+    idx = dense_index(df, order_col, into="_i").withColumn(
         "batch", F.floor(F.col("_i") / batch_size)
     )
     rec = F.struct(F.col("_i"), *[F.col(c) for c in cols])

@@ -3,17 +3,19 @@
 
 Every profile is ONE aggregation: all statistics of all columns go into a
 single ``agg`` so the input is scanned once and the shuffle carries only
-partial aggregates (hash partial → final).  Quantiles use the bounded
-``percentile_approx`` sketch; it is exact whenever a group holds no more
-rows than ``accuracy``, and its memory stays bounded for hot groups.
+partial aggregates (hash partial → final).  Window quantiles are exact, from
+running sums of value counts that spread a group of any size over all tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.timefn import as_timestamp
+from tabforge.operators.features import quoted
+from tabforge.plans.joins import materialise
+from tabforge.plans.prefix import running_sums
 
 
 def _round(c: Column, digits: int | None) -> Column:
@@ -22,14 +24,14 @@ def _round(c: Column, digits: int | None) -> Column:
 
 def numeric_stats(
     col: str,
-    quantiles=(0.5,),
-    accuracy: int = 10000,
+    quantiles=(),
     digits: int | None = 6,
-    prefix: str | None = None,
+    accuracy: int = 10000,
 ) -> list[Column]:
-    """Aggregate expressions: nulls, min, max, mean, sample sd, quantiles."""
-    p = prefix or col
-    c = F.col(col).cast("double")
+    """Aggregate expressions: nulls, min, max, mean, sample sd, and quantiles as
+    bounded sketches (``_pNN_approx``; exact ones: :func:`window_quantiles`)."""
+    p = col
+    c = F.col(quoted(col)).cast("double")
     out = [
         F.count_if(c.isNull()).alias(f"{p}_nulls"),
         F.min(c).alias(f"{p}_min"),
@@ -38,16 +40,42 @@ def numeric_stats(
         _round(F.stddev_samp(c), digits).alias(f"{p}_sd"),
     ]
     for q in quantiles:
-        out.append(F.percentile_approx(c, float(q), accuracy).alias(f"{p}_p{int(round(q * 100)):02d}"))
+        out.append(F.percentile_approx(c, float(q), accuracy).alias(f"{p}_p{int(round(q * 100)):02d}_approx"))
     return out
 
 
-def categorical_stats(col: str, exact_distinct: bool = True, prefix: str | None = None) -> list[Column]:
-    """Aggregate expressions: nulls and distinct count (exact or HLL++)."""
-    p = prefix or col
-    c = F.col(col)
-    distinct = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
-    return [F.count_if(c.isNull()).alias(f"{p}_nulls"), distinct.alias(f"{p}_distinct")]
+def tumbling(ts: str, duration: str) -> Column:
+    """``struct<start, end>`` of the tumbling window of ``ts``; both NULL for a NULL
+    time, which is a window of its own (``F.window`` would drop those rows)."""
+    micros = F.unix_micros(as_timestamp(F.col(ts)))
+    width = F.unix_micros(F.lit("1970-01-01 00:00:00+00:00").cast("timestamp") + F.expr(f"interval {duration}"))
+    start = micros - F.pmod(micros, width)
+    return F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + width).alias("end"))
+
+
+def window_quantiles(df: DataFrame, groups: list[str], num_cols: list[str], quantiles) -> DataFrame:
+    """Exact quantiles per group: the smallest value with at least ``q`` of the group's
+    non-null values at or below it.
+
+    One long table of (group, column, value) counts, so a hot value is one row; its
+    running sums by value come from :mod:`tabforge.plans.prefix`, which spreads a
+    group of any size over all tasks."""
+    pairs = [a for c in num_cols for a in (F.lit(c), F.col(quoted(c)).cast("double"))]
+    long = df.select(*groups, F.stack(F.lit(len(num_cols)), *pairs).alias("_column", "_value"))
+    counts = long.where("_value is not null").groupBy(*groups, "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    ranks = running_sums(counts, "_value", ["_n"], [*groups, "_column"])
+    totals = materialise(counts.groupBy(*groups, "_column").agg(F.sum("_n").alias("_total")))
+    # the totals join as rows of their own window-free group: a NULL-safe key match
+    on = [ranks[g].eqNullSafe(totals[g]) for g in [*groups, "_column"]]
+    met = ranks.join(totals, on).select(*[ranks[g] for g in [*groups, "_column"]], "_value", "cum__n", "_total")
+    aggs = [
+        F.min(F.when((F.col("_column") == c) & (F.col("cum__n") >= F.ceil(F.col("_total") * F.lit(float(q)))), F.col("_value"))).alias(
+            f"{c}_p{int(round(q * 100)):02d}"
+        )
+        for c in num_cols
+        for q in quantiles
+    ]
+    return met.groupBy(*groups).agg(*aggs)
 
 
 def window_profile(
@@ -58,139 +86,89 @@ def window_profile(
     num_cols: list[str] | None = None,
     cat_cols: list[str] | None = None,
     quantiles=(0.5,),
-    accuracy: int = 10000,
     exact_distinct: bool = True,
     salt: int = 0,
-    kll_k: int = 1024,
+    digits: int | None = 6,
 ) -> DataFrame:
     """Tumbling-window profile per key.
 
     Output: ``window_start, window_end, *keys, n_rows`` then per numeric
     column ``_nulls _min _max _mean _sd _pNN`` and per categorical column
-    ``_nulls _distinct``.  One shuffle on (window, keys) of partial
-    aggregates; a hot key only makes one bounded aggregation buffer larger.
-
-    ``salt > 0`` is for hot (window, key) groups: numeric statistics are
-    aggregated in two stages — per (window, key, salt) with salt = input
-    partition mod ``salt``, then merged — using mergeable states (count,
-    min, max, per-salt mean and M2 combined with Chan's formula, KLL
-    quantile sketches of size ``kll_k``), so the sketches of a hot group are
-    spread over ``salt`` reducers instead of all landing on one.
+    ``_nulls _distinct``.  Quantiles and (unless ``exact_distinct`` is off)
+    distinct counts are exact for groups of any size.  NULL keys are a group, and
+    rows with a NULL time form a window whose start and end are NULL.
+
+    The counts and moments are one aggregate, each distinct count and all quantiles
+    together one more; the parts are brought together by one more aggregate on
+    (window, keys), which compares NULL-safely.
+
+    ``salt > 0`` aggregates counts and moments in two stages — per (window, key,
+    input partition mod ``salt``), then merged (means and squared deviations by
+    Chan's formula) — for hot groups with many partial buffers.  ``digits`` rounds
+    mean and sd; None leaves them as computed.
     """
-    keys = list(keys or [])
-    w = F.window(as_timestamp(F.col(ts)), duration).alias("w")
-    if salt > 0:
-        return _window_profile_salted(
-            df, ts, duration, keys, list(num_cols or []), list(cat_cols or []), quantiles, exact_distinct, salt, kll_k
-        )
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
-    for c in num_cols or []:
-        aggs += numeric_stats(c, quantiles, accuracy)
-    cat_cols = list(cat_cols or [])
-    if exact_distinct and cat_cols:
-        # Exact distinct counts would make Spark group by (window, keys,
-        # value) first and carry every sketch at that grain.  Instead: one
-        # aggregate for the numeric statistics and one per categorical column
-        # (each reads only its own columns), joined on the profile-sized
-        # (window, keys) results.
-        out = df.groupBy(w, *keys).agg(*aggs, *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in cat_cols])
-        for c in cat_cols:
-            d = df.groupBy(F.window(as_timestamp(F.col(ts)), duration).alias("w"), *keys).agg(
-                F.count_distinct(F.col(c)).alias(f"{c}_distinct")
-            )
-            out = out.join(d, ["w", *keys], "left")
-        order = [a for c in cat_cols for a in (f"{c}_nulls", f"{c}_distinct")]
-        first = [x for x in out.columns if x not in ("w", *keys, *order)]
-        out = out.select("w", *keys, *first, *order)
-    else:
-        for c in cat_cols:
-            aggs += categorical_stats(c, exact_distinct)
-        out = df.groupBy(w, *keys).agg(*aggs)
+    keys, num_cols, cat_cols = list(keys or []), list(num_cols or []), list(cat_cols or [])
+    src = df.withColumn("_w", tumbling(ts, duration))
+    groups = ["_w", *keys]
+    base = _salted_stats(src, groups, num_cols, salt, digits) if salt > 0 else src.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[a for c in num_cols for a in numeric_stats(c, (), digits)]
+    )
+    nulls = [F.count_if(F.col(quoted(c)).isNull()).alias(f"{c}_nulls") for c in cat_cols]
+    parts = [base]
+    if nulls:
+        extra = [] if exact_distinct else [F.approx_count_distinct(quoted(c)).alias(f"{c}_distinct") for c in cat_cols]
+        parts.append(src.groupBy(*groups).agg(*nulls, *extra))
+    if exact_distinct:
+        parts += [src.groupBy(*groups).agg(F.count_distinct(F.col(quoted(c))).alias(f"{c}_distinct")) for c in cat_cols]
+    if num_cols and quantiles:
+        parts.append(window_quantiles(src, groups, num_cols, quantiles))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    wanted = ["n_rows"]
+    for c in num_cols:
+        wanted += [f"{c}_{s}" for s in ("nulls", "min", "max", "mean", "sd")]
+        wanted += [f"{c}_p{int(round(q * 100)):02d}" for q in quantiles]
+    for c in cat_cols:
+        wanted += [f"{c}_nulls", f"{c}_distinct"]
+    if len(parts) > 1:
+        out = out.groupBy(*groups).agg(*[F.max(quoted(c)).alias(c) for c in wanted])
     return out.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        *keys,
-        *[c for c in out.columns if c not in ("w", *keys)],
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *keys, *[F.col(quoted(c)) for c in wanted]
     )
 
 
-def _window_profile_salted(df, ts, duration, keys, num_cols, cat_cols, quantiles, exact_distinct, salt, kll_k):
-    from pyspark.sql import Window
-
-    win = F.window(as_timestamp(F.col(ts)), duration).alias("w")
-    src = df.withColumn("_salt", F.spark_partition_id() % salt)
-    s1 = [F.count(F.lit(1)).alias("n_rows")]
+def _salted_stats(src: DataFrame, groups: list[str], num_cols: list[str], salt: int, digits: int | None) -> DataFrame:
+    """Counts and moments in two stages: per (group, input partition mod ``salt``), then merged."""
+    first = [F.count(F.lit(1)).alias("n_rows")]
     for c in num_cols:
-        x = F.col(c).cast("double")
-        s1 += [
+        x = F.col(quoted(c)).cast("double")
+        first += [
             F.count_if(x.isNull()).alias(f"{c}_nulls"),
             F.count(x).alias(f"_{c}_n"),
             F.min(x).alias(f"{c}_min"),
             F.max(x).alias(f"{c}_max"),
             F.avg(x).alias(f"_{c}_mean"),
             (F.var_pop(x) * F.count(x)).alias(f"_{c}_m2"),
-            F.kll_sketch_agg_double(x, kll_k).alias(f"_{c}_kll"),
         ]
-    for c in cat_cols:
-        s1.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
-        if not exact_distinct:
-            s1.append(F.hll_sketch_agg(F.col(c).cast("string")).alias(f"_{c}_hll"))
-    stage1 = src.groupBy(win, *keys, "_salt").agg(*s1)
-    # Combined mean per group over its ≤ salt stage-1 rows (tiny window).
-    g = Window.partitionBy("w", *keys)
+    stage = src.withColumn("_salt", F.spark_partition_id() % salt).groupBy(*groups, "_salt").agg(*first)
+    within = Window.partitionBy(*groups)  # at most ``salt`` rows
     for c in num_cols:
-        tot = F.sum(f"_{c}_n").over(g)
-        stage1 = stage1.withColumn(
-            f"_{c}_gmean", F.try_divide(F.sum(F.col(f"_{c}_mean") * F.col(f"_{c}_n")).over(g), tot)
-        )
-    s2 = [F.sum("n_rows").alias("n_rows")]
+        n = F.col(f"_{c}_n")
+        whole = F.try_divide(F.sum(F.col(f"_{c}_mean") * n).over(within), F.sum(n).over(within))
+        stage = stage.withColumn(f"_{c}_gmean", whole)
+    second = [F.sum("n_rows").alias("n_rows")]
     for c in num_cols:
-        n, mean, gmean = F.col(f"_{c}_n"), F.col(f"_{c}_mean"), F.col(f"_{c}_gmean")
-        m2 = F.sum(F.coalesce(F.col(f"_{c}_m2") + n * (mean - gmean) * (mean - gmean), F.lit(0.0)))
-        ntot = F.sum(n)
-        s2 += [
+        n, mean, whole = F.col(f"_{c}_n"), F.col(f"_{c}_mean"), F.col(f"_{c}_gmean")
+        m2 = F.sum(F.coalesce(F.col(f"_{c}_m2") + n * (mean - whole) * (mean - whole), F.lit(0.0)))
+        second += [
             F.sum(f"{c}_nulls").alias(f"{c}_nulls"),
             F.min(f"{c}_min").alias(f"{c}_min"),
             F.max(f"{c}_max").alias(f"{c}_max"),
-            F.round(F.first(gmean, ignorenulls=True), 6).alias(f"{c}_mean"),
-            F.round(F.when(ntot > 1, F.sqrt(m2 / (ntot - 1))), 6).alias(f"{c}_sd"),
-            F.kll_merge_agg_double(f"_{c}_kll").alias(f"_{c}_kll"),
-            ntot.alias(f"_{c}_ntot"),
-        ]
-    for c in cat_cols:
-        s2.append(F.sum(f"{c}_nulls").alias(f"{c}_nulls"))
-        if not exact_distinct:
-            s2.append(F.hll_union_agg(f"_{c}_hll").alias(f"_{c}_hll"))
-    out = stage1.groupBy("w", *keys).agg(*s2)
-    final = [F.col("w"), *keys, "n_rows"]
-    for c in num_cols:
-        final += [f"{c}_nulls", f"{c}_min", f"{c}_max", f"{c}_mean", f"{c}_sd"]
-        # an all-NULL group has an empty sketch: no quantile (NULL)
-        final += [
-            F.when(
-                F.col(f"_{c}_ntot") > 0, F.kll_sketch_get_quantile_double(f"_{c}_kll", F.lit(float(q)))
-            ).alias(f"{c}_p{int(round(q * 100)):02d}")
-            for q in quantiles
+            _round(F.first(whole, ignorenulls=True), digits).alias(f"{c}_mean"),
+            _round(F.when(F.sum(n) > 1, F.sqrt(m2 / (F.sum(n) - 1))), digits).alias(f"{c}_sd"),
         ]
-    for c in cat_cols:
-        final.append(f"{c}_nulls")
-        if not exact_distinct:
-            final.append(F.hll_sketch_estimate(f"_{c}_hll").alias(f"{c}_distinct"))
-    out = out.select(*final)
-    if exact_distinct:
-        for c in cat_cols:
-            d = df.groupBy(F.window(as_timestamp(F.col(ts)), duration).alias("w"), *keys).agg(
-                F.count_distinct(F.col(c)).alias(f"{c}_distinct")
-            )
-            out = out.join(d, ["w", *keys], "left")
-        order = [a for c in cat_cols for a in (f"{c}_nulls", f"{c}_distinct")]
-        out = out.select("w", *keys, *[x for x in out.columns if x not in ("w", *keys, *order)], *order)
-    return out.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        *keys,
-        *[c for c in out.columns if c not in ("w", *keys)],
-    )
+    return stage.groupBy(*groups).agg(*second)
 
 
 def window_classes(
@@ -208,11 +186,8 @@ def window_classes(
     of that window function are the already-aggregated classes, so no group
     is larger than the number of classes.
     """
-    from pyspark.sql import Window
-
     keys = list(keys or [])
-    w = F.window(as_timestamp(F.col(ts)), duration)
-    counts = df.groupBy(w.alias("w"), *keys, F.col(pred).alias("prediction")).agg(
+    counts = df.groupBy(tumbling(ts, duration).alias("w"), *keys, F.col(pred).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n")
     )
     part = Window.partitionBy("w", *keys)
@@ -227,16 +202,25 @@ def window_classes(
 
 
 def _distinct_key(c: Column, dt) -> Column:
-    """Text key with the same equality as ``count(DISTINCT c)``."""
+    """128-bit key with the same equality as ``count(DISTINCT c)``: two 64-bit hashes,
+    so that long texts never travel (values that agree in both are taken as one)."""
     from pyspark.sql import types as T
 
     if isinstance(dt, (T.DoubleType, T.FloatType)):
-        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))  # -0.0 == 0.0
-    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(c)
-    if isinstance(dt, T.BinaryType):
-        return F.hex(c)
-    return c.cast("string")
+        c = F.when(c == 0, F.lit(0).cast(dt)).otherwise(c)  # -0.0 == 0.0
+    c = _comparable(c, dt)
+    return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b"))
+
+
+def _comparable(c: Column, dt) -> Column:
+    """Maps have no order or hash: their sorted entries stand for them."""
+    from pyspark.sql import types as T
+
+    if isinstance(dt, T.MapType):
+        return F.array_sort(F.map_entries(c))
+    if "map<" in dt.simpleString() or "variant" in dt.simpleString():
+        return F.to_json(F.struct(c))
+    return c
 
 
 def column_profile(
@@ -246,49 +230,49 @@ def column_profile(
 
     Output ``(n_rows, column_name, data_type, n_nulls, n_distinct,
     min_value, max_value, mean, sd)``; numeric statistics are NULL for
-    non-numeric columns, min/max are text so all columns share one type.
+    non-numeric columns, min/max are text so all columns share one type (maps
+    compare by their sorted entries).  Any column name and any type may occur.
 
     Plan: ONE global aggregate for every non-distinct statistic of every
     column (unpivoted with ``stack``); exact distinct counts come from ONE
-    stacked ``(column, value)`` aggregation (map-side de-duplication, then
-    a count per column) joined on the column name — instead of Spark's
-    multi-distinct rewrite, which expands every row once per column and
-    carries all aggregate buffers through it.  ``exact_distinct=False``
-    uses HLL++ sketches in the single aggregate.
+    stacked ``(column, hash of value)`` aggregation (map-side de-duplication,
+    16 bytes a value, then a count per column) joined on the column name —
+    instead of Spark's multi-distinct rewrite, which expands every row once per
+    column and carries all aggregate buffers through it.
+    ``exact_distinct=False`` uses HLL++ sketches in the single aggregate.
     """
     from pyspark.sql import types as T
 
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
     numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
-    stack_args = []
+    stacked: list[Column] = []
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
+        raw = F.col(quoted(f.name))
+        c = _comparable(raw, f.dataType)
         is_num = isinstance(f.dataType, numeric)
+        approx = F.approx_count_distinct(c) if not exact_distinct else F.lit(None).cast("long")
         aggs += [
-            F.count_if(c.isNull()).alias(f"n{i}"),
-            (F.approx_count_distinct(c) if not exact_distinct else F.lit(None).cast("long")).alias(f"d{i}"),
+            F.count_if(raw.isNull()).alias(f"n{i}"),
+            approx.alias(f"d{i}"),
             F.min(c).cast("string").alias(f"lo{i}"),
             F.max(c).cast("string").alias(f"hi{i}"),
             (_round(F.avg(c.cast("double")), digits) if is_num else F.lit(None).cast("double")).alias(f"m{i}"),
             (_round(F.stddev_samp(c.cast("double")), digits) if is_num else F.lit(None).cast("double")).alias(f"s{i}"),
         ]
-        stack_args.append(
-            f"'{f.name}', '{f.dataType.simpleString()}', n{i}, d{i}, lo{i}, hi{i}, m{i}, s{i}"
-        )
-    one = df.agg(*aggs)
-    expr = (
-        f"stack({len(fields)}, {', '.join(stack_args)}) "
-        "as (column_name, data_type, n_nulls, n_distinct, min_value, max_value, mean, sd)"
-    )
-    prof = one.selectExpr("__rows as n_rows", expr)
+        stacked += [F.lit(f.name), F.lit(f.dataType.simpleString()), *[F.col(f"{k}{i}") for k in ("n", "d", "lo", "hi", "m", "s")]]
+    names = ["column_name", "data_type", "n_nulls", "n_distinct", "min_value", "max_value", "mean", "sd"]
+    prof = df.agg(*aggs).select(F.col("__rows").alias("n_rows"), F.stack(F.lit(len(fields)), *stacked).alias(*names))
     if not exact_distinct:
         return prof
     keyed = df.select(
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(f.name).alias("column_name"), _distinct_key(F.col(f"`{f.name}`"), f.dataType).alias("v"))
+                    F.struct(
+                        F.lit(f.name).alias("column_name"),
+                        F.when(F.col(quoted(f.name)).isNotNull(), _distinct_key(F.col(quoted(f.name)), f.dataType)).alias("v"),
+                    )
                     for f in fields
                 ]
             )

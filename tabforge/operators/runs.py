@@ -67,14 +67,12 @@ def metric_history(
         F.col(key_col).alias("key"),
         F.col(value_col).cast("double").alias("value"),
         F.col(ts_col).alias("ts"),
-        F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"),
         *([F.col(tiebreak_col).alias("_tb")] if tiebreak_col else []),
     )
     idx = dense_index(
-        src, "_us", groups=["run_id", "key"], into="step", tiebreak=["_tb"] if tiebreak_col else None,
-        materialise_input=False,
+        src, "ts", groups=["run_id", "key"], into="step", tiebreak=["_tb"] if tiebreak_col else None
     )
-    return idx.drop("_us", "_tb")
+    return idx.drop("_tb")
 
 
 def metric_latest(history: DataFrame) -> DataFrame:

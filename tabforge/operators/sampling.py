@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import hash52, key_text
-from tabforge.plans.joins import BROADCAST_MAX_ROWS, materialise
+from tabforge.plans.joins import materialise
 from tabforge.plans.prefix import dense_index
 
 # The sort key is the first 13 hex digits (52 bits) of md5(key‖seed), kept
@@ -144,28 +144,25 @@ def resample(
     order_col: str,
     n: int | None = None,
     seed: int = 42,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Exactly ``n`` rows drawn with replacement (default n = table size) (D3).
 
     Draw ``i`` picks row ``hash52(i‖'draw'‖seed) % N`` of the table in
-    ``order_col`` order.  Rows get a dense index without a one-task window
+    ``order_col`` order (any orderable type; ties in the order of a hash of the
+    whole row).  Rows get a dense index without a one-task window
     (:func:`tabforge.plans.prefix.dense_index`); the draws are generated by
-    ``spark.range`` and joined on the index.  The indexed table is broadcast
-    only when N is within ``max_broadcast_rows``; otherwise it is a shuffle
-    join whose keys are uniform by construction.
+    ``spark.range`` and joined on the index, whose values are uniform.
     """
     spark = df.sparkSession
     total = df.count()
     n = total if n is None else n
     if total == 0 or n == 0:
         return df.limit(0).withColumn("draw_id", F.lit(0).cast("long"))
-    indexed = dense_index(df, order_col, into="_rn", materialise_input=False)
+    indexed = dense_index(df, order_col, into="_rn")
     draws = spark.range(n).select(
         F.col("id").alias("draw_id"), (hash52(key_text(F.col("id"), seed=seed, salt="draw")) % total).alias("_rn")
     )
-    side = F.broadcast(indexed) if total <= max_broadcast_rows else indexed
-    return draws.join(side, "_rn").drop("_rn")
+    return draws.join(indexed, "_rn").drop("_rn")
 
 
 def top_n(df: DataFrame, n: int, order: list) -> DataFrame:

@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 
 from tabforge.functions.hashing import key_text, uniform, uniform_pair
 from tabforge.operators.clean import floor_at, scale
-from tabforge.plans.joins import BROADCAST_MAX_ROWS
-from tabforge.plans.prefix import running_sums, string_order_proxy
+from tabforge.plans.joins import materialise
+from tabforge.plans.prefix import dense_index, running_sums
 
 PI = math.pi
 BUCKETS = 1024
@@ -54,16 +54,10 @@ def category_intervals(src: DataFrame, col: str) -> DataFrame:
     Value counts are dictionary-sized; the running sum uses the bucketed
     prefix pattern, so even a high-cardinality column is not one task.
     """
-    from tabforge.plans.joins import materialise
-
     counts = src.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     # Order by the value's text (any fixed order works; text suits every type).
-    counts = materialise(
-        counts.withColumns(
-            {"_vs": F.col("value").cast("string"), "_proxy": F.coalesce(string_order_proxy(F.col("value")), F.lit(-1))}
-        )
-    )
-    cum = running_sums(counts, "_vs", ["n"], bucket_col="_proxy", materialise_input=False)
+    counts = materialise(counts.withColumn("_vs", F.col("value").cast("string")))
+    cum = running_sums(counts, "_vs", ["n"])
     total = counts.agg(F.sum("n")).scalar()  # over the checkpoint: no second pass over the source
     return cum.select(
         "value",
@@ -90,15 +84,13 @@ def weights_intervals(spark, weights: list[tuple[object, float]], value_type: st
 
 
 def pick_category(rows: DataFrame, u_col: str, intervals: DataFrame, into: str,
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS, known_small: bool = False) -> DataFrame:
+                  known_small: bool = False) -> DataFrame:
     """Attach the interval containing ``u`` (bucketed equi-join + exact filter).
 
     The bucket count grows with the number of intervals (at least four
     buckets per interval), so a draw meets about one candidate interval even
     for millions of distinct values; heavy values span many buckets.
     """
-    from tabforge.plans.joins import materialise
-
     if known_small:
         iv, k = intervals, None
     else:
@@ -116,9 +108,9 @@ def pick_category(rows: DataFrame, u_col: str, intervals: DataFrame, into: str,
             )
         ).alias("_b"),
     ).filter(F.col("_hi") > F.col("_lo"))
-    # exploded rows ≤ intervals + buckets ≤ 5k: broadcast only within the bound
-    small = known_small or (k + buckets) <= max_broadcast_rows
-    side = F.broadcast(exploded) if small else exploded
+    # values may be long texts or arrays: only a given list of weights is broadcast by
+    # hint, any other side only if its bytes, measured at run time, allow it
+    side = F.broadcast(exploded) if known_small else exploded
     keyed = rows.withColumn("_b", F.floor(F.col(u_col) * buckets).cast("long"))
     cond = [keyed["_b"] == side["_b"], F.col(u_col) >= F.col("_lo"), F.col(u_col) < F.col("_hi")]
     out = keyed.join(side, cond, "left")
@@ -134,11 +126,12 @@ class SynthSpec:
     id_col: str | None = "Id"
     id_base: int = 0
     floor_cols: dict[str, float] = field(default_factory=dict)  # e.g. physical measures at 0.1
-    ints_as_normal: bool = False
+    ints_as_normal: bool = True  # as the source's other numerics; False: drawn by frequency
     drift: bool = False
     drift_scale: dict[str, float] = field(default_factory=dict)
     drift_redraw: dict[str, list] = field(default_factory=dict)
-    digits: int | None = 6
+    digits: int | None = None  # decimals of drawn numerics; None: as drawn
+    bootstrap_order: str | None = None  # bootstrap: draw rows in this column's order
     row_id: str | None = "row_id"  # None: output only the source's columns
 
 
@@ -163,7 +156,7 @@ def synthesize(src: DataFrame, spec: SynthSpec) -> DataFrame:
     ``id_base + i`` as text (G5), optional drift (G6).
     """
     spark = src.sparkSession
-    cols = [f for f in src.schema.fields if f.name != spec.id_col]
+    cols = [f for f in src.schema.fields if f.name not in (spec.id_col, spec.bootstrap_order)]
     kinds = {f.name: _kind(f.dataType, spec.ints_as_normal) for f in cols}
     # One aggregate for every moment / extent the generators need.
     aggs = []
@@ -179,11 +172,10 @@ def synthesize(src: DataFrame, spec: SynthSpec) -> DataFrame:
     stats = src.agg(*aggs).first().asDict() if aggs else {}
 
     def stat(name: str) -> Column:
-        v = F.lit(stats[name])
         if name.startswith(("lo_", "hi_")):
-            return v.cast("long")
-        v = v.cast("double")
-        return F.round(v, spec.digits) if spec.digits is not None else v
+            return F.lit(stats[name]).cast("long")
+        # 13 significant digits: the sums' last bits depend on the partitioning
+        return F.lit(None if stats[name] is None else float(f"{stats[name]:.13g}")).cast("double")
 
     rows = spark.range(spec.n).withColumnRenamed("id", "_i")
     rid = F.col("_i")
@@ -199,12 +191,21 @@ def synthesize(src: DataFrame, spec: SynthSpec) -> DataFrame:
                 x = scale(x, spec.drift_scale[name])
             if spec.digits is not None:
                 x = F.round(x, spec.digits)
-            rows = rows.withColumn(name, x.cast(f.dataType) if not isinstance(f.dataType, T.DecimalType) else x)
+            if isinstance(f.dataType, T.IntegralType):
+                x = F.round(x)
+            # a draw beyond the type's range is NULL, not an error
+            rows = rows.withColumn(name, x.try_cast(f.dataType))
         elif kind == "timestamp":
             lo, hi = stat(f"lo_{name}"), stat(f"hi_{name}")
             u = draw(rid, name, "u", spec.seed)
             us = lo + F.floor(u * (hi - lo)).cast("long")
             rows = rows.withColumn(name, F.timestamp_micros(us).cast(f.dataType))
+        elif kind == "bootstrap" and spec.bootstrap_order:
+            if "_rows" not in stats:
+                stats["_rows"] = src.count()
+            pool = dense_index(src.select(F.col(spec.bootstrap_order).alias("_o"), F.col(name)), "_o", into="_n").drop("_o")
+            rows = rows.withColumn("_n", F.floor(draw(rid, name, "u", spec.seed) * stats["_rows"]).cast("long"))
+            rows = rows.join(pool, "_n", "left").drop("_n")
         else:
             u_name = f"_u_{name}"
             rows = rows.withColumn(u_name, draw(rid, name, "u", spec.seed))

@@ -8,6 +8,7 @@ expected flattened rows straight from ``customer``.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +50,10 @@ def q_json_parse(spark, sf_dir):
     "response_parse",
     oracle="""
 SELECT event_id,
-       CASE WHEN event_type IN ('click', 'view')
-            THEN CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 AS INTEGER) END AS prediction,
+       CASE event_type
+            WHEN 'click' THEN CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 AS VARCHAR) || ',1'
+            WHEN 'view' THEN CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 AS VARCHAR)
+            WHEN 'signup' THEN '' END AS predictions,
        CASE WHEN event_type = 'click' THEN 2 WHEN event_type = 'view' THEN 1 WHEN event_type = 'signup' THEN 0 END
          AS n_predictions,
        CASE WHEN event_type = 'view' THEN 't' || CAST(event_id AS VARCHAR) END AS trace
@@ -82,7 +85,9 @@ def q_response_parse(spark, sf_dir):
     parsed = payload.parse_response(ev.select("event_id", resp.alias("response")), "response", into="r")
     return parsed.select(
         "event_id",
-        F.get(F.col("r.predictions"), 0).alias("prediction"),
+        F.when(
+            F.col("r.predictions").isNotNull(), F.array_join(F.transform("r.predictions", lambda x: x.cast("string")), ",")
+        ).alias("predictions"),
         F.when(F.col("r.predictions").isNotNull(), F.size(F.col("r.predictions"))).alias("n_predictions"),
         F.col("r.databricks_output.trace").alias("trace"),
     )
@@ -97,6 +102,9 @@ CUSTOMER_RECORD = T.StructType(
 )
 
 
+EVENT_RECORD = T.StructType([T.StructField("at", T.StringType()), T.StructField("event_id", T.LongType())])
+
+
 def request_log(spark, sf_dir):
     """Request log derived from ``customer``: one request per key range of
     50 customers (a bounded batch), records ordered by key.
@@ -213,10 +221,17 @@ def q_metrics_pivot(spark, sf_dir):
     return payload.metrics_wide(long, ["event_type"], "_key", "_value", ["value", "k", "hour"])
 
 
-@register("monitoring_refresh", oracle=_FLAT_SQL.format(pred="first_pred"))
+@register(
+    "monitoring_refresh",
+    oracle=_FLAT_SQL.format(pred="first_pred").replace(
+        "'req-' || CAST(batch AS VARCHAR) AS databricks_request_id",
+        "CASE WHEN batch % 10 != 3 THEN 'req-' || CAST(batch AS VARCHAR) END AS databricks_request_id",
+    ),
+)
 def q_monitoring_refresh(spark, sf_dir):
-    """The whole monitoring refresh run twice over the same request log (the
-    second run appends nothing); returns the monitoring table."""
+    """The whole monitoring refresh: an empty log first, then one with repeated
+    requests and requests without an id, then the same again (which appends
+    nothing); returns the monitoring table."""
     import uuid
 
     from tabforge.plans.monitoring import monitoring_table, refresh_monitoring
@@ -224,10 +239,17 @@ def q_monitoring_refresh(spark, sf_dir):
 
     target = scratch_path(spark, f"monitoring/{uuid.uuid4().hex}")
     log = request_log(spark, sf_dir)
-    first = refresh_monitoring(log, target, "customer-model", CUSTOMER_RECORD)
-    second = refresh_monitoring(log, target, "customer-model", CUSTOMER_RECORD)
-    out = monitoring_table(spark, target).drop("day")
     n_requests = log.count()
+    nothing = refresh_monitoring(log.limit(0), target, "customer-model", CUSTOMER_RECORD)
+    # half of the requests are delivered twice, and some come without an id
+    noisy = log.withColumn(
+        "databricks_request_id", F.when(~F.col("databricks_request_id").endswith("3"), F.col("databricks_request_id"))
+    )
+    noisy = noisy.unionAll(noisy.where(F.hash("request") % 2 == 0))
+    first = refresh_monitoring(noisy, target, "customer-model", CUSTOMER_RECORD)
+    second = refresh_monitoring(noisy, target, "customer-model", CUSTOMER_RECORD)
+    assert nothing.log_rows == nothing.written_rows == 0, nothing
+    out = monitoring_table(spark, target).drop("day")
     assert (first.log_rows, second.log_rows, second.written_rows) == (n_requests, 0, 0), (first, second)
     assert first.written_rows == first.flattened_rows == out.count(), first
     return out.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS"))
@@ -236,21 +258,40 @@ def q_monitoring_refresh(spark, sf_dir):
 @register(
     "payload_batches",
     oracle="""
-WITH i AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS rn FROM customer)
-SELECT rn // 64 AS batch, count(*) AS n_records, min(c_custkey) AS first_key, max(c_custkey) AS last_key
-FROM i GROUP BY rn // 64
+WITH i AS (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS rn FROM customer)
+SELECT rn // 64 AS batch, count(*) OVER (PARTITION BY rn // 64) AS n_records, rn % 64 AS pos,
+       c_custkey, c_acctbal, c_mktsegment FROM i
 """,
 )
 def q_payload_batches(spark, sf_dir):
-    """Request bodies of at most 64 records each, in key order; parsed back
-    to check the first and last record of every batch."""
+    """Request bodies of at most 64 records each, in key order; every record of
+    every batch is parsed back."""
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     b = payload.to_payload_batches(c, ["c_custkey", "c_acctbal", "c_mktsegment"], "c_custkey", 64)
     parsed = payload.parse_json(b, "payload", payload.request_schema(CUSTOMER_RECORD), into="p")
-    recs = F.col("p.dataframe_records")
-    return parsed.select(
-        F.col("batch").cast("long").alias("batch"),
-        F.col("n_records").cast("long").alias("n_records"),
-        F.get(recs, 0)["c_custkey"].alias("first_key"),
-        F.element_at(recs, -1)["c_custkey"].alias("last_key"),
-    )
+    return _records(parsed)
+
+
+def _records(parsed):
+    """Every record of parsed batches with its place: batch, n_records, pos and the record's fields."""
+    out = parsed.select("batch", "n_records", F.posexplode("p.dataframe_records").alias("pos", "r"))
+    return out.select(*[F.col(c).cast("long").alias(c) for c in ("batch", "n_records", "pos")], "r.*")
+
+
+@register(
+    "payload_batches_by_time",
+    oracle="""
+WITH i AS (SELECT event_id, value, row_number() OVER (ORDER BY ts, event_id) - 1 AS rn, ts FROM events),
+k AS (SELECT *, count(*) OVER (PARTITION BY ts) AS same FROM i)
+SELECT rn // 100 AS batch, count(*) OVER (PARTITION BY rn // 100) AS n_records, rn % 100 AS pos,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, CASE WHEN same = 1 THEN event_id END AS event_id FROM k
+""",
+)
+def q_payload_batches_by_time(spark, sf_dir):
+    """Batches in the order of a zone-less time: sizes and order are exact even
+    where times tie (the id is shown where the time is unique)."""
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
+    same = F.count(F.lit(1)).over(Window.partitionBy("ts"))
+    ev = load(spark, sf_dir, "events").select("ts", at, F.when(same == 1, F.col("event_id")).alias("event_id"))
+    b = payload.to_payload_batches(ev, ["at", "event_id"], "ts", 100)
+    return _records(payload.parse_json(b, "payload", payload.request_schema(EVENT_RECORD), into="p"))

@@ -216,8 +216,8 @@ f AS (SELECT model, CAST(2 * count(*) FILTER (WHERE y = 1 AND p > 0.5) AS DOUBLE
 SELECT 'f1' AS metric,
        round(max(f1) FILTER (WHERE model = 'challenger'), 6) AS challenger_metric,
        round(max(f1) FILTER (WHERE model = 'champion'), 6) AS champion_metric,
-       max(f1) FILTER (WHERE model = 'champion') IS NULL
-         OR round(max(f1) FILTER (WHERE model = 'challenger'), 6) >= round(max(f1) FILTER (WHERE model = 'champion'), 6)
+       coalesce(max(f1) FILTER (WHERE model = 'champion') IS NULL
+         OR max(f1) FILTER (WHERE model = 'challenger') >= max(f1) FILTER (WHERE model = 'champion'), false)
          AS improved
 FROM f""",
 )
@@ -234,4 +234,40 @@ def q_champion_gate(spark, sf_dir):
             )
         ).alias("m"),
     ).select("y", "m.model", "m.score")
-    return metrics.champion_gate(long, "model", "challenger", "champion", "y", "score")
+    gate = metrics.champion_gate(long, "model", "challenger", "champion", "y", "score")
+    return gate.withColumns({c: F.round(c, 6) for c in ("challenger_metric", "champion_metric")})
+
+
+@register(
+    "roc_auc_null_group",
+    oracle=SCORED_SQL
+    + """, g AS (SELECT CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id % 3 END AS grp, y, p FROM s),
+c AS (SELECT grp, p, sum(y) AS pos, sum(1 - y) AS neg FROM g GROUP BY 1, 2),
+r AS (SELECT *, sum(neg) OVER (PARTITION BY grp ORDER BY p) - neg AS below FROM c)
+SELECT grp, round(sum(pos * (below + neg * 0.5)) / (sum(pos) * sum(neg)), 6) AS roc_auc FROM r GROUP BY grp
+""",
+)
+def q_roc_auc_null_group(spark, sf_dir):
+    """ROC AUC per group where a third of the rows has no group: NULL is one."""
+    s = scored(spark, sf_dir)
+    g = s.withColumn("grp", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 3))
+    return metrics.roc_auc(g, "y", "p", ["grp"])
+
+
+@register(
+    "column_profile_documents",
+    oracle="""
+SELECT * FROM (
+  SELECT count(*) AS n_rows, 'doc_id' AS column_name, 'bigint' AS data_type, count(*) FILTER (WHERE doc_id IS NULL) AS n_nulls,
+         count(DISTINCT doc_id) AS n_distinct, CAST(min(doc_id) AS VARCHAR) AS min_value, CAST(max(doc_id) AS VARCHAR) AS max_value,
+         round(avg(doc_id), 6) AS mean, round(stddev_samp(doc_id), 6) AS sd FROM documents
+  UNION ALL SELECT count(*), 'text', 'string', count(*) FILTER (WHERE text IS NULL), count(DISTINCT text), min(text), max(text), NULL, NULL FROM documents
+  UNION ALL SELECT count(*), 'lang', 'string', count(*) FILTER (WHERE lang IS NULL), count(DISTINCT lang), min(lang), max(lang), NULL, NULL FROM documents
+  UNION ALL SELECT count(*), 'source', 'string', count(*) FILTER (WHERE source IS NULL), count(DISTINCT source), min(source), max(source), NULL, NULL FROM documents
+  UNION ALL SELECT count(*), 'n_chars', 'bigint', count(*) FILTER (WHERE n_chars IS NULL), count(DISTINCT n_chars),
+         CAST(min(n_chars) AS VARCHAR), CAST(max(n_chars) AS VARCHAR), round(avg(n_chars), 6), round(stddev_samp(n_chars), 6) FROM documents)
+""",
+)
+def q_column_profile_documents(spark, sf_dir):
+    """Every column of the documents, long texts included: values travel as hashes."""
+    return profile.column_profile(load(spark, sf_dir, "documents"))

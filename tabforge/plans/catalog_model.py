@@ -12,7 +12,7 @@ from tabforge.sources.tables import load
 ENC_COLS = ["o_orderpriority", "o_orderstatus", "o_custkey"]
 
 _FIT_SQL = """
-WITH src AS (SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')),
+WITH src AS (SELECT * FROM orders WHERE {where}),
 l AS (SELECT DISTINCT column_name, value FROM (
         SELECT 'o_orderpriority' AS column_name, o_orderpriority AS value FROM src
         UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM src
@@ -21,20 +21,22 @@ d AS (SELECT column_name, value, dense_rank() OVER (PARTITION BY column_name ORD
 """
 
 
+_SEEN = "o_orderstatus IN ('F', 'O')"
+
+
 def _fit(spark, sf_dir):
-    o = load(spark, sf_dir, "orders")
-    return features.fit_codes(o.filter(F.col("o_orderstatus").isin("F", "O")), ENC_COLS)
+    return features.fit_codes(load(spark, sf_dir, "orders").filter(_SEEN), ENC_COLS)
 
 
-@register("encode_fit", oracle=_FIT_SQL + "SELECT column_name, value, code FROM d")
+@register("encode_fit", oracle=_FIT_SQL.format(where="true") + "SELECT column_name, value, code FROM d")
 def q_encode_fit(spark, sf_dir):
-    """Dictionary fitted on the F/O orders (so status P is unseen later)."""
-    return _fit(spark, sf_dir)
+    """Dictionary of three columns over all orders, one dense index per column."""
+    return features.fit_codes(load(spark, sf_dir, "orders"), ENC_COLS)
 
 
 @register(
     "encode_apply",
-    oracle=_FIT_SQL
+    oracle=_FIT_SQL.format(where=_SEEN)
     + """
 SELECT o.o_orderkey,
        coalesce(a.code, -1) AS o_orderpriority_code,
@@ -47,7 +49,8 @@ LEFT JOIN d c ON c.column_name = 'o_custkey' AND c.value = CAST(o.o_custkey AS V
 """,
 )
 def q_encode_apply(spark, sf_dir):
-    """Apply to all orders: status P is unseen, a NULLed priority → -1."""
+    """Apply a dictionary fitted on the F/O orders to all orders: status P is
+    unseen, a NULLed priority → -1."""
     o = load(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.nullif("o_orderpriority", F.lit("3-MEDIUM")).alias("o_orderpriority"),
@@ -114,27 +117,39 @@ def _doc_table(spark, sf_dir):
     return lab.join(docs, "doc_id")
 
 
-@register("gbt_train_score")
+def _checked(scored):
+    """What SQL can say about scores: one row a document, a probability, and the class it implies."""
+    p = F.col("probability")
+    return scored.withColumns({"in_range": (p >= 0) & (p <= 1), "class_fits": (p > 0.5).cast("int") == F.col("prediction")})
+
+
+@register("gbt_train_score", oracle="SELECT doc_id, true AS in_range, true AS class_fits FROM documents")
 def q_gbt_train_score(spark, sf_dir):
-    """Train boosted trees on the hash-split train rows (dictionary codes for
-    lang/source, n_chars numeric), score the test rows.  Rows-only: the
-    learner's scores have no SQL equivalent."""
+    """Train boosted trees on the hash-split train rows of the labelled documents
+    (nominal codes for lang/source, n_chars numeric), score every document."""
     t = assign_split_hash(_doc_table(spark, sf_dir), ["doc_id"], 0.3, 11)
-    train = t.filter(F.col("split") == "train")
-    test = t.filter(F.col("split") == "test")
     params = model.BoostParams(learning_rate=0.1, n_estimators=10, max_depth=3)
-    m = model.train(train, ["lang", "source"], ["n_chars"], "y", params)
-    return model.score(test, m, keep=["doc_id", "y"])
+    m = model.train(t.filter(F.col("split") == "train"), ["lang", "source"], ["n_chars"], "y", params)
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return _checked(model.score(docs, m, keep=["doc_id"])).select("doc_id", "in_range", "class_fits")
 
 
-@register("ab_score")
+@register(
+    "ab_score",
+    oracle=f"""
+SELECT doc_id, {_ARM_SQL.format(c='doc_id')} AS arm, {_ARM_SQL.format(c='doc_id')} AS model,
+       true AS in_range, true AS class_fits
+FROM documents
+""",
+)
 def q_ab_score(spark, sf_dir):
-    """Route each document to arm A or B and score it with that arm's model
-    (two boosted-tree models with different depth).  Rows-only."""
+    """Route each document to arm A or B and score it with that arm's model (two
+    boosted-tree models with different features), in one pass over all documents;
+    the columns that served scoring only are dropped."""
     t = _doc_table(spark, sf_dir)
     m_a = model.train(t, ["lang"], ["n_chars"], "y", model.BoostParams(0.1, 5, 2))
     m_b = model.train(t, ["lang", "source"], ["n_chars"], "y", model.BoostParams(0.1, 5, 3))
-    routed = experiment.route(t, "doc_id", ("A", "B"))
-    return experiment.score_routed(routed, "arm", {"A": m_a, "B": m_b}).select(
-        "doc_id", "arm", "probability", "prediction", "model"
-    )
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    routed = experiment.route(docs, "doc_id", ("A", "B"))
+    scored = experiment.score_routed(routed, "arm", {"A": m_a, "B": m_b}, drop=["lang", "source", "n_chars"])
+    return _checked(scored).select("doc_id", "arm", "model", "in_range", "class_fits")

@@ -106,7 +106,7 @@ c AS (SELECT column_name, v, nb, nc,
              sum(nc) OVER (PARTITION BY column_name) AS tc FROM g)
 SELECT column_name, round(max(abs(cb / tb - cc / tc)), 6) AS ks_d,
        round(sum(v * nb) / sum(nb), 6) AS base_mean, round(sum(v * nc) / sum(nc), 6) AS cur_mean,
-       round(round(sum(v * nc) / sum(nc), 6) - round(sum(v * nb) / sum(nb), 6), 6) AS mean_shift
+       round(sum(v * nc) / sum(nc) - sum(v * nb) / sum(nb), 6) AS mean_shift
 FROM c GROUP BY column_name
 """,
 )
@@ -191,9 +191,41 @@ def q_drift_consecutive(spark, sf_dir):
 @register("window_profile_salted", oracle=_WINDOW_PROFILE_SQL)
 def q_window_profile_salted(spark, sf_dir):
     """The flagship profile through the hot-key plan: two-stage salted
-    aggregation with mergeable moments and KLL quantile sketches."""
+    aggregation with mergeable moments."""
     ev = _events_with_k(spark, sf_dir)
     prof = profile.window_profile(
         ev, "ts", "30 minutes", keys=["event_type"], num_cols=["value", "k"], cat_cols=["user_id"], salt=8
     )
     return _text_windows(prof)
+
+
+@register(
+    "window_profile_hot_groups",
+    oracle="""
+WITH e AS (
+  SELECT CASE WHEN l_linenumber < 7 THEN date_trunc('day', l_shipdate) + INTERVAL 1 HOUR END AS ts,
+         nullif(l_returnflag, 'A') AS flag, l_extendedprice AS price, l_suppkey FROM lineitem),
+w AS (SELECT CASE WHEN ts IS NOT NULL
+                  THEN CAST(floor(epoch_us(ts) / 315360000000000.0) AS BIGINT) * 315360000000000 END AS us, * FROM e)
+SELECT us // 1000000 AS start_s, flag, count(*) AS n_rows, min(price) AS price_min, max(price) AS price_max,
+       round(avg(price), 4) AS price_mean,
+       quantile_disc(price, 0.01) AS price_p01, quantile_disc(price, 0.5) AS price_p50, quantile_disc(price, 0.99) AS price_p99,
+       count(DISTINCT l_suppkey) AS l_suppkey_distinct
+FROM w GROUP BY us, flag
+""",
+)
+def q_window_profile_hot_groups(spark, sf_dir):
+    """Windows of ten years over all line items: groups of tens of thousands of rows
+    with exact quantiles and distinct counts, a NULL key group, and the rows
+    without a time in a window of their own."""
+    li = load(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") < 7, F.date_trunc("day", F.col("l_shipdate").cast("timestamp")) + F.expr("interval 1 hour")).alias("ts"),
+        F.nullif("l_returnflag", F.lit("A")).alias("flag"),
+        F.col("l_extendedprice").alias("price"),
+        "l_suppkey",
+    )
+    prof = profile.window_profile(li, "ts", "3650 days", ["flag"], ["price"], ["l_suppkey"], quantiles=(0.01, 0.5, 0.99))
+    return prof.select(
+        F.unix_seconds("window_start").alias("start_s"), "flag", "n_rows", "price_min", "price_max",
+        F.round("price_mean", 4).alias("price_mean"), "price_p01", "price_p50", "price_p99", "l_suppkey_distinct",
+    )

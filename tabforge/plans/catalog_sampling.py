@@ -29,21 +29,22 @@ def q_split_exact(spark, sf_dir):
 @register(
     "split_exact_dup_keys",
     oracle="""
-SELECT split, count(*) AS n FROM (
-  SELECT CASE WHEN row_number() OVER (ORDER BY h, kt) <= ceil(0.2 * (SELECT count(*) FROM lineitem))
+SELECT l_suppkey, split, count(*) AS n FROM (
+  SELECT l_suppkey, CASE WHEN row_number() OVER (ORDER BY h, kt) <= ceil(0.2 * (SELECT count(*) FROM lineitem))
               THEN 'test' ELSE 'train' END AS split
-  FROM (SELECT """
+  FROM (SELECT l_suppkey, """
     + hash52_sql(key_sql("l_suppkey", seed=7))
     + """ AS h, CAST(l_suppkey AS VARCHAR) AS kt FROM lineitem))
-GROUP BY split
+GROUP BY l_suppkey, split
 """,
 )
 def q_split_exact_dup_keys(spark, sf_dir):
     """Split keyed by a heavily repeated key (supplier): identical keys
-    straddle the cut and the exact count is still honoured."""
+    straddle the cut and the exact count is still honoured.  Rows of one key
+    are interchangeable, so each key's rows on either side are the whole result."""
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     lab = sampling.assign_split_exact(li, ["l_suppkey"], 0.2, 7)
-    return lab.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return lab.groupBy("l_suppkey", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register(
@@ -74,6 +75,26 @@ def q_resample(spark, sf_dir):
     return sampling.resample(c, "c_custkey", seed=7)
 
 
+@register(
+    "resample_string_key",
+    oracle="""
+WITH t AS (SELECT c_custkey, c_mktsegment, 'c-' || CAST(c_custkey % 97 AS VARCHAR) AS name FROM customer),
+r AS (SELECT *, row_number() OVER (ORDER BY name) - 1 AS rn FROM t),
+d AS (SELECT rn AS draw_id, """
+    + hash52_sql("concat_ws('|', CAST(rn AS VARCHAR), 'draw', '9')")
+    + """ % (SELECT count(*) FROM customer) AS pick FROM r)
+SELECT d.draw_id, r.name FROM d JOIN r ON d.pick = r.rn
+""",
+)
+def q_resample_string_key(spark, sf_dir):
+    """Text order key with many ties: every draw finds exactly one row, and the
+    drawn key is the one at that place of the order."""
+    c = load(spark, sf_dir, "customer").select(
+        "c_custkey", "c_mktsegment", F.concat(F.lit("c-"), (F.col("c_custkey") % 97).cast("string")).alias("name")
+    )
+    return sampling.resample(c, "name", seed=9).select("draw_id", "name")
+
+
 @register(
     "top_n",
     oracle="""

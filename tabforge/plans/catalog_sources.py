@@ -24,13 +24,12 @@ CUT = "2024-01-16 00:00:00"
 SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty,
        round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
        round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order
-FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00'
+FROM lineitem
 GROUP BY l_returnflag, l_linestatus
 """,
 )
 def q_sql_scan(spark, sf_dir):
-    """SQL text over registered views (the monitored job's ``SELECT *`` scan,
-    here with a filter and aggregate that Catalyst pushes into the scan)."""
+    """SQL text over registered views: a whole-table scan under an aggregate."""
     tables.register_views(spark, sf_dir, ["lineitem"])
     return tables.sql_scan(
         spark,
@@ -38,7 +37,7 @@ def q_sql_scan(spark, sf_dir):
         SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty,
                round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
                round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order
-        FROM lineitem WHERE l_shipdate <= TIMESTAMP_NTZ '1998-09-02 00:00:00'
+        FROM lineitem
         GROUP BY l_returnflag, l_linestatus
         """,
     )
@@ -49,13 +48,14 @@ def q_sql_scan(spark, sf_dir):
     oracle="""
 SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN NULL
                        WHEN c_mktsegment = 'HOUSEHOLD' THEN 'none' ELSE c_mktsegment END AS c_mktsegment,
-       c_acctbal, CASE WHEN c_nationkey = 3 THEN NULL ELSE c_nationkey END AS c_nationkey
+       c_acctbal, CAST(CASE WHEN c_nationkey = 3 THEN NULL ELSE c_nationkey END AS BIGINT) AS c_nationkey
 FROM customer
 """,
 )
 def q_csv_na_scan(spark, sf_dir):
     """CSV written with pandas-style missing tokens (``N/A``, ``null``,
-    ``NA`` in a numeric column) and scanned back typed; ``none`` stays text."""
+    ``NA`` in a numeric column) and scanned back with inferred types; ``none``
+    stays text."""
     c = load(spark, sf_dir, "customer")
     raw = c.select(
         F.col("c_custkey").cast("string").alias("c_custkey"),
@@ -69,9 +69,7 @@ def q_csv_na_scan(spark, sf_dir):
     )
     path = scratch_path(spark, f"csv/{uuid.uuid4().hex}")
     raw.write.option("header", True).csv(path)
-    return tables.read_csv_na(
-        spark, path, "c_custkey long, c_mktsegment string, c_acctbal double, c_nationkey int"
-    )
+    return tables.read_csv_na(spark, path)
 
 
 def _cdf_versions(spark, sf_dir):
@@ -161,18 +159,23 @@ def q_incremental_load(spark, sf_dir):
 @register(
     "incremental_load_rerun",
     oracle=f"""
-SELECT count(*) FILTER (WHERE ts < TIMESTAMP '{CUT}') AS first_run,
+SELECT count(*) FILTER (WHERE ts < TIMESTAMP '{CUT}') + 1 AS first_run,
        count(*) FILTER (WHERE ts >= TIMESTAMP '{CUT}') AS second_run,
-       CAST(0 AS BIGINT) AS third_run, count(*) AS target_rows
+       CAST(0 AS BIGINT) AS third_run, count(*) + 1 AS target_rows
 FROM events
 """,
 )
 def q_incremental_load_rerun(spark, sf_dir):
-    """Three scheduled loads into a parquet target: the first half, then the
-    whole log (only the second half is new), then the whole log again
-    (nothing is new) — the target holds every event exactly once."""
+    """An empty first run, then three scheduled loads into a parquet target: the
+    first half, the whole log (only the second half is new), the whole log again
+    (nothing is new).  Every event comes twice and one has a NULL key; the target
+    holds each exactly once."""
     ev = load(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     target = scratch_path(spark, f"incremental/{uuid.uuid4().hex}")
+    versions.load_new(ev.limit(0), target, ["event_id"])  # an empty first run
+    # every row twice, and one row whose key is NULL
+    odd = ev.agg(F.lit(None).cast("long").alias("event_id"), F.min("user_id").alias("user_id"), F.min("ts").alias("ts"))
+    ev = ev.unionAll(ev).unionAll(odd)
     first = versions.load_new(ev.filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")), target, ["event_id"])
     second = versions.load_new(ev, target, ["event_id"])
     third = versions.load_new(ev, target, ["event_id"])
@@ -188,14 +191,35 @@ def q_incremental_load_rerun(spark, sf_dir):
 @register(
     "partition_append",
     oracle="""
-SELECT event_type, count(*) AS n FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05' GROUP BY event_type
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS n, sum(event_id) AS ids
+FROM events GROUP BY 1, 2
 """,
 )
 def q_partition_append(spark, sf_dir):
-    """Append sink partitioned by day; the read filters one day, which
-    Spark answers by partition pruning (only that folder is listed)."""
-    ev = load(spark, sf_dir, "events").select("event_type", "ts", F.to_date("ts").alias("day"))
+    """Append sink partitioned by day, in two appends; every day is read back."""
+    ev = load(spark, sf_dir, "events").select("event_id", "event_type", "ts", F.to_date("ts").alias("day"))
     path = scratch_path(spark, f"by_day/{uuid.uuid4().hex}")
-    tables.append(ev, path, partition_by=["day"])
-    back = spark.read.parquet(path).filter(F.col("day") == F.lit("2024-01-05").cast("date"))
-    return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    first = F.col("event_type") == "click"
+    tables.append(ev.where(first), path, partition_by=["day"])
+    tables.append(ev.where(~first), path, partition_by=["day"])
+    back = spark.read.parquet(path)
+    days = back.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type")
+    return days.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@register(
+    "catalog_table_sinks",
+    oracle="SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
+)
+def q_catalog_table_sinks(spark, sf_dir):
+    """Overwrite and append sinks by table name: a first version is replaced by
+    half of the customers, the other half is appended (its columns in another
+    order), and the table is read back by name."""
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    name = f"tabforge_customers_{uuid.uuid4().hex}"
+    place = scratch_path(spark, f"tables/{name}")
+    half = F.col("c_custkey") % 2 == 0
+    tables.write_snapshot(c.withColumn("c_acctbal", F.lit(0.0)), name, location=place)
+    tables.write_snapshot(c.where(half), name, location=place)
+    tables.append(c.where(~half).select("c_acctbal", "c_custkey", "c_mktsegment"), name)
+    return tables.read_table(spark, name)

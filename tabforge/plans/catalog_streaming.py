@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tabforge.operators import model
 from tabforge.plans.catalog_json import _FLAT_SQL, CUSTOMER_RECORD, request_log
+from tabforge.plans.catalog_model import _checked
+from tabforge.plans.monitoring import monitoring_table
 from tabforge.plans.registry import register
 from tabforge.session import scratch_path
 from tabforge.sources.tables import load
@@ -70,14 +72,14 @@ WITH e AS (SELECT time_bucket(INTERVAL '30 minutes', ts) AS ws, event_type, valu
 SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n_rows,
        round(avg(value), 6) AS value_mean, max(value) AS value_max
 FROM e
-WHERE ws + INTERVAL '30 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'
 GROUP BY ws, event_type
 """,
 )
 def q_stream_window_profile(spark, sf_dir):
     """30-minute profile on the event stream with a one-hour watermark, in
-    append mode: exactly the windows that closed before the stream's
-    watermark (max event time − 1 hour) are emitted, each once."""
+    append mode: the windows that closed before the stream's watermark (max
+    event time − 1 hour) are emitted, each once; the input has ended, so the
+    windows still open then are added by the closing batch."""
     landing, sink, ckpt = _dirs(spark, "window")
     ev = load(spark, sf_dir, "events").select("ts", "event_type", "value")
     ev.write.parquet(landing)
@@ -85,7 +87,8 @@ def q_stream_window_profile(spark, sf_dir):
     stream = ingest.file_stream(spark, landing, schema)
     prof = ingest.window_profile_stream(stream, "ts", "30 minutes", ["event_type"], ["value"])
     ingest.run_available(prof, sink, ckpt)
-    out = spark.read.parquet(sink)
+    rest = ingest.open_windows(spark.read.parquet(landing), "ts", "30 minutes", ["event_type"], ["value"])
+    out = spark.read.parquet(sink).unionByName(rest)
     return out.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
         "event_type",
@@ -95,10 +98,10 @@ def q_stream_window_profile(spark, sf_dir):
     )
 
 
-@register("stream_score")
+@register("stream_score", oracle="SELECT doc_id, true AS in_range, true AS class_fits FROM documents")
 def q_stream_score(spark, sf_dir):
     """Boosted trees trained in batch, applied to a document stream
-    (stream-static join with the code dictionary).  Rows-only."""
+    (stream-static join with the code dictionary)."""
     landing, sink, ckpt = _dirs(spark, "score")
     lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
@@ -107,7 +110,7 @@ def q_stream_score(spark, sf_dir):
     stream = ingest.file_stream(spark, landing, docs.schema)
     scored = model.score(stream, m, keep=["doc_id"])
     ingest.run_available(scored, sink, ckpt)
-    return spark.read.parquet(sink)
+    return _checked(spark.read.parquet(sink)).select("doc_id", "in_range", "class_fits")
 
 
 @register("stream_monitoring_refresh", oracle=_FLAT_SQL.format(pred="first_pred"))
@@ -124,5 +127,5 @@ def q_stream_monitoring_refresh(spark, sf_dir):
         ingest.refresh_stream(stream, target, ckpt, "customer-model", CUSTOMER_RECORD)
     replay = ingest.file_stream(spark, landing, ingest.REQUEST_LOG_SCHEMA)
     ingest.refresh_stream(replay, target, ckpt + "-replay", "customer-model", CUSTOMER_RECORD)
-    out = spark.read.parquet(target).drop("day")
+    out = monitoring_table(spark, target).drop("day")
     return out.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS"))

@@ -33,22 +33,43 @@ def _intervals_sql(name: str, src: str, expr: str, total: str) -> str:
   FROM (SELECT {expr} AS v, count(*) AS n FROM {src} GROUP BY 1))"""
 
 
+def _stats_sql(expr: str, table: str) -> tuple[str, str]:
+    return f"(SELECT avg({expr}) FROM {table})", f"(SELECT stddev_samp({expr}) FROM {table})"
+
+
 @register(
     "synthetic_numeric",
     oracle=f"""
 WITH r AS (SELECT row_number() OVER () - 1 AS row_id FROM lineitem)
 SELECT row_id,
-  round(greatest(0.1, {_normal_sql('l_quantity', '(SELECT round(avg(l_quantity), 6) FROM lineitem)',
-                                   '(SELECT round(stddev_samp(l_quantity), 6) FROM lineitem)')}), 6) AS l_quantity,
-  round({_normal_sql('l_discount', '(SELECT round(avg(l_discount), 6) FROM lineitem)',
-                     '(SELECT round(stddev_samp(l_discount), 6) FROM lineitem)')}, 6) AS l_discount
+  round(greatest(0.1, {_normal_sql('l_quantity', *_stats_sql('l_quantity', 'lineitem'))}), 6) AS l_quantity,
+  round({_normal_sql('l_discount', *_stats_sql('l_discount', 'lineitem'))}, 6) AS l_discount,
+  CAST(round({_normal_sql('l_linenumber', *_stats_sql('CAST(l_linenumber AS DOUBLE)', 'lineitem'))}) AS INTEGER) AS l_linenumber,
+  round({_normal_sql('tiny', *_stats_sql('l_tax * 1e-9::DOUBLE', 'lineitem'))} * 1e9::DOUBLE, 6) AS tiny_nano,
+  CAST(CAST({_normal_sql('price', *_stats_sql('CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)', 'lineitem'))} AS DECIMAL(18,2)) AS DOUBLE) AS price
 FROM r
 """,
 )
 def q_synthetic_numeric(spark, sf_dir):
-    src = load(spark, sf_dir, "lineitem").select("l_quantity", "l_discount")
+    """Numerics of several kinds from one aggregate: floored, plain, whole numbers,
+    values of the order of 1e-9, and a decimal that stays one."""
+    src = load(spark, sf_dir, "lineitem").select(
+        "l_quantity",
+        "l_discount",
+        F.col("l_linenumber").cast("int").alias("l_linenumber"),
+        (F.col("l_tax") * 1e-9).alias("tiny"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+    )
     spec = synth.SynthSpec(n=src.count(), seed=SEED, id_col=None, floor_cols={"l_quantity": 0.1})
-    return synth.synthesize(src, spec)
+    out = synth.synthesize(src, spec)
+    return out.select(
+        "row_id",
+        F.round("l_quantity", 6).alias("l_quantity"),
+        F.round("l_discount", 6).alias("l_discount"),
+        "l_linenumber",
+        F.round(F.col("tiny") * 1e9, 6).alias("tiny_nano"),
+        F.col("price").cast("double").alias("price"),
+    )
 
 
 @register(
@@ -90,8 +111,7 @@ def q_synthetic_timestamp(spark, sf_dir):
 
 
 def _table_sql(drift: bool) -> str:
-    acct = _normal_sql("c_acctbal", "(SELECT round(avg(c_acctbal), 6) FROM customer)",
-                       "(SELECT round(stddev_samp(c_acctbal), 6) FROM customer)")
+    acct = _normal_sql("c_acctbal", *_stats_sql("c_acctbal", "customer"))
     acct = f"greatest(0.1, {acct})"
     if drift:
         acct = f"{acct} * 1.5"
@@ -119,6 +139,8 @@ def _table(spark, sf_dir, drift: bool):
         id_base=1_000_000,
         floor_cols={"c_acctbal": 0.1},
         drift=drift,
+        ints_as_normal=False,  # a nation key is a category
+        digits=6,
         drift_scale={"c_acctbal": 1.5},
         drift_redraw={"c_mktsegment": [("AUTOMOBILE", 0.7), ("BUILDING", 0.3)]},
     )
@@ -138,15 +160,24 @@ def q_synthetic_drift(spark, sf_dir):
     return _table(spark, sf_dir, drift=True)
 
 
-@register("synthetic_bootstrap")
+@register(
+    "synthetic_bootstrap",
+    oracle=f"""
+WITH t AS (SELECT vec_id, embedding, row_number() OVER (ORDER BY vec_id) - 1 AS rn, count(*) OVER () AS n FROM embeddings),
+d AS (SELECT rn AS row_id, CAST(floor({_u('embedding', 'u').replace('row_id', 'rn')} * n) AS BIGINT) AS pick FROM t)
+SELECT d.row_id, CAST(len(s.embedding) AS BIGINT) AS dim, CAST(s.embedding[1] AS DOUBLE) AS first_value,
+       CAST(s.embedding[len(s.embedding)] AS DOUBLE) AS last_value
+FROM d JOIN t s ON s.rn = d.pick
+""",
+)
 def q_synthetic_bootstrap(spark, sf_dir):
-    """Array column (embeddings) bootstrapped: each synthetic row is a
-    source vector drawn with frequency weights.  Rows-only: distinct arrays
-    are ordered by their text, whose float formatting differs by engine."""
-    src = load(spark, sf_dir, "embeddings").select("embedding")
-    out = synth.synthesize(src, synth.SynthSpec(n=src.count(), seed=SEED, id_col=None))
+    """Array column (embeddings) bootstrapped: each synthetic row is a uniform
+    draw of a source row, in the order of the source's ids."""
+    src = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = synth.synthesize(src, synth.SynthSpec(n=src.count(), seed=SEED, id_col=None, bootstrap_order="vec_id"))
     return out.select(
         "row_id",
         F.size("embedding").cast("long").alias("dim"),
-        F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"),
+        F.element_at("embedding", 1).cast("double").alias("first_value"),
+        F.element_at("embedding", -1).cast("double").alias("last_value"),
     )

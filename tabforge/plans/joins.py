@@ -1,48 +1,18 @@
-"""Join helpers with an explicit size check before broadcasting.
+"""Lineage cuts, and joins with sides that are usually small.
 
-``join_small`` is used wherever one side is *usually* dictionary-sized (a
-keep-set of frequent categories, a code dictionary, category shares) but
-has no hard bound in general.  The small side is materialised once with a
-reliable ``checkpoint`` (written under ``spark.checkpoint.dir``, so it
-survives executor loss and is not recomputed), counted, and broadcast only
-when it holds at most ``max_rows`` rows.  Beyond that the join is a normal
-shuffle join on the key and AQE's skew-join splitting handles hot keys.
+No broadcast hint is given where a side has no bound by construction: adaptive
+execution measures the side's bytes after its shuffle and broadcasts it below
+``spark.sql.autoBroadcastJoinThreshold``, else splits skewed partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tabforge.session import ensure_checkpoint_dir
 
-# Rows, not bytes: dictionary rows here are a few short columns wide, so
-# 1M rows stay well under the default 8 GiB broadcast ceiling.
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint dir."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
-    already_materialised: bool = False,
-) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only if it is small."""
-    small_m = small if already_materialised else materialise(small)
-    n = small_m.count()
-    if n <= max_rows:
-        return big.join(F.broadcast(small_m), on, how)
-    return big.join(small_m, on, how)
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows

@@ -1,26 +1,30 @@
 """The monitoring refresh as one Spark job per run.
 
-Request log → flatten (parse, explode, position-matched or first
-prediction, epoch ms) → drop rows without a prediction unless none has one
-→ append only requests not processed before → counts of every step from
-Observations on the same pass (no re-scans).
-
-The log is scanned once for the append; the "any valid prediction" flag is
-a scalar subquery and the new-request check is a left-anti join on the
-request id against the target's id column only.
+Request log → new requests only → flatten (parse, explode, position-matched or
+first prediction, epoch ms) → append to the monitoring table.
+
+The log's JSON is parsed once: the flattened increment is checkpointed and every
+count comes from that.  Rows without a prediction are stored beside the others, in
+the table's ``valid=0`` partitions; :func:`monitoring_table` shows them only if no
+row of the whole table has a prediction.  So that rule never depends on how the
+log was cut into refreshes or micro-batches.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.operators.payload import REQUEST_RECORD_SCHEMA, flatten_payload
+from tabforge.plans.joins import materialise
 from tabforge.sources.tables import path_exists
 
+KEY = "request_key"
+KEY_SCHEMA = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("day", T.DateType())])
+
 
 @dataclass
 class RefreshCounts:
@@ -33,11 +37,29 @@ class RefreshCounts:
     skipped_requests: int = 0
 
 
-def _skipped_path(target_path: str) -> str:
+def _ledger(target_path: str) -> str:
     # A "_"-prefixed folder inside the table folder: table reads ignore it.
     return f"{target_path.rstrip('/')}/_skipped"
 
 
+def _keyed(log: DataFrame, id_col: str) -> DataFrame:
+    """``log`` with its request key (the id, or for a NULL id a digest of the request) and day."""
+    text = F.concat_ws("|", F.col("request_time").cast("string"), F.coalesce("request", F.lit("")), F.coalesce("response", F.lit("")))
+    return log.withColumns({KEY: F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("row:"), F.md5(text))), "day": F.to_date("request_time")})
+
+
+def _seen(spark: SparkSession, target_path: str, log: DataFrame) -> DataFrame:
+    """Keys processed before, read from the day partitions that ``log`` touches only."""
+    first, last = log.agg(F.min("day"), F.max("day")).first()
+    near = F.col("day").isNull() if first is None else F.col("day").isNull() | F.col("day").between(F.lit(first), F.lit(last))
+    keys = spark.createDataFrame([], KEY_SCHEMA).select(KEY)
+    for path in (target_path, _ledger(target_path)):
+        if path_exists(spark, path):
+            # an explicit schema: a table without files yet is an empty table
+            keys = keys.unionAll(spark.read.schema(KEY_SCHEMA).parquet(path).where(near).select(KEY))
+    return keys.distinct()
+
+
 def refresh_monitoring(
     log: DataFrame,
     target_path: str,
@@ -45,70 +67,63 @@ def refresh_monitoring(
     record_schema: T.StructType = REQUEST_RECORD_SCHEMA,
     id_col: str = "databricks_request_id",
     first_prediction_only: bool = True,
-    partition_by_day: bool = True,
 ) -> RefreshCounts:
     """Append the new part of ``log`` to the monitoring table at ``target_path``.
 
-    * new = requests neither in the table nor in its ``_skipped`` ledger
-      (requests processed earlier whose rows were all dropped);
-    * rows without a prediction are dropped unless no row of the whole log
-      has one (decided by a ``limit(1)`` probe over the log);
-    * the append comes first, then the ids of new requests that produced no
-      row go to ``_skipped``; a failure in between only makes the next run
-      drop those requests again — the refresh stays idempotent.
+    New are requests neither in the table nor in its ``_skipped`` ledger (requests
+    without any record).  A request that the log holds more than once counts once
+    (the earliest); requests with a NULL id are told apart by their content.  The
+    rows are appended first, then the ledger: a failure in between only makes the
+    next run look at requests without records again.
     """
     spark = log.sparkSession
-    log = log.select(id_col, *[c for c in log.columns if c != id_col])
-    seen = None
-    for path in (target_path, _skipped_path(target_path)):
-        if path_exists(spark, path):
-            ids = spark.read.parquet(path).select(id_col)
-            seen = ids if seen is None else seen.unionByName(ids)
-    log_new = log.join(seen.distinct(), id_col, "left_anti") if seen is not None else log
-    # Branch decision on a plan WITHOUT observations (an Observation
-    # completes with the first action that runs its plan); the probe reads
-    # only until the first valid row of the whole log.
-    probe = flatten_payload(log, model_name, record_schema, first_prediction_only=first_prediction_only)
-    has_valid = probe.filter(F.col("prediction").isNotNull()).limit(1).count() > 0
-    obs_log, obs_out = Observation("log"), Observation("out")
-    src = log_new.observe(obs_log, F.count(F.lit(1)).alias("n"))
-    flat = flatten_payload(src, model_name, record_schema, first_prediction_only=first_prediction_only)
-    flat = flat.observe(
-        obs_out,
-        F.count(F.lit(1)).alias("flat"),
-        F.count_if(F.col("prediction").isNotNull()).alias("valid"),
+    keyed = _keyed(log, id_col)
+    fresh = keyed.join(_seen(spark, target_path, keyed), KEY, "left_anti")
+    whole = F.struct(*[F.col(c) for c in keyed.columns if c != KEY])
+    one = fresh.groupBy(KEY).agg(F.min_by(whole, F.struct("request_time", F.xxhash64("request", "response"))).alias("_one"))
+    fresh = one.select(KEY, "_one.*")
+    # posexplode drops requests without records: an outer parse keeps one empty row for each
+    flat = flatten_payload(
+        fresh, model_name, record_schema, id_col=id_col, first_prediction_only=first_prediction_only, keep=[KEY, "day"], outer=True
     )
-    kept = flat.filter(F.col("prediction").isNotNull()) if has_valid else flat
-    if partition_by_day:
-        kept = kept.withColumn("day", F.to_date("timestamp"))
-    w = kept.write.mode("append")
-    if partition_by_day:
-        w = w.partitionBy("day")
-    w.parquet(target_path)
-    lg, out = obs_log.get, obs_out.get
-    valid = int(out.get("valid", 0))
-    flat_n = int(out.get("flat", 0))
-    written = valid if has_valid else flat_n
-    # New requests that produced no row (all predictions dropped, or no
-    # records at all) go to the ledger; one pass over the increment only.
-    plain = flatten_payload(log_new, model_name, record_schema, first_prediction_only=first_prediction_only)
-    if has_valid:
-        plain = plain.filter(F.col("prediction").isNotNull())
-    none = log_new.select(id_col).distinct().join(plain.select(id_col).distinct(), id_col, "left_anti")
-    obs_skip = Observation("skipped")
-    none.observe(obs_skip, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(_skipped_path(target_path))
-    skipped = int(obs_skip.get.get("n", 0))
-    return RefreshCounts(int(lg.get("n", 0)), flat_n, valid, written, skipped)
-
-
-def monitoring_table(spark, target_path: str, since: str | None = None, until: str | None = None) -> DataFrame:
-    """The monitoring table, optionally limited to ``[since, until)``.
-
-    The time bounds are applied to the ``day`` partition column as well as
-    to ``timestamp``, so only the folders of those days are listed and read
-    (partition pruning), not every file of the table.
+    flat = materialise(flat)
+    rows = flat.where("_pos is not null").drop("_pos")
+    valid = F.col("prediction").isNotNull()
+    sums = flat.agg(
+        F.count_distinct(KEY).alias("requests"),
+        F.count("_pos").alias("rows"),
+        F.count_if(valid & F.col("_pos").isNotNull()).alias("valid"),
+        F.count_distinct(F.when(F.col("_pos").isNotNull(), F.col(KEY))).alias("with_rows"),
+        F.count_distinct(F.when(valid & F.col("_pos").isNotNull(), F.col(KEY))).alias("with_valid"),
+    ).first()
+    rows.withColumn("valid", valid.cast("int")).write.mode("append").partitionBy("valid", "day").parquet(target_path)
+    flat.where("_pos is null").select(KEY, "day").write.mode("append").partitionBy("day").parquet(_ledger(target_path))
+    shown = sums["valid"] > 0 or _any_valid(spark, target_path)
+    written, told = (sums["valid"], sums["with_valid"]) if shown else (sums["rows"], sums["with_rows"])
+    return RefreshCounts(sums["requests"], sums["rows"], sums["valid"], written, sums["requests"] - told)
+
+
+def _any_valid(spark: SparkSession, target_path: str) -> bool:
+    """Whether any stored row has a prediction (lists the ``valid=1`` partition, reads one row)."""
+    part = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("valid", T.IntegerType())])
+    return bool(spark.read.schema(part).parquet(target_path).where("valid = 1").take(1))
+
+
+def monitoring_table(
+    spark: SparkSession, target_path: str, since: str | None = None, until: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """The monitoring table, optionally limited to ``[since, until)``: rows with a
+    prediction, or all rows if none of the whole table has one.
+
+    The time bounds are applied to the ``day`` partition column as well as to
+    ``timestamp``, so only the folders of those days are listed and read
+    (partition pruning).  ``schema`` reads a table that has no rows yet.
     """
-    df = spark.read.parquet(target_path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(target_path)
+    if _any_valid(spark, target_path):
+        df = df.where("valid = 1")
+    df = df.drop("valid", KEY)
     if since is not None:
         df = df.filter((F.col("day") >= F.to_date(F.lit(since))) & (F.col("timestamp") >= F.lit(since).cast("timestamp")))
     if until is not None:

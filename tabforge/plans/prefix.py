@@ -1,76 +1,55 @@
 """Exact running sums and dense row numbers without a one-task window.
 
-``Window.orderBy(x)`` with no partition moves every row to a single task.
-Here the ordered data is cut into value ranges first:
-
-1. global range boundaries ``percentile_approx(x, [1/B, ..., (B-1)/B])``
-   (one aggregation, ≤ 65,535 doubles fetched; the boundaries only balance
-   the work, they do not affect exactness);
-2. ``bucket`` by binary search over the boundaries (ML ``Bucketizer``) —
-   monotone in ``x``;
-3. per-(group, bucket) totals and their exclusive running offsets (a window
-   over that small table, ≤ B rows per group);
-4. a window partitioned by ``(group, bucket)`` for the in-bucket running sum,
-   plus the bucket's offset from a (size-checked) broadcast join.
-
-Callers aggregate by the order value first (scores, values, keys), so each
-distinct value is one row and a hot value cannot make a bucket large.
+``Window.orderBy(x)`` with no partition moves every row to a single task, and a
+window per group piles a hot group up in one.  Here, at every input size:
+
+1. ``repartitionByRange`` on the group and order columns (bounds from Spark's own
+   sample, any orderable type, NULL and NaN placed as Spark sorts them) makes
+   partitions of about equal size in order; a checkpoint fixes them;
+2. the totals per (group, partition) are a partial aggregate, and their exclusive
+   running sums a window over that small table (at most one row a partition and
+   group border);
+3. each total joins its (group, partition) as one more row that sorts first, so
+   one window partitioned by (group, partition) gives the running sums.  Window
+   keys compare NULL-safely, so NULL groups need no special case.
+
+Rows that are equal in all order columns share a partition: callers aggregate by
+the order value first, or give a tiebreak.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabforge.plans.joins import join_small, materialise
+from tabforge.plans.joins import materialise
 
-# Up to this many (pre-aggregated) rows one window task is bounded work.
-SMALL_ROWS = 1_000_000
+MAX_RANGES = 65_536
 
 
-MAX_BUCKETS = 65_536
-
-
-def default_buckets(df: DataFrame) -> int:
-    """About one range per shuffle partition, clamped to [16, 65,536]."""
+def default_ranges(df: DataFrame) -> int:
+    """One range per shuffle partition, at most 65,536."""
     try:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     except ValueError:
         n = 200
-    return min(max(16, n), MAX_BUCKETS)
-
-
-def with_bucket(df: DataFrame, order_col: str, buckets: int, nulls_last: bool = False) -> DataFrame:
-    """Add ``_bucket``: the global value-range bucket of ``order_col``.
-
-    One set of boundaries for the whole input: ``percentile_approx`` with
-    B-1 probabilities (≤ 65,535 doubles fetched — bounded), de-duplicated
-    into split points for ML's ``Bucketizer``, which places each row by
-    binary search in the JVM (O(log B) a row).  Groups share the ranges: a
-    hot group spreads over all of them, a small one touches few.  NULL
-    order values go to range 0, or after every range with ``nulls_last``
-    (matching where the in-range window sorts them).
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    buckets = min(max(2, buckets), MAX_BUCKETS)
-    probs = [i / buckets for i in range(1, buckets)]
-    x = F.col(order_col).cast("double")
-    accuracy = max(10_000, 4 * buckets)
-    bounds = df.agg(F.percentile_approx(x, probs, accuracy).alias("b")).first()["b"] or []
-    inner = sorted({b for b in bounds if b is not None and b == b and abs(b) != float("inf")})
-    splits = [float("-inf"), *inner, float("inf")]
-    src = df.withColumn("_x", x)
-    first, after = F.lit(0), F.lit(len(splits) - 1)
-    # Spark order: NULL first / NaN last ascending, the reverse descending.
-    null_bucket, nan_bucket = (after, first) if nulls_last else (first, after)
-    if len(splits) < 3:
-        out, ranged = src, F.lit(0)
-    else:
-        out = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(src)
-        ranged = F.col("_b").cast("int")
-    bucket = F.when(F.col("_x").isNull(), null_bucket).when(F.isnan("_x"), nan_bucket).otherwise(ranged)
-    return out.withColumn("_bucket", bucket).drop("_x", "_b")
+    return min(max(1, n), MAX_RANGES)
+
+
+def row_print(df: DataFrame) -> Column:
+    """Hash of a whole row, to put rows with equal keys in a fixed order."""
+    return F.xxhash64(*[_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+
+
+def _hashable(c: Column, dt: T.DataType) -> Column:
+    return F.to_json(F.struct(c)) if "map<" in dt.simpleString() or "variant" in dt.simpleString() else c
+
+
+def ranged(df: DataFrame, order: list[Column], ranges: int | None = None) -> DataFrame:
+    """``df`` cut into ordered ranges: adds ``_range``, fixed by a checkpoint."""
+    parts = df.repartitionByRange(ranges or default_ranges(df), *order)
+    return materialise(parts.withColumn("_range", F.spark_partition_id()))
 
 
 def running_sums(
@@ -81,62 +60,27 @@ def running_sums(
     descending: bool = False,
     buckets: int | None = None,
     prefix: str = "cum_",
-    bucket_col: str | None = None,
-    small_rows: int | None = None,
     tiebreak: list[str] | None = None,
-    materialise_input: bool = True,
+    by_row: bool = False,
 ) -> DataFrame:
-    """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
-    order (ties: rows sharing an order value are summed together, like a
-    RANGE frame), restarting per ``groups``.
-
-    ``bucket_col`` (numeric, non-decreasing in ``order_col``) picks buckets
-    when ``order_col`` itself is not numeric (e.g. a string's byte prefix).
-    ``tiebreak`` columns extend the in-window order (rows equal in all of
-    them still share a running value, as a RANGE frame does).
-
-    The input is counted: up to ``small_rows`` rows a plain window is
-    bounded work for one task and is used directly; beyond that the
-    bucketed plan spreads the work.  ``materialise_input`` checkpoints the
-    input first — right for pre-aggregated inputs (scores, distinct values)
-    that are costly to recompute; raw-table callers pass False, since
-    re-reading a column-pruned scan is cheaper than writing a copy of it.
-    """
+    """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in the order of
+    ``order_col`` and ``tiebreak``, restarting per ``groups`` (NULL is a group).
+
+    Rows equal in all order columns are summed together (a RANGE frame); with
+    ``by_row`` each row counts by itself (a ROWS frame).  ``buckets`` is the
+    number of ranges (default: the session's shuffle partitions)."""
     groups = list(groups or [])
-    key = F.col(order_col)
-    in_order = [key.desc() if descending else key.asc()]
-    in_order += [F.col(t).desc() if descending else F.col(t).asc() for t in tiebreak or []]
-    small_rows = SMALL_ROWS if small_rows is None else small_rows
-    if small_rows > 0:
-        if materialise_input:
-            df = materialise(df)
-        if df.count() <= small_rows:
-            w = Window.partitionBy(*groups).orderBy(*in_order).rangeBetween(Window.unboundedPreceding, 0)
-            return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
-    buckets = buckets or default_buckets(df)
-    proxy = F.col(bucket_col).cast("double") if bucket_col else key.cast("double")
-    src = df.withColumn("_ord", -proxy if descending else proxy)
-    # Spark sorts NULLs first ascending, last descending: ranges agree.
-    b = with_bucket(src, "_ord", buckets, nulls_last=descending)
-    totals = b.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    w_off = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *groups,
-        "_bucket",
-        *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
-    )
-    # Present (group, range) pairs: ≤ min(rows, groups × B).  B rows when
-    # ungrouped (broadcast); size-checked before broadcasting otherwise.
-    if groups:
-        with_off = join_small(b, offsets, [*groups, "_bucket"], "left")
-    else:
-        with_off = b.join(F.broadcast(offsets), ["_bucket"], "left")
-    # In-bucket order on the original column (the double only picks buckets).
-    w_in = Window.partitionBy(*groups, "_bucket").orderBy(*in_order).rangeBetween(Window.unboundedPreceding, 0)
-    out = with_off.withColumns(
-        {f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(w_in) for c in sum_cols}
-    )
-    return out.drop("_ord", "_bucket", *[f"_o_{c}" for c in sum_cols])
+    keys = [order_col, *(tiebreak or [])]
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in keys]
+    rows = ranged(df, [*[F.col(g) for g in groups], *order], buckets)
+    totals = rows.groupBy(*groups, "_range").agg(*[F.sum(c).alias(c) for c in sum_cols])
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sum_cols])
+    led = rows.withColumn("_row", F.lit(1)).unionByName(offsets.withColumn("_row", F.lit(0)), allowMissingColumns=True)
+    along = Window.partitionBy(*groups, "_range").orderBy("_row", *order)
+    along = (along.rowsBetween if by_row else along.rangeBetween)(Window.unboundedPreceding, Window.currentRow)
+    out = led.withColumns({f"{prefix}{c}": F.sum(c).over(along) for c in sum_cols})
+    return out.where(F.col("_row") == 1).drop("_range", "_row")
 
 
 def dense_index(
@@ -145,22 +89,15 @@ def dense_index(
     groups: list[str] | None = None,
     buckets: int | None = None,
     into: str = "row_index",
-    bucket_col: str | None = None,
-    small_rows: int | None = None,
     tiebreak: list[str] | None = None,
-    materialise_input: bool = True,
 ) -> DataFrame:
-    """0-based row number in ``(order_col, *tiebreak)`` order (unique per
-    group expected), computed without a one-task window."""
-    src = df.withColumn("_one", F.lit(1))
+    """0-based row number per group in ``(order_col, *tiebreak)`` order.
+
+    Every row gets its own number: rows that tie in all of these are put in the
+    order of a hash of the whole row (rows equal in every column are
+    interchangeable)."""
+    src = df.withColumns({"_one": F.lit(1).cast("long"), "_print": row_print(df)})
     out = running_sums(
-        src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", bucket_col=bucket_col,
-        small_rows=small_rows, tiebreak=tiebreak, materialise_input=materialise_input,
+        src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", tiebreak=[*(tiebreak or []), "_print"], by_row=True
     )
-    return out.withColumn(into, F.col("_cum_one") - 1).drop("_one", "_cum_one")
-
-
-def string_order_proxy(c) -> "F.Column":
-    """Non-decreasing numeric proxy of a string's byte order: its first 7
-    UTF-8 bytes as a big-endian integer (shorter strings zero-padded)."""
-    return F.conv(F.rpad(F.hex(F.substring(c.cast("string"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    return out.withColumn(into, F.col("_cum_one") - 1).drop("_one", "_cum_one", "_print")

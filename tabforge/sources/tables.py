@@ -6,6 +6,7 @@ push filters and prune columns into Parquet.  Nothing here collects data.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +34,12 @@ def register_views(spark: SparkSession, sf_dir: str, names=TEST_TABLES) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path
     names (local, HDFS, object stores) — metadata only."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        return spark.read.schema("_ int").parquet(path).schema is not None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -64,16 +68,20 @@ def read_csv_na(
     path: str,
     schema: T.StructType | str | None = None,
     na_tokens=PANDAS_NA_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Header CSV scan with pandas-style missing tokens.
 
     All columns are first read as strings so that every token can be
     recognised (Spark's ``nullValue`` takes a single token); typed columns
     are then produced with ``try_cast`` so a stray token never fails a job.
+    Without a ``schema`` the types are inferred (:func:`infer_types`).
+    Files are split across tasks; ``multi_line`` (quoted line breaks) makes
+    each file one task.
     """
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
@@ -81,7 +89,7 @@ def read_csv_na(
     raw = reader.csv(path)
     raw = normalise_na(raw, tokens=na_tokens)
     if schema is None:
-        return raw
+        schema = infer_types(raw)
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     cols = []
@@ -93,6 +101,26 @@ def read_csv_na(
     return raw.select(*cols)
 
 
+def infer_types(raw: DataFrame) -> T.StructType:
+    """Types of text columns, from one aggregate over them: long if every non-null
+    value is a whole number, else double if every one is a number, else boolean if
+    all are true / false, else text (also for columns without any value)."""
+    kinds = [(T.LongType(), "l"), (T.DoubleType(), "d")]
+    aggs = []
+    for i, name in enumerate(raw.columns):
+        c = F.col("`" + name.replace("`", "``") + "`")
+        aggs.append(F.count(c).alias(f"n{i}"))
+        aggs += [F.count(try_cast_text(c, t)).alias(f"{k}{i}") for t, k in kinds]
+        aggs.append(F.count_if(F.lower(c).isin("true", "false")).alias(f"b{i}"))
+    row = raw.agg(*aggs).first()
+    out = T.StructType()
+    for i, name in enumerate(raw.columns):
+        n = row[f"n{i}"]
+        kind = next((t for t, k in [*kinds, (T.BooleanType(), "b")] if n and row[f"{k}{i}"] == n), T.StringType())
+        out.add(name, kind)
+    return out
+
+
 def from_local(spark: SparkSession, pdf, schema=None) -> DataFrame:
     """Local rows → distributed table with NaN normalised to NULL.
 
@@ -103,17 +131,23 @@ def from_local(spark: SparkSession, pdf, schema=None) -> DataFrame:
     return nan_to_null(df)
 
 
-def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    """Overwrite sink (S5).  Parquet path, optionally partitioned."""
+def write_snapshot(df: DataFrame, target: str, mode: str = "overwrite", partition_by=None, location: str | None = None) -> None:
+    """Overwrite sink (S5): a parquet path (has a ``/``) or a catalog table by name,
+    optionally partitioned.  ``location`` places a new table's files."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if "/" in target:
+        w.parquet(target)
+        return
+    w = w.format("parquet")
+    (w.option("path", location) if location else w).saveAsTable(target)
 
 
-def append(df: DataFrame, path: str, partition_by=None) -> None:
-    """Append sink (S6); with ``partition_by`` only those folders are touched."""
-    write_snapshot(df, path, mode="append", partition_by=partition_by)
+def append(df: DataFrame, target: str, partition_by=None, location: str | None = None) -> None:
+    """Append sink (S6), by path or table name; with ``partition_by`` only those
+    folders are touched.  A table's columns are matched by name."""
+    write_snapshot(df, target, mode="append", partition_by=partition_by, location=location)
 
 
 def preview(df: DataFrame, n: int = 20):

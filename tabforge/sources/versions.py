@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.plans.prefix import row_print
 from tabforge.sources.tables import path_exists
 
 MANIFEST_SCHEMA = T.StructType(
@@ -94,14 +95,15 @@ def change_feed(old: DataFrame, new: DataFrame, keys: list[str], cols: list[str]
     """Row-level changes between two versions.
 
     ``_change_type`` ∈ {insert, delete, update_preimage, update_postimage}.
-    One full outer join on the keys (shuffle on a unique key: no skew),
-    null-safe comparison of the other columns, and pre/post images emitted
+    One full outer join on the keys (shuffle on a unique key: no skew; a NULL
+    key is a key like any other), null-safe comparison of the other columns, and pre/post images emitted
     by one ``explode`` of a per-row array — a single pass, no union of scans.
     """
     cols = cols or [c for c in new.columns if c not in keys]
-    o = old.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_in_old"))
-    n = new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_in_new"))
-    j = o.join(n, keys, "full_outer")
+    o = old.select(*[F.col(k).alias(f"_ok_{k}") for k in keys], *[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_in_old"))
+    n = new.select(*[F.col(k).alias(f"_nk_{k}") for k in keys], *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_in_new"))
+    j = o.join(n, [F.col(f"_ok_{k}").eqNullSafe(F.col(f"_nk_{k}")) for k in keys], "full_outer")
+    j = j.withColumns({k: F.when(F.col("_in_new"), F.col(f"_nk_{k}")).otherwise(F.col(f"_ok_{k}")) for k in keys})
     in_old, in_new = F.coalesce(F.col("_in_old"), F.lit(False)), F.coalesce(F.col("_in_new"), F.lit(False))
     same = F.lit(True)
     for c in cols:
@@ -121,18 +123,25 @@ def change_feed(old: DataFrame, new: DataFrame, keys: list[str], cols: list[str]
 
 def new_rows(src: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``src`` whose key is not yet in ``target`` (S11): a left-anti
-    join — re-running a load over the same log adds nothing."""
-    return src.join(target.select(*keys).distinct(), keys, "left_anti")
+    join — re-running a load over the same log adds nothing.  NULL is a key value
+    like any other; of several rows with one key, one is kept (the smallest by a
+    hash of the row)."""
+    known = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    fresh = src.join(known, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_anti")
+    rest = [c for c in src.columns if c not in keys]
+    if not rest:
+        return fresh.distinct()
+    one = fresh.groupBy(*keys).agg(F.min_by(F.struct(*rest), row_print(src)).alias("_one"))
+    return one.select(*keys, "_one.*").select(*src.columns)
 
 
 def load_new(src: DataFrame, target_path: str, keys: list[str], partition_by=None) -> int:
     """Append only the new rows of ``src`` to the parquet table at
     ``target_path``; returns the number appended (from an Observation)."""
     spark = src.sparkSession
-    if path_exists(spark, target_path):
-        fresh = new_rows(src, spark.read.parquet(target_path), keys)
-    else:  # first load
-        fresh = src
+    # an explicit schema: a target without files yet is an empty table
+    known = spark.read.schema(src.schema).parquet(target_path) if path_exists(spark, target_path) else src.limit(0)
+    fresh = new_rows(src, known, keys)
     obs = Observation("appended")
     w = fresh.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append")
     if partition_by:

@@ -83,13 +83,31 @@ def window_profile_stream(stream: DataFrame, ts: str, duration: str, keys: list[
     )
 
 
+def open_windows(source: DataFrame, ts: str, duration: str, keys: list[str], num_cols: list[str],
+                 delay: str = "1 hour") -> DataFrame:
+    """The windows that T3 has not emitted when its input ends: those that end
+    after the last watermark (largest event time minus ``delay``), as a batch over
+    the rows from there on.  Stream output and this together are the whole profile."""
+    timed = source.withColumn(ts, as_timestamp(F.col(ts)))
+    mark = timed.select((F.max(ts) - F.expr(f"interval {delay}")).alias("m")).scalar()
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for c in num_cols:
+        aggs += numeric_stats(c, quantiles=())
+    out = timed.groupBy(F.window(ts, duration).alias("w"), *keys).agg(*aggs).where(F.col("w.end") > mark)
+    return out.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
+        *[c for c in out.columns if c not in ("w", *keys)],
+    )
+
+
 def refresh_stream(stream: DataFrame, target_path: str, checkpoint: str, model_name: str,
                    record_schema: T.StructType, first_prediction_only: bool = True) -> None:
     """T1 through the batch refresh: each micro-batch of the request-log
     stream is handed to :func:`tabforge.plans.monitoring.refresh_monitoring`
     with ``foreachBatch``.  A micro-batch replayed after a failure is skipped
-    request by request (table ids ∪ the skipped-request ledger), so the
-    effect is exactly once; the keep-all fallback is decided per batch."""
+    request by request (table keys ∪ the ledger), so the effect is exactly
+    once; which rows are shown is decided when the table is read, so the
+    result does not depend on how files were grouped into micro-batches."""
     from tabforge.plans.monitoring import refresh_monitoring
 
     def run(batch: DataFrame, _epoch: int) -> None:

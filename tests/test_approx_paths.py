@@ -21,11 +21,11 @@ def test_hll_distinct_close_to_exact(spark):
     assert all(abs(a[k] - b[k]) <= max(2, 0.1 * a[k]) for k in a)
 
 
-def test_salted_hll_and_kll_close_to_exact(spark):
+def test_salted_hll_close_to_exact(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     exact = profile.window_profile(ev, "ts", "1 day", ["event_type"], ["value"], ["user_id"])
     salted = profile.window_profile(
-        ev, "ts", "1 day", ["event_type"], ["value"], ["user_id"], exact_distinct=False, salt=4, kll_k=64
+        ev, "ts", "1 day", ["event_type"], ["value"], ["user_id"], exact_distinct=False, salt=4
     )
     a = {(r["window_start"], r["event_type"]): r for r in exact.collect()}
     b = {(r["window_start"], r["event_type"]): r for r in salted.collect()}
@@ -33,7 +33,7 @@ def test_salted_hll_and_kll_close_to_exact(spark):
         s = b[k]
         assert s["n_rows"] == r["n_rows"] and s["value_mean"] == pytest.approx(r["value_mean"], abs=1e-6)
         assert abs(s["user_id_distinct"] - r["user_id_distinct"]) <= max(2, 0.1 * r["user_id_distinct"])
-        assert r["value_min"] <= s["value_p50"] <= r["value_max"]
+        assert s["value_p50"] == r["value_p50"]
 
 
 def test_column_profile_approx(spark):

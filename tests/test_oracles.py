@@ -31,22 +31,6 @@ def test_entry_smoke(spark):
     assert "window_start" in df.columns
 
 
-PREFIX_QUERIES = [
-    "roc_auc", "pr_auc", "roc_auc_by_group", "drift_ks", "encode_fit", "encode_apply", "resample",
-    "metric_history", "metric_latest", "synthetic_categorical", "synthetic_table",
-]
-
-
-@pytest.mark.parametrize("name", PREFIX_QUERIES)
-def test_bucketed_prefix_plan_matches_oracle(spark, con, name, monkeypatch):
-    """Force the large-input (bucketed) running-sum plan and re-check."""
-    import tabforge.plans.prefix as prefix
-
-    monkeypatch.setattr(prefix, "SMALL_ROWS", 0)
-    res = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
-    assert res["status"] == "match", res
-
-
 SPARK_TO_DUCK = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
     "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "date": "DATE",

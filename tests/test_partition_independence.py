@@ -6,6 +6,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabforge.operators import experiment, sampling, synth
@@ -61,10 +62,10 @@ def test_running_sums_match_pandas(spark):
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 2000), "x": rng.permutation(2000), "v": rng.integers(0, 5, 2000)})
     df = spark.createDataFrame(pdf)
     exp = pdf.sort_values(["g", "x"]).groupby("g")["v"].cumsum()
-    for small in (0, None):  # bucketed plan, then the small-input window
-        got = running_sums(df, "x", ["v"], ["g"], buckets=7, small_rows=small).toPandas().sort_values(["g", "x"])
+    for ranges in (1, 7, 64):
+        got = running_sums(df, "x", ["v"], ["g"], buckets=ranges).toPandas().sort_values(["g", "x"])
         assert list(got["cum_v"]) == list(exp)
-        idx = dense_index(df, "x", buckets=5, small_rows=small).toPandas().sort_values("x")
+        idx = dense_index(df, "x", buckets=ranges).toPandas().sort_values("x")
         assert list(idx["row_index"]) == list(range(2000))
 
 
@@ -77,20 +78,46 @@ def test_bootstrap_draws_source_values(spark):
     assert all(tuple(r["embedding"]) in source for r in got)
 
 
-def test_running_sums_bucketed_edge_cases(spark):
+def test_running_sums_edge_cases(spark):
+    """NULL, NaN and tied order values in any number of ranges, both directions."""
     import pandas as pd
 
     rows = [(None, 1), (None, 2), (float("nan"), 4)] + [(float(i % 5), 1) for i in range(50)] + [(7.5, 3)]
     df = spark.createDataFrame(rows, "x double, v int")
     for desc in (False, True):
-        got = running_sums(df, "x", ["v"], descending=desc, buckets=64, small_rows=0).toPandas()
-        ref = running_sums(df, "x", ["v"], descending=desc, small_rows=10_000).toPandas()
+        got = running_sums(df, "x", ["v"], descending=desc, buckets=64).toPandas()
+        order = F.col("x").desc() if desc else F.col("x").asc()
+        ref = df.withColumn("cum_v", F.sum("v").over(Window.orderBy(order))).toPandas()
         key = ["x", "v", "cum_v"]
         a = got[key].sort_values(key, na_position="first").reset_index(drop=True)
         b = ref[key].sort_values(key, na_position="first").reset_index(drop=True)
         pd.testing.assert_frame_equal(a, b, check_dtype=False)
 
 
+def test_null_groups_text_and_time_orders(spark):
+    rows = [(None if i % 3 == 0 else i % 3, f"key-{i % 50:04d}", i) for i in range(600)]
+    df = spark.createDataFrame(rows, "g int, name string, v int").withColumn(
+        "at", F.timestamp_micros(F.col("v") % 40).cast("timestamp_ntz")
+    )
+    for order in ("name", "at"):
+        got = running_sums(df, order, ["v"], ["g"], buckets=16).collect()
+        ref = df.withColumn("cum_v", F.sum("v").over(Window.partitionBy("g").orderBy(order))).collect()
+        pick = lambda rs: sorted(((r["g"] is None, r["g"] or 0, r["v"], r["cum_v"]) for r in rs))
+        assert pick(got) == pick(ref)
+        idx = dense_index(df, order, groups=["g"], buckets=16).collect()
+        for g in (None, 1, 2):
+            mine = sorted((r["row_index"], r[order]) for r in idx if r["g"] == g)
+            assert [i for i, _ in mine] == list(range(200))
+            assert [o for _, o in mine] == sorted(o for _, o in mine)
+
+
+def test_resample_with_ties_has_the_exact_size(spark):
+    df = spark.createDataFrame([(i % 4, i) for i in range(100)], "k int, v int")
+    assert sampling.resample(df, "k").count() == 100
+    same = spark.createDataFrame([("a", 1)] * 40, "k string, v int")
+    assert sampling.resample(same, "k", 70).count() == 70
+
+
 def test_drift_with_an_empty_side_is_null_not_an_error(spark):
     from tabforge.operators import drift
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabforge.operators import profile
-from tabforge.plans.prefix import dense_index, with_bucket
+from tabforge.plans.prefix import dense_index, ranged
 
 
 def _hot(spark, n=30_000):
@@ -18,15 +18,42 @@ def _hot(spark, n=30_000):
 
 def test_hot_group_spreads_over_ranges(spark):
     df = _hot(spark)
-    b = with_bucket(df.withColumn("_o", F.col("t").cast("double")), "_o", 16)
-    sizes = [r["count"] for r in b.filter(F.col("k") == 0).groupBy("_bucket").count().collect()]
-    assert len(sizes) == 16
-    assert max(sizes) <= 2 * (10_000 / 16)
+    b = ranged(df, [F.col("k"), F.col("t")], 16)
+    sizes = [r["count"] for r in b.groupBy("_range").count().collect()]
+    assert len(sizes) >= 14 and max(sizes) <= 3 * (30_000 / 16)
+    assert b.filter(F.col("k") == 0).select("_range").distinct().count() >= 5
+
+
+def test_strings_with_a_common_start_spread(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("https://www.example.org/a/very/long/prefix/"), F.col("id")).alias("url"))
+    sizes = [r["count"] for r in ranged(df, [F.col("url")], 16).groupBy("_range").count().collect()]
+    assert len(sizes) >= 14 and max(sizes) <= 3 * (20_000 / 16)
+
+
+def test_quantiles_are_exact_in_big_groups(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 != 0, F.lit("k")).alias("k"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"),
+        (F.hash("id") / 7.0).alias("x"),
+    )
+    values = sorted(r["x"] for r in df.where("k is null").select("x").collect())
+    for salt in (0, 4):
+        rows = profile.window_profile(df, "ts", "30 minutes", ["k"], ["x"], ["x"], quantiles=(0.5, 0.99), salt=salt).collect()
+        row = next(r for r in rows if r["k"] is None)
+        assert row["n_rows"] == 10_000 and row["x_p50"] == values[4_999] and row["x_p99"] == values[9_899]
+        assert row["x_distinct"] == len(set(values))
+
+
+def test_rows_without_a_time_keep_a_window(spark):
+    df = spark.createDataFrame([("2024-01-01 00:10:00", 1.0), (None, 2.0), (None, 4.0)], "ts string, x double")
+    rows = profile.window_profile(df.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "30 minutes", [], ["x"]).collect()
+    got = {r["window_start"] is None: (r["n_rows"], r["x_mean"], r["x_p50"]) for r in rows}
+    assert got == {False: (1, 1.0, 1.0), True: (2, 3.0, 2.0)}
 
 
 def test_dense_index_exact_for_hot_group(spark):
     df = _hot(spark)
-    idx = dense_index(df, "t", groups=["k"], small_rows=0, buckets=16)
+    idx = dense_index(df, "t", groups=["k"], buckets=16)
     hot = idx.filter(F.col("k") == 0).agg(F.min("row_index"), F.max("row_index"), F.count_distinct("row_index"))
     assert tuple(hot.first()) == (0, 9_999, 10_000)
 

@@ -100,7 +100,7 @@ def test_stream_equals_batch_on_closed_windows(spark):
 def test_refresh_counts_are_whole(spark):
     from pyspark.sql import types as T
 
-    from tabforge.plans.monitoring import refresh_monitoring
+    from tabforge.plans.monitoring import monitoring_table, refresh_monitoring
 
     schema = T.StructType([T.StructField("a", T.LongType())])
     rows = [
@@ -115,11 +115,60 @@ def test_refresh_counts_are_whole(spark):
     target = scratch_path(spark, f"mon/{uuid.uuid4().hex}")
     first = refresh_monitoring(log, target, "m", schema, first_prediction_only=False)
     assert (first.log_rows, first.flattened_rows, first.valid_rows) == (30, 60, 40)
-    assert first.written_rows == 40 == spark.read.parquet(target).count()
+    assert first.written_rows == 40 == monitoring_table(spark, target).count()
     assert first.skipped_requests == 10  # the "bad" responses: processed, all rows dropped
     again = refresh_monitoring(log, target, "m", schema)
     assert (again.log_rows, again.written_rows) == (0, 0)
-    assert spark.read.parquet(target).count() == 40
+    assert monitoring_table(spark, target).count() == 40
+
+
+def test_refresh_does_not_depend_on_the_cut(spark):
+    """Requests without predictions show only while none has one, in any grouping;
+    repeats, NULL ids and an empty first run included."""
+    from pyspark.sql import types as T
+
+    from tabforge.plans.monitoring import monitoring_table, refresh_monitoring
+
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    rows = [(None if i % 4 == 0 else f"r{i}", f"2024-01-01 00:{i:02d}:00", 5, '{"dataframe_records":[{"a":%d}]}' % i,
+             "bad" if i < 5 else '{"predictions":[1]}') for i in range(10)]
+    log = spark.createDataFrame(
+        rows + rows[:3], "databricks_request_id string, request_time string, execution_duration_ms long, request string, "
+        "response string",
+    ).withColumn("request_time", F.col("request_time").cast("timestamp"))
+    early = F.col("request_time") < "2024-01-01 00:05:00"
+    results = []
+    for cuts in ([F.lit(True)], [early, ~early], [F.lit(False), early, ~early, F.lit(True)]):
+        target = scratch_path(spark, f"mon/{uuid.uuid4().hex}")
+        for k, cut in enumerate(cuts):
+            refresh_monitoring(log.where(cut), target, "m", schema)
+            if len(cuts) == 2 and k == 0:
+                assert monitoring_table(spark, target).count() == 5  # no prediction so far: all rows
+        results.append(sorted(r["a"] for r in monitoring_table(spark, target).collect()))
+    assert results == [[5, 6, 7, 8, 9]] * 3
+
+
+def test_new_rows_null_and_repeated_keys(spark):
+    target = scratch_path(spark, f"inc/{uuid.uuid4().hex}")
+    src = spark.createDataFrame([(None, 1), (1, 2), (1, 2), (2, 3)], "k int, v int")
+    assert [versions.load_new(src.limit(0), target, ["k"])] + [versions.load_new(src, target, ["k"]) for _ in range(3)] == [0, 3, 0, 0]
+    old = spark.createDataFrame([(None, "a")], "k int, v string")
+    assert versions.change_feed(old, old, ["k"]).count() == 0
+
+
+def test_large_csv_is_split_and_typed(spark):
+    path = scratch_path(spark, f"csv/{uuid.uuid4().hex}")
+    spark.range(0, 60_000, 1, 1).select("id", (F.col("id") / 3).alias("x"), F.lit("N/A").alias("none"), (F.col("id") > 5).alias("b")).coalesce(
+        1).write.option("header", True).csv(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        df = tables.read_csv_na(spark, path)
+        assert df.rdd.getNumPartitions() >= 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [t for _, t in df.dtypes] == ["bigint", "double", "string", "boolean"]
+    assert df.agg(F.sum("id")).first()[0] == 60_000 * 59_999 // 2
 
 
 def test_monitoring_time_range_prunes_day_partitions(spark):
