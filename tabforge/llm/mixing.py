@@ -101,54 +101,54 @@ def mix(
     docs = docs.drop(*made)
     sized = docs.withColumn("size", words_in(F.col("text")))
     u = uniform(key_text(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed=seed, salt="mix"))
-    lean = settle(sized.select("source", "doc_id", "size", u.alias("u"), F.xxhash64("text").alias("h")))
+    lean = settle(sized.select("source", "doc_id", "size", u.alias("_mix_u"), F.xxhash64("text").alias("_mix_h")))
     per_source = lean.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = settle(targets(per_source, weights, max_repeat))
     n_sources = goal.agg(F.count(F.lit(1)), F.sum(F.length("source"))).first()
     small = 64 * n_sources[0] + 2 * (n_sources[1] or 0) <= BROADCAST_BYTES
     plan = goal.select(
-        F.col("source").alias("_source"),
+        F.col("source").alias("_mix_source"),
         "source_size",
         "target",
-        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("_sure"),
+        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("_mix_sure"),
     )
-    plan = plan.withColumn("_rest", F.greatest(F.col("target") - F.col("_sure") * F.col("source_size"), F.lit(0.0)))
-    plan = plan.withColumn("_p", F.when(F.col("source_size") > 0, F.col("_rest") / F.col("source_size")).otherwise(0.0))
+    plan = plan.withColumn("_mix_rest", F.greatest(F.col("target") - F.col("_mix_sure") * F.col("source_size"), F.lit(0.0)))
+    plan = plan.withColumn("_mix_p", F.when(F.col("source_size") > 0, F.col("_mix_rest") / F.col("source_size")).otherwise(0.0))
 
     def by_source(rows: DataFrame, table: DataFrame) -> DataFrame:
-        on = rows["source"].eqNullSafe(table["_source"])
+        on = rows["source"].eqNullSafe(table["_mix_source"])
         return rows.join(F.broadcast(table) if small else table, on)
 
     # ranking variable: random odds over inclusion odds, brought to [0, 1) as q / (1 + q)
-    odds = (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("_p")) / F.col("_p"))
-    rank = F.when(F.col("_p") > 0, odds / (1 + odds))
-    ranked = by_source(lean, plan).where(F.col("_p") > 0).withColumn("_q", rank)
-    ranked = ranked.withColumn("_range", F.floor(F.col("_q") * ranges).cast("int"))
-    ranked = ranked.select("_source", "_rest", "_range", "_q", "doc_id", "size", "h")
-    sums = ranked.groupBy("_source", "_rest", "_range").agg(F.sum("size").alias("_size"))
-    along = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    odds = (F.col("_mix_u") / (1 - F.col("_mix_u"))) * ((1 - F.col("_mix_p")) / F.col("_mix_p"))
+    rank = F.when(F.col("_mix_p") > 0, odds / (1 + odds))
+    ranked = by_source(lean, plan).where(F.col("_mix_p") > 0).withColumn("_mix_q", rank)
+    ranked = ranked.withColumn("_mix_range", F.floor(F.col("_mix_q") * ranges).cast("int"))
+    ranked = ranked.select("_mix_source", "_mix_rest", "_mix_range", "_mix_q", "doc_id", "size", "_mix_h")
+    sums = ranked.groupBy("_mix_source", "_mix_rest", "_mix_range").agg(F.sum("size").alias("_size"))
+    along = Window.partitionBy("_mix_source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, 0)
     met = sums.withColumn("_upto", F.sum("_size").over(along))  # at most ``ranges`` rows a source
-    met = met.where((F.col("_upto") >= F.col("_rest")) & (F.col("_upto") - F.col("_size") < F.col("_rest")))
-    met = met.groupBy("_source").agg(F.min(F.struct("_range", (F.col("_upto") - F.col("_size")).alias("_before"))).alias("_m"))
-    met = met.select(F.col("_source").alias("_s"), F.col("_m._range").alias("_r"), F.col("_m._before").alias("_before"))
-    near = ranked.join(F.broadcast(met) if small else met, ranked["_source"].eqNullSafe(met["_s"]) & (ranked["_range"] == met["_r"]))
-    near = near.groupBy("_source", "_rest", "_before", "_r", "_q", "doc_id", "h").agg(F.sum("size").alias("_size"))
-    order = Window.partitionBy("_source").orderBy("_q", "doc_id", "h").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("_upto", F.col("_before") + F.sum("_size").over(order))
+    met = met.where((F.col("_upto") >= F.col("_mix_rest")) & (F.col("_upto") - F.col("_size") < F.col("_mix_rest")))
+    met = met.groupBy("_mix_source").agg(F.min(F.struct("_mix_range", (F.col("_upto") - F.col("_size")).alias("_mix_before"))).alias("_m"))
+    met = met.select(F.col("_mix_source").alias("_s"), F.col("_m._mix_range").alias("_mix_r"), F.col("_m._mix_before").alias("_mix_before"))
+    near = ranked.join(F.broadcast(met) if small else met, ranked["_mix_source"].eqNullSafe(met["_s"]) & (ranked["_mix_range"] == met["_mix_r"]))
+    near = near.groupBy("_mix_source", "_mix_rest", "_mix_before", "_mix_r", "_mix_q", "doc_id", "_mix_h").agg(F.sum("size").alias("_size"))
+    order = Window.partitionBy("_mix_source").orderBy("_mix_q", "doc_id", "_mix_h").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_upto", F.col("_mix_before") + F.sum("_size").over(order))
     # the document at the border is taken if that brings the words nearer to the target
-    inside = F.col("_upto") - F.col("_size") / 2 <= F.col("_rest")
-    last = near.where(inside).groupBy("_source").agg(F.max(F.struct("_q", "doc_id", "h")).alias("_last"))
+    inside = F.col("_upto") - F.col("_size") / 2 <= F.col("_mix_rest")
+    last = near.where(inside).groupBy("_mix_source").agg(F.max(F.struct("_mix_q", "doc_id", "_mix_h")).alias("_mix_last"))
     cut = settle(
-        plan.join(met, plan["_source"].eqNullSafe(met["_s"]), "left")
-        .join(last.withColumnRenamed("_source", "_s2"), F.col("_source").eqNullSafe(F.col("_s2")), "left")
-        .select("_source", "source_size", "target", "_sure", "_p", "_r", "_last")
+        plan.join(met, plan["_mix_source"].eqNullSafe(met["_s"]), "left")
+        .join(last.withColumnRenamed("_mix_source", "_s2"), F.col("_mix_source").eqNullSafe(F.col("_s2")), "left")
+        .select("_mix_source", "source_size", "target", "_mix_sure", "_mix_p", "_mix_r", "_mix_last")
     )
-    out = by_source(sized.withColumn("u", u).withColumn("h", F.xxhash64("text")), cut)
-    out = out.withColumn("_q", rank).withColumn("_range", F.floor(F.col("_q") * ranges).cast("int"))
-    at_cut = F.struct("_q", "doc_id", "h") <= F.col("_last")
-    more = F.when(F.col("_p") <= 0, False).when(F.col("_r").isNull(), True)
-    more = more.when(F.col("_range") < F.col("_r"), True).otherwise((F.col("_range") == F.col("_r")) & F.coalesce(at_cut, F.lit(False)))
-    out = out.withColumn("copies", (F.col("_sure") + F.coalesce(more, F.lit(False)).cast("int")).cast("long"))
+    out = by_source(sized.withColumn("_mix_u", u).withColumn("_mix_h", F.xxhash64("text")), cut)
+    out = out.withColumn("_mix_q", rank).withColumn("_mix_range", F.floor(F.col("_mix_q") * ranges).cast("int"))
+    at_cut = F.struct("_mix_q", "doc_id", "_mix_h") <= F.col("_mix_last")
+    more = F.when(F.col("_mix_p") <= 0, False).when(F.col("_mix_r").isNull(), True)
+    more = more.when(F.col("_mix_range") < F.col("_mix_r"), True).otherwise((F.col("_mix_range") == F.col("_mix_r")) & F.coalesce(at_cut, F.lit(False)))
+    out = out.withColumn("copies", (F.col("_mix_sure") + F.coalesce(more, F.lit(False)).cast("int")).cast("long"))
     out = out.withColumn("taken", F.col("copies") * F.col("size"))
     return out.select(*docs.columns, *made)
 
