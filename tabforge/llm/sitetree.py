@@ -292,16 +292,16 @@ def main_text(pages: DataFrame) -> DataFrame:
     their host).  Other columns pass through; own columns named like the results
     are replaced.  No pages: no rows."""
     pages = pages.drop("text", "n_chars")
-    hosted = pages.withColumn("host", host_and_path(F.col("url"))[0])
-    low = settle(unimportant_branches(style_rows(hosted)))
+    hosted = pages.withColumn("_site", host_and_path(F.col("url"))[0])
+    low = settle(unimportant_branches(style_rows(hosted.select(F.col("_site").alias("host"), "html"))))
     hosts, branches = low.agg(F.count(F.lit(1)), F.sum(F.size("branches"))).first()
-    low = low.withColumnRenamed("host", "_host")
+    low = low.withColumnRenamed("host", "_low_host")
     own = pages.columns
     if not hosts:
         met = pages.withColumn("_low", F.lit(None).cast("array<long>"))
     else:
         table = F.broadcast(low) if 16 * branches + 128 * hosts <= BROADCAST_BYTES else low
-        met = hosted.join(table, F.col("host") == F.col("_host"), "left").select(*[hosted[c] for c in own], F.col("branches").alias("_low"))
+        met = hosted.join(table, F.col("_site") == F.col("_low_host"), "left").select(*[hosted[c] for c in own], F.col("branches").alias("_low"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = []
