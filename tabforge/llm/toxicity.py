@@ -1,15 +1,15 @@
 """Toxic spans and document scores with a linear-chain conditional random field.
 
 Tokens are tagged inside or outside a toxic span.  The token labels that the
-field is trained on come from document labels: a word, or a word's first 3, 4
-or 5 letters, that is tied to toxic documents far beyond chance (likelihood
+field is trained on come from document labels: a word, or a word's first
+letters, that is tied to toxic documents far beyond chance (likelihood
 ratio test, and odds of at least MIN_LIFT) marks its tokens inside toxic
 documents; all other tokens are outside.  The field has weights for the
 word, its beginnings and its ending, and transition weights.  Training
 is full-batch Adam on the exact conditional likelihood by forward-backward.
 
 A document's score is a logistic function of its marginals (the largest one,
-and the expected number of toxic tokens), fitted on the sample's document
+and the expected number of toxic tokens among those of FLOOR or more), fitted on the sample's document
 labels.  Texts are read whole, in any length: the recursions run over chunks
 of tokens at once, linked by the exact two-by-two products of each chunk.
 """
@@ -31,11 +31,16 @@ from tabforge.llm.common import fold_of, held_out, map_texts, plus, plus
 
 #: Labelled documents that the model is fitted on, at most, by label.
 TRAIN_TOXIC, TRAIN_CLEAN = 800, 1600
-#: Of these, how many of each label the field's weights are trained on.
-CHAIN_DOCS = 300
+#: Of these, how many toxic and clean ones the field's weights are trained on, at most.
+CHAIN_TOXIC, CHAIN_CLEAN = 300, 1200
 #: Test statistic and odds ratio that tie a feature to toxic documents, and the
 #: statistic that does so even if other features explain the same documents.
 MIN_G2, MIN_LIFT, STRONG_G2 = 16.0, 8.0, 45.0
+#: Marginals below this do not count towards a document's toxic tokens, so that
+#: very long clean texts do not add up to a toxic one.
+FLOOR = 0.2
+#: Lengths of the word beginnings that are features.
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: Tokens of one chunk of the recursions.
 CHUNK = 64
 #: Words whose scores a task keeps, at most, before it starts anew.
@@ -46,7 +51,7 @@ _TOKEN = re.compile(r"\w+")
 def features(word: str) -> list[str]:
     """Feature names of a lower-cased token."""
     out = ["w" + word, "e" + word[-3:]]
-    out += [f"{k}" + word[:k] for k in (3, 4, 5) if len(word) > k]
+    out += [f"{k}" + word[:k] for k in BEGINNINGS if len(word) > k]
     return out
 
 
@@ -149,17 +154,21 @@ class ToxicField:
     bias: float = -3.0
     trans: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     score: tuple[float, float, float] = (-3.0, 0.0, 0.0)
+    by: dict[str, dict[str, float]] = field(default_factory=dict, repr=False)  # weights by kind of feature
 
     def emissions(self, words: list[str], cache: dict[str, float]) -> np.ndarray:
         """Weight of the inside state for each word: bias plus its features' weights."""
-        by = {k: {f[1:]: w for f, w in self.weights.items() if f[0] == k} for k in "we345"}
-        w, e, p3, p4, p5 = (by[k].get for k in "we345")
+        if not self.by:
+            for f, v in self.weights.items():
+                self.by.setdefault(f[0], {})[f[1:]] = v
+        w, e = self.by.get("w", {}).get, self.by.get("e", {}).get
+        starts = [(k, self.by[str(k)].get) for k in BEGINNINGS if str(k) in self.by]
         for x in set(words).difference(cache):
-            v = self.bias + w(x, 0.0) + e(x[-3:], 0.0)
-            if len(x) > 3:
-                v += p3(x[:3], 0.0)
-                if len(x) > 4:
-                    v += p4(x[:4], 0.0) + (p5(x[:5], 0.0) if len(x) > 5 else 0.0)
+            v, n = self.bias + w(x, 0.0) + e(x[-3:], 0.0), len(x)
+            for k, start in starts:
+                if n <= k:
+                    break
+                v += start(x[:k], 0.0)
             cache[x] = v
         return np.array([cache[x] for x in words])
 
@@ -173,7 +182,7 @@ class ToxicField:
         some = np.flatnonzero(sizes)
         if len(some):
             starts = (np.cumsum(sizes) - sizes)[some]
-            top[some], mass[some] = np.maximum.reduceat(p, starts), np.add.reduceat(p, starts)
+            top[some], mass[some] = np.maximum.reduceat(p, starts), np.add.reduceat(np.where(p >= FLOOR, p, 0.0), starts)
         return p, top, mass
 
     def doc_score(self, top: np.ndarray, mass: np.ndarray) -> np.ndarray:
@@ -208,12 +217,12 @@ def _g2(a: int, n: int, b: int, m: int) -> float:
 def seeds(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
     """Features tied to toxic documents by their document frequencies.
 
-    Words and beginnings of four or five letters with STRONG_G2 are taken; further
+    Words and beginnings of four letters or more with STRONG_G2 are taken; further
     ones one after the other, the strongest first, judged on the toxic documents
     that none taken so far explains.  Near copies must have been left out."""
 
     def marks(words: list[str]) -> set[str]:
-        return {f for w in set(words) for f in features(w) if f[0] in "w45"}
+        return {f for w in set(words) for f in features(w) if f[0] not in "e3"}
 
     bad = [marks(words) for words in toxic]
     miss = Counter(f for words in clean for f in marks(words))
@@ -247,7 +256,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 30) -> ToxicField:
     model = ToxicField()
     if not marked:
         return model
-    pick = [i for t in (1, 0) for i in single[y[single] == t][:CHAIN_DOCS]]
+    pick = [i for t, most in ((1, CHAIN_TOXIC), (0, CHAIN_CLEAN)) for i in single[y[single] == t][:most]]
     words = [w for i in pick for w in docs[i]]
     vocab, word_of = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True)
     names: dict[str, int] = {}
@@ -284,12 +293,11 @@ def fit(texts: list[str], labels: list[int], rounds: int = 30) -> ToxicField:
     model.bias, model.trans = float(theta[len(names)]), theta[-4:].reshape(2, 2).copy()
     _, top, mass = model.read(docs)
     x = np.column_stack([np.ones(len(y)), top, np.log1p(mass)])
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
     beta = np.array([-2.0, 3.0, 0.5])
     for _ in range(25):  # Newton steps of a ridge logistic regression
         q = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        h = (x * (share * q * (1 - q))[:, None]).T @ x + 1e-1 * np.eye(3)
-        beta = beta + np.linalg.solve(h, x.T @ (share * (y - q)) - 1e-1 * beta)
+        h = (x * (q * (1 - q))[:, None]).T @ x + 1e-1 * np.eye(3)
+        beta = beta + np.linalg.solve(h, x.T @ (y - q) - 1e-1 * beta)
     model.score = tuple(float(b) for b in beta)
     return model
 
