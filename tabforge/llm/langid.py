@@ -158,13 +158,18 @@ def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 4, batc
 
 def training_sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> tuple[list[str], list[str]]:
     """Texts and languages of up to ``per_lang`` documents a language outside the
-    held-out fold, chosen by a hash of the id; at most MAX_LANGS languages."""
+    held-out fold, chosen by a hash of the id; at most MAX_LANGS languages.
+
+    Languages are counted first, and only ids whose hash lies in the lowest share
+    that gives about twice ``per_lang`` of their language are ranked: the ranking
+    of a language with most of the rows is as small as any other's."""
     usable = docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & (fold_of(F.col("doc_id")) != 0))
     keys = usable.select("doc_id", "lang", F.xxhash64(F.lit(11), "doc_id").alias("_h")).distinct()
+    common = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(MAX_LANGS)
+    place = F.col("_h") / F.lit(2.0**64) + 0.5  # uniform in [0, 1)
+    near = keys.join(F.broadcast(common), "lang").where(place <= F.lit(2.0 * per_lang + 50) / F.col("_n"))
     turn = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    chosen = keys.withColumn("_r", F.row_number().over(turn)).where(F.col("_r") <= per_lang)
-    common = keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
-    chosen = chosen.join(F.broadcast(common), "lang", "left_semi").select("doc_id", "lang")
+    chosen = near.withColumn("_r", F.row_number().over(turn)).where(F.col("_r") <= per_lang).select("doc_id", "lang")
     rows = (
         usable.select("doc_id", "lang", "text")
         .join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
