@@ -62,11 +62,11 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos promotion "
     "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside widget widgets cookie cookies consent gdpr "
-    "notice notices popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended "
-    "recommendations trending comment comments commentlist reply replies disqus respond pagination pager skip toolbar".split()
+    "notice notices alert alerts banner banners announcement popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended "
+    "recommendations trending comment comments commentlist reply replies responses discussion disqus respond pagination pager skip toolbar".split()
 )
 #: Words that do so only outside the article.
-OUTER_WORDS = frozenset("header footer masthead topbar banner site-header".split())
+OUTER_WORDS = frozenset("header footer masthead topbar".split())
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+'|[\"'])*+)(?:>|(?=<)|\Z)",
@@ -74,6 +74,8 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+#: Class names that tell what a branch has or lacks, not what it is.
+_ABOUT = re.compile(r"(?<!\S)(?:has|with|no|without)[-_]\S+", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -96,7 +98,7 @@ class Page:
             named = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
             names = f"{named.get('class', '')} {named.get('id', '')}"
             if names != " ":
-                words = {w.lower() for w in _CLASS_WORD.findall(names)}
+                words = {w.lower() for w in _CLASS_WORD.findall(_ABOUT.sub(" ", names))}
                 noise = noise or bool(words & NOISE_WORDS) or (not inside and bool(words & OUTER_WORDS))
                 label = f"{tag}.{named.get('class', '')}"
             role = named.get("role", "").lower()
@@ -186,13 +188,17 @@ class Page:
             if tag in homes and not self.noise[n]:
                 homes[tag].add(n)
                 up = self.parent[n]
-                while up > 0 and self.noise[up] and self.tag[up] not in NOISE_TAGS and self.tag[up] != "header":
-                    self.noise[up] = False
+                while up > 0:
+                    if self.tag[up] == "form" or (self.tag[up] not in NOISE_TAGS and self.tag[up] != "header"):
+                        self.noise[up] = False
                     up = self.parent[up]
         for n in range(1, len(self.tag)):
             self.noise[n] = self.noise[n] or self.noise[self.parent[n]]
         homes = {k: {n for n in v if not self.noise[n]} for k, v in homes.items()}
         self.homes = homes["article"] or homes["main"] or set()
+        titles = [n for n in range(len(self.tag)) if self.tag[n] == "h1" and not self.noise[n] and self.inside[n]]
+        if homes["article"] and not any(self.inside[n] == "article" for n in titles):
+            self.homes = self.homes | set(titles)  # the title may stand in main, before the article
 
     def kept(self) -> list[bool]:
         """Whether each element's own text may be the article's, before the tree judges."""
