@@ -12,14 +12,16 @@ takes ranks until the rest of the target is filled: a sample of fixed size
 in words, with probabilities that differ between sources.  u is a hash of the id, so
 reruns, retries and any partitioning agree.
 
-The rank cut needs no sort of a source: sizes are summed over RANGES equal ranges
-of the ranking variable, the range where the target is met is found from those
-sums, and only its documents are ordered.  Documents are then compared with their
+The rank cut needs no sort of a source: sizes are summed over equal ranges of the
+ranking variable, then over finer ranges of the one where the target is met, and only
+the documents of the finer one are ordered.  Documents are then compared with their
 source's cut, so a source with a third of all rows is never in one task.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +33,8 @@ WEIGHTS = (5, 2, 1)
 #: Times its words that a source or document may be taken, at most.
 MAX_REPEAT = 3
 SEED = 29
-#: Ranges of the ranking variable whose sizes are summed.
-RANGES = 1 << 14
+#: Ranges of the ranking variable whose sizes are summed, in two steps of its square root.
+RANGES = 1 << 16
 #: Bytes of the table of sources up to which it is broadcast.
 BROADCAST_BYTES = 32 << 20
 
@@ -125,12 +127,22 @@ def mix(
     ranked = by_source(lean, plan).where(F.col("_mix_p") > 0).withColumn("_mix_q", rank)
     ranked = ranked.withColumn("_mix_range", F.floor(F.col("_mix_q") * ranges).cast("int"))
     ranked = ranked.select("_mix_source", "_mix_rest", "_mix_range", "_mix_q", "doc_id", "size", "_mix_h")
-    sums = ranked.groupBy("_mix_source", "_mix_rest", "_mix_range").agg(F.sum("size").alias("_size"))
-    along = Window.partitionBy("_mix_source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, 0)
-    met = sums.withColumn("_upto", F.sum("_size").over(along))  # at most ``ranges`` rows a source
-    met = met.where((F.col("_upto") >= F.col("_mix_rest")) & (F.col("_upto") - F.col("_size") < F.col("_mix_rest")))
-    met = met.groupBy("_mix_source").agg(F.min(F.struct("_mix_range", (F.col("_upto") - F.col("_size")).alias("_mix_before"))).alias("_m"))
-    met = met.select(F.col("_mix_source").alias("_s"), F.col("_m._mix_range").alias("_mix_r"), F.col("_m._mix_before").alias("_mix_before"))
+    step = max(1, math.isqrt(ranges))
+
+    def border(rows: DataFrame, by: Column, before: Column) -> DataFrame:
+        """(_s, _mix_r, _mix_before): the range of each source where its rest is met, and the
+        words before it; the window sorts at most about the square root of ``ranges`` rows a source."""
+        sums = rows.groupBy("_mix_source", "_mix_rest", before.alias("_b"), by.alias("_at")).agg(F.sum("size").alias("_size"))
+        along = Window.partitionBy("_mix_source").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+        found = sums.withColumn("_upto", F.col("_b") + F.sum("_size").over(along))
+        found = found.where((F.col("_upto") >= F.col("_mix_rest")) & (F.col("_upto") - F.col("_size") < F.col("_mix_rest")))
+        found = found.groupBy("_mix_source").agg(F.min(F.struct("_at", (F.col("_upto") - F.col("_size")).alias("_before"))).alias("_m"))
+        return found.select(F.col("_mix_source").alias("_s"), F.col("_m._at").alias("_mix_r"), F.col("_m._before").alias("_mix_before"))
+
+    coarse = F.floor(F.col("_mix_range") / step)
+    first = settle(border(ranked, coarse, F.lit(0).cast("long")))
+    inner = ranked.join(F.broadcast(first) if small else first, ranked["_mix_source"].eqNullSafe(first["_s"]) & (coarse == first["_mix_r"]))
+    met = settle(border(inner, F.col("_mix_range"), F.col("_mix_before")))
     near = ranked.join(F.broadcast(met) if small else met, ranked["_mix_source"].eqNullSafe(met["_s"]) & (ranked["_mix_range"] == met["_mix_r"]))
     near = near.groupBy("_mix_source", "_mix_rest", "_mix_before", "_mix_r", "_mix_q", "doc_id", "_mix_h").agg(F.sum("size").alias("_size"))
     order = Window.partitionBy("_mix_source").orderBy("_mix_q", "doc_id", "_mix_h").rowsBetween(Window.unboundedPreceding, 0)
