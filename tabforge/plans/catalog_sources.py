@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tabforge.operators import sampling
 from tabforge.session import scratch_path
 from tabforge.sources import tables, versions
 from tabforge.plans.registry import register
@@ -223,3 +224,20 @@ def q_catalog_table_sinks(spark, sf_dir):
     tables.write_snapshot(c.where(half), name, location=place)
     tables.append(c.where(~half).select("c_acctbal", "c_custkey", "c_mktsegment"), name)
     return tables.read_table(spark, name)
+
+
+@register(
+    "local_rows_roundtrip",
+    oracle="""
+SELECT l_orderkey, l_linenumber, l_extendedprice, CASE WHEN l_tax > 0.04 THEN l_tax END AS l_tax
+FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 25
+""",
+)
+def q_local_rows_roundtrip(spark, sf_dir):
+    """The 25 dearest line items handed to local memory (a bounded preview) and back
+    as a table; NaN that local memory uses for missing numbers is NULL again."""
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", F.when(F.col("l_tax") > 0.04, F.col("l_tax")).alias("l_tax")
+    )
+    top = sampling.top_n(li, 25, [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")])
+    return tables.from_local(spark, tables.preview(top, 25), schema=top.schema)
