@@ -16,7 +16,7 @@ from tabforge.session import ensure_checkpoint_dir
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 #: Text bytes that a task works on at once (Python side memory stays near a small multiple of it).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def settle(df: DataFrame) -> DataFrame:

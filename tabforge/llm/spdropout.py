@@ -40,7 +40,7 @@ MARK = "▁"
 #: Stretches up to this length are merged in numpy, longer ones with a heap.
 LONG = 48
 #: Distinct stretches that a task keeps, at most, before it starts anew.
-CACHE = 400_000
+CACHE = 200_000
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _LINE_STRETCH = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 

@@ -44,7 +44,7 @@ BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: Tokens of one chunk of the recursions.
 CHUNK = 64
 #: Words whose scores a task keeps, at most, before it starts anew.
-CACHE = 1_000_000
+CACHE = 300_000
 _TOKEN = re.compile(r"\w+")
 
 
