@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.timefn import as_timestamp
 from tabforge.operators.features import quoted
-from tabforge.plans.joins import materialise
 from tabforge.plans.prefix import running_sums
 
 
@@ -63,19 +62,15 @@ def window_quantiles(df: DataFrame, groups: list[str], num_cols: list[str], quan
     pairs = [a for c in num_cols for a in (F.lit(c), F.col(quoted(c)).cast("double"))]
     long = df.select(*groups, F.stack(F.lit(len(num_cols)), *pairs).alias("_column", "_value"))
     counts = long.where("_value is not null").groupBy(*groups, "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_sums(counts, "_value", ["_n"], [*groups, "_column"])
-    totals = materialise(counts.groupBy(*groups, "_column").agg(F.sum("_n").alias("_total")))
-    # the totals join as rows of their own window-free group: a NULL-safe key match
-    on = [ranks[g].eqNullSafe(totals[g]) for g in [*groups, "_column"]]
-    met = ranks.join(totals, on).select(*[ranks[g] for g in [*groups, "_column"]], "_value", "cum__n", "_total")
+    ranks = running_sums(counts, "_value", ["_n"], [*groups, "_column"], with_totals=True)
     aggs = [
-        F.min(F.when((F.col("_column") == c) & (F.col("cum__n") >= F.ceil(F.col("_total") * F.lit(float(q)))), F.col("_value"))).alias(
+        F.min(F.when((F.col("_column") == c) & (F.col("cum__n") >= F.ceil(F.col("total__n") * F.lit(float(q)))), F.col("_value"))).alias(
             f"{c}_p{int(round(q * 100)):02d}"
         )
         for c in num_cols
         for q in quantiles
     ]
-    return met.groupBy(*groups).agg(*aggs)
+    return ranks.groupBy(*groups).agg(*aggs)
 
 
 def window_profile(

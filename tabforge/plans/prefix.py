@@ -62,24 +62,34 @@ def running_sums(
     prefix: str = "cum_",
     tiebreak: list[str] | None = None,
     by_row: bool = False,
+    with_totals: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in the order of
     ``order_col`` and ``tiebreak``, restarting per ``groups`` (NULL is a group).
 
     Rows equal in all order columns are summed together (a RANGE frame); with
-    ``by_row`` each row counts by itself (a ROWS frame).  ``buckets`` is the
-    number of ranges (default: the session's shuffle partitions)."""
+    ``by_row`` each row counts by itself (a ROWS frame).  ``with_totals`` adds each
+    group's whole sum as ``total_<c>``.  ``buckets`` is the number of ranges
+    (default: the session's shuffle partitions)."""
     groups = list(groups or [])
     keys = [order_col, *(tiebreak or [])]
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in keys]
     rows = ranged(df, [*[F.col(g) for g in groups], *order], buckets)
     totals = rows.groupBy(*groups, "_range").agg(*[F.sum(c).alias(c) for c in sum_cols])
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*groups, "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sum_cols])
+    offsets = totals.select(
+        *groups,
+        "_range",
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sum_cols],
+        *[F.sum(c).over(Window.partitionBy(*groups)).alias(f"total_{c}") for c in sum_cols if with_totals],
+    )
     led = rows.withColumn("_row", F.lit(1)).unionByName(offsets.withColumn("_row", F.lit(0)), allowMissingColumns=True)
     along = Window.partitionBy(*groups, "_range").orderBy("_row", *order)
     along = (along.rowsBetween if by_row else along.rangeBetween)(Window.unboundedPreceding, Window.currentRow)
     out = led.withColumns({f"{prefix}{c}": F.sum(c).over(along) for c in sum_cols})
+    if with_totals:  # held by the one row of each (group, range) that its total is
+        within = Window.partitionBy(*groups, "_range")
+        out = out.withColumns({f"total_{c}": F.max(f"total_{c}").over(within) for c in sum_cols})
     return out.where(F.col("_row") == 1).drop("_range", "_row")
 
 
