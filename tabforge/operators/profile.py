@@ -105,14 +105,13 @@ def window_profile(
     keys, num_cols, cat_cols = list(keys or []), list(num_cols or []), list(cat_cols or [])
     src = df.withColumn("_w", tumbling(ts, duration))
     groups = ["_w", *keys]
-    base = _salted_stats(src, groups, num_cols, salt, digits) if salt > 0 else src.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n_rows"), *[a for c in num_cols for a in numeric_stats(c, (), digits)]
-    )
-    nulls = [F.count_if(F.col(quoted(c)).isNull()).alias(f"{c}_nulls") for c in cat_cols]
-    parts = [base]
-    if nulls:
-        extra = [] if exact_distinct else [F.approx_count_distinct(quoted(c)).alias(f"{c}_distinct") for c in cat_cols]
-        parts.append(src.groupBy(*groups).agg(*nulls, *extra))
+    cats = [F.count_if(F.col(quoted(c)).isNull()).alias(f"{c}_nulls") for c in cat_cols]
+    cats += [] if exact_distinct else [F.approx_count_distinct(quoted(c)).alias(f"{c}_distinct") for c in cat_cols]
+    if salt > 0:
+        parts = [_salted_stats(src, groups, num_cols, salt, digits)] + ([src.groupBy(*groups).agg(*cats)] if cats else [])
+    else:
+        stats = [a for c in num_cols for a in numeric_stats(c, (), digits)]
+        parts = [src.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"), *stats, *cats)]
     if exact_distinct:
         parts += [src.groupBy(*groups).agg(F.count_distinct(F.col(quoted(c))).alias(f"{c}_distinct")) for c in cat_cols]
     if num_cols and quantiles:
