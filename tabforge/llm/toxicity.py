@@ -31,6 +31,8 @@ from tabforge.llm.common import fold_of, held_out, map_texts, plus, plus
 
 #: Labelled documents that the model is fitted on, at most, by label.
 TRAIN_TOXIC, TRAIN_CLEAN = 800, 1600
+#: Longest text, in characters, that the model is fitted on (all texts are scored, whole).
+TRAIN_CHARS = 50_000
 #: Of these, how many toxic and clean ones the field's weights are trained on, at most.
 CHAIN_TOXIC, CHAIN_CLEAN = 300, 1200
 #: Test statistic and odds ratio that tie a feature to toxic documents, and the
@@ -306,12 +308,13 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     """Texts and labels of at most TRAIN_TOXIC and TRAIN_CLEAN labelled documents
     outside the held-out fold, chosen by a hash of the id.  Ids with both labels
     are not used; of documents that share an id the smallest text is used."""
+    short = F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS
     ids = (
         labels.where(F.col("toxic").isin(0, 1) & (fold_of(F.col("doc_id")) != 0))
         .groupBy("doc_id")
         .agg(F.min("toxic").alias("_y"), F.max("toxic").alias("_z"))
         .where(F.col("_y") == F.col("_z"))
-        .join(docs.select("doc_id"), "doc_id", "left_semi")
+        .join(docs.where(short).select("doc_id"), "doc_id", "left_semi")
     )
     order = [F.xxhash64(F.lit(5), F.col("doc_id")), F.col("doc_id")]
     chosen = None
@@ -319,7 +322,8 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
         part = ids.where(F.col("_y") == label).orderBy(*order).limit(most).select("doc_id", "_y")
         chosen = part if chosen is None else chosen.unionAll(part)
     rows = (
-        docs.select("doc_id", "text")
+        docs.where(short)
+        .select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")  # at most TRAIN_TOXIC + TRAIN_CLEAN ids
         .groupBy("doc_id", "_y")
         .agg(F.min("text").alias("text"))
