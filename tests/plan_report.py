@@ -28,6 +28,7 @@ NODES = [
     "Generate",
     "ArrowEvalPython",
     "MapInPandas",
+    "MapInArrow",
     "BatchEvalPython",
 ]
 
@@ -52,7 +53,7 @@ def main(argv):
     import __spark_entry__ as entry
     from tabforge.session import build_session
 
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[4]", shuffle_partitions=8)
     print(f"# Physical plans of the catalog queries ({sf_dir.rsplit('/', 1)[-1]})\n")
     print("Generated by `python -m tests.plan_report`; counts are of nodes in the executed")
     print("(AQE final) plan of the final DataFrame. Jobs a query runs while it is built")
@@ -71,7 +72,7 @@ def main(argv):
         )
         joins = "/".join(str(s.get(k, 0)) for k in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin"))
         aggs = s.get("HashAggregate", 0) + s.get("ObjectHashAggregate", 0) + s.get("SortAggregate", 0)
-        py = s.get("ArrowEvalPython", 0) + s.get("MapInPandas", 0) + s.get("BatchEvalPython", 0)
+        py = s.get("ArrowEvalPython", 0) + s.get("MapInPandas", 0) + s.get("MapInArrow", 0) + s.get("BatchEvalPython", 0)
         pushed = "; ".join(p for p, _ in s["scans"] if p) or "—"
         print(f"| `{name}` | {ex} | {joins} | {aggs} | {s.get('Window', 0)} | {py} | {pushed[:120]} |")
     spark.stop()
