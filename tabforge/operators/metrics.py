@@ -39,8 +39,9 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
-def value_counts(df: DataFrame, col: str, digits: int | None = 6) -> DataFrame:
-    """``(value, count, share)`` most frequent first (A2).
+def value_counts(df: DataFrame, col: str, digits: int | None = 6, n: int | None = None) -> DataFrame:
+    """``(value, count, share)`` most frequent first (A2); with ``n`` only the first ``n``,
+    which needs no global sort.
 
     The aggregated counts are checkpointed once and the total is a scalar
     subquery over that checkpoint — no second pass over the input (Spark does
@@ -50,9 +51,10 @@ def value_counts(df: DataFrame, col: str, digits: int | None = 6) -> DataFrame:
 
     counts = materialise(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")))
     total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn("share", _r(F.col("count") / total, digits)).orderBy(
+    out = counts.withColumn("share", _r(F.col("count") / total, digits)).orderBy(
         F.desc("count"), F.asc_nulls_first(col)
     )
+    return out if n is None else out.limit(n)
 
 
 def moments(df: DataFrame, cols: list[str], digits: int | None = 6) -> DataFrame:

@@ -8,7 +8,9 @@ the *missing* settings are filled in.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,8 +43,7 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
       512 MiB of input) and let AQE coalesce small partitions to ~256 MiB
       and split skewed ones (skew join on by default here);
     * broadcast: Spark's own size-based broadcast stays at its 10 MiB
-      default; operators broadcast larger dictionaries only after counting
-      them (see ``plans.joins.join_small``).
+      default; operators give no hint for sides without a bound.
     """
     initial = max(3 * total_cores, int(input_tb * 1024 * 1024 / 512))
     return {
@@ -97,6 +98,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "fault-tolerant folder (a machine-local folder would not survive executor loss)"
         )
     local = tempfile.mkdtemp(prefix="tabforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, local, ignore_errors=True)  # our own scratch folder, gone with the process
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
