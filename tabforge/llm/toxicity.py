@@ -226,14 +226,15 @@ def seeds(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
     def marks(words: list[str]) -> set[str]:
         return {f for w in set(words) for f in features(w) if f[0] not in "e3"}
 
-    bad = [marks(words) for words in toxic]
-    miss = Counter(f for words in clean for f in marks(words))
+    often = Counter(f for words in toxic for f in marks(words))
+    often = {f for f, k in often.items() if k > 2}  # rarer ones can't pass; only these are kept in memory
+    miss = Counter(f for words in clean for f in marks(words) & often)
     m = max(1, len(clean))
     where: dict[str, set[int]] = {}
-    for i, found in enumerate(bad):
-        for f in found:
+    for i, words in enumerate(toxic):
+        for f in marks(words) & often:
             where.setdefault(f, set()).add(i)
-    n = len(bad)
+    n = len(toxic)
     where = {f: d for f, d in where.items() if _g2(len(d), n, miss.get(f, 0), m) >= MIN_G2}
     out = {f for f, d in where.items() if _g2(len(d), n, miss.get(f, 0), m) >= STRONG_G2}
     left = set(range(n)).difference(*(where[f] for f in out))
@@ -260,11 +261,13 @@ def fit(texts: list[str], labels: list[int], rounds: int = 30) -> ToxicField:
         return model
     pick = [i for t, most in ((1, CHAIN_TOXIC), (0, CHAIN_CLEAN)) for i in single[y[single] == t][:most]]
     words = [w for i in pick for w in docs[i]]
-    vocab, word_of = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True)
+    spot: dict[str, int] = {}
+    word_of = np.fromiter((spot.setdefault(w, len(spot)) for w in words), dtype=np.int64, count=len(words))
+    vocab = list(spot)
     names: dict[str, int] = {}
     inside = np.array([any(f in marked for f in features(w)) for w in vocab])
     # weights exist for features of tokens labelled inside; the rest shares the bias
-    use = {f for w in vocab[inside] for f in features(w)}
+    use = {f for w, i in zip(vocab, inside) if i for f in features(w)}
     pair_word, pair_feat = [], []
     for i, w in enumerate(vocab):
         for f in features(w):
@@ -293,7 +296,9 @@ def fit(texts: list[str], labels: list[int], rounds: int = 30) -> ToxicField:
         theta -= 0.4 * (mean / (1 - 0.8**step)) / (np.sqrt(power / (1 - 0.95**step)) + 1e-8)
     model.weights = {f: float(theta[i]) for f, i in names.items()}
     model.bias, model.trans = float(theta[len(names)]), theta[-4:].reshape(2, 2).copy()
-    _, top, mass = model.read(docs)
+    del words, word_of, gold, prev, lattice
+    parts = [model.read(docs[a : a + 200])[1:] for a in range(0, len(docs), 200)]
+    top, mass = (np.concatenate(x) for x in zip(*parts))
     x = np.column_stack([np.ones(len(y)), top, np.log1p(mass)])
     beta = np.array([-2.0, 3.0, 0.5])
     for _ in range(25):  # Newton steps of a ridge logistic regression
