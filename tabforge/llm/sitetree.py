@@ -7,18 +7,22 @@ importance is the entropy of its presentations over the m pages that have it, to
 the base m; a content seen on k of them has importance 1 - log k / log m.  An
 element's composite importance is (1 - GAMMA^l) times the first plus GAMMA^l times
 the second, with l children: a branch that looks the same and says the same
-everywhere has 0.  Elements below THRESHOLD are removed, with all below them.
-
-Tags, roles and class names that say what a branch is (navigation, footer, advert,
-form, reader comments ...) decide before that, and ``article`` or ``main`` say where
-the text is: inside them headings, paragraphs and the like always stay and only
-containers are judged by the tree, so that a sentence quoted on many pages is not
-lost.  Pages without such marks are judged element by element.
+everywhere has 0.  Elements below their bar are removed, with all below them.
+
+The tree is built from all block elements with text, of the whole page.  Tags, roles
+and class names, and ``article`` or ``main``, are the prior: they set the bar (BARS).
+A plain element has the lowest.  Text outside the article of a page that has one stays
+only where the tree finds its place important.  A branch whose marks say what it is
+(navigation, footer, advert, form, reader comments ...) has a bar above every
+importance, as adverts and link lists differ from page to page.  Inside ``article`` or
+``main``, headings, paragraphs and the like always stay and only containers are
+judged, so that a sentence quoted on many pages is not lost.  Where the tree has too
+few pages, the prior decides alone.
 
 Work per host is counts only: (host, place, content) and (host, place, presentation)
-are partial aggregates.  What a host's pages get back is its list of unimportant
-branches, each on at least MIN_SHARE of the pages that have the place, so the list
-is bounded by 1 / MIN_SHARE times the elements of a page.
+are partial aggregates.  What a host's pages get back are its unimportant branches,
+each on at least MIN_SHARE of the pages that have the place, and its important places
+outside the article.
 """
 
 from __future__ import annotations
@@ -34,7 +38,10 @@ from pyspark.sql import functions as F
 from tabforge.llm.common import map_texts, plus, settle
 from tabforge.llm.urlfilter import host_and_path
 
-GAMMA, THRESHOLD = 0.9, 0.35
+GAMMA = 0.9
+#: Kinds of evidence, and the importance below which an element of the kind is removed.
+PLAIN, OUTSIDE, MARKED = 0, 1, 2
+BARS = (0.35, 0.85, 1.01)
 #: Pages, and share of a place's pages, on which an unimportant branch is seen at least.
 MIN_PAGES, MIN_SHARE = 4, 0.02
 #: Counted bytes of all hosts' lists up to which they are broadcast.
@@ -208,8 +215,8 @@ class Page:
             out[n] = home and not self.noise[n]
         return out
 
-    def judged(self) -> list[tuple[int, int, int, int, int]]:
-        """Elements that the style tree judges: (element, place, presentation, content, children)."""
+    def judged(self) -> list[tuple[int, int, int, int, int, int]]:
+        """Elements that the style tree judges: (element, place, presentation, content, children, kind)."""
         kept = self.kept()
         below: list[list[str]] = [[] for _ in self.tag]
         for n, t in self.blocks:
@@ -219,75 +226,119 @@ class Page:
         kids: list[list[int]] = [[] for _ in self.tag]
         for n in range(1, len(self.tag)):
             kids[self.parent[n]].append(n)
+        around = self.around()
         place = [0] * len(self.tag)
         out = []
         for n in range(1, len(self.tag)):
             place[n] = xxhash.xxh64_intdigest(f"{place[self.parent[n]]}>{self.label[n]}")
-            if not kept[n] or not below[n] or self.tag[n] in ("html", "body", "article", "main") or self.tag[n] not in BLOCK:
+            if not below[n] or n in around or self.tag[n] in ("html", "body", "article", "main") or self.tag[n] not in BLOCK:
                 continue
-            if self.homes and self.tag[n] in PROSE:
+            if kept[n] and self.homes and self.tag[n] in PROSE:
                 continue
+            kind = MARKED if self.noise[n] else PLAIN if kept[n] else OUTSIDE
             look = xxhash.xxh64_intdigest(" ".join(self.label[k] for k in kids[n]))
             said = xxhash.xxh64_intdigest("\n".join(below[n]))
-            out.append((n, _signed(place[n]), _signed(look), _signed(said), len(kids[n])))
+            out.append((n, _signed(place[n]), _signed(look), _signed(said), len(kids[n]), kind))
+        return out
+
+    def around(self) -> set[int]:
+        """Elements that the article lies in."""
+        out = set()
+        for n in self.homes:
+            up = self.parent[n]
+            while up > 0 and up not in out:
+                out.add(up)
+                up = self.parent[up]
         return out
 
-    def text(self, unimportant: set[int] | None = None) -> str:
-        """The article's blocks; elements whose place and content are ``unimportant`` are
-        left out with all below them, unless that leaves nothing."""
+    def text(self, found: set[int] | None = None) -> str:
+        """The article's blocks, by the prior and what the tree ``found``: unimportant branches
+        are left out with all below them, important places outside the article come in."""
         kept = self.kept()
         whole = "\n\n".join(t for n, t in self.blocks if kept[n])
-        if not unimportant:
+        if not found:
             return whole
-        cut = {n for n, place, _, said, _ in self.judged() if branch_key(place, said) in unimportant}
-        if not cut:
+        judged = self.judged()
+        cut = {n for n, place, _, said, _, kind in judged if branch_key(place, said, kind) in found}
+        more = {n for n, place, _, _, _, kind in judged if kind == OUTSIDE and n not in cut and place in found}
+        if not cut and not more:
             return whole
-        gone = [False] * len(self.tag)
+        around = self.around() if more else set()
+        stays = [True] + [False] * (len(self.tag) - 1)
         for n in range(1, len(self.tag)):
-            gone[n] = n in cut or gone[self.parent[n]]
-        return "\n\n".join(t for n, t in self.blocks if kept[n] and not gone[n]) or whole
+            up = self.parent[n]
+            if kept[n]:
+                stays[n] = n not in cut and (not kept[up] or stays[up])
+            elif not self.noise[n]:
+                free = up == 0 or up in around or self.tag[up] in ("html", "body")
+                stays[n] = n in more and (free or stays[up]) or (self.tag[n] not in BLOCK and not free and stays[up])
+        stays[0] = kept[0]
+        return "\n\n".join(t for n, t in self.blocks if stays[n]) or whole
 
 
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def branch_key(place: int, content: int) -> int:
-    return _signed(xxhash.xxh64_intdigest(f"{place}|{content}"))
+def branch_key(place: int, content: int, kind: int) -> int:
+    return _signed(xxhash.xxh64_intdigest(f"{place}|{content}|{kind}"))
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
-    """(host, place, look, said, kids, key): the judged elements of all pages, once a page each."""
+    """(host, place, look, said, kids, kind, key): the judged elements of all pages, once a page each."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             if host and source:
-                rows = {(p, s): (host, p, look, s, k, branch_key(p, s)) for _, p, look, s, k in Page(source).judged()}
+                page = Page(source)
+                rows = {(p, s, e): (host, p, look, s, k, e, branch_key(p, s, e)) for _, p, look, s, k, e in page.judged()}
                 out.extend(rows.values())
-        cols = list(zip(*out)) if out else [()] * 6
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        cols = list(zip(*out)) if out else [()] * 7
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "place", "look", "said", "kids", "key"]
+            [pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "place", "look", "said", "kids", "kind", "key"]
         )
 
-    return map_texts(pages.select("host", "html"), run, "host string, place long, look long, said long, kids int, key long", "html")
+    return map_texts(
+        pages.select("host", "html"), run, "host string, place long, look long, said long, kids int, kind int, key long", "html"
+    )
+
 
+def _spread(nlogn, m):
+    """Entropy to the base m of counts n with sum m: (log m - sum(n log n) / m) / log m."""
+    return F.when(m > 1, 1 - nlogn / (m * F.log(m))).otherwise(1.0)
 
-def unimportant_branches(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(host, branches): each host's branches whose composite importance is below the threshold."""
-    cells = settle(rows.groupBy("host", "place", "look", "said", "key").agg(F.count(F.lit(1)).alias("n"), F.max("kids").alias("kids")))
+
+def judge(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Branches seen on MIN_PAGES pages (host, place, said, key, kind, k, m, importance), and places
+    (host, place, m, kids, kind, shown, told: importance of presentations and of all contents)."""
+    cells = settle(
+        rows.groupBy("host", "place", "look", "said", "kind", "key").agg(F.count(F.lit(1)).alias("n"), F.max("kids").alias("kids"))
+    )
     looks = cells.groupBy("host", "place", "look").agg(F.sum("n").alias("n"))
-    places = looks.groupBy("host", "place").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-    # entropy to the base m of the presentations: (log m - sum(n log n) / m) / log m
-    shown = F.when(F.col("m") > 1, 1 - F.col("nlogn") / (F.col("m") * F.log("m"))).otherwise(1.0)
-    places = places.where(F.col("m") >= MIN_PAGES).withColumn("shown", shown)
-    said = cells.groupBy("host", "place", "said", "key").agg(F.sum("n").alias("k"), F.max("kids").alias("kids"))
-    said = said.where(F.col("k") >= MIN_PAGES).join(places, ["host", "place"])
+    looks = looks.groupBy("host", "place").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
+    looks = looks.where(F.col("m") >= MIN_PAGES).select("host", "place", "m", _spread(F.col("nlogn"), F.col("m")).alias("shown"))
+    said = cells.groupBy("host", "place", "said", "kind", "key").agg(F.sum("n").alias("k"), F.max("kids").alias("kids"))
+    contents = said.groupBy("host", "place").agg(
+        F.sum(F.col("k") * F.log("k")).alias("klogk"), F.max("kids").alias("kids"), F.max("kind").alias("kind")
+    )
+    places = looks.join(contents, ["host", "place"]).withColumn("told", _spread(F.col("klogk"), F.col("m"))).drop("klogk")
+    fade = F.pow(F.lit(GAMMA), F.col("kids"))
+    branches = said.where(F.col("k") >= MIN_PAGES).join(looks, ["host", "place"])
+    return branches.withColumn("importance", (1 - fade) * F.col("shown") + fade * (1 - F.log("k") / F.log("m"))), places
+
+
+def findings(rows: DataFrame) -> DataFrame:
+    """(host, branches): each host's branches below their kind's bar, by key, and its important
+    places outside the article.  Marked branches need no entry: no importance reaches their bar."""
+    branches, places = judge(rows)
+    bar = F.when(F.col("kind") == OUTSIDE, BARS[OUTSIDE]).otherwise(BARS[PLAIN])
+    low = branches.where((F.col("kind") != MARKED) & (F.col("k") >= F.col("m") * MIN_SHARE) & (F.col("importance") < bar))
     fade = F.pow(F.lit(GAMMA), F.col("kids"))
-    told = 1 - F.log("k") / F.log("m")
-    low = said.where((F.col("k") >= F.col("m") * MIN_SHARE) & ((1 - fade) * F.col("shown") + fade * told < threshold))
-    return low.groupBy("host").agg(F.collect_set("key").alias("branches"))  # bounded by 1 / MIN_SHARE
+    high = places.where((F.col("kind") == OUTSIDE) & ((1 - fade) * F.col("shown") + fade * F.col("told") >= BARS[OUTSIDE]))
+    both = low.select("host", "key").unionAll(high.select("host", F.col("place").alias("key")))
+    return both.groupBy("host").agg(F.collect_set("key").alias("branches"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -299,7 +350,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     are replaced.  No pages: no rows."""
     pages = pages.drop("text", "n_chars")
     hosted = pages.withColumn("_site", host_and_path(F.col("url"))[0])
-    low = settle(unimportant_branches(style_rows(hosted.select(F.col("_site").alias("host"), "html"))))
+    low = settle(findings(style_rows(hosted.select(F.col("_site").alias("host"), "html"))))
     hosts, branches = low.agg(F.count(F.lit(1)), F.sum(F.size("branches"))).first()
     low = low.withColumnRenamed("host", "_low_host")
     own = pages.columns

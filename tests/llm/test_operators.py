@@ -233,6 +233,18 @@ def test_style_tree_removes_repeated_branches(spark):
     assert sitetree.main_text(df.limit(0)).count() == 0
 
 
+def test_style_tree_judges_the_whole_page(spark):
+    html = "<body><nav><ul><li>link %d</li></ul></nav><div class='x'>Same words</div><div class='y'>Lead %d</div><article><p>Text %d</p></article><footer>f</footer></body>"
+    pages = [(i, f"http://w.example/{i}", html % (i, i, i)) for i in range(30)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = sitetree.style_rows(df.withColumn("host", F.lit("w")))
+    kinds = {r.kind: r["count"] for r in rows.groupBy("kind").count().collect()}
+    assert kinds == {sitetree.MARKED: 30 * 4, sitetree.OUTSIDE: 30 * 2}
+    out = {r.page_id: r.text for r in sitetree.main_text(df).collect()}
+    assert out[7] == "Lead 7\n\nText 7"  # unmarked text that differs everywhere is important, repeated text is not
+    assert sitetree.Page(pages[7][2]).text() == "Text 7"  # without a tree the prior decides
+
+
 # ---------------------------------------------------------------- op6
 
 
