@@ -19,8 +19,9 @@ importance, as adverts and link lists differ from page to page.  Inside ``articl
 judged, so that a sentence quoted on many pages is not lost.  Where the tree has too
 few pages, the prior decides alone.
 
-Work per host is counts only: (host, place, content) and (host, place, presentation)
-are partial aggregates.  What a host's pages get back are its unimportant branches,
+Copies of a page weigh one: pages of a host with the same kept text are one page in all
+counts.  Work per host is counts only: (host, place, content) and (host, place,
+presentation) are partial aggregates.  What a host's pages get back are its unimportant branches,
 each on at least MIN_SHARE of the pages that have the place, and its important places
 outside the article.
 """
@@ -285,24 +286,25 @@ def branch_key(place: int, content: int, kind: int) -> int:
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
-    """(host, place, look, said, kids, kind, key): the judged elements of all pages, once a page each."""
+    """(host, place, look, said, kids, kind, key, page): the judged elements of all pages, once a
+    page each; ``page`` is a hash of the text that the prior keeps."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             if host and source:
                 page = Page(source)
-                rows = {(p, s, e): (host, p, look, s, k, e, branch_key(p, s, e)) for _, p, look, s, k, e in page.judged()}
+                own = _signed(xxhash.xxh64_intdigest(page.text() or source))
+                rows = {(p, s, e): (host, p, look, s, k, e, branch_key(p, s, e), own) for _, p, look, s, k, e in page.judged()}
                 out.extend(rows.values())
-        cols = list(zip(*out)) if out else [()] * 7
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+        cols = list(zip(*out)) if out else [()] * 8
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "place", "look", "said", "kids", "kind", "key"]
+            [pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "place", "look", "said", "kids", "kind", "key", "page"]
         )
 
-    return map_texts(
-        pages.select("host", "html"), run, "host string, place long, look long, said long, kids int, kind int, key long", "html"
-    )
+    schema = "host string, place long, look long, said long, kids int, kind int, key long, page long"
+    return map_texts(pages.select("host", "html"), run, schema, "html")
 
 
 def _spread(nlogn, m):
@@ -313,8 +315,9 @@ def _spread(nlogn, m):
 def judge(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Branches seen on MIN_PAGES pages (host, place, said, key, kind, k, m, importance), and places
     (host, place, m, kids, kind, shown, told: importance of presentations and of all contents)."""
+    once = rows.groupBy("host", "page", "place", "look", "said", "kind", "key").agg(F.max("kids").alias("kids"))
     cells = settle(
-        rows.groupBy("host", "place", "look", "said", "kind", "key").agg(F.count(F.lit(1)).alias("n"), F.max("kids").alias("kids"))
+        once.groupBy("host", "place", "look", "said", "kind", "key").agg(F.count(F.lit(1)).alias("n"), F.max("kids").alias("kids"))
     )
     looks = cells.groupBy("host", "place", "look").agg(F.sum("n").alias("n"))
     looks = looks.groupBy("host", "place").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
@@ -345,7 +348,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     """``pages`` (url, html) plus ``text`` and ``n_chars``.
 
     Null and empty pages give an empty text.  Pages without a host are judged
-    alone, as are hosts with few pages.  Repeated rows stay (and count as pages of
+    alone, as are hosts with few pages.  Repeated rows stay (and count as one page of
     their host).  Other columns pass through; own columns named like the results
     are replaced.  No pages: no rows."""
     pages = pages.drop("text", "n_chars")

@@ -245,6 +245,15 @@ def test_style_tree_judges_the_whole_page(spark):
     assert sitetree.Page(pages[7][2]).text() == "Text 7"  # without a tree the prior decides
 
 
+def test_copies_of_a_page_keep_their_article(spark):
+    html = "<body><article><h1>Title %d</h1><div class='body'><div><p>Story %d</p></div></div><div class='club'><div>Join us</div></div></article></body>"
+    pages = [(i, f"http://c.example/{i}", html % (i, i)) for i in range(60)]
+    pages += [(100 + i, f"http://c.example/copy/{i}", html % (7, 7)) for i in range(30)]
+    out = {r.page_id: r.text for r in sitetree.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out[3] == "Title 3\n\nStory 3"  # what stands on many different pages still goes
+    assert {out[i] for i in out if i >= 100 or i == 7} == {"Title 7\n\nStory 7"}
+
+
 # ---------------------------------------------------------------- op6
 
 
