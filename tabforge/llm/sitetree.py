@@ -16,7 +16,9 @@ only where the tree finds its place important.  A branch whose marks say what it
 (navigation, footer, advert, form, reader comments ...) has a bar above every
 importance, as adverts and link lists differ from page to page.  Inside ``article`` or
 ``main``, headings, paragraphs and the like always stay and only containers are
-judged, so that a sentence quoted on many pages is not lost.  Where the tree has too
+judged, so that a sentence quoted on many pages is not lost; there a word of a class or
+id only raises a container's bar, and it must be seen on several pages to go, unless a
+class is exactly the name of a known widget.  Where the tree has too
 few pages, the prior decides alone.
 
 Copies of a page weigh one: pages of a host with the same kept text are one page in all
@@ -41,8 +43,8 @@ from tabforge.llm.urlfilter import host_and_path
 
 GAMMA = 0.9
 #: Kinds of evidence, and the importance below which an element of the kind is removed.
-PLAIN, OUTSIDE, MARKED = 0, 1, 2
-BARS = (0.35, 0.85, 1.01)
+PLAIN, OUTSIDE, MARKED, HINTED = 0, 1, 2, 3
+BARS = (0.35, 0.85, 1.01, 0.7)
 #: Pages, and share of a place's pages, on which an unimportant branch is seen at least.
 MIN_PAGES, MIN_SHARE = 4, 0.02
 #: Counted bytes of all hosts' lists up to which they are broadcast.
@@ -73,11 +75,18 @@ NOISE_WORDS = frozenset(
     "notice notices alert alerts banner banners announcement popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended "
     "recommendations trending comment comments commentlist reply replies responses discussion disqus respond pagination pager skip toolbar".split()
 )
+#: Classes that name a widget inside the article, as a whole.
+WIDGETS = frozenset(
+    "ad ads advert adverts advertisement adsbygoogle adsense sponsored promo navbar breadcrumb breadcrumbs pagination pager "
+    "share sharing share-buttons social-share social-links sharedaddy addtoany newsletter newsletter-signup subscribe "
+    "cookie-notice cookie-banner cookie-consent comments comments-area comment comment-list commentlist comment-respond "
+    "related related-posts related-articles recommended sidebar toolbar widget popup modal".split()
+)
 #: Words that do so only outside the article.
 OUTER_WORDS = frozenset("header footer masthead topbar".split())
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+'|[\"'])*+)(?:>|(?=<)|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[\"'=])*+)(?:>|(?=<)|\Z)",
     re.DOTALL,
 )
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -90,24 +99,28 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Page:
     """Elements of a page in order: parent, tag, label (tag with classes), noise; and its text blocks."""
 
-    __slots__ = ("parent", "tag", "label", "noise", "inside", "blocks", "homes")
+    __slots__ = ("parent", "tag", "label", "noise", "hinted", "inside", "blocks", "homes")
 
     def __init__(self, source: str):
         self.parent, self.tag, self.label = [-1], ["#"], ["#"]
-        self.noise, self.inside = [False], [""]
+        self.noise, self.hinted, self.inside = [False], [False], [""]
         self.blocks: list[tuple[int, str]] = []
         self._read(source)
         self._settle_noise()
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
-        noise, label = tag in NOISE_TAGS, tag
+        noise, hinted, label = tag in NOISE_TAGS, False, tag
         inside = self.inside[parent]
         if attrs and not attrs.isspace():
             named = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
             names = f"{named.get('class', '')} {named.get('id', '')}"
             if names != " ":
                 words = {w.lower() for w in _CLASS_WORD.findall(_ABOUT.sub(" ", names))}
-                noise = noise or bool(words & NOISE_WORDS) or (not inside and bool(words & OUTER_WORDS))
+                if not inside or tag == "article":
+                    noise = noise or bool(words & NOISE_WORDS) or (not inside and bool(words & OUTER_WORDS))
+                elif tag not in PROSE:
+                    noise = noise or not WIDGETS.isdisjoint(named.get("class", "").lower().split())
+                    hinted = bool(words & NOISE_WORDS)
                 label = f"{tag}.{named.get('class', '')}"
             role = named.get("role", "").lower()
             noise = noise or role in NOISE_ROLES
@@ -122,6 +135,7 @@ class Page:
         self.tag.append(tag)
         self.label.append(label)
         self.noise.append(noise and tag not in ("html", "body"))
+        self.hinted.append(hinted)
         self.inside.append(inside)
         return len(self.tag) - 1
 
@@ -236,7 +250,7 @@ class Page:
                 continue
             if kept[n] and self.homes and self.tag[n] in PROSE:
                 continue
-            kind = MARKED if self.noise[n] else PLAIN if kept[n] else OUTSIDE
+            kind = MARKED if self.noise[n] else OUTSIDE if not kept[n] else HINTED if self.hinted[n] else PLAIN
             look = xxhash.xxh64_intdigest(" ".join(self.label[k] for k in kids[n]))
             said = xxhash.xxh64_intdigest("\n".join(below[n]))
             out.append((n, _signed(place[n]), _signed(look), _signed(said), len(kids[n]), kind))
@@ -336,7 +350,7 @@ def findings(rows: DataFrame) -> DataFrame:
     """(host, branches): each host's branches below their kind's bar, by key, and its important
     places outside the article.  Marked branches need no entry: no importance reaches their bar."""
     branches, places = judge(rows)
-    bar = F.when(F.col("kind") == OUTSIDE, BARS[OUTSIDE]).otherwise(BARS[PLAIN])
+    bar = F.when(F.col("kind") == OUTSIDE, BARS[OUTSIDE]).when(F.col("kind") == HINTED, BARS[HINTED]).otherwise(BARS[PLAIN])
     low = branches.where((F.col("kind") != MARKED) & (F.col("k") >= F.col("m") * MIN_SHARE) & (F.col("importance") < bar))
     fade = F.pow(F.lit(GAMMA), F.col("kids"))
     high = places.where((F.col("kind") == OUTSIDE) & ((1 - fade) * F.col("shown") + fade * F.col("told") >= BARS[OUTSIDE]))

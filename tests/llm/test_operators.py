@@ -254,6 +254,22 @@ def test_copies_of_a_page_keep_their_article(spark):
     assert {out[i] for i in out if i >= 100 or i == 7} == {"Title 7\n\nStory 7"}
 
 
+def test_class_words_inside_the_article_are_only_hints(spark):
+    own = "<h2 id='related-work'>Related work</h2><section id='discussion'><h3 id='sharing-data'>Data</h3><p class='notice'>Seen %d</p></section><div id='menu'>Soup %d</div>"
+    html = "<body><article><h1>T</h1>" + own + "<div class='newsletter-box'><div>Our letter</div></div><div class='share'>Share</div></article></body>"
+    alone = sitetree.Page(html % (1, 1)).text()
+    assert alone == "T\n\nRelated work\n\nData\n\nSeen 1\n\nSoup 1\n\nOur letter"
+    pages = [(i, f"http://d.example/{i}", html % (i, i)) for i in range(30)]
+    out = {r.page_id: r.text for r in sitetree.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out[9] == "T\n\nRelated work\n\nData\n\nSeen 9\n\nSoup 9"
+
+
+def test_long_quoted_attributes():
+    assert sitetree.Page("<article><p title=\"%s<b>c>\">x</p></article>" % ("a > " * 5000)).text() == "x"
+    assert sitetree.Page("<article><p>x</p>%s</article>" % ("<i a=\"' \n" * 20_001)).text() == "x"
+    assert sitetree.Page("<article><p>5\" <b x=>y</b> it's</p></article>").text() == "5\" y it's"
+
+
 # ---------------------------------------------------------------- op6
 
 
