@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabforge.llm import langid, mixing, simhash, spdropout, toxicity
@@ -39,8 +39,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document: doc_id, source, pieces, n_pieces, lossless."""
-    return spdropout.encode_docs(docs.select("doc_id", "source", "text")).drop("text")
+    """Piece ids of every document: doc_id, source, pieces, n_pieces, lossless.  The copies
+    that the mix makes of a document are numbered, so that each is segmented anew."""
+    alike = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source")
+    numbered = docs.select("doc_id", "source", "text", F.row_number().over(alike).alias("_copy"))
+    return spdropout.encode_docs(numbered, copy_col="_copy").drop("text")
 
 
 STAGES = [

@@ -7,17 +7,20 @@ piece has a mark after another character).  Segmentation is the usual agenda:
 of all neighbouring pairs whose concatenation is a piece, merge the one with
 the best score, the leftmost on ties, until none is left.  With dropout each
 candidate (a span and its split point) carries a keyed hash of the seed, the
-document's variant, the stretch and the offsets; candidates whose hash falls
-below the rate are skipped.  The same seed always gives the same segmentation.
-
-A document's variant is a hash of its id modulo ``variants``: segmentations
-vary between documents while equal stretches of a variant share one result.
+document (its id and text), the stretch's number in the document and the offsets;
+candidates whose hash falls below the rate are skipped.  So every occurrence of a
+word has draws of its own, and the same seed always gives the same segmentation.
+
+What occurrences share is work, never draws: the agenda's next candidate depends
+only on the stretch and on which candidates were skipped so far, so each stretch
+has a tree of these decisions, grown as occurrences need it.  An occurrence walks
+down by its own hashes; where the tree ends, the agenda runs for it.
 Characters outside the vocabulary, and the space mark itself where a text
 holds it literally, are written as byte pieces, so decoding gives back the
 exact text.
 
-The agenda runs on many distinct stretches at once in numpy, one merge each a
-round; stretches of over LONG characters use a heap.
+The agenda runs on many stretches at once in numpy, one candidate each a
+round; stretches of over LONG characters use a heap, once an occurrence.
 """
 
 from __future__ import annotations
@@ -32,15 +35,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import map_texts, plus, plus
+from tabforge.llm.common import map_texts, plus
 
 #: Default place of the public piece model; pass another path to the functions.
 MODEL_PATH = os.environ.get("TABFORGE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
 #: Stretches up to this length are merged in numpy, longer ones with a heap.
 LONG = 48
-#: Distinct stretches that a task keeps, at most, before it starts anew.
-CACHE = 200_000
+#: Distinct stretches, and decisions in their trees, that a task keeps at most before it starts anew.
+CACHE, NODES = 200_000, 2_000_000
+#: Occurrences without a result yet from which one of each tree end runs first.
+MANY = 16_384
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _LINE_STRETCH = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
@@ -145,25 +150,44 @@ def skipped(keys: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarra
     return (h >> np.uint64(11)).astype(np.float64) / 2.0**53 < rate
 
 
+def place_keys(doc_keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Key of each occurrence from its document's key and its number in the document."""
+    with np.errstate(over="ignore"):
+        return _mix(doc_keys ^ _mix((places.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
+
+
 def stretch_key(stretch: str, seed: int, variant: int) -> int:
     return xxhash.xxh64_intdigest(stretch.encode("utf-8", "surrogatepass"), seed * 1_000_003 + variant)
 
 
 class Segmenter:
-    """Ids of stretches under one seed and rate; keeps what it has computed up to CACHE stretches."""
+    """Ids of stretches under one seed and rate; keeps decision trees of up to CACHE stretches.
+
+    A node is a candidate (``spot``, its offsets packed) or a result (-1 - its slot);
+    ``edge`` 2 n and 2 n + 1 lead on from node n where the candidate is merged and
+    skipped, 0 where nothing is known yet.  A stretch starts at edge 2 n of a node of its own.
+    With ``shared``, a document's key is a small number and occurrences of a stretch in
+    documents of equal number share one key."""
 
-    def __init__(self, pieces: Pieces, rate: float, seed: int):
-        self.pieces, self.rate, self.seed = pieces, rate, seed
+    def __init__(self, pieces: Pieces, rate: float, seed: int, shared: bool = False):
+        self.pieces, self.rate, self.seed, self.shared = pieces, rate, seed, shared
         self.cut = (_LINE_STRETCH if pieces.line_free else _STRETCH).findall
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, dict[str, int]] = {}
-        self.count = 0
-        self.store: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
+        self.known: dict[str, int] = {}
+        self.edge, self.spot, self.nodes = np.zeros(1 << 13, dtype=np.int32), np.zeros(1 << 12, dtype=np.int32), 1
         self.flat, self.bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
+    def grow(self, n: int) -> np.ndarray:
+        """``n`` new nodes."""
+        at = np.arange(self.nodes, self.nodes + n)
+        self.nodes += n
+        while self.nodes > len(self.spot):
+            self.edge = np.concatenate([self.edge, np.zeros_like(self.edge)])
+            self.spot = np.concatenate([self.spot, np.zeros_like(self.spot)])
+        return at
+
     def symbols(self, stretch: str) -> list[int]:
         return self.pieces.of_chars(stretch).tolist()
 
@@ -201,12 +225,13 @@ class Segmenter:
             propose([before[i], i])
         return [(i, ends[i], sym[i]) for i in range(n) if alive[i]]
 
-    def in_rows(self, stretches: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def in_rows(self, stretches: list[str], keys: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Agenda on many stretches at once: (symbols, start offsets, bounds of each stretch).
+        ``trace`` takes each round's stretches, packed candidates and whether they were skipped.
 
         All symbols lie in one flat array linked to their neighbours.  Each round
         takes every stretch's best candidate (order of score, then leftmost, in
-        one integer), merges it and looks up the two new neighbours."""
+        one integer), merges it and looks up the two new neighbours, or skips it."""
         p = self.pieces
         sizes = np.array([len(s) for s in stretches])
         first = np.cumsum(sizes) - sizes
@@ -224,13 +249,8 @@ class Segmenter:
         def look(at: np.ndarray) -> None:
             right = after[at]
             m = p.merged(sym[at], sym[right])
-            ok = m >= 0
-            if self.rate > 0:
-                has = np.flatnonzero(ok)
-                i, j = at[has], right[has]
-                ok[has[skipped(keys[word[i]], offset[i], offset[j], end[j], self.rate)]] = False
             merged[at] = m
-            order[at] = np.where(ok, p.order[m] * (LONG + 1) + (LONG - offset[at]), -1)
+            order[at] = np.where(m >= 0, p.order[m] * (LONG + 1) + (LONG - offset[at]), -1)
 
         look(np.flatnonzero(after >= 0))
         live = np.arange(len(stretches))
@@ -247,6 +267,11 @@ class Segmenter:
                 break
             at = first[live] + LONG - best % (LONG + 1)
             gone = after[at]
+            drop = skipped(keys[live], offset[at], offset[gone], end[gone], self.rate)
+            if trace is not None:
+                trace.append((live, offset[at] << 12 | offset[gone] << 6 | end[gone], drop))
+            order[at[drop]] = -1  # a candidate does not come again
+            at, gone = at[~drop], gone[~drop]
             sym[at], end[at] = merged[at], end[gone]
             alive[gone], order[gone], order[at] = False, -1, -1
             then = after[gone]
@@ -264,35 +289,53 @@ class Segmenter:
     def bytes_of(self, chars: str) -> list[int]:
         return [int(self.pieces.byte_id[b]) for b in chars.encode()]
 
-    def learn(self, variant: int, fresh: list[str]) -> None:
-        """Segment stretches that are not known yet under a variant."""
-        slots = self.known.setdefault(variant, {})
-        short = [s for s in fresh if 0 < len(s) <= LONG]
-        for a in range(0, len(short), 8192):
-            part = short[a : a + 8192]
-            keys = np.array([stretch_key(s, self.seed, variant) for s in part], dtype=np.uint64)
-            sym, offset, bounds = self.in_rows(part, keys)
-            odd = np.logical_or.reduceat(sym < 0, bounds[:-1])
-            slots.update(zip(part, range(self.count, self.count + len(part))))
-            self.count += len(part)
-            sizes = np.diff(bounds)
-            for i in np.flatnonzero(odd)[::-1]:  # from the back, so that earlier bounds still hold
-                ids, cuts = sym[bounds[i] : bounds[i + 1]], offset[bounds[i] : bounds[i + 1]].tolist()
-                spelled = self._spell(part[i], zip(cuts, [*cuts[1:], len(part[i])], ids))
-                sym = np.concatenate([sym[: bounds[i]], np.array(spelled, dtype=np.int32), sym[bounds[i + 1] :]])
-                sizes[i] = len(spelled)
-            self.add(sym, sizes)
-        for s in fresh:
-            if not 0 < len(s) <= LONG:
-                spans = self.by_heap(s, stretch_key(s, self.seed, variant)) if s else []
-                ids = self._spell(s, spans) if s else [int(self.pieces.byte_id[b]) for b in MARK.encode()]
-                slots[s] = self.count
-                self.count += 1
-                self.add(np.array(ids, dtype=np.int32), np.array([len(ids)]))
+    def run(self, stretches: list[str], keys: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of short stretches, and how many each has."""
+        sym, offset, bounds = self.in_rows(stretches, keys, trace)
+        sizes = np.diff(bounds)
+        odd = np.flatnonzero(np.logical_or.reduceat(sym < 0, bounds[:-1]))
+        if not len(odd):
+            return sym, sizes
+        parts, at = [], 0
+        for i in odd:
+            a, b = bounds[i], bounds[i + 1]
+            cuts = offset[a:b].tolist()
+            spelled = self._spell(stretches[i], zip(cuts, [*cuts[1:], len(stretches[i])], sym[a:b]))
+            parts += [sym[at:a], np.array(spelled, dtype=np.int32)]
+            at, sizes[i] = b, len(spelled)
+        return np.concatenate([*parts, sym[at:]]), sizes
+
+    def learn(self, stretches: list[str], keys: np.ndarray, edges: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Run the agenda for occurrences that came to open ``edges`` after ``depths`` decisions;
+        the first to come to an edge adds its further decisions to the tree."""
+        ids, sizes = [], []
+        for a in range(0, len(stretches), 8192):
+            part = slice(a, a + 8192)
+            trace: list = []
+            got, size = self.run(stretches[part], keys[part], trace)
+            ids.append(got)
+            sizes.append(size)
+            link, depth = edges[part].copy(), depths[part]
+            first = np.zeros(len(link), dtype=bool)
+            first[np.unique(link, return_index=True)[1]] = True
+            first &= self.edge[link] == 0
+            for t, (live, spot, drop) in enumerate(trace):
+                on = first[live] & (depth[live] <= t)
+                who = live[on]
+                at = self.grow(len(who))
+                self.edge[link[who]], self.spot[at] = at, spot[on]
+                link[who] = 2 * at + drop[on]
+            who = np.flatnonzero(first)
+            at = self.grow(len(who))
+            self.edge[link[who]] = at
+            self.spot[at] = -1 - (len(self.bounds) - 1 + np.arange(len(who)))
+            starts = np.cumsum(size) - size
+            self.add(got[_ranges(starts[who], size[who])], size[who])
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.store.append(ids)
-        self.sizes.append(sizes)
+        self.flat = np.concatenate([self.flat, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
 
     def _spell(self, stretch: str, symbols) -> list[int]:
         out: list[int] = []
@@ -305,41 +348,93 @@ class Segmenter:
                 out.extend(self.bytes_of(stretch[a:b]))
         return out
 
-    def encode(self, texts: list[str | None], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None], doc_keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts and the bounds of each text's part."""
-        if self.count > CACHE:
+        if len(self.known) > CACHE or self.nodes > NODES:
             self.clear()
-        cut = []
+        words, counts = [], []
         for text in texts:
-            if not text:
-                cut.append([])
-                continue
-            head, *more = text.split(MARK) if MARK in text else (text,)
-            words = self.cut((" " + head).replace(" ", MARK))
-            for part in more:  # a literal mark is the stretch "", spelled in bytes
-                words.append("")
-                words.extend(self.cut(part.replace(" ", MARK)))
-            cut.append(words)
-        want: dict[int, dict[str, None]] = {}
-        for words, v in zip(cut, variants):
-            known = self.known.get(v, {})
-            want.setdefault(v, {}).update(dict.fromkeys(w for w in words if w not in known))
-        before = self.count
-        for v, fresh in want.items():
-            self.learn(v, list(fresh))
-        if self.count > before:
-            self.flat = np.concatenate([self.flat, *self.store])
-            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(self.sizes))])
-            self.store, self.sizes = [], []
-        slots = [np.array([self.known[v][w] for w in words], dtype=np.int64) if words else np.zeros(0, dtype=np.int64) for words, v in zip(cut, variants)]
-        flat_slots = np.concatenate(slots) if slots else np.zeros(0, dtype=np.int64)
-        first, size = self.bounds[flat_slots], self.bounds[flat_slots + 1] - self.bounds[flat_slots]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(first - (ends - size), size)]
-        word_ends = np.cumsum([len(s) for s in slots])
-        bounds = np.concatenate([[0], np.concatenate([[0], ends])[word_ends]]) if len(slots) else np.zeros(1)
-        return ids, bounds.astype(np.int64)
+            before = len(words)
+            if text:
+                head, *more = text.split(MARK) if MARK in text else (text,)
+                words += self.cut((" " + head).replace(" ", MARK))
+                for part in more:  # a literal mark is the stretch "", spelled in bytes
+                    words.append("")
+                    words += self.cut(part.replace(" ", MARK))
+            counts.append(len(words) - before)
+        starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        keys = self.keys_of(words, doc_keys, starts)
+        known = self.known
+        fresh = [w for w in dict.fromkeys(words) if w not in known]
+        short = [w for w in fresh if 0 < len(w) <= LONG]
+        known.update(zip(short, (2 * self.grow(len(short))).tolist()))
+        edges = np.array([known.get(w, -1) for w in words], dtype=np.int64)
+        slots = np.zeros(len(words), dtype=np.int64)
+        own_ids, own_sizes, own = [], [], 0  # results of single occurrences: slots -1, -2, ...
+
+        def single(who: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+            nonlocal own
+            slots[who] = -1 - np.arange(own, own + len(who))
+            own += len(who)
+            own_ids.append(ids)
+            own_sizes.append(sizes)
+
+        for i in np.flatnonzero(edges < 0):
+            w = words[i]
+            ids = self._spell(w, self.by_heap(w, int(keys[i]))) if w else [int(self.pieces.byte_id[b]) for b in MARK.encode()]
+            single(np.array([i]), np.array(ids, dtype=np.int32), np.array([len(ids)]))
+        depths = np.zeros(len(words), dtype=np.int64)
+        todo = np.flatnonzero(edges >= 0)
+        while len(todo):
+            stuck = self.walk(todo, edges, depths, keys, slots)
+            todo = stuck
+            if not len(stuck):
+                break
+            if len(stuck) > MANY:  # one of each end first, the others walk on
+                stuck = stuck[np.unique(edges[stuck], return_index=True)[1]]
+                self.learn([words[i] for i in stuck], keys[stuck], edges[stuck], depths[stuck])
+            else:
+                single(stuck, *self.learn([words[i] for i in stuck], keys[stuck], edges[stuck], depths[stuck]))
+                break
+        total = self.bounds[-1]
+        flat = np.concatenate([self.flat, *own_ids])
+        own_bounds = total + np.cumsum(np.concatenate([np.zeros(1, dtype=np.int64), *own_sizes]))
+        low = np.concatenate([self.bounds[:-1], own_bounds[:-1][::-1]])  # slot -1 is the last
+        high = np.concatenate([self.bounds[1:], own_bounds[1:][::-1]])
+        first, size = low[slots], (high - low)[slots]
+        ids = flat[_ranges(first, size)]
+        return ids, np.concatenate([[0], np.cumsum(size)])[starts].astype(np.int64)
+
+    def keys_of(self, words: list[str], doc_keys: list[int], starts: np.ndarray) -> np.ndarray:
+        if self.shared:
+            of_doc = np.repeat(np.asarray(doc_keys, dtype=np.int64), np.diff(starts)).tolist()
+            return np.array([stretch_key(w, self.seed, v) for w, v in zip(words, of_doc)], dtype=np.uint64)
+        counts = np.diff(starts)
+        place = np.arange(len(words)) - np.repeat(starts[:-1], counts)
+        return place_keys(np.repeat(np.asarray(doc_keys, dtype=np.int64).view(np.uint64), counts), place)
+
+    def walk(self, who: np.ndarray, edges: np.ndarray, depths: np.ndarray, keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Lead occurrences down their trees; those that come to an open end."""
+        stuck = []
+        while len(who):
+            node = self.edge[edges[who]]
+            met = node > 0
+            stuck.append(who[~met])
+            who, node = who[met], node[met]
+            spot = self.spot[node]
+            done = spot < 0
+            slots[who[done]] = -1 - spot[done].astype(np.int64)
+            who, node, spot = who[~done], node[~done], spot[~done]
+            drop = skipped(keys[who], spot >> 12, spot >> 6 & 63, spot & 63, self.rate)
+            edges[who] = 2 * node.astype(np.int64) + drop
+            depths[who] += 1
+        return np.concatenate(stuck) if stuck else who
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All indexes first, first + 1, ... of each of the ranges."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - size), size)
 
 
 def decode(ids: list[int], pieces: Pieces) -> str:
@@ -359,27 +454,40 @@ def load(path: str = MODEL_PATH) -> Pieces:
 
 
 def encode_docs(
-    docs: DataFrame, path: str = MODEL_PATH, rate: float = 0.1, seed: int = 13, variants: int = 2, id_col: str = "doc_id"
+    docs: DataFrame,
+    path: str = MODEL_PATH,
+    rate: float = 0.1,
+    seed: int = 13,
+    variants: int | None = None,
+    id_col: str = "doc_id",
+    copy_col: str | None = None,
 ) -> DataFrame:
     """``docs`` (with ``text`` and an id) plus ``pieces`` (array of ids), ``n_pieces``
     and ``lossless`` (whether decoding gave the text back).
 
-    Null texts: null pieces, 0 and true.  Empty texts: no pieces.  A null id counts
-    as its own value when the variant is chosen.  Equal rows get equal results.
+    Null texts: null pieces, 0 and true.  Empty texts: no pieces.  Every occurrence of
+    a word is segmented by draws of its own.  Rows of equal id and text get equal
+    results, unless ``copy_col`` (not returned) tells them apart.  With ``variants``,
+    only that many segmentations of a stretch are made, shared by all documents.
     Columns of ``docs`` named like the results are replaced; others pass through."""
     names = ["pieces", "n_pieces", "lossless"]
     docs = docs.drop(*names)
-    schema = plus(docs.schema, pieces="array<int>", n_pieces="bigint", lossless="boolean")
-    given = docs.withColumn("_variant", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants)).cast("int"))
-    kept = docs.columns
+    if variants is None:
+        told_apart = [F.col(id_col), F.col("text"), *([F.col(copy_col)] if copy_col else [])]
+        key = F.xxhash64(F.lit(seed), *told_apart)
+    else:
+        key = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants))
+    given = docs.withColumn("_doc_key", key).drop(*([copy_col] if copy_col else []))
+    kept = given.columns[:-1]
+    schema = plus(given.drop("_doc_key").schema, pieces="array<int>", n_pieces="bigint", lossless="boolean")
     state: dict[str, Segmenter] = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if "s" not in state:
-            state["s"] = Segmenter(load(path), rate, seed)
+            state["s"] = Segmenter(load(path), rate, seed, shared=variants is not None)
         seg = state["s"]
         texts = batch.column("text").to_pylist()
-        ids, bounds = seg.encode(texts, batch.column("_variant").to_pylist())
+        ids, bounds = seg.encode(texts, batch.column("_doc_key").to_pylist())
         same = []
         raw = seg.pieces.raw
         for t, a, b in zip(texts, bounds[:-1], bounds[1:]):

@@ -458,6 +458,48 @@ def test_heap_and_rows_agree():
             assert [s for *_, s in seg.by_heap(w, int(keys[i]))] == sym[bounds[i] : bounds[i + 1]].tolist()
 
 
+def test_every_occurrence_of_a_word_draws_anew(spark):
+    word, many = " heavenlything", 400
+    out = spdropout.encode_docs(_docs(spark, [(i, word[1:] + word * (many - 1), "x", "y") for i in range(8)])).collect()
+    pieces = spdropout.load()
+    ways = []
+    for r in out:
+        text, own = "", []
+        for i in r.pieces:
+            text += pieces.raw[i].decode()
+            own.append(i)
+            if text == word:
+                ways.append((r.doc_id, tuple(own)))
+                text, own = "", []
+        assert r.lossless and text == ""
+    assert len(ways) == 8 * many and len({w for _, w in ways}) > 10
+    assert all(len({w for d, w in ways if d == i}) > 5 for i in range(8))
+    assert len({tuple(r.pieces) for r in out}) == 8
+    copies = _docs(spark, [(1, word * 20, "x", "y")]).withColumn("n", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    assert len({tuple(r.pieces) for r in spdropout.encode_docs(copies, copy_col="n").collect()}) == 3
+
+
+def test_decision_trees_give_what_the_agenda_gives(monkeypatch):
+    pieces, rng = spdropout.load(), random.Random(4)
+    vocabulary = ["heavenlything", "thanderinged", "a", "naïveté", "日本語", "x" * 70, "▁", "the", "q" * 40, "\n", " "]
+    texts = [" ".join(rng.choices(vocabulary, k=60)) for _ in range(40)] + [None, ""]
+    doc_keys = [rng.getrandbits(63) for _ in texts]
+    for many in (spdropout.MANY, 20):
+        monkeypatch.setattr(spdropout, "MANY", many)
+        seg = spdropout.Segmenter(pieces, 0.3, 5)
+        for a in range(0, len(texts), 7):  # later calls walk down the trees of earlier ones
+            ids, bounds = seg.encode(texts[a : a + 7], doc_keys[a : a + 7])
+            for text, key, b, e in zip(texts[a:], doc_keys[a:], bounds, bounds[1:]):
+                want, place = [], 0
+                for part_no, part in enumerate(text.split("▁") if text else []):
+                    words = [""] * (part_no > 0) + seg.cut(((" " if part_no == 0 else "") + part).replace(" ", "▁"))
+                    for w in words:
+                        k = int(spdropout.place_keys(np.array([key], dtype=np.uint64), np.array([place]))[0])
+                        want += seg._spell(w, seg.by_heap(w, k)) if w else seg.bytes_of("▁")
+                        place += 1
+                assert ids[b:e].tolist() == want
+
+
 # ---------------------------------------------------------------- op10
 
 

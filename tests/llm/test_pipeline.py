@@ -37,6 +37,13 @@ def test_stages_in_turn(spark):
     assert fifth.count() == fourth.count() and fifth.where("not lossless").count() == 0
 
 
+def test_copies_of_a_document_are_segmented_anew(spark):
+    rows = [(1, "heavenly things wandering " * 20, "en", "s", 0)] * 3 + [(2, "other words", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    runs = [sorted(tuple(r.pieces) for r in corpus_pipeline.encoding_stage(spark, d, SF).collect()) for d in (docs, docs.repartition(4))]
+    assert runs[0] == runs[1] and len(set(runs[0])) == 4
+
+
 def test_stages_take_odd_documents(spark, tmp_path):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "Der Hund und die Katze", "de", "s", 22), (3, "Der Hund und die Katze", "de", "s", 22), (None, "x y z", "en", None, 5), (4, "a " * 200_000, "en", "s", 400_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
