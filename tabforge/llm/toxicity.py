@@ -24,15 +24,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import fold_of, held_out, map_texts, plus, plus
+from tabforge.llm.common import fold_of, held_out, map_texts, plus
 
 #: Labelled documents that the model is fitted on, at most, by label.
 TRAIN_TOXIC, TRAIN_CLEAN = 800, 1600
-#: Longest text, in characters, that the model is fitted on (all texts are scored, whole).
-TRAIN_CHARS = 50_000
+#: Characters of a text that the model is fitted on, at most: of longer ones, as many stretches
+#: evenly spread over the text (all texts are scored, whole).
+TRAIN_CHARS, TRAIN_STRETCHES = 50_000, 10
 #: Of these, how many toxic and clean ones the field's weights are trained on, at most.
 CHAIN_TOXIC, CHAIN_CLEAN = 300, 1200
 #: Test statistic and odds ratio that tie a feature to toxic documents, and the
@@ -309,32 +310,43 @@ def fit(texts: list[str], labels: list[int], rounds: int = 30) -> ToxicField:
     return model
 
 
+def stretches(text: Column) -> Column:
+    """A text of up to TRAIN_CHARS characters; of a longer one, whole words of TRAIN_STRETCHES
+    stretches evenly spread from its start to its end."""
+    size, k = TRAIN_CHARS // TRAIN_STRETCHES, TRAIN_STRETCHES - 1
+    starts = [F.floor((F.length(text) - size) * F.lit(i) / F.lit(k)).cast("int") + 1 for i in range(TRAIN_STRETCHES)]
+    parts = [F.regexp_replace(F.substring(text, at, F.lit(size)), r"^\w+\W|\W\w+$", "") for at in starts]
+    return F.when(F.length(text) > TRAIN_CHARS, F.concat_ws("\n", *parts)).otherwise(text)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
     """Texts and labels of at most TRAIN_TOXIC and TRAIN_CLEAN labelled documents
-    outside the held-out fold, chosen by a hash of the id.  Ids with both labels
-    are not used; of documents that share an id the smallest text is used."""
-    short = F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS
+    outside the held-out fold, chosen and ordered by a hash of the id, so that the
+    first few of them are a sample too.  Ids with both labels are not used; of
+    documents that share an id the smallest text is used."""
+    key = F.xxhash64(F.lit(5), F.col("doc_id"))
     ids = (
         labels.where(F.col("toxic").isin(0, 1) & (fold_of(F.col("doc_id")) != 0))
         .groupBy("doc_id")
         .agg(F.min("toxic").alias("_y"), F.max("toxic").alias("_z"))
         .where(F.col("_y") == F.col("_z"))
-        .join(docs.where(short).select("doc_id"), "doc_id", "left_semi")
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
     )
-    order = [F.xxhash64(F.lit(5), F.col("doc_id")), F.col("doc_id")]
+    order = [key, F.col("doc_id")]
     chosen = None
     for label, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)):
         part = ids.where(F.col("_y") == label).orderBy(*order).limit(most).select("doc_id", "_y")
         chosen = part if chosen is None else chosen.unionAll(part)
     rows = (
-        docs.where(short)
-        .select("doc_id", "text")
+        docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")  # at most TRAIN_TOXIC + TRAIN_CLEAN ids
+        .withColumn("text", stretches(F.col("text")))
         .groupBy("doc_id", "_y")
         .agg(F.min("text").alias("text"))
+        .withColumn("_h", key)
         .collect()
     )
-    rows.sort(key=lambda r: (-r["_y"], r["doc_id"]))
+    rows.sort(key=lambda r: (-r["_y"], r["_h"], r["doc_id"]))
     return [r["text"] or "" for r in rows], [r["_y"] for r in rows]
 
 

@@ -313,6 +313,35 @@ def test_toxicity_on_held_out_documents_and_edges(spark):
     assert {r.score < 0.5 for r in toxicity.score_docs(odd, blank).collect()} == {True}
 
 
+def _labelled(spark, n, word, pad=1):
+    rng = random.Random(7)
+    filler = ["w" + "".join(rng.choices("aeioulmnrst", k=5)) for _ in range(4000)]
+    rows = []
+    for i in range(2 * n):
+        words = rng.choices(filler, k=25 * pad)
+        if i % 2:
+            words = [word(i) if k % 5 == 2 else w for k, w in enumerate(words)]
+        rows.append((i, " ".join(words), "en", "s"))
+    return _docs(spark, rows), spark.createDataFrame([(i, 1, i % 2) for i in range(2 * n)], "doc_id long, quality int, toxic int")
+
+
+def test_toxic_words_of_late_ids_are_learned(spark):
+    docs, labels = _labelled(spark, 700, lambda i: "blorgface" if i < 1000 else "zinkhead")
+    model = toxicity.train(docs, labels)
+    odd = _docs(spark, [(1, "you blorgface blorgface", "en", "s"), (2, "you zinkhead zinkhead", "en", "s"), (3, "you are fine", "en", "s")])
+    assert [r.score >= 0.5 for r in toxicity.score_docs(odd, model).orderBy("doc_id").collect()] == [True, True, False]
+
+
+def test_long_labelled_texts_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 1000)
+    docs, labels = _labelled(spark, 100, lambda i: "blorgface", pad=20)
+    assert docs.agg(F.min(F.length("text"))).first()[0] > 1000
+    texts, y = toxicity.training_sample(docs, labels)
+    assert len(texts) > 100 and max(map(len, texts)) <= 1010 and {"blorgface" in t for t, k in zip(texts, y) if k} == {True}
+    got = toxicity.score_docs(docs, toxicity.train(docs, labels)).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in got)
+
+
 # ---------------------------------------------------------------- op7
 
 
