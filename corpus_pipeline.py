@@ -17,9 +17,13 @@ from tabforge.session import scratch_path
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is recognised (not ``und``: null, empty or letterless texts)."""
-    own = docs.columns
-    return langid.identify(docs, langid.train(docs)).where(F.col("lang_pred") != "und").select(*own)
+    """Rejects only undetermined texts (``und``: null, empty or without a letter).  No language
+    is rejected, so which one the network gives decides nothing here.  Without any labelled
+    language to learn from there is no network, and texts with a letter pass all the same."""
+    net = langid.train(docs)
+    if net is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return langid.identify(docs, net).where(F.col("lang_pred") != "und").select(*docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,13 @@ def test_stages_in_turn(spark):
     assert fifth.count() == fourth.count() and fifth.where("not lossless").count() == 0
 
 
+def test_language_stage_without_a_network_keeps_texts(spark):
+    texts = ["Der Hund", "été", "12 !?", "", None]
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.language_stage(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [0, 1]
+
+
 def test_copies_of_a_document_are_segmented_anew(spark):
     rows = [(1, "heavenly things wandering " * 20, "en", "s", 0)] * 3 + [(2, "other words", "en", "s", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
