@@ -6,8 +6,9 @@ every occurrence of one of the template's seed words opens a window around the
 place where the template would lie; text and template are aligned there by
 patience: the words that are unique in both are matched, the longest increasing
 subsequence of these matches anchors the alignment, and the gaps between anchors
-are aligned the same way (gaps without unique words, small ones by the longest
-common subsequence, larger ones from both ends).
+are aligned the same way (gaps without unique words by the longest common
+subsequence, of large ones in linear space).  Where the matched words lie too far
+apart, the window is tried again without its first and without its last matched word.
 
 Seeds lose nothing: a match leaves out at most (1 - MIN_COVERAGE) of the template's
 words, so of any set of more words than that at least one occurs; the longest words
@@ -16,6 +17,7 @@ are taken.  Texts are read whole; each document is one row of a map.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from bisect import bisect_left
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from tabforge.llm.common import map_texts
 
 MIN_COVERAGE = 0.8
-#: Cells of a gap that is aligned by the longest common subsequence.
+#: Cells of a gap up to which its longest common subsequence is found by one table.
 LCS_CELLS = 10_000
 _WORD = re.compile(r"\w+")
 
@@ -103,15 +105,33 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def common(text: list[str], a: int, b: int, tmpl: list[str], c: int, d: int, out: list[tuple[int, int]]) -> None:
-    """Gap without unique words: longest common subsequence if small, else first matches in order."""
+    """Gap without unique words: longest common subsequence, large gaps halved until they are small (Hirschberg)."""
+    work = [(a, b, c, d)]
+    while work:
+        a, b, c, d = work.pop()
+        if (b - a) * (d - c) <= LCS_CELLS or b - a < 2:
+            _table(text, a, b, tmpl, c, d, out)
+            continue
+        mid = (a + b) // 2
+        head = _lengths(text[a:mid], tmpl[c:d])
+        tail = _lengths(text[mid:b][::-1], tmpl[c:d][::-1])[::-1]
+        cut = c + max(range(len(head)), key=lambda k: head[k] + tail[k])
+        work += [(a, mid, c, cut), (mid, b, cut, d)]
+
+
+def _lengths(x: list[str], y: list[str]) -> list[int]:
+    """Lengths of the longest common subsequences of x and each beginning of y."""
+    row = [0] * (len(y) + 1)
+    for w in x:
+        corner = 0
+        for j, v in enumerate(y, 1):
+            corner, row[j] = row[j], corner + 1 if w == v else max(row[j], row[j - 1])
+    return row
+
+
+def _table(text: list[str], a: int, b: int, tmpl: list[str], c: int, d: int, out: list[tuple[int, int]]) -> None:
+    """Longest common subsequence by the table of all its lengths."""
     n, m = b - a, d - c
-    if n * m > LCS_CELLS:
-        j = c
-        for i in range(a, b):
-            if j < d and text[i] == tmpl[j]:
-                out.append((i, j))
-                j += 1
-        return
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
@@ -147,6 +167,26 @@ class Scanner:
         every = sorted({w for t in self.templates for w in t[3]})
         self.any_seed = re.compile(r"\b(?:" + "|".join(map(re.escape, every)) + r")\b").search if every else (lambda text: None)
 
+    def align(self, words: list[str], a: int, b: int, tmpl: list[str], need: int) -> tuple[int, int, int] | None:
+        """(matched words, first, last position) of a template in words[a:b]: enough of its words,
+        not too far apart.  Else a far word at either end may have been matched in place of a near
+        one: the narrower windows without the first and without the last are tried, wide ones first."""
+        tried, work = {(a, b)}, [(a - b, a, b)]
+        while work:
+            _, a, b = heapq.heappop(work)
+            pairs: list[tuple[int, int]] = []
+            patience(words, a, b, tmpl, 0, len(tmpl), pairs)
+            if len(pairs) < need:
+                continue
+            first, last = min(i for i, _ in pairs), max(i for i, _ in pairs)
+            if len(pairs) >= self.coverage * (last - first + 1):
+                return len(pairs), first, last
+            for low, high in ((first + 1, b), (a, last)):
+                if high - low >= need and (low, high) not in tried:
+                    tried.add((low, high))
+                    heapq.heappush(work, (low - high, low, high))
+        return None
+
     def scan(self, text: str | None) -> list[tuple[str, int, int, int, int, float]]:
         """(license, start, end, matched words, template words, coverage) in text order; offsets
         are code points of the lower-cased text.  Of matches that overlap, the one with more
@@ -170,13 +210,11 @@ class Scanner:
             for a, b in windows:
                 if b - a < need or b <= done:
                     continue
-                pairs: list[tuple[int, int]] = []
-                patience(words, max(a, done), b, tmpl, 0, n, pairs)
-                if len(pairs) >= need:
-                    first, last = min(i for i, _ in pairs), max(i for i, _ in pairs)
-                    if len(pairs) >= self.coverage * (last - first + 1):
-                        found.append((len(pairs), len(pairs) / n, rank, first, last, name, n))
-                        done = last + 1
+                match = self.align(words, max(a, done), b, tmpl, need)
+                if match:
+                    k, first, last = match
+                    found.append((k, k / n, rank, first, last, name, n))
+                    done = last + 1
         found.sort(key=lambda f: (-f[0], -f[1], f[2], f[3]))
         kept: list[tuple] = []
         for f in found:

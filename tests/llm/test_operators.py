@@ -441,6 +441,29 @@ def test_license_notices(spark):
     assert licenses.scan_docs(df.limit(0)).count() == 0 and licenses.scan_docs(df, templates=()).count() == 0
 
 
+def test_far_words_do_not_hide_a_notice():
+    scan = licenses.Scanner().scan
+    for text in ("At all times all rights reserved", "all of it: all rights reserved", "All rights reserved where rights are reserved", "all in all: all rights reserved, all of them reserved"):
+        assert [m[0] for m in scan(text)] == ["all-rights-reserved"], text
+    match = scan("At all times all rights reserved")[0]
+    assert match[1:4] == (13, 32, 3)
+
+
+def test_large_gaps_get_a_longest_common_subsequence(monkeypatch):
+    monkeypatch.setattr(licenses, "LCS_CELLS", 6)
+    rng = random.Random(2)
+    for _ in range(200):
+        x, y = (rng.choices("abc", k=rng.randrange(1, 25)) for _ in range(2))
+        out = []
+        licenses.common(x, 0, len(x), y, 0, len(y), out)
+        out.sort()
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, j in ((i, j) for i in range(len(x)) for j in range(len(y))):
+            best[i + 1][j + 1] = best[i][j] + 1 if x[i] == y[j] else max(best[i][j + 1], best[i + 1][j])
+        assert len(out) == best[-1][-1] and all(x[i] == y[j] for i, j in out)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(out, out[1:]))
+
+
 def test_license_lines_of_the_documents_are_all_found(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     lines = [t for _, t in licenses.TEMPLATES if t.endswith(".")]
