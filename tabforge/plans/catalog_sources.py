@@ -192,7 +192,7 @@ def q_incremental_load_rerun(spark, sf_dir):
 @register(
     "partition_append",
     oracle="""
-SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS n, sum(event_id) AS ids
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
 FROM events GROUP BY 1, 2
 """,
 )
