@@ -100,14 +100,31 @@ def dense_index(
     buckets: int | None = None,
     into: str = "row_index",
     tiebreak: list[str] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """0-based row number per group in ``(order_col, *tiebreak)`` order.
+    """0-based row number per group in ``(order_col, *tiebreak)`` order; ``total`` names
+    a further column with the group's number of rows.
 
     Every row gets its own number: rows that tie in all of these are put in the
     order of a hash of the whole row (rows equal in every column are
-    interchangeable)."""
+    interchangeable).  Copies are spread over the ranges by their place in their input
+    partition: sorted there first, so that a task that is run again deals the same
+    number of copies to each range."""
+    keys = [*(groups or []), order_col, *(tiebreak or []), "_print"]
     src = df.withColumns({"_one": F.lit(1).cast("long"), "_print": row_print(df)})
+    src = src.sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
     out = running_sums(
-        src, order_col, ["_one"], groups, buckets=buckets, prefix="_cum", tiebreak=[*(tiebreak or []), "_print"], by_row=True
+        src,
+        order_col,
+        ["_one"],
+        groups,
+        buckets=buckets,
+        prefix="_cum",
+        tiebreak=[*(tiebreak or []), "_print", "_place"],
+        by_row=True,
+        with_totals=total is not None,
     )
-    return out.withColumn(into, F.col("_cum_one") - 1).drop("_one", "_cum_one", "_print")
+    out = out.withColumn(into, F.col("_cum_one") - 1)
+    if total is not None:
+        out = out.withColumn(total, F.col("total__one"))
+    return out.drop("_one", "_cum_one", "_print", "_place", "total__one")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabforge.operators import profile
+from tabforge.plans import prefix
 from tabforge.plans.prefix import dense_index, ranged
 
 
@@ -69,3 +70,21 @@ def test_salted_profile_spreads_hot_key_and_stays_exact(spark):
         assert salted[c] == plain[c], c
     salts = df.filter("k = 0").select((F.spark_partition_id() % 8).alias("s")).distinct().count()
     assert salts == 8
+
+
+def test_dense_index_spreads_copies(spark):
+    """A third of the rows are copies of one: they are dealt over the ranges, and every
+    row of a group still has a number of its own."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.lit("g").alias("g")
+    )
+    out = prefix.dense_index(rows, "k", ["g"], buckets=8, into="i", total="n").withColumn("part", F.spark_partition_id())
+    got = out.agg(F.count("*"), F.count_distinct("i"), F.min("i"), F.max("i"), F.min("n"), F.max("n")).first()
+    assert tuple(got) == (30_000, 30_000, 0, 29_999, 30_000, 30_000)
+    keys = [F.col("g"), F.col("k"), F.col("_print"), F.col("_place")]
+    src = rows.withColumn("_print", prefix.row_print(rows)).sortWithinPartitions("g", "k", "_print")
+    dealt = prefix.ranged(src.withColumn("_place", F.monotonically_increasing_id()), keys, 8)
+    sizes = [r["count"] for r in dealt.groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 30_000 / 8 * 1.5
+    ordered = out.orderBy("i").select("k").collect()
+    assert [r.k for r in ordered] == sorted(r.k for r in ordered)
