@@ -14,4 +14,5 @@ simhash     SimHash near-duplicates through Golay-code keys
 licenses    license notices by patience alignment
 spdropout   piece encoding with seeded merge dropout, lossless decoding
 langid      byte convolutional network
+merkle      dataset manifest, subtrees in a van Emde Boas layout
 """

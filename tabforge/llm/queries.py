@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import ann, langid, licenses, mixing, simhash, sitetree, spdropout, toxicity, urlfilter, vecdedup
+from tabforge.llm import ann, langid, licenses, merkle, mixing, simhash, sitetree, spdropout, toxicity, urlfilter, vecdedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,82 @@ def op9_spdropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte convolutional network over every whole document."""
     return langid.predictions(_table(spark, sf_dir, "documents"))
+
+
+#: One row ``t``: the 256 entries of the reflected CRC-32 table (polynomial 0xEDB88320), for crc32 in SQL.
+CRC_TABLE = """
+    crc_table AS (
+        SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+               lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"""
+
+
+def crc32_sql(codes: str) -> str:
+    """SQL for the unsigned crc32 of a list of byte values, where ``t`` is the table."""
+    steps = f"list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))"
+    return f"xor(4294967295, {steps})"
+
+
+def _id_crc_sql(col: str) -> str:
+    return crc32_sql(f"list_transform(string_split({col}::VARCHAR, ''), lambda x: ord(x)::BIGINT)")
+
+
+def _merkle_sql(rounds: int = 6, top_rounds: int = 4) -> str:
+    """The manifest with its levels written out: 16 ** rounds rows a source, 16 ** top_rounds sources."""
+
+    def leaf(text: str) -> str:
+        values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    def levels(name: str, by: str, last: int) -> list[str]:
+        return [
+            f"{name}{k + 1} AS (SELECT {by}idx // 16 AS idx, (n + 15) // 16 AS n, sha256(string_agg(h, '' ORDER BY idx)) AS h"
+            f" FROM {name}{k} WHERE n > 1 GROUP BY {by}idx // 16, n)"
+            for k in range(last)
+        ]
+
+    def steps(name: str, rows: str, on: str, last: int) -> list[str]:
+        return [
+            f"{name}p{k} AS (SELECT {rows}.rid, coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < {rows}.pos // {16**k}), '') AS lft,"
+            f" coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > {rows}.pos // {16**k}), '') AS rgt"
+            f" FROM {rows} JOIN {name}{k} s ON {on}s.idx // 16 = {rows}.pos // {16 ** (k + 1)} WHERE s.n > 1 GROUP BY {rows}.rid)"
+            for k in range(last)
+        ]
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        CRC_TABLE.strip(),
+        f"d AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN {_id_crc_sql('doc_id')} % 5 = 0 THEN {leaf(low)} END AS changed FROM documents, crc_table)",
+        "e AS (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,"
+        " count(*) OVER (PARTITION BY source) AS n FROM d)",
+        "l0 AS (SELECT source, pos AS idx, n, leaf AS h FROM e)",
+        *levels("l", "source, ", rounds),
+        "subs AS (" + " UNION ALL ".join(f"SELECT source, h FROM l{k} WHERE n = 1" for k in range(rounds + 1)) + ")",
+        "t0s AS (SELECT source, h, row_number() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS idx, count(*) OVER () AS n FROM subs)",
+        "t0 AS (SELECT idx, n, h FROM t0s)",
+        *levels("t", "", top_rounds),
+        "roots AS (" + " UNION ALL ".join(f"SELECT h FROM t{k} WHERE n = 1" for k in range(top_rounds + 1)) + ")",
+        "u AS (SELECT e.rid, t0s.idx AS pos, t0s.h AS subroot FROM e JOIN t0s ON e.source IS NOT DISTINCT FROM t0s.source)",
+        *steps("l", "e", "s.source IS NOT DISTINCT FROM e.source AND ", rounds),
+        *steps("t", "u", "", top_rounds),
+    ]
+    names = [f"lp{k}" for k in range(rounds)] + [f"tp{k}" for k in range(top_rounds)]
+    proof = " || ".join(f"coalesce({p}.lft || {p}.rgt, '')" for p in names)
+    joins = " ".join(f"LEFT JOIN {p} ON {p}.rid = e.rid" for p in names)
+    sides = ", ".join(f"{p}.lft AS {p}_l, {p}.rgt AS {p}_r" for p in names)
+    parts.append(
+        f"f0 AS (SELECT e.doc_id, e.leaf, u.subroot, (SELECT h FROM roots) AS root, sha256({proof}) AS proof_sha256,"
+        f" coalesce(e.changed, e.leaf) AS f, {sides} FROM e JOIN u ON u.rid = e.rid {joins})"
+    )
+    for k, p in enumerate(names):
+        parts.append(f"f{k + 1} AS (SELECT * REPLACE (CASE WHEN {p}_l IS NULL THEN f ELSE sha256({p}_l || f || {p}_r) END AS f) FROM f{k})")
+    last = "SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM " + f"f{len(names)}"
+    return "WITH " + ",\n".join(parts) + "\n" + last
+
+
+@_query("op13_merkle", _merkle_sql())
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, every document's proof, and its check where texts of a fifth of them were lower-cased."""
+    docs = _table(spark, sf_dir, "documents").select(*merkle.COLUMNS)
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    made = merkle.manifest(docs, tampered={"text": low}, tampered_where=F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+    return merkle.prove(made)
