@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import ann, langid, licenses, merkle, mixing, simhash, sitetree, spdropout, toxicity, urlfilter, vecdedup
+from tabforge.llm import ann, langid, licenses, merkle, mixing, resampling, simhash, sitetree, spdropout, toxicity, urlfilter, vecdedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -207,6 +207,46 @@ def _merkle_sql(rounds: int = 6, top_rounds: int = 4) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + last
 
 
+def _resampling_sql() -> str:
+    def grams(table: str, rid: str) -> str:
+        words = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+        runs = [
+            "list_transform(range(1, len(ws) + 1 - %d), lambda i: %s)" % (n, " || ' ' || ".join(f"ws[i + {k}]" for k in range(n + 1)))
+            for n in range(3)
+        ]
+        return f"SELECT {rid} AS rid, unnest(list_concat({', '.join(runs)})) AS g FROM (SELECT *, {words} AS ws FROM {table}) WHERE ws IS NOT NULL"
+
+    codes = "list_transform(range(1, 2 * strlen(g), 2), lambda i: ('0x' || substr(hex(g), i, 2))::BIGINT)"
+    word_count = "coalesce(len(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), 0)"
+    return f"""
+    WITH {CRC_TABLE.strip()},
+    d AS (SELECT *, row_number() OVER () AS rid FROM documents),
+    dg AS (SELECT rid, g, count(*) AS n FROM ({grams('d', 'rid')}) GROUP BY rid, g),
+    bg AS (SELECT g, count(*) AS n FROM ({grams('benchmark', '0')}) GROUP BY g),
+    hashed AS (SELECT g, {crc32_sql(codes)} % 10000 AS b FROM (SELECT DISTINCT g FROM dg UNION SELECT g FROM bg), crc_table),
+    s AS (SELECT b, sum(n) AS s FROM dg JOIN hashed USING (g) GROUP BY b),
+    t AS (SELECT b, sum(n) AS t FROM bg JOIN hashed USING (g) GROUP BY b),
+    gains AS (
+        SELECT z.b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+                     / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+        FROM (SELECT unnest(range(10000)) AS b) z LEFT JOIN s ON s.b = z.b LEFT JOIN t ON t.b = z.b),
+    weights AS (SELECT rid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM dg JOIN hashed USING (g) JOIN gains ON gains.b = hashed.b GROUP BY rid),
+    e AS (
+        SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, {word_count} >= 20 AS fit,
+               coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+        FROM d LEFT JOIN weights USING (rid)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place, count(*) FILTER (fit) OVER () AS n FROM e)
+    SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 5 * n // 100 THEN place END AS rank FROM r
+    """
+
+
+@_query("op12_resampling", _resampling_sql())
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark's features; the drawn ones have a rank."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, _table(spark, sf_dir, "benchmark").select("text"))
+
+
 @_query("op13_merkle", _merkle_sql())
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents, every document's proof, and its check where texts of a fifth of them were lower-cased."""
