@@ -14,6 +14,7 @@ simhash     SimHash near-duplicates through Golay-code keys
 licenses    license notices by patience alignment
 spdropout   piece encoding with seeded merge dropout, lossless decoding
 langid      byte convolutional network
+topk        exact inner-product search, a ball tree in every shard
 resampling  importance resampling towards a target, bit-sliced weights
 merkle      dataset manifest, subtrees in a van Emde Boas layout
 """

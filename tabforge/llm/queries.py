@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import ann, langid, licenses, merkle, mixing, resampling, simhash, sitetree, spdropout, toxicity, urlfilter, vecdedup
+from tabforge.llm import ann, langid, licenses, merkle, mixing, resampling, simhash, sitetree, spdropout, topk, toxicity, urlfilter, vecdedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -207,6 +207,25 @@ def _merkle_sql(rounds: int = 6, top_rounds: int = 4) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + last
 
 
+@_query(
+    "op11_topk",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
+        FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.c) = len(v.c) WHERE q.vec_id % 50 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+    SELECT query_id, place::INT AS rank, vec_id, score FROM r WHERE place <= 5
+    """,
+)
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows of largest integer inner product for every vector whose id is divisible by 50."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 def _resampling_sql() -> str:
     def grams(table: str, rid: str) -> str:
         words = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
