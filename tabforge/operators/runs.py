@@ -82,17 +82,23 @@ def metric_latest(history: DataFrame) -> DataFrame:
     )
 
 
-def merge_params(existing: DataFrame, new: DataFrame) -> DataFrame:
+def merge_params(existing: DataFrame, new: DataFrame, order_col: str | None = None) -> DataFrame:
     """Write-once parameters (R5): a new key is ``accepted``, the same value
     again is ``unchanged``, a different value for a logged key is
-    ``rejected``.  One left join on (run_id, key)."""
-    e = existing.select("run_id", "key", F.col("value").alias("_old"))
-    j = new.join(e, ["run_id", "key"], "left")
-    status = (
-        F.when(F.col("_old").isNull(), "accepted")
-        .when(F.col("_old") == F.col("value"), "unchanged")
-        .otherwise("rejected")
-    )
+    ``rejected``.
+
+    NULL is a run, a key or a value like any other: a key logged with NULL is logged.  Of
+    several values for one new key in a batch the first by ``order_col`` (NULL first, then the
+    smaller value) is accepted, on each row that has it; the others are rejected.  One
+    aggregate finds what holds each key, one join brings it to the new rows."""
+    by = F.col(order_col) if order_col else F.lit(None).cast("int")
+    here = new.select("run_id", "key", F.lit(1).alias("_turn"), by.alias("_order"), "value")
+    logged = existing.select("run_id", "key", F.lit(0).alias("_turn"), F.lit(None).cast(here.schema["_order"].dataType).alias("_order"), "value")
+    holder = logged.unionByName(here).groupBy("run_id", "key").agg(F.min(F.struct("_turn", "_order", "value")).alias("_held"))
+    holder = holder.select(F.col("run_id").alias("_run"), F.col("key").alias("_key"), "_held")
+    j = new.join(holder, new["run_id"].eqNullSafe(F.col("_run")) & new["key"].eqNullSafe(F.col("_key")), "left")
+    same = F.col("value").eqNullSafe(F.col("_held.value"))
+    status = F.when(~same, "rejected").when(F.col("_held._turn") == 0, "unchanged").otherwise("accepted")
     return j.select("run_id", "key", "value", status.alias("status"))
 
 

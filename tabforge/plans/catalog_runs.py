@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators import runs as R
 from tabforge.operators.payload import parse_tag
+from tabforge.operators.run_filter import run_filter
 from tabforge.plans.registry import register
 from tabforge.session import scratch_path
 from tabforge.sources.tables import load, read_json_docs
@@ -105,6 +106,39 @@ def q_run_search(spark, sf_dir):
     return out.select("run_id", "run_name", "status", "start_time")
 
 
+#: Filter texts, and the same conditions in SQL over the runs' flat columns.
+FILTERS = [
+    (
+        f"status='FINISHED' AND start_time>{_START_AFTER} AND run_name LIKE '%run-1%' AND metrics.click>10 AND tags.source!='JOB'",
+        f"status = 'FINISHED' AND start_time > {_START_AFTER} AND run_name LIKE '%run-1%' AND m_click > 10 AND tag_source <> 'JOB'",
+    ),
+    ("", "true"),
+    ("attributes.run_name ILIKE 'DEMO-run-_'", "run_name ILIKE 'DEMO-run-_'"),
+    ("run_id IN ('run-1', 'run-2', \"run-30\")", "run_id IN ('run-1', 'run-2', 'run-30')"),
+    ("metrics.`click` <= 50.5 and metrics.\"error\" >= 1e1", "m_click <= 50.5 AND m_error >= 10"),
+    ("params.n_events NOT IN ('60', '61') AND params.n_events LIKE '6%'", "n NOT IN (60, 61) AND CAST(n AS VARCHAR) LIKE '6%'"),
+    ("params.type LIKE 'de%' AND tags.git_sha NOT LIKE '%1'", "tag_git_sha NOT LIKE '%1'"),
+    (f"end_time >= {_START_AFTER + 2_500_000_000} AND start_time < {_START_AFTER + 9_000_000}",
+     f"end_time >= {_START_AFTER + 2_500_000_000} AND start_time < {_START_AFTER + 9_000_000}"),
+    ("tags.missing != 'x'", "false"),
+    ("status <> 'FAILED' AND tag.`git_sha` ilike 'SHA3' AND metric.signup != 0 AND param.missing IS NULL",
+     "status <> 'FAILED' AND tag_git_sha = 'sha3' AND m_signup <> 0"),
+]
+
+
+@register(
+    "run_search_text",
+    oracle=RUNS_SQL
+    + "\nUNION ALL\n".join(f"SELECT {i} AS filter, run_id, run_name, status, start_time FROM runs WHERE {sql}" for i, (_, sql) in enumerate(FILTERS)),
+)
+def q_run_search_text(spark, sf_dir):
+    """Ten filter texts over all runs, in one scan: each run once for every filter it fulfils."""
+    runs = run_table(spark, sf_dir)
+    met = [F.when(run_filter(text, runs.schema), F.lit(i)) for i, (text, _) in enumerate(FILTERS)]
+    out = runs.withColumn("filter", F.explode(F.array_compact(F.array(*met))))
+    return out.select("filter", "run_id", "run_name", "status", "start_time")
+
+
 @register(
     "run_find_by_tag",
     oracle=RUNS_SQL + "SELECT run_id, start_time FROM runs WHERE tag_git_sha = 'sha1' "
@@ -144,34 +178,41 @@ def q_metric_latest(spark, sf_dir):
 
 
 def _params(ev, before: bool, types):
+    """Key = event type, but NULL for clicks; value = count mod 3, but NULL for 0."""
     cond = F.col("ts") < F.lit(CUT).cast("timestamp_ntz")
     src = ev.filter(cond if before else ~cond).filter(F.col("event_type").isin(types))
-    return src.groupBy("user_id", "event_type").agg((F.count(F.lit(1)) % 3).cast("string").alias("value")).select(
+    n = F.count(F.lit(1))
+    return src.groupBy("user_id", "event_type").agg(n.alias("n")).select(
         F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
-        F.col("event_type").alias("key"),
-        "value",
+        F.when(F.col("event_type") != "click", F.col("event_type")).alias("key"),
+        F.when(F.col("n") % 3 != 0, (F.col("n") % 3).cast("string")).alias("value"),
+        "n",
     )
 
 
 @register(
     "params_merge",
     oracle=f"""
-WITH e AS (SELECT 'run-' || CAST(user_id AS VARCHAR) AS run_id, event_type AS key,
-                  CAST(count(*) % 3 AS VARCHAR) AS value
-           FROM events WHERE ts < TIMESTAMP '{CUT}' AND event_type IN ('click', 'view') GROUP BY user_id, event_type),
-n AS (SELECT 'run-' || CAST(user_id AS VARCHAR) AS run_id, event_type AS key, CAST(count(*) % 3 AS VARCHAR) AS value
-      FROM events WHERE ts >= TIMESTAMP '{CUT}' GROUP BY user_id, event_type)
+WITH k AS (SELECT 'run-' || CAST(user_id AS VARCHAR) AS run_id, CASE WHEN event_type <> 'click' THEN event_type END AS key,
+                  event_type, ts < TIMESTAMP '{CUT}' AS logged, count(*) AS n FROM events GROUP BY user_id, event_type, ts < TIMESTAMP '{CUT}'),
+e AS (SELECT run_id, key, CASE WHEN n % 3 <> 0 THEN CAST(n % 3 AS VARCHAR) END AS value FROM k WHERE logged AND event_type IN ('click', 'view')),
+n AS (SELECT run_id, key, CASE WHEN n % 3 <> 0 THEN CAST(n % 3 AS VARCHAR) END AS value FROM k WHERE NOT logged
+      UNION ALL SELECT run_id, key, CAST(n % 2 AS VARCHAR) FROM k WHERE NOT logged AND event_type IN ('purchase', 'view')),
+h AS (SELECT *, row_number() OVER (PARTITION BY run_id, key ORDER BY turn, value NULLS FIRST) AS place
+      FROM (SELECT *, 0 AS turn FROM e UNION ALL SELECT *, 1 AS turn FROM n))
 SELECT n.run_id, n.key, n.value,
-       CASE WHEN e.value IS NULL THEN 'accepted' WHEN e.value = n.value THEN 'unchanged' ELSE 'rejected' END AS status
-FROM n LEFT JOIN e ON n.run_id = e.run_id AND n.key = e.key
+       CASE WHEN n.value IS DISTINCT FROM h.value THEN 'rejected' WHEN h.turn = 0 THEN 'unchanged' ELSE 'accepted' END AS status
+FROM n JOIN h ON h.place = 1 AND n.run_id = h.run_id AND n.key IS NOT DISTINCT FROM h.key
 """,
 )
 def q_params_merge(spark, sf_dir):
-    """Parameters logged in the first half (click/view only) vs the second
-    half (all types): new keys accepted, equal values unchanged, changed
-    values rejected."""
+    """Parameters logged in the first half (click/view only) vs the second half (all types,
+    two values for some keys): new keys accepted, equal values unchanged, others rejected;
+    one key is NULL, as are some logged and some new values."""
     ev = load(spark, sf_dir, "events")
-    return R.merge_params(_params(ev, True, ["click", "view"]), _params(ev, False, TYPES))
+    new = _params(ev, False, TYPES)
+    twice = new.where("key in ('purchase', 'view')").withColumn("value", (F.col("n") % 2).cast("string"))
+    return R.merge_params(_params(ev, True, ["click", "view"]).drop("n"), new.unionAll(twice).drop("n"))
 
 
 @register(
