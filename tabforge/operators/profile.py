@@ -202,11 +202,11 @@ def _distinct_key(c: Column, dt) -> Column:
 
     if isinstance(dt, (T.DoubleType, T.FloatType)):
         c = F.when(c == 0, F.lit(0).cast(dt)).otherwise(c)  # -0.0 == 0.0
-    c = _comparable(c, dt)
+    c = comparable(c, dt)
     return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b"))
 
 
-def _comparable(c: Column, dt) -> Column:
+def comparable(c: Column, dt) -> Column:
     """Maps have no order or hash: their sorted entries stand for them."""
     from pyspark.sql import types as T
 
@@ -243,7 +243,7 @@ def column_profile(
     stacked: list[Column] = []
     for i, f in enumerate(fields):
         raw = F.col(quoted(f.name))
-        c = _comparable(raw, f.dataType)
+        c = comparable(raw, f.dataType)
         is_num = isinstance(f.dataType, numeric)
         approx = F.approx_count_distinct(c) if not exact_distinct else F.lit(None).cast("long")
         aggs += [

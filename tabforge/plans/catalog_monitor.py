@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabforge.functions.timefn import ts_text
-from tabforge.operators import drift, profile
+from tabforge.operators import drift, profile, sketches
 from tabforge.operators.payload import parse_json
 from tabforge.plans.registry import register
+from tabforge.session import scratch_path
 from tabforge.sources.tables import load
 
 # Base / current cut of the events month used by every drift query.
@@ -60,6 +63,49 @@ def q_window_profile(spark, sf_dir):
     return _text_windows(prof)
 
 
+_ROLLUP_SQL = """
+WITH e AS (
+  SELECT time_bucket(INTERVAL '{width}', ts) AS ws, {key}, user_id, value,
+         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
+  FROM events)
+SELECT '{width}' AS width, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n_rows,
+       count(*) FILTER (WHERE value IS NULL) AS value_nulls, min(value) AS value_min, max(value) AS value_max,
+       round(avg(value), 6) AS value_mean, round(stddev_samp(value), 6) AS value_sd,
+       count(*) FILTER (WHERE k IS NULL) AS k_nulls, min(k) AS k_min, max(k) AS k_max,
+       round(avg(k), 6) AS k_mean, round(stddev_samp(k), 6) AS k_sd,
+       count(*) FILTER (WHERE user_id IS NULL) AS user_id_nulls, true AS p50_in_range, true AS distinct_in_range
+FROM e GROUP BY ws, event_type
+"""
+
+
+@register(
+    "profile_rollup",
+    oracle="SELECT * FROM ("
+    + _ROLLUP_SQL.format(width="1 day", key="event_type")
+    + ") UNION ALL SELECT * FROM ("
+    + _ROLLUP_SQL.format(width="6 hours", key="'all' AS event_type")
+    + ")",
+)
+def q_profile_rollup(spark, sf_dir):
+    """30-minute states stored by day (one day of them twice), rolled up from the stored table
+    alone: to days by event type, and to six hours over all types."""
+    ev = _events_with_k(spark, sf_dir)
+    path = scratch_path(spark, f"profiles/{uuid.uuid4().hex}")
+    state = sketches.profile_state(ev, "ts", "30 minutes", ["event_type"], ["value", "k"], ["user_id"])
+    sketches.store(state, path)
+    again = sketches.profile_state(ev.where("to_date(ts) = '2024-01-05'"), "ts", "30 minutes", ["event_type"], ["value", "k"], ["user_id"])
+    sketches.store(again, path)
+    days = sketches.merge_states(sketches.stored(spark, path), "1 day", ["event_type"])
+    hours = sketches.merge_states(sketches.stored(spark, path), "6 hours").withColumn("event_type", F.lit("all"))
+    both = days.withColumn("width", F.lit("1 day")).unionByName(hours.withColumn("width", F.lit("6 hours")))
+    out = sketches.finish(both)
+    flags = {
+        "p50_in_range": F.col("value_p50_approx").between(F.col("value_min"), F.col("value_max")),
+        "distinct_in_range": F.col("user_id_distinct_approx").between(1, F.col("n_rows") * 1.1 + 1),
+    }
+    return _text_windows(out.withColumns(flags)).drop("window_end", "value_p50_approx", "k_p50_approx", "user_id_distinct_approx")
+
+
 @register(
     "window_classes",
     oracle="""

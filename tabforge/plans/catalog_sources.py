@@ -208,6 +208,32 @@ def q_partition_append(spark, sf_dir):
     return days.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
+_RELOADED = ("2024-01-03", "2024-01-20")
+
+
+@register(
+    "partition_overwrite",
+    oracle=f"""
+WITH d AS (SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, event_id FROM events)
+SELECT day, event_type, CASE WHEN day IN {_RELOADED} THEN 'reload' ELSE 'first' END AS loaded,
+       count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
+FROM d GROUP BY day, event_type
+""",
+)
+def q_partition_overwrite(spark, sf_dir):
+    """A table by day, of which two days are reloaded: first with half of their rows, then
+    with all of them twice over, at last with no rows.  The reloaded days hold each row once,
+    all other days are as first loaded."""
+    ev = load(spark, sf_dir, "events").select("event_id", "event_type", "ts", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    path = scratch_path(spark, f"reload/{uuid.uuid4().hex}")
+    tables.overwrite_partitions(ev.withColumn("loaded", F.lit("first")), path, ["day"])
+    days = ev.where(F.col("day").isin(*_RELOADED)).withColumn("loaded", F.lit("reload"))
+    for part in (days.where("event_id % 2 = 0"), days, days, days.limit(0)):
+        tables.overwrite_partitions(part, path, ["day"])
+    back = spark.read.schema(days.schema).parquet(path)
+    return back.groupBy("day", "event_type", "loaded").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 @register(
     "catalog_table_sinks",
     oracle="SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",

@@ -150,6 +150,28 @@ def append(df: DataFrame, target: str, partition_by=None, location: str | None =
     write_snapshot(df, target, mode="append", partition_by=partition_by, location=location)
 
 
+def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str], location: str | None = None) -> None:
+    """Reload sink (S6): replaces the partitions that ``df`` has rows of and leaves all others
+    as they are, by path (has a ``/``) or table name.  Run again with the same rows it gives
+    the same table; without rows nothing changes.
+
+    Dynamic overwrite is asked for on this one write, whatever the session's setting, and the
+    folders are swapped when the job commits, so a failed reload leaves the old ones.  Rows
+    are rebalanced by partition: a day's rows go to few files, and a large day to many tasks."""
+    df = df.hint("rebalance", *partition_by)
+    spark = df.sparkSession
+    if "/" not in target and spark.catalog.tableExists(target):
+        columns = spark.table(target).columns  # insertInto goes by position
+        df.select(*[f"`{c}`" for c in columns]).write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+        return
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    if "/" in target:
+        w.parquet(target)
+        return
+    w = w.format("parquet")
+    (w.option("path", location) if location else w).saveAsTable(target)
+
+
 def preview(df: DataFrame, n: int = 20):
     """Bounded hand-off to local memory (S12): never more than ``n`` rows."""
     return df.limit(n).toPandas()

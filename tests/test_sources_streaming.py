@@ -193,3 +193,55 @@ def test_monitoring_time_range_prunes_day_partitions(spark):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
     assert "day#" in filters and ">=" in filters and "<=" in filters
+
+
+def _files(path):
+    import os
+
+    place = path.replace("file:", "")
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(place) for f in fs if f.endswith(".parquet")}
+
+
+def test_reload_replaces_its_partitions_only(spark):
+    path = scratch_path(spark, f"reload/{uuid.uuid4().hex}")
+    rows = spark.range(1000).select("id", (F.col("id") % 5).cast("string").alias("day"), F.lit(0).alias("v"))
+    tables.overwrite_partitions(rows, path, ["day"])
+    before = _files(path)
+    for part in (rows.where("day = '3' and id < 100"), rows.where("day = '3'"), rows.where("day = '3'")):
+        tables.overwrite_partitions(part.withColumn("v", F.lit(1)), path, ["day"])
+    tables.overwrite_partitions(rows.limit(0), path, ["day"])
+    after = _files(path)
+    others = {f: t for f, t in before.items() if "day=3" not in f}
+    assert others and others == {f: t for f, t in after.items() if "day=3" not in f}
+    got = spark.read.parquet(path).groupBy("day", "v").count().collect()
+    assert sorted((str(r.day), r.v, r["count"]) for r in got) == [(str(d), int(d == 3), 200) for d in range(5)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
+def test_reload_of_a_named_table(spark):
+    name = f"reload_{uuid.uuid4().hex}"
+    place = scratch_path(spark, f"tables/{name}")
+    rows = spark.range(90).select("id", (F.col("id") % 3).alias("day"), F.lit("a").alias("v"))
+    tables.overwrite_partitions(rows, name, ["day"], location=place)
+    part = rows.where("day = 1").withColumn("v", F.lit("b")).select("day", "v", "id")  # its columns in another order
+    for _ in range(2):
+        tables.overwrite_partitions(part, name, ["day"])
+    tables.overwrite_partitions(part.limit(0), name, ["day"])
+    got = spark.table(name).groupBy("day", "v").agg(F.count("*").alias("n"), F.sum("id").alias("s")).collect()
+    assert sorted(map(tuple, got)) == [(0, "a", 30, 1305), (1, "b", 30, 1335), (2, "a", 30, 1365)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_write_once_parameters(spark):
+    from tabforge.operators import runs
+
+    logged = spark.createDataFrame([("r", "a", "1"), ("r", "b", None), ("r", None, "n"), (None, "a", "2")], "run_id string, key string, value string")
+    new = [("r", "a", "1"), ("r", "a", "2"), ("r", "b", None), ("r", "b", "x"), ("r", None, "n"), ("r", None, "m"), (None, "a", "2"), (None, None, "q"),
+           ("r", "new", "2"), ("r", "new", "1"), ("r", "new", "1"), ("s", "a", "9"), ("s", "z", None), ("s", "z", "1")]
+    got = runs.merge_params(logged, spark.createDataFrame(new, logged.schema)).collect()
+    want = dict.fromkeys(new, "rejected")
+    want |= dict.fromkeys([("r", "a", "1"), ("r", "b", None), ("r", None, "n"), (None, "a", "2")], "unchanged")
+    want |= dict.fromkeys([(None, None, "q"), ("r", "new", "1"), ("s", "a", "9"), ("s", "z", None)], "accepted")
+    assert sorted(((r.run_id, r.key, r.value, r.status) for r in got), key=str) == sorted(((*n, want[n]) for n in new), key=str)
+    ordered = spark.createDataFrame([("r", "k", "b", 1), ("r", "k", "a", 2)], "run_id string, key string, value string, t int")
+    assert {(r.value, r.status) for r in runs.merge_params(logged, ordered, "t").collect()} == {("b", "accepted"), ("a", "rejected")}
