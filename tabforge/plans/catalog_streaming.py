@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tabforge.operators import model
+from tabforge.operators import model, sketches
 from tabforge.plans.catalog_json import _FLAT_SQL, CUSTOMER_RECORD, request_log
 from tabforge.plans.catalog_model import _checked
 from tabforge.plans.monitoring import monitoring_table
@@ -79,7 +79,7 @@ def q_stream_window_profile(spark, sf_dir):
     """30-minute profile on the event stream with a one-hour watermark, in
     append mode: the windows that closed before the stream's watermark (max
     event time − 1 hour) are emitted, each once; the input has ended, so the
-    windows still open then are added by the closing batch."""
+    windows still open then are added from the stream's state."""
     landing, sink, ckpt = _dirs(spark, "window")
     ev = load(spark, sf_dir, "events").select("ts", "event_type", "value")
     ev.write.parquet(landing)
@@ -87,7 +87,7 @@ def q_stream_window_profile(spark, sf_dir):
     stream = ingest.file_stream(spark, landing, schema)
     prof = ingest.window_profile_stream(stream, "ts", "30 minutes", ["event_type"], ["value"])
     ingest.run_available(prof, sink, ckpt)
-    rest = ingest.open_windows(spark.read.parquet(landing), "ts", "30 minutes", ["event_type"], ["value"])
+    rest = ingest.open_windows(spark, ckpt, ["event_type"], ["value"])
     out = spark.read.parquet(sink).unionByName(rest)
     return out.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
@@ -98,6 +98,66 @@ def q_stream_window_profile(spark, sf_dir):
     )
 
 
+#: Three drops of the events, the later ones with rows from long before: (SQL condition, drop).
+_DROPS = "CASE WHEN ts < TIMESTAMP '2024-01-10' AND event_id % 2 = 0 THEN 0 WHEN ts < TIMESTAMP '2024-01-20' AND event_id % 5 <> 1 THEN 1 ELSE 2 END"
+_LATE_SQL = f"""
+WITH d AS (SELECT *, {_DROPS} AS part, time_bucket(INTERVAL '30 minutes', ts) AS ws FROM events),
+m AS (SELECT p.part, max(ts) - INTERVAL '1 hour' AS mark FROM d JOIN (SELECT unnest([1, 2]) AS part) p ON d.part < p.part GROUP BY p.part),
+e AS (SELECT d.*, coalesce(ws + INTERVAL '30 minutes' <= mark, false) AS late FROM d LEFT JOIN m USING (part))"""
+
+
+def _late_stream(spark, sf_dir):
+    """Runs the drops one by one; (sink, checkpoint, ledger)."""
+    landing, sink, ckpt = _dirs(spark, "late")
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id", "value")
+    for part in range(3):
+        ev.where(f"{_DROPS.replace('TIMESTAMP', 'TIMESTAMP_NTZ')} = {part}").drop("event_id").write.mode("append").parquet(landing)
+        stream = ingest.file_stream(spark, landing, ev.drop("event_id").schema)
+        state = ingest.profile_state_stream(stream, "ts", "30 minutes", ["event_type"], ["value"], ["user_id"])
+        ingest.run_counted(state, sink, ckpt, f"{ckpt}-ledger")
+    return sink, ckpt, f"{ckpt}-ledger"
+
+
+@register(
+    "stream_profile_sketches",
+    oracle=_LATE_SQL
+    + """
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS value_nulls,
+       min(value) AS value_min, max(value) AS value_max, round(avg(value), 6) AS value_mean, round(stddev_samp(value), 6) AS value_sd,
+       true AS p50_in_range, true AS distinct_in_range
+FROM e WHERE NOT late GROUP BY ws, event_type
+""",
+)
+def q_stream_profile_sketches(spark, sf_dir):
+    """30-minute states of a stream with late data, emitted and still open: quantiles and
+    distinct counts come from sketches in the state, rows that came too late are in no window."""
+    sink, ckpt, _ = _late_stream(spark, sf_dir)
+    states = spark.read.parquet(sink).unionByName(ingest.open_states(spark, ckpt, ["event_type"], ["value"], ["user_id"]))
+    out = sketches.finish(states).withColumns(
+        {
+            "p50_in_range": F.col("value_p50_approx").between(F.col("value_min"), F.col("value_max")),
+            "distinct_in_range": F.col("user_id_distinct_approx").between(1, F.col("n_rows")),
+            "window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
+        }
+    )
+    return out.drop("window_end", "value_p50_approx", "user_id_nulls", "user_id_distinct_approx")
+
+
+@register(
+    "stream_late_rows",
+    oracle=_LATE_SQL
+    + """
+SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS untimed_rows, count(*) FILTER (WHERE NOT late) AS kept_rows,
+       count(*) FILTER (WHERE late) AS late_rows FROM e
+""",
+)
+def q_stream_late_rows(spark, sf_dir):
+    """Account of a stream with late data: every input row is emitted, open or counted as late."""
+    sink, ckpt, ledger = _late_stream(spark, sf_dir)
+    out = ingest.account(spark, sink, ckpt, ledger, ["event_type"], ["value"], ["user_id"])
+    return out.select("input_rows", "untimed_rows", (F.col("emitted_rows") + F.col("open_rows")).alias("kept_rows"), "late_rows")
+
+
 @register("stream_score", oracle="SELECT doc_id, true AS in_range, true AS class_fits FROM documents")
 def q_stream_score(spark, sf_dir):
     """Boosted trees trained in batch, applied to a document stream
