@@ -33,13 +33,15 @@ def main(sf_dir: str) -> dict:
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     table = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y")).join(docs, "doc_id")
 
-    # 2. exact 80/20 split, saved as versioned snapshots
+    # 2. exact 80/20 split, saved as versions and noted in the run's lineage
     labelled = sampling.assign_split_exact(table, ["doc_id"], 0.2, 42)
-    train_t = versions.VersionedTable(spark, f"{root}/train_set")
-    test_t = versions.VersionedTable(spark, f"{root}/test_set")
-    train_t.write(labelled.filter(F.col("split") == "train").drop("split"))
-    test_t.write(labelled.filter(F.col("split") == "test").drop("split"))
-    train, test = train_t.read(), test_t.read()
+    train_path, test_path = f"{root}/train_set", f"{root}/test_set"
+    versions.write_version(labelled.filter(F.col("split") == "train").drop("split"), train_path)
+    versions.write_version(labelled.filter(F.col("split") == "test").drop("split"), test_path)
+    for context, path in (("training", train_path), ("testing", test_path)):
+        versions.log_input(spark, f"{root}/lineage", "walkthrough", context, path)
+    train = versions.read_by_lineage(spark, f"{root}/lineage", "walkthrough", "training")
+    test = versions.read_by_lineage(spark, f"{root}/lineage", "walkthrough", "testing")
 
     # 3. train a challenger and a champion, evaluate on the same rows
     params = model.BoostParams(learning_rate=0.1, n_estimators=10, max_depth=3)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tabforge.operators import sampling
 from tabforge.session import scratch_path
 from tabforge.sources import tables, versions
-from tabforge.plans.registry import register
+from tabforge.plans.registry import ORACLES, register
 from tabforge.sources.tables import load
 
 CUT = "2024-01-16 00:00:00"
@@ -109,12 +109,13 @@ def q_change_feed(spark, sf_dir):
 
 
 def _versioned(spark, sf_dir):
+    """Path of a table with three versions: write, append, overwrite."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    vt = versions.VersionedTable(spark, scratch_path(spark, f"versions/{uuid.uuid4().hex}"))
-    vt.write(o.filter(F.col("o_orderstatus") == "F"), "WRITE")
-    vt.write(o.filter(F.col("o_orderstatus") == "O"), "APPEND", mode="append")
-    vt.write(o, "WRITE")
-    return vt
+    path = scratch_path(spark, f"versions/{uuid.uuid4().hex}")
+    versions.write_version(o.filter(F.col("o_orderstatus") == "F"), path)
+    versions.write_version(o.filter(F.col("o_orderstatus") == "O"), path, "APPEND", mode="append")
+    versions.write_version(o, path)
+    return path
 
 
 @register(
@@ -127,8 +128,8 @@ UNION ALL SELECT CAST(2 AS BIGINT), 'WRITE', count(*) FROM orders
 """,
 )
 def q_table_history(spark, sf_dir):
-    """Three snapshot versions (write, append, overwrite) and their manifest."""
-    return _versioned(spark, sf_dir).history().select("version", "operation", "num_rows")
+    """Three versions (write, append, overwrite) and the history that the table itself gives."""
+    return versions.history(spark, _versioned(spark, sf_dir)).select("version", "operation", "num_rows")
 
 
 @register(
@@ -140,12 +141,56 @@ WHERE o_orderstatus IN ('F', 'O') GROUP BY o_orderstatus
 )
 def q_read_version(spark, sf_dir):
     """Time travel: read version 1 (after the append), not the latest."""
-    v1 = _versioned(spark, sf_dir).read(1)
+    v1 = versions.read_version(spark, _versioned(spark, sf_dir), 1)
     return v1.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )
 
 
+@register(
+    "read_by_lineage",
+    oracle="""
+WITH u AS (SELECT * FROM (VALUES ('run-a', 'training', 0), ('run-a', 'testing', 1), ('run-b', 'training', 1), ('run-c', 'training', 2)) t(run_id, context, v)),
+j AS (SELECT * FROM u JOIN orders ON v = 2 OR (v = 1 AND o_orderstatus IN ('F', 'O')) OR (v = 0 AND o_orderstatus = 'F'))
+SELECT run_id, context, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM j GROUP BY run_id, context
+UNION ALL SELECT 'run-a', 'testing, alone', count(*), round(sum(o_totalprice), 2) FROM orders WHERE o_orderstatus IN ('F', 'O')
+""",
+)
+def q_read_by_lineage(spark, sf_dir):
+    """Three runs that used three versions of a table: the rows of every run by one join, and those of one run alone."""
+    path = _versioned(spark, sf_dir)
+    lineage = scratch_path(spark, f"lineage/{uuid.uuid4().hex}")
+    for run, context, version in (("run-a", "training", 0), ("run-a", "testing", 1), ("run-b", "training", 1), ("run-c", "training", None)):
+        versions.log_input(spark, lineage, run, context, path, version)
+    every = versions.rows_by_lineage(spark.read.parquet(lineage), path)
+    one = versions.read_by_lineage(spark, lineage, "run-a", "testing")
+    one = one.withColumns({"run_id": F.lit("run-a"), "context": F.lit("testing, alone")})
+    both = every.unionByName(one).groupBy("run_id", "context")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+_CDF_SQL = ORACLES["change_feed"]
+
+
+@register("change_feed_digest", oracle=_CDF_SQL)
+def q_change_feed_digest(spark, sf_dir):
+    """The change feed through range digests: only ranges of keys that differ are joined."""
+    old, new = _cdf_versions(spark, sf_dir)
+    return versions.change_feed_digest(old, new, ["o_orderkey"])
+
+
+@register("change_feed_stored_digests", oracle=_CDF_SQL)
+def q_change_feed_stored_digests(spark, sf_dir):
+    """The same from digests stored with each version: unchanged ranges are found without reading either."""
+    old, new = _cdf_versions(spark, sf_dir)
+    stored = []
+    for name, df in (("old", old), ("new", new)):
+        path = scratch_path(spark, f"digests/{name}-{uuid.uuid4().hex}")
+        versions.digests(df, ["o_orderkey"]).write.parquet(path)
+        stored.append(spark.read.parquet(path))
+    return versions.change_feed_digest(old, new, ["o_orderkey"], old_digests=stored[0], new_digests=stored[1])
+
+
 @register(
     "incremental_load",
     oracle=f"SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '{CUT}'",
@@ -189,6 +234,28 @@ def q_incremental_load_rerun(spark, sf_dir):
     )
 
 
+@register("incremental_load_bucketed", oracle=ORACLES["incremental_load_rerun"])
+def q_incremental_load_bucketed(spark, sf_dir):
+    """The scheduled loads into a table bucketed by the key, whose side of the join is never shuffled."""
+    ev = load(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    name = f"tabforge_events_{uuid.uuid4().hex}"
+    place = scratch_path(spark, f"tables/{name}")
+    load_into = lambda src: versions.load_new_bucketed(src, name, ["event_id"], 8, location=place)
+    load_into(ev.limit(0))  # an empty first run
+    odd = ev.agg(F.lit(None).cast("long").alias("event_id"), F.min("user_id").alias("user_id"), F.min("ts").alias("ts"))
+    ev = ev.unionAll(ev).unionAll(odd)
+    first = load_into(ev.filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")))
+    second, third = load_into(ev), load_into(ev)
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    total = spark.read.parquet(place).agg(F.count(F.lit(1)).alias("target_rows"))
+    return total.select(
+        F.lit(first).cast("long").alias("first_run"),
+        F.lit(second).cast("long").alias("second_run"),
+        F.lit(third).cast("long").alias("third_run"),
+        "target_rows",
+    )
+
+
 @register(
     "partition_append",
     oracle="""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabforge.session import scratch_path
@@ -16,15 +17,91 @@ SF = "/root/testdata/sf0.001"
 
 def test_versions_and_time_travel(spark):
     o = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderstatus")
-    vt = versions.VersionedTable(spark, scratch_path(spark, f"t/{uuid.uuid4().hex}"))
-    assert vt.latest_version() is None
-    v0 = vt.write(o.filter(F.col("o_orderstatus") == "F"))
-    v1 = vt.write(o.filter(F.col("o_orderstatus") == "O"), "APPEND", mode="append")
-    assert (v0, v1) == (0, 1) and vt.latest_version() == 1
-    assert vt.read(0).count() == o.filter(F.col("o_orderstatus") == "F").count()
-    assert vt.read().count() == o.filter(F.col("o_orderstatus").isin("F", "O")).count()
-    nums = {r["version"]: r["num_rows"] for r in vt.history().collect()}
-    assert nums[1] == vt.read(1).count()
+    path = scratch_path(spark, f"t/{uuid.uuid4().hex}")
+    assert versions.latest_version(spark, path) is None and versions.history(spark, path).count() == 0
+    kinds = [o.filter(F.col("o_orderstatus") == s) for s in "FOP"]
+    wrote = [versions.write_version(kinds[0], path), versions.write_version(kinds[1], path, "APPEND", mode="append"),
+             versions.write_version(kinds[2], path), versions.write_version(o.limit(0), path, "CLEAR"), versions.write_version(kinds[0], path, mode="append")]
+    assert wrote == [0, 1, 2, 3, 4] and versions.latest_version(spark, path) == 4
+    n = [k.count() for k in kinds]
+    sizes = [n[0], n[0] + n[1], n[2], 0, n[0]]
+    assert [versions.read_version(spark, path, v).count() for v in range(5)] == sizes
+    got = versions.history(spark, path).collect()
+    assert [(r.version, r.operation, r.num_rows) for r in got] == [(v, op, sizes[v]) for v, op in reversed(list(enumerate(["WRITE", "APPEND", "WRITE", "CLEAR", "WRITE"])))]
+    assert versions.read_version(spark, path).columns == o.columns
+    plan = versions.read_version(spark, path, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "snapshot" in re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
+    with pytest.raises(ValueError):
+        versions.read_version(spark, path, 9)
+    with pytest.raises(ValueError):
+        versions.write_version(o.withColumn("version", F.lit(1)), path)
+
+
+def test_lineage_gives_the_rows_a_run_used(spark):
+    rows = spark.range(10).select("id", (F.col("id") * 2).alias("x"))
+    path, lineage = (scratch_path(spark, f"{k}/{uuid.uuid4().hex}") for k in ("t", "lineage"))
+    versions.write_version(rows.where("id < 4"), path)
+    versions.log_input(spark, lineage, "a", "training", path)
+    versions.write_version(rows.where("id >= 4"), path, mode="append")
+    versions.log_input(spark, lineage, "a", "testing", path)
+    versions.write_version(rows.where("id = 9"), path)
+    versions.log_input(spark, lineage, "b", "training", path, 0)
+    versions.log_input(spark, lineage, "c", "training", path)
+    want = {("a", "training"): range(4), ("a", "testing"): range(10), ("b", "training"): range(4), ("c", "training"): [9]}
+    for (run, context), ids in want.items():
+        assert sorted(r.id for r in versions.read_by_lineage(spark, lineage, run, context).collect()) == list(ids)
+    every = versions.rows_by_lineage(spark.read.parquet(lineage), path).collect()
+    assert sorted((r.run_id, r.context, r.id) for r in every) == sorted((*k, i) for k, ids in want.items() for i in ids)
+    with pytest.raises(ValueError):
+        versions.read_by_lineage(spark, lineage, "c", "testing")
+
+
+def test_bucketed_history_is_not_shuffled(spark):
+    name = f"history_{uuid.uuid4().hex}"
+    place = scratch_path(spark, f"tables/{name}")
+    old = spark.range(5000).select(F.when(F.col("id") != 7, F.col("id")).alias("k"), F.lit("old").alias("v"), (F.col("id") % 4).alias("day"))
+    load = lambda src: versions.load_new_bucketed(src, name, ["k"], 4, place, ["day"], "day")
+    assert load(old.unionAll(old)) == 5000
+    new = spark.range(4000, 6000).select(F.when(F.col("id") != 4001, F.col("id")).alias("k"), F.lit("new").alias("v"), (F.col("id") % 4).alias("day"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = versions.new_rows_bucketed(new, name, ["k"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    lines = plan.split("\n")
+    join = next(i for i, x in enumerate(lines) if "LeftAnti" in x and "SortMergeJoin" in x)
+    scan = next(i for i, x in enumerate(lines) if i > join and f"{name}[" in x or "Bucketed: true" in x)
+    assert "Bucketed: true" in lines[scan] and "SelectedBucketsCount: 4 out of 4" in lines[scan]
+    right = next(i for i in range(scan, join, -1) if lines[i].lstrip(" :").startswith("+-") and "Sort [" in lines[i])
+    assert not any("Exchange" in x for x in lines[right : scan + 1])
+    assert load(new) == 1000  # 5000 to 5999; the NULL key is there already, as are the others
+    assert load(new) == 0 and load(new.limit(0)) == 0
+    got = spark.table(name).groupBy("v").agg(F.count("*"), F.count_distinct("k")).collect()
+    assert sorted(map(tuple, got)) == [("new", 1000, 1000), ("old", 5000, 4999)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_digests_leave_unchanged_ranges_alone(spark):
+    old = spark.range(20_000).select("id", F.lit("a").alias("v"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("n"))
+    new = old.where("id not in (5, 6)").withColumn("v", F.when(F.col("id") == 777, "b").otherwise(F.col("v")))
+    new = new.unionAll(spark.createDataFrame([(20_001, None, None), (None, "x", 1)], "id long, v string, n long"))
+    ranges = versions.changed_ranges(old, new, ["id"], coarse=16, fine=256)
+    assert 1 <= ranges.count() <= 5  # one for each changed key at most, of 4,096
+    got = versions.change_feed_digest(old, new, ["id"], coarse=16, fine=256)
+    want = versions.change_feed(old, new, ["id"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str) and want.count() == 6
+    # only the rows of those ranges meet in the join
+    kept = versions._ranged(old, ["id"], ["v", "n"], 16, 256).join(ranges, ["_coarse", "_fine"], "left_semi").count()
+    assert kept < 100
+    same = versions.change_feed_digest(old, old.repartition(7), ["id"])
+    assert same.count() == 0
+    twice = versions.changed_ranges(old, old.unionAll(old.where("id = 9")), ["id"])
+    assert twice.count() == 1  # a repeated row is a change of its range
+    stored = [versions.digests(df, ["id"], coarse=16, fine=256) for df in (old, new)]
+    by_store = versions.change_feed_digest(old, new, ["id"], None, *stored, coarse=16, fine=256)
+    assert sorted(map(tuple, by_store.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
 def test_load_new_is_idempotent(spark):
