@@ -117,6 +117,21 @@ def collapse_rare(
     return out.select(*[F.col(f"`{c}`") for c in order])
 
 
+def collapse_to_top(df: DataFrame, col: str, n: int, other: str = "Other", fill_value: str | None = "Unknown", into: str | None = None) -> DataFrame:
+    """Fill NULLs, then keep the ``n`` most frequent values and replace all others by ``other``
+    (P10 by rank).  The values to keep come from :func:`tabforge.operators.metrics.value_counts_top`:
+    ``n`` rows, however many distinct values there are."""
+    from tabforge.operators.metrics import value_counts_top
+
+    src = fill(df, {col: fill_value}) if fill_value is not None else df
+    keep = value_counts_top(src, col, n).select(F.col(col).alias("_kept"), F.lit(True).alias("_keep"))
+    joined = src.join(F.broadcast(keep), F.col(f"`{col}`").eqNullSafe(F.col("_kept")), "left")  # n rows
+    target = into or col
+    out = joined.withColumn(target, F.when(F.col("_keep"), F.col(f"`{col}`")).otherwise(F.lit(other)))
+    order = src.columns + ([target] if target not in src.columns else [])
+    return out.select(*[F.col(f"`{c}`") for c in order])
+
+
 def binarise(df: DataFrame, col: str, positive, negative, into: str | None = None) -> DataFrame:
     """Keep rows with one of the two labels, map positive → 1, negative → 0."""
     return df.filter(F.col(col).isin([positive, negative])).withColumn(

@@ -115,12 +115,16 @@ def flatten_payload(
     exploded record the first prediction of its response (the monitored
     job's behaviour); otherwise the prediction at the record's position.
     ``keep`` columns of the log ride along; ``outer`` keeps one row for a request
-    without records and adds ``_pos``, which is NULL there.
+    without records and adds ``_pos``, which is NULL there, and ``_any``, whether any
+    record of the request has a prediction.
     """
     parsed = parse_json(df, request_col, request_schema(record_schema), into="_req")
     parsed = parse_response(parsed, response_col, into="_resp")
+    preds, records = F.col("_resp.predictions"), F.col("_req.dataframe_records")
+    own = F.slice(preds, 1, F.when(F.size(records) > 0, F.lit(1) if first_prediction_only else F.size(records)).otherwise(0))
+    if outer:
+        parsed = parsed.withColumn("_any", F.coalesce(F.exists(own, lambda x: x.cast("int").isNotNull()), F.lit(False)))
     exploded = explode_records(parsed, "_req.dataframe_records", into="_rec", pos="_pos", outer=outer)
-    preds = F.col("_resp.predictions")
     prediction = F.get(preds, 0) if first_prediction_only else F.get(preds, F.col("_pos"))
     return exploded.select(
         as_timestamp(F.col(time_col)).alias("timestamp"),
@@ -131,18 +135,16 @@ def flatten_payload(
         prediction.cast("int").alias("prediction"),
         F.lit(model_name).alias("model_name"),
         *[F.col(c) for c in keep or []],
-        *([F.col("_pos")] if outer else []),
+        *([F.col("_pos"), F.col("_any")] if outer else []),
     )
 
 
-def drop_null_or_keep(df: DataFrame, cols: list[str], lazy: bool = False) -> DataFrame:
+def drop_null_or_keep(df: DataFrame, cols: list[str], lazy: bool = True) -> DataFrame:
     """Drop rows NULL in ``cols`` — unless that would drop every row.
 
-    Default: a ``filter(valid).limit(1)`` probe decides the branch; Spark
-    stops scanning at the first valid row (usually in the first partition),
-    so the common case costs one partition, not a second full pass.
-    ``lazy=True`` keeps it a single plan instead: a scalar subquery computes
-    "is any row valid" (a global partial/final max) inside the filter.
+    One plan, no job while it is built: a scalar subquery looks whether any row is
+    valid, and stops at the first it finds (``limit 1`` under the maximum).
+    ``lazy=False`` looks at once, so the plan that is returned has no subquery.
     No cross join either way.
     """
     valid = F.lit(True)
@@ -150,7 +152,7 @@ def drop_null_or_keep(df: DataFrame, cols: list[str], lazy: bool = False) -> Dat
         valid = valid & F.col(c).isNotNull()
     if not lazy:
         return df.filter(valid) if df.filter(valid).limit(1).count() > 0 else df
-    any_valid = df.select(F.max(valid.cast("int")).alias("any_valid")).scalar()
+    any_valid = df.filter(valid).select(F.lit(1).alias("one")).limit(1).agg(F.max("one").alias("any_valid")).scalar()
     return df.filter(valid | (F.coalesce(any_valid, F.lit(0)) == 0))
 
 

@@ -155,6 +155,20 @@ def q_collapse_rare(spark, sf_dir):
     return clean.collapse_rare(p, "p_brand", min_count=80)
 
 
+@register(
+    "collapse_to_top",
+    oracle="""
+WITH src AS (SELECT doc_id, coalesce(CASE WHEN doc_id % 9 <> 0 THEN source END, 'Unknown') AS source FROM documents),
+     c AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) AS place FROM src GROUP BY source)
+SELECT s.doc_id, CASE WHEN c.place <= 4 THEN s.source ELSE 'Other' END AS source FROM src s JOIN c USING (source)
+""",
+)
+def q_collapse_to_top(spark, sf_dir):
+    """The four most frequent sources stay (missing ones are one of them), others are one value."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 9 != 0, F.col("source")).alias("source"))
+    return clean.collapse_to_top(docs, "source", 4)
+
+
 @register(
     "binarise_target",
     oracle="""

@@ -70,6 +70,38 @@ def q_value_counts(spark, sf_dir):
     return metrics.value_counts(load(spark, sf_dir, "orders"), "o_orderpriority")
 
 
+@register(
+    "value_counts_top",
+    oracle=r"""
+WITH w AS (SELECT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word FROM documents)
+SELECT word, count(*) AS count, round(count(*) / (SELECT count(*) FROM w)::DOUBLE, 6) AS share
+FROM w GROUP BY word ORDER BY count(*) DESC, word LIMIT 20
+""",
+)
+def q_value_counts_top(spark, sf_dir):
+    """The 20 most frequent words of all documents; of the other words none is shuffled."""
+    words = F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word")
+    return metrics.value_counts_top(load(spark, sf_dir, "documents").select(words), "word", 20)
+
+
+@register(
+    "column_moments",
+    oracle="""
+SELECT round(avg(l_quantity), 6) AS l_quantity_mean, round(stddev_samp(l_quantity), 6) AS l_quantity_sd,
+       round(avg(l_discount), 6) AS l_discount_mean, round(stddev_samp(l_discount), 6) AS l_discount_sd FROM lineitem
+""",
+)
+def q_column_moments(spark, sf_dir):
+    """Mean and sample deviation of two columns."""
+    return metrics.moments(load(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount"])
+
+
+@register("column_extent", oracle="SELECT min(o_totalprice) AS o_totalprice_min, max(o_totalprice) AS o_totalprice_max FROM orders")
+def q_column_extent(spark, sf_dir):
+    """Smallest and largest value of a column."""
+    return metrics.extent(load(spark, sf_dir, "orders"), "o_totalprice")
+
+
 @register(
     "column_profile",
     oracle="""

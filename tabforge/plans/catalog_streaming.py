@@ -16,7 +16,7 @@ from tabforge.operators import model, sketches
 from tabforge.plans.catalog_json import _FLAT_SQL, CUSTOMER_RECORD, request_log
 from tabforge.plans.catalog_model import _checked
 from tabforge.plans.monitoring import monitoring_table
-from tabforge.plans.registry import register
+from tabforge.plans.registry import ORACLES, register
 from tabforge.session import scratch_path
 from tabforge.sources.tables import load
 from tabforge.streaming import ingest
@@ -65,6 +65,20 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(sink).select("databricks_request_id", "execution_duration_ms")
 
 
+@register("stream_dedup_restart", oracle=ORACLES["stream_dedup"])
+def q_stream_dedup_restart(spark, sf_dir):
+    """The same over restarts: each delivery is a run of its own from the checkpoint, the third
+    one delivers half of the requests once more.  State is in RocksDB."""
+    landing, sink, ckpt = _dirs(spark, "dedup")
+    log = request_log(spark, sf_dir)
+    with ingest.rocksdb_state(spark):
+        for delivery in (log, log, log.where(F.hash("request") % 2 == 0)):
+            delivery.write.mode("append").parquet(landing)
+            stream = ingest.file_stream(spark, landing, ingest.REQUEST_LOG_SCHEMA)
+            ingest.run_available(ingest.dedup_requests(stream), sink, ckpt)
+    return spark.read.parquet(sink).select("databricks_request_id", "execution_duration_ms")
+
+
 @register(
     "stream_window_profile",
     oracle="""

@@ -3,9 +3,10 @@
 Request log → new requests only → flatten (parse, explode, position-matched or
 first prediction, epoch ms) → append to the monitoring table.
 
-The log's JSON is parsed once: the flattened increment is checkpointed and every
-count comes from that.  Rows without a prediction are stored beside the others, in
-the table's ``valid=0`` partitions; :func:`monitoring_table` shows them only if no
+A refresh is one pass: the log's JSON is parsed once, by the job that writes, and every
+count is observed on that write.  Rows without a prediction are stored beside the others, in
+the table's ``valid=0`` partitions, and requests without any record in ``valid=-1``, so all
+that was processed is committed by one job; :func:`monitoring_table` shows ``valid=0`` only if no
 row of the whole table has a prediction.  So that rule never depends on how the
 log was cut into refreshes or micro-batches.
 """
@@ -14,12 +15,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.operators.payload import REQUEST_RECORD_SCHEMA, flatten_payload
-from tabforge.plans.joins import materialise
 from tabforge.sources.tables import path_exists
 
 KEY = "request_key"
@@ -37,11 +37,6 @@ class RefreshCounts:
     skipped_requests: int = 0
 
 
-def _ledger(target_path: str) -> str:
-    # A "_"-prefixed folder inside the table folder: table reads ignore it.
-    return f"{target_path.rstrip('/')}/_skipped"
-
-
 def _keyed(log: DataFrame, id_col: str) -> DataFrame:
     """``log`` with its request key (the id, or for a NULL id a digest of the request) and day."""
     text = F.concat_ws("|", F.col("request_time").cast("string"), F.coalesce("request", F.lit("")), F.coalesce("response", F.lit("")))
@@ -52,12 +47,10 @@ def _seen(spark: SparkSession, target_path: str, log: DataFrame) -> DataFrame:
     """Keys processed before, read from the day partitions that ``log`` touches only."""
     first, last = log.agg(F.min("day"), F.max("day")).first()
     near = F.col("day").isNull() if first is None else F.col("day").isNull() | F.col("day").between(F.lit(first), F.lit(last))
-    keys = spark.createDataFrame([], KEY_SCHEMA).select(KEY)
-    for path in (target_path, _ledger(target_path)):
-        if path_exists(spark, path):
-            # an explicit schema: a table without files yet is an empty table
-            keys = keys.unionAll(spark.read.schema(KEY_SCHEMA).parquet(path).where(near).select(KEY))
-    return keys.distinct()
+    if not path_exists(spark, target_path):
+        return spark.createDataFrame([], KEY_SCHEMA).select(KEY)
+    # an explicit schema: a table without files yet is an empty table
+    return spark.read.schema(KEY_SCHEMA).parquet(target_path).where(near).select(KEY).distinct()
 
 
 def refresh_monitoring(
@@ -70,11 +63,10 @@ def refresh_monitoring(
 ) -> RefreshCounts:
     """Append the new part of ``log`` to the monitoring table at ``target_path``.
 
-    New are requests neither in the table nor in its ``_skipped`` ledger (requests
-    without any record).  A request that the log holds more than once counts once
-    (the earliest); requests with a NULL id are told apart by their content.  The
-    rows are appended first, then the ledger: a failure in between only makes the
-    next run look at requests without records again.
+    New are requests that the table has no row of, requests without any record included.
+    A request that the log holds more than once counts once (the earliest); requests with a
+    NULL id are told apart by their content.  One write commits all of it, so a failed refresh
+    leaves nothing and a repeated one adds nothing.
     """
     spark = log.sparkSession
     keyed = _keyed(log, id_col)
@@ -86,18 +78,19 @@ def refresh_monitoring(
     flat = flatten_payload(
         fresh, model_name, record_schema, id_col=id_col, first_prediction_only=first_prediction_only, keep=[KEY, "day"], outer=True
     )
-    flat = materialise(flat)
-    rows = flat.where("_pos is not null").drop("_pos")
-    valid = F.col("prediction").isNotNull()
-    sums = flat.agg(
-        F.count_distinct(KEY).alias("requests"),
+    valid, first = F.col("prediction").isNotNull(), F.col("_pos") == 0
+    obs = Observation("refresh")
+    flat = flat.observe(
+        obs,
+        F.count_if(F.col("_pos").isNull() | first).alias("requests"),
         F.count("_pos").alias("rows"),
         F.count_if(valid & F.col("_pos").isNotNull()).alias("valid"),
-        F.count_distinct(F.when(F.col("_pos").isNotNull(), F.col(KEY))).alias("with_rows"),
-        F.count_distinct(F.when(valid & F.col("_pos").isNotNull(), F.col(KEY))).alias("with_valid"),
-    ).first()
-    rows.withColumn("valid", valid.cast("int")).write.mode("append").partitionBy("valid", "day").parquet(target_path)
-    flat.where("_pos is null").select(KEY, "day").write.mode("append").partitionBy("day").parquet(_ledger(target_path))
+        F.count_if(first).alias("with_rows"),
+        F.count_if(first & F.col("_any")).alias("with_valid"),
+    )
+    kind = F.when(F.col("_pos").isNull(), -1).otherwise(valid.cast("int"))
+    flat.withColumn("valid", kind).drop("_pos", "_any").write.mode("append").partitionBy("valid", "day").parquet(target_path)
+    sums = {k: v or 0 for k, v in obs.get.items()}
     shown = sums["valid"] > 0 or _any_valid(spark, target_path)
     written, told = (sums["valid"], sums["with_valid"]) if shown else (sums["rows"], sums["with_rows"])
     return RefreshCounts(sums["requests"], sums["rows"], sums["valid"], written, sums["requests"] - told)
@@ -121,9 +114,7 @@ def monitoring_table(
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(target_path)
-    if _any_valid(spark, target_path):
-        df = df.where("valid = 1")
-    df = df.drop("valid", KEY)
+    df = df.where("valid = 1" if _any_valid(spark, target_path) else "valid = 0").drop("valid", KEY)
     if since is not None:
         df = df.filter((F.col("day") >= F.to_date(F.lit(since))) & (F.col("timestamp") >= F.lit(since).cast("timestamp")))
     if until is not None:

@@ -17,6 +17,9 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,9 +69,38 @@ def ingest_requests(stream: DataFrame, model_name: str, record_schema: T.StructT
     return flatten_payload(stream, model_name, record_schema, first_prediction_only=first_prediction_only)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB: on the executors' disks, not their
+    heap, with change logs in the checkpoint, so it may hold far more keys than memory does.
+    A checkpoint keeps the kind of state it began with."""
+    prefix = "spark.sql.streaming.stateStore."
+    wanted = {
+        prefix + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        prefix + "rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def state_rows(spark: SparkSession, checkpoint: str) -> int:
+    """Rows that the state of a stopped query holds (from its last committed batch)."""
+    return spark.read.format("statestore").load(checkpoint).count()
+
+
 def dedup_requests(stream: DataFrame, id_col: str = "databricks_request_id", ts_col: str = "request_time",
                    delay: str = "1 hour") -> DataFrame:
-    """Drop repeated requests seen within the watermark delay."""
+    """Drop repeated requests seen within the watermark delay.
+
+    The ids of the delay's span are the state, no more: older ones expire, and a copy that comes
+    later than that is late and dropped as such.  The state is in the checkpoint, so a copy
+    that comes after a restart is dropped too."""
     return stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([id_col])
 
 
