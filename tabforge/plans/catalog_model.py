@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabforge.operators import experiment, features, model
+from tabforge.operators import boosting, experiment, features, model
 from tabforge.operators.sampling import assign_split_hash
 from tabforge.plans.registry import register
 from tabforge.sources.tables import load
@@ -134,6 +134,72 @@ def q_gbt_train_score(spark, sf_dir):
     return _checked(model.score(docs, m, keep=["doc_id"])).select("doc_id", "in_range", "class_fits")
 
 
+@register("boosted_train_score", oracle="SELECT doc_id, true AS in_range, true AS class_fits FROM documents")
+def q_boosted_train_score(spark, sf_dir):
+    """Boosted trees that take missing values: lengths and languages are missing for some of the
+    labelled documents, and for some of those that are scored."""
+    t = assign_split_hash(_doc_table(spark, sf_dir), ["doc_id"], 0.3, 11).filter(F.col("split") == "train")
+
+    def some(df):
+        return df.withColumns({"n_chars": F.when(F.col("doc_id") % 7 != 0, F.col("n_chars")), "lang": F.when(F.col("doc_id") % 5 != 0, F.col("lang"))})
+
+    m = boosting.train_boosted(some(t), ["n_chars"], ["lang", "source"], "y", boosting.TreeParams(n_trees=8, max_depth=3))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return _checked(boosting.score_boosted(some(docs), m, keep=["doc_id"])).select("doc_id", "in_range", "class_fits")
+
+
+_SPLIT_ROWS = """
+WITH r AS (SELECT CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS l_quantity, l_linenumber::DOUBLE AS l_linenumber, l_discount,
+                  CASE WHEN l_partkey % 3 <> 0 THEN l_returnflag END AS l_returnflag, l_linestatus,
+                  (l_extendedprice > 30000 OR l_returnflag = 'R')::INT::DOUBLE AS y FROM lineitem),
+b AS (SELECT avg(y) AS p FROM r),
+v AS ({values}),
+s AS (SELECT feature, kind, x, t, count(*) AS n, sum(p - y) AS g, sum(p * (1 - p)) AS h FROM v, b GROUP BY ALL),
+tot AS (SELECT feature, sum(n) AS tn, sum(g) AS tg, sum(h) AS th, coalesce(sum(n) FILTER (x IS NULL AND t IS NULL), 0) AS mn,
+               coalesce(sum(g) FILTER (x IS NULL AND t IS NULL), 0) AS mg, coalesce(sum(h) FILTER (x IS NULL AND t IS NULL), 0) AS mh FROM s GROUP BY feature),
+o AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY CASE WHEN kind = 'cat' THEN g / (h + 10) ELSE x END, t) AS place
+      FROM s WHERE x IS NOT NULL OR t IS NOT NULL),
+c AS (SELECT feature, kind, place, x, list(t) OVER w AS ts, sum(n) OVER w AS n, sum(g) OVER w AS g, sum(h) OVER w AS h FROM o
+      WINDOW w AS (PARTITION BY feature ORDER BY place ROWS UNBOUNDED PRECEDING)),
+k AS (SELECT feature, kind, place, x, ts, m AS missing_left, CASE WHEN m THEN n + mn ELSE n END AS ln, CASE WHEN m THEN g + mg ELSE g END AS lg,
+             CASE WHEN m THEN h + mh ELSE h END AS lh, tn, tg, th
+      FROM (SELECT * FROM c JOIN tot USING (feature)
+            UNION ALL BY NAME
+            SELECT feature, CASE WHEN starts_with(feature, 'l_return') OR starts_with(feature, 'l_lines') THEN 'cat' ELSE 'num' END AS kind, 0 AS place,
+                   NULL AS x, [] AS ts, 0 AS n, 0 AS g, 0 AS h, tn, tg, th, mn, mg, mh FROM tot),
+           (VALUES (false), (true)) f(m) WHERE NOT m OR mn > 0),
+q AS (SELECT *, lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1) - tg * tg / (th + 1) AS gain FROM k WHERE ln >= 20 AND tn - ln >= 20),
+w AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY round(gain, 5) DESC, missing_left, place) AS best FROM q)
+SELECT feature, round(gain, 4) AS gain, ln::BIGINT AS n_left, missing_left, CASE WHEN kind = 'num' THEN x END AS up_to,
+       CASE WHEN kind = 'cat' THEN list_aggregate(list_sort(list_filter(ts, lambda z: z IS NOT NULL)), 'string_agg', ',') END AS left_values
+FROM w WHERE best = 1
+"""
+_SPLIT_SQL = _SPLIT_ROWS.format(
+    values=" UNION ALL ".join(
+        [f"SELECT '{c}' AS feature, 'num' AS kind, {c} AS x, CAST(NULL AS VARCHAR) AS t, y FROM r" for c in ("l_quantity", "l_linenumber", "l_discount")]
+        + [f"SELECT '{c}', 'cat', CAST(NULL AS DOUBLE), {c}, y FROM r" for c in ("l_returnflag", "l_linestatus")]
+    )
+)
+
+
+@register("boosted_first_split", oracle=_SPLIT_SQL)
+def q_boosted_first_split(spark, sf_dir):
+    """The best first split of every feature, found from binned gradient sums: cut or set of
+    categories, the side of missing values, gain.  SQL tries every split."""
+    li = load(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")).alias("l_quantity"),
+        "l_linenumber",
+        "l_discount",
+        F.when(F.col("l_partkey") % 3 != 0, F.col("l_returnflag")).alias("l_returnflag"),
+        "l_linestatus",
+        ((F.col("l_extendedprice") > 30000) | (F.col("l_returnflag") == "R")).cast("int").alias("y"),
+    )
+    found = boosting.split_report(li, ["l_quantity", "l_linenumber", "l_discount"], ["l_returnflag", "l_linestatus"], "y")
+    rows = [(r["feature"], r["gain"], r["n_left"], r["missing_left"], r["up_to"], ",".join(r["values"]) if r["values"] else None) for r in found]
+    out = spark.createDataFrame(rows, "feature string, gain double, n_left long, missing_left boolean, up_to double, left_values string")
+    return out.withColumn("gain", F.round("gain", 4))
+
+
 @register(
     "ab_score",
     oracle=f"""
