@@ -28,7 +28,7 @@ def numeric_stats(
     accuracy: int = 10000,
 ) -> list[Column]:
     """Aggregate expressions: nulls, min, max, mean, sample sd, and quantiles as
-    bounded sketches (``_pNN_approx``; exact ones: :func:`window_quantiles`)."""
+    bounded sketches (``_pNN_approx``; exact ones: :func:`window_profile`)."""
     p = col
     c = F.col(quoted(col)).cast("double")
     out = [
@@ -52,24 +52,46 @@ def tumbling(ts: str, duration: str) -> Column:
     return F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + width).alias("end"))
 
 
-def window_quantiles(df: DataFrame, groups: list[str], num_cols: list[str], quantiles) -> DataFrame:
-    """Exact quantiles per group: the smallest value with at least ``q`` of the group's
-    non-null values at or below it.
-
-    One long table of (group, column, value) counts, so a hot value is one row; its
-    running sums by value come from :mod:`tabforge.plans.prefix`, which spreads a
-    group of any size over all tasks."""
-    pairs = [a for c in num_cols for a in (F.lit(c), F.col(quoted(c)).cast("double"))]
-    long = df.select(*groups, F.stack(F.lit(len(num_cols)), *pairs).alias("_column", "_value"))
-    counts = long.where("_value is not null").groupBy(*groups, "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_sums(counts, "_value", ["_n"], [*groups, "_column"], with_totals=True)
-    aggs = [
-        F.min(F.when((F.col("_column") == c) & (F.col("cum__n") >= F.ceil(F.col("total__n") * F.lit(float(q)))), F.col("_value"))).alias(
-            f"{c}_p{int(round(q * 100)):02d}"
-        )
-        for c in num_cols
-        for q in quantiles
-    ]
+def _from_counts(src: DataFrame, groups: list[str], num_cols: list[str], cat_cols: list[str], quantiles, digits: int | None) -> DataFrame:
+    """The whole profile from one scan: rows counted by (group, column, value), so a hot value is
+    one row; running sums of the counts by value (:mod:`tabforge.plans.prefix`, which spreads a
+    group of any size over all tasks) give quantiles and totals; one aggregate does the rest.
+
+    A quantile is the smallest value with at least ``q`` of the group's non-null values at or
+    below it; deviations are from the mean that the totals give."""
+    kinds = {f.name: f.dataType for f in src.schema.fields}
+    none = F.lit(None).cast("long")
+    entries = []
+    for i, c in enumerate(num_cols):
+        entries += [F.lit(i), F.col(quoted(c)).cast("double"), none, none]
+    for i, c in enumerate(cat_cols, len(num_cols)):
+        key = F.when(F.col(quoted(c)).isNotNull(), _distinct_key(F.col(quoted(c)), kinds[c]))
+        entries += [F.lit(i), F.lit(None).cast("double"), key["a"], key["b"]]
+    long = src.select(*groups, F.stack(F.lit(len(entries) // 4), *entries).alias("_column", "_value", "_a", "_b"))
+    counts = long.groupBy(*groups, "_column", "_value", "_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    there = F.col("_value").isNotNull()
+    counts = counts.withColumns({"_m": F.when(there, F.col("_n")).otherwise(0), "_s": F.when(there, F.col("_n") * F.col("_value")).otherwise(0.0)})
+    ranks = running_sums(counts, "_value", ["_m", "_s"], [*groups, "_column"], tiebreak=["_a", "_b"], with_totals=True)
+    v, mean = F.col("_value"), F.try_divide(F.col("total__s"), F.col("total__m"))
+    aggs = [F.sum(F.when(F.col("_column") == 0, F.col("_n"))).alias("n_rows")]
+    for i, c in enumerate(num_cols):
+        here = F.col("_column") == i
+        total = F.max(F.when(here, F.col("total__m")))
+        off = F.sum(F.when(here, F.col("_m") * (v - mean) * (v - mean)))
+        aggs += [
+            F.coalesce(F.sum(F.when(here & ~there, F.col("_n"))), F.lit(0)).alias(f"{c}_nulls"),
+            F.min(F.when(here, v)).alias(f"{c}_min"),
+            F.max(F.when(here, v)).alias(f"{c}_max"),
+            _round(F.max(F.when(here, mean)), digits).alias(f"{c}_mean"),
+            _round(F.when(total > 1, F.sqrt(off / (total - 1))), digits).alias(f"{c}_sd"),
+        ]
+        for q in quantiles:
+            upto = here & (F.col("cum__m") >= F.ceil(F.col("total__m") * F.lit(float(q))))
+            aggs.append(F.min(F.when(upto, v)).alias(f"{c}_p{int(round(q * 100)):02d}"))
+    for i, c in enumerate(cat_cols, len(num_cols)):
+        here, known = F.col("_column") == i, F.col("_a").isNotNull()
+        nulls = F.coalesce(F.sum(F.when(here & ~known, F.col("_n"))), F.lit(0))
+        aggs += [F.count_if(here & known).alias(f"{c}_distinct")] + ([nulls.alias(f"{c}_nulls")] if c not in num_cols else [])
     return ranks.groupBy(*groups).agg(*aggs)
 
 
@@ -93,38 +115,43 @@ def window_profile(
     distinct counts are exact for groups of any size.  NULL keys are a group, and
     rows with a NULL time form a window whose start and end are NULL.
 
-    The counts and moments are one aggregate, each distinct count and all quantiles
-    together one more; the parts are brought together by one more aggregate on
-    (window, keys), which compares NULL-safely.
+    The input is read once.  With quantiles all statistics come from counts by value
+    (:func:`_from_counts`); without, from one aggregate, unless several exact distinct counts
+    are asked for, which Spark would expand every row for.
 
     ``salt > 0`` aggregates counts and moments in two stages — per (window, key,
     input partition mod ``salt``), then merged (means and squared deviations by
-    Chan's formula) — for hot groups with many partial buffers.  ``digits`` rounds
-    mean and sd; None leaves them as computed.
+    Chan's formula) — for hot groups with many partial buffers, in a scan of their own.
+    ``digits`` rounds mean and sd; None leaves them as computed.
     """
     keys, num_cols, cat_cols = list(keys or []), list(num_cols or []), list(cat_cols or [])
     src = df.withColumn("_w", tumbling(ts, duration))
     groups = ["_w", *keys]
-    cats = [F.count_if(F.col(quoted(c)).isNull()).alias(f"{c}_nulls") for c in cat_cols]
-    cats += [] if exact_distinct else [F.approx_count_distinct(quoted(c)).alias(f"{c}_distinct") for c in cat_cols]
-    if salt > 0:
-        parts = [_salted_stats(src, groups, num_cols, salt, digits)] + ([src.groupBy(*groups).agg(*cats)] if cats else [])
-    else:
-        stats = [a for c in num_cols for a in numeric_stats(c, (), digits)]
-        parts = [src.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"), *stats, *cats)]
-    if exact_distinct:
-        parts += [src.groupBy(*groups).agg(F.count_distinct(F.col(quoted(c))).alias(f"{c}_distinct")) for c in cat_cols]
-    if num_cols and quantiles:
-        parts.append(window_quantiles(src, groups, num_cols, quantiles))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
     wanted = ["n_rows"]
     for c in num_cols:
         wanted += [f"{c}_{s}" for s in ("nulls", "min", "max", "mean", "sd")]
         wanted += [f"{c}_p{int(round(q * 100)):02d}" for q in quantiles]
     for c in cat_cols:
-        wanted += [f"{c}_nulls", f"{c}_distinct"]
+        wanted += [f"{c}_nulls"] * (c not in num_cols) + [f"{c}_distinct"]
+    by_value = bool(num_cols and quantiles) or (exact_distinct and len(cat_cols) > 1)
+    stats = [a for c in num_cols for a in numeric_stats(c, (), digits)]
+    nulls = [F.count_if(F.col(quoted(c)).isNull()).alias(f"{c}_nulls") for c in cat_cols if c not in num_cols]
+    count = F.count_distinct if exact_distinct else F.approx_count_distinct
+    distinct = [count(F.col(quoted(c))).alias(f"{c}_distinct") for c in cat_cols]
+    parts = []
+    if salt > 0:
+        parts.append(_salted_stats(src, groups, num_cols, salt, digits))
+    if by_value:
+        parts.append(_from_counts(src, groups, num_cols, cat_cols if exact_distinct else [], quantiles, digits))
+        parts += [src.groupBy(*groups).agg(*nulls, *distinct)] if cat_cols and not exact_distinct else []
+    elif salt > 0:
+        parts += [src.groupBy(*groups).agg(*nulls, *distinct)] if cat_cols else []
+    else:
+        parts.append(src.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"), *stats, *nulls, *distinct))
+    out = parts[0]
+    for later in parts[1:]:  # a later part gives what the earlier ones lack
+        more = [c for c in later.columns if c not in out.columns or c in groups]
+        out = out.unionByName(later.select(*[F.col(quoted(c)) for c in more]), allowMissingColumns=True)
     if len(parts) > 1:
         out = out.groupBy(*groups).agg(*[F.max(quoted(c)).alias(c) for c in wanted])
     return out.select(

@@ -228,7 +228,7 @@ FROM l
 )
 def q_drift_consecutive(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
-    prof = profile.window_profile(ev, "ts", "30 minutes", keys=["event_type"], num_cols=["value"])
+    prof = profile.window_profile(ev, "ts", "30 minutes", keys=["event_type"], num_cols=["value"], quantiles=())
     prof = prof.select("window_start", "event_type", "n_rows", "value_mean")
     out = drift.drift_consecutive(prof, ["event_type"], "window_start", ["n_rows", "value_mean"])
     return out.withColumn("window_start", ts_text(F.col("window_start")))

@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from tabforge.plans import prefix
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(entry.queries())
@@ -37,7 +38,18 @@ def test_filters_pushed_to_scan(spark, name, pushed):
     assert "PushedFilters" in plan and pushed in plan, plan
 
 
-def test_projection_pruned(spark):
+def test_projection_pruned(spark, monkeypatch):
+    """The whole plan, its checkpoint taken out: every scan reads only what the profile needs."""
+    monkeypatch.setattr(prefix, "materialise", lambda df: df)
     plan = _plan(entry.queries()["window_profile"](spark, SF))
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert scans and all("event_id" not in s and "ts:" in s for s in scans), scans
+
+
+def test_profile_reads_its_source_once(spark, monkeypatch):
+    """Behind the checkpoint of the counts there is no scan left, before it there is one."""
+    seen = []
+    kept = prefix.materialise
+    monkeypatch.setattr(prefix, "materialise", lambda df: (seen.append(_plan(df)), kept(df))[1])
+    last = _plan(entry.queries()["window_profile"](spark, SF))
+    assert len(seen) == 1 and seen[0].count("FileScan parquet") == 1 and "FileScan parquet" not in last
