@@ -35,6 +35,14 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(fold_of(id_col) == 0, F.lit(False))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one with underscores after it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about ``limit`` bytes (one longer text is a slice of its own)."""
     if batch.num_rows == 0:

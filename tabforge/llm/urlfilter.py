@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import settle
+from tabforge.llm.common import free_name, settle
 
 #: Bits of the filter per listed key (about one false positive in a thousand).
 BITS_PER_KEY = 16
@@ -127,10 +127,12 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", url: str
         & (F.col("host").endswith(F.substring("key", F.lit(1), F.col("host_length"))))
     )
     best = F.max_by(F.struct("key", "rule_verdict"), F.struct(F.length("key"), "host_length"))
-    chosen = hits.groupBy("host", "path").agg(best.alias("_best"))
+    found = free_name(judged, "_best")
+    chosen = hits.groupBy("host", "path").agg(best.alias(found))
     out = judged.join(chosen, ["host", "path"], "left")
-    rest = [F.col(c) for c in pages.columns if c not in made]
-    return out.select(*rest, "host", "path", F.col("_best.key").alias("rule"), F.coalesce("_best.rule_verdict", F.lit(default)).alias("verdict"))
+    rest = [F.col(f"`{c}`") for c in pages.columns if c not in made]
+    rule, verdict = F.col(found)["key"], F.col(found)["rule_verdict"]
+    return out.select(*rest, "host", "path", rule.alias("rule"), F.coalesce(verdict, F.lit(default)).alias("verdict"))
 
 
 def contract_rules(spark) -> DataFrame:
