@@ -30,8 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import LocalSets, complete_runs, map_texts, plus, settle, split_buckets
+from tabforge.llm.common import LocalSets, complete_runs, free_name, map_texts, plus, settle, split_buckets
 from tabforge.llm.components import components
+from tabforge.plans.prefix import row_print
 
 #: Words of a shingle, seed of its hash, differing bits that still link.
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
@@ -189,23 +190,28 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id (of
     rows that share it, the one with the smallest text hash; of equal rows, one).
     Groups without any id keep one row."""
+    # helper columns are named apart from those of the documents
+    own, group, fp = (free_name(docs, c) for c in ("_id", "_group", "_fp"))
     groups = settle(near_duplicates(docs))
     heads = (
         groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id", "group_key")
+        .groupBy(F.col("doc_id").alias(own), F.col("group_key").alias(group))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    heads = settle(heads.withColumnsRenamed({"doc_id": "_id", "group_key": "_group"}))
-    single = heads.groupBy("_id").agg(F.sum("_rows").alias("_n")).where("_n = 1 and _id is not null").select("_id")
-    kept = docs.join(single, docs["doc_id"] == single["_id"], "left_semi")
-    if not heads.where("_rows > 1 or _id is null").take(1) and not heads.groupBy("_id").count().where("count > 1").take(1):
+    heads = settle(heads)
+    single = heads.groupBy(own).agg(F.sum("_rows").alias("_n")).where((F.col("_n") == 1) & F.col(own).isNotNull()).select(own)
+    kept = docs.join(single, docs["doc_id"] == single[own], "left_semi")
+    if not heads.where((F.col("_rows") > 1) | F.col(own).isNull()).take(1) and not heads.groupBy(own).count().where("count > 1").take(1):
         return kept
     # ids that several rows share: take the fingerprint again and one row of each group
-    rest = heads.join(single, "_id", "left_anti").select("_id").distinct()
-    members = with_fingerprint(docs.join(rest, docs["doc_id"].eqNullSafe(rest["_id"]), "left_semi"))
-    key = groups.select("doc_id", F.conv("fingerprint", 16, -10).cast("long").alias("_fp"), "group_key", "component_id").distinct()
-    key = key.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("_fp").alias("_f"), "group_key")
-    met = members.join(key, members["doc_id"].eqNullSafe(key["_id"]) & (members["_fp"] == key["_f"]))
-    whole = F.struct(F.xxhash64("text").alias("_h"), *[F.col(c) for c in docs.columns])
-    one = met.groupBy(F.col("group_key").alias("_g")).agg(F.min(whole).alias("_row"))
+    rest = heads.join(single, own, "left_anti").select(own).distinct()
+    members = with_fingerprint(docs.join(rest, docs["doc_id"].eqNullSafe(rest[own]), "left_semi"), name=fp)
+    print_ = free_name(members, "_print")
+    key = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias(own), F.conv("fingerprint", 16, -10).cast("long").alias(print_), F.col("group_key").alias(group)
+    )
+    key = key.distinct()
+    met = members.join(key, members["doc_id"].eqNullSafe(key[own]) & (members[fp] == key[print_]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = met.groupBy(group).agg(F.min_by(whole, F.struct(F.xxhash64("text"), row_print(docs))).alias("_row"))
     return kept.unionByName(one.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
