@@ -11,12 +11,12 @@ consecutive windows; its languages are the windows' mean weighted by length.
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -25,8 +25,9 @@ from tabforge.llm.common import fold_of, held_out, map_texts, plus
 
 #: Labelled texts per language that the network is fitted on, at most.
 TRAIN_PER_LANG = 400
-#: Languages that are learned, at most (the most frequent ones).
-MAX_LANGS = 200
+#: Labelled texts in all, at most: with many languages each has fewer, with more languages than
+#: that the most frequent have one.
+TRAIN_DOCS = 80_000
 #: Bytes of one window.
 WINDOW = 256
 #: Windows drawn from each training text, at most.
@@ -34,7 +35,8 @@ WINDOWS_PER_TEXT = 4
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter by its Unicode category, as in the filter of the training texts.
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -162,15 +164,18 @@ def draw_windows(text: str) -> list[bytes]:
 
 def training_sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> tuple[np.ndarray, list[str]]:
     """Windows and languages of up to ``per_lang`` documents a language outside the
-    held-out fold, chosen by a hash of the id; at most MAX_LANGS languages.  The
-    windows are drawn where the texts are: about 400 kB a language reach the driver.
+    held-out fold, chosen by a hash of the id; TRAIN_DOCS documents in all at most, so with
+    more than TRAIN_DOCS / per_lang languages each has fewer.  The
+    windows are drawn where the texts are: about 1 kB a document reaches the driver.
 
     Languages are counted first, and only ids whose hash lies in the lowest share
     that gives about twice ``per_lang`` of their language are ranked: the ranking
     of a language with most of the rows is as small as any other's."""
     usable = docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & (fold_of(F.col("doc_id")) != 0))
     keys = usable.select("doc_id", "lang", F.xxhash64(F.lit(11), "doc_id").alias("_h")).distinct()
-    common = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(MAX_LANGS)
+    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    per_lang = max(1, min(per_lang, TRAIN_DOCS // max(1, counts.count())))
+    common = counts.orderBy(F.desc("_n"), "lang").limit(TRAIN_DOCS)
     place = F.col("_h") / F.lit(2.0**64) + 0.5  # uniform in [0, 1)
     near = keys.join(F.broadcast(common), "lang").where(place <= F.lit(2.0 * per_lang + 50) / F.col("_n"))
     turn = Window.partitionBy("lang").orderBy("_h", "doc_id")
