@@ -59,7 +59,11 @@ def features(word: str) -> list[str]:
 
 
 def tokens(text: str | None) -> list[str]:
-    return _TOKEN.findall(text.lower()) if text else []
+    """Lower-cased words.  Lower case is as long as the text but where a dotted capital I is in
+    it; there each word is lower-cased by itself, so that offsets are always the text's own."""
+    if not text:
+        return []
+    return _TOKEN.findall(text.lower()) if "\u0130" not in text else [w.lower() for w in _TOKEN.findall(text)]
 
 
 class Lattice:
@@ -358,10 +362,10 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicField:
 
 def spans_of(text: str, p: np.ndarray) -> list[dict]:
     """Offending stretches of a text: start and end offsets (code points of the
-    lower-cased text's tokens) and the largest marginal, for runs of tokens at 0.5 or more."""
+    text) and the largest marginal, for runs of tokens at 0.5 or more."""
     out: list[dict] = []
     run = -2
-    for k, m in enumerate(_TOKEN.finditer(text.lower())):
+    for k, m in enumerate(_TOKEN.finditer(text.lower() if "\u0130" not in text else text)):
         if p[k] < 0.5:
             continue
         if run == k - 1:
