@@ -189,13 +189,17 @@ class Scanner:
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, int, int, float]]:
         """(license, start, end, matched words, template words, coverage) in text order; offsets
-        are code points of the lower-cased text.  Of matches that overlap, the one with more
+        are code points of the text.  Of matches that overlap, the one with more
         matched words stays (then the higher coverage, then the earlier template)."""
         low = text.lower() if text else ""
         if not low or not self.any_seed(low):
             return []
-        spans = [m.span() for m in _WORD.finditer(low)]
-        words = [low[a:b] for a, b in spans]
+        if "\u0130" in text:  # its lower case is longer: words are lower-cased one by one
+            spans = [m.span() for m in _WORD.finditer(text)]
+            words = [text[a:b].lower() for a, b in spans]
+        else:
+            spans = [m.span() for m in _WORD.finditer(low)]
+            words = [low[a:b] for a, b in spans]
         places: dict[str, list[int]] = {}
         wanted = {w for t in self.templates for w in t[3]}
         for k, w in enumerate(words):
