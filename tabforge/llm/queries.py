@@ -101,9 +101,9 @@ def op4_vecdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op5_sitetree")
 def op5_sitetree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main text of every page."""
+    """Main text of every page, and how many branches the style tree itself removed from it."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return sitetree.main_text(pages).select("page_id", "url", "text", "n_chars")
+    return sitetree.main_text(pages).select("page_id", "url", "text", "n_chars", "tree_removed")
 
 
 @_query("op6_toxicity")

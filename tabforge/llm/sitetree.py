@@ -10,22 +10,28 @@ the second, with l children: a branch that looks the same and says the same
 everywhere has 0.  Elements below their bar are removed, with all below them.
 
 The tree is built from all block elements with text, of the whole page.  Tags, roles
-and class names, and ``article`` or ``main``, are the prior: they set the bar (BARS).
+and class names, and ``article`` or ``main``, are the prior: they shift the bar (BARS).
 A plain element has the lowest.  Text outside the article of a page that has one stays
-only where the tree finds its place important.  A branch whose marks say what it is
-(navigation, footer, advert, form, reader comments ...) has a bar above every
-importance, as adverts and link lists differ from page to page.  Inside ``article`` or
+only where the tree finds its place important.  Branches whose marks say what they are
+(navigation, footer, advert, form, reader comments ...) have the highest bar.  Their texts
+differ a little from page to page, so a place of theirs is judged by its features: the words,
+link targets and labels below it.  A feature on k of the place's m pages has importance
+1 - log k / log m, the entropy of the feature taken from one; a place's content
+importance is the mean of its features'.  What the tree leaves of marked branches (texts as
+unique as an article's, such as reader comments, and hosts with too few pages) goes by its
+marks, unless ``marks`` is off.  Inside ``article`` or
 ``main``, headings, paragraphs and the like always stay and only containers are
 judged, so that a sentence quoted on many pages is not lost; there a word of a class or
 id only raises a container's bar, and it must be seen on several pages to go, unless a
 class is exactly the name of a known widget.  Where the tree has too
-few pages, the prior decides alone.
+few pages, the prior decides alone.  A page of which the tree would leave nothing keeps what
+the prior keeps.
 
 Copies of a page weigh one: pages of a host with the same kept text are one page in all
 counts.  Work per host is counts only: (host, place, content) and (host, place,
-presentation) are partial aggregates.  What a host's pages get back are its unimportant branches,
-each on at least MIN_SHARE of the pages that have the place, and its important places
-outside the article.
+presentation) and (host, place, feature) are partial aggregates.  What a host's pages get back are
+its unimportant branches, each on at least MIN_SHARE of the pages that have the place, and its
+important places outside the article.
 """
 
 from __future__ import annotations
@@ -38,13 +44,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import map_texts, plus, settle
+from tabforge.llm.common import free_name, map_texts, plus, settle
 from tabforge.llm.urlfilter import host_and_path
 
 GAMMA = 0.9
 #: Kinds of evidence, and the importance below which an element of the kind is removed.
 PLAIN, OUTSIDE, MARKED, HINTED = 0, 1, 2, 3
-BARS = (0.35, 0.85, 1.01, 0.7)
+BARS = (0.35, 0.85, 0.985, 0.7)
 #: Pages, and share of a place's pages, on which an unimportant branch is seen at least.
 MIN_PAGES, MIN_SHARE = 4, 0.02
 #: Counted bytes of all hosts' lists up to which they are broadcast.
@@ -99,12 +105,14 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Page:
     """Elements of a page in order: parent, tag, label (tag with classes), noise; and its text blocks."""
 
-    __slots__ = ("parent", "tag", "label", "noise", "hinted", "inside", "blocks", "homes")
+    __slots__ = ("parent", "tag", "label", "noise", "hinted", "inside", "blocks", "when", "links", "homes")
 
     def __init__(self, source: str):
         self.parent, self.tag, self.label = [-1], ["#"], ["#"]
         self.noise, self.hinted, self.inside = [False], [False], [""]
         self.blocks: list[tuple[int, str]] = []
+        self.when: list[int] = []  # elements opened before each block
+        self.links: list[tuple[int, str]] = []
         self._read(source)
         self._settle_noise()
 
@@ -122,6 +130,9 @@ class Page:
                     noise = noise or not WIDGETS.isdisjoint(named.get("class", "").lower().split())
                     hinted = bool(words & NOISE_WORDS)
                 label = f"{tag}.{named.get('class', '')}"
+            target = named.get("href") if tag == "a" else None
+            if target:
+                self.links.append((len(self.tag), target))
             role = named.get("role", "").lower()
             noise = noise or role in NOISE_ROLES
             noise = noise or "hidden" in named or named.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(named.get("style", "")))
@@ -140,7 +151,8 @@ class Page:
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:
-        stack, text, at, pos = [0], [], 0, 0
+        stack, near, text, at, pos = [0], [0], [], 0, 0
+        open_at: dict[str, list[int]] = {}  # by tag, its places in the stack: nothing walks the stack
         find = _TOKEN.search
         size = len(source)
 
@@ -149,10 +161,16 @@ class Page:
                 joined = "".join(text)
                 joined = " ".join((html_lib.unescape(joined) if "&" in joined else joined).split())
                 if joined:
-                    node = next((n for n in reversed(stack) if self.tag[n] in BLOCK), 0)
-                    self.blocks.append((node, joined))
+                    self.blocks.append((near[-1], joined))
+                    self.when.append(len(self.tag))
                 text.clear()
 
+        def leave(depth: int) -> None:
+            """Close all elements from ``depth`` on."""
+            for n in stack[depth:]:
+                open_at[self.tag[n]].pop()
+            del stack[depth:], near[depth:]
+
         while pos < size:
             m = find(source, pos)
             if m is None:
@@ -168,11 +186,11 @@ class Page:
                 continue
             tag = m.group(2).lower()
             if m.group(1):
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if self.tag[stack[d]] == tag), 0)
+                depth = (open_at.get(tag) or [0])[-1]
                 if depth:
-                    if tag in BLOCK or any(self.tag[n] in BLOCK for n in stack[depth:]):
+                    if any(self.tag[n] in BLOCK for n in stack[depth:]):
                         flush()
-                    del stack[depth:]
+                    leave(depth)
                 continue
             if tag in RAW:
                 end = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)", re.I).search(source, pos)
@@ -190,16 +208,14 @@ class Page:
             if tag in BLOCK:
                 flush()
                 ends = CLOSES.get(tag, set()) | {"p"} if tag != "option" else {"option"}
-                for d in range(len(stack) - 1, 0, -1):
-                    name = self.tag[stack[d]]
-                    if name in ends:
-                        del stack[d:]
-                        break
-                    if name in SCOPE:
-                        break
+                ended, fence = (max((open_at[t][-1] for t in tags if open_at.get(t)), default=0) for tags in (ends, SCOPE))
+                if ended and ended >= fence:
+                    leave(ended)
             node = self._open(tag, m.group(3), stack[-1])
             if not m.group(3).rstrip().endswith("/") or tag in BLOCK:
+                open_at.setdefault(tag, []).append(len(stack))
                 stack.append(node)
+                near.append(node if tag in BLOCK else near[-1])
         flush()
 
     def _settle_noise(self) -> None:
@@ -233,29 +249,69 @@ class Page:
     def judged(self) -> list[tuple[int, int, int, int, int, int]]:
         """Elements that the style tree judges: (element, place, presentation, content, children, kind)."""
         kept = self.kept()
-        below: list[list[str]] = [[] for _ in self.tag]
-        for n, t in self.blocks:
-            while n > 0:
-                below[n].append(t)
-                n = self.parent[n]
+        said = self._contents()
         kids: list[list[int]] = [[] for _ in self.tag]
         for n in range(1, len(self.tag)):
             kids[self.parent[n]].append(n)
-        around = self.around()
-        place = [0] * len(self.tag)
+        around, place = self.around(), self.places()
         out = []
         for n in range(1, len(self.tag)):
-            place[n] = xxhash.xxh64_intdigest(f"{place[self.parent[n]]}>{self.label[n]}")
-            if not below[n] or n in around or self.tag[n] in ("html", "body", "article", "main") or self.tag[n] not in BLOCK:
+            if said[n] is None or n in around or self.tag[n] in ("html", "body", "article", "main") or self.tag[n] not in BLOCK:
                 continue
             if kept[n] and self.homes and self.tag[n] in PROSE:
                 continue
             kind = MARKED if self.noise[n] else OUTSIDE if not kept[n] else HINTED if self.hinted[n] else PLAIN
             look = xxhash.xxh64_intdigest(" ".join(self.label[k] for k in kids[n]))
-            said = xxhash.xxh64_intdigest("\n".join(below[n]))
-            out.append((n, _signed(place[n]), _signed(look), _signed(said), len(kids[n]), kind))
+            out.append((n, _signed(place[n]), _signed(look), _signed(said[n]), len(kids[n]), kind))
+        return out
+
+    def places(self) -> list[int]:
+        """Hash of the chain of labels down to each element."""
+        place = [0] * len(self.tag)
+        for n in range(1, len(self.tag)):
+            place[n] = xxhash.xxh64_intdigest(f"{place[self.parent[n]]}>{self.label[n]}")
+        return place
+
+    def _contents(self) -> list[int | None]:
+        """Hash of what is below each element, from those of its children; None without text."""
+        parts: list[list[tuple[int, int, object]]] = [[] for _ in self.tag]
+        for (n, t), when in zip(self.blocks, self.when):
+            parts[n].append((when, 0, t))
+        out: list[int | None] = [None] * len(self.tag)
+        for n in range(len(self.tag) - 1, 0, -1):
+            if parts[n]:
+                out[n] = xxhash.xxh64_intdigest("\n".join(str(x) for *_, x in sorted(parts[n], key=lambda p: p[:2])))
+                parts[self.parent[n]].append((n, 1, out[n]))
         return out
 
+    def marked(self) -> list[tuple[int, set[int]]]:
+        """Place and features of each marked branch that is in no other: the words, link targets
+        and labels below it."""
+        place, top = self.places(), self._tops()
+        found = {n: names for n, names in self.marked_tops()}
+        for n, target in self.links:
+            if top[n] in found:
+                found[top[n]].add(f"h{target}")
+        for n in range(1, len(self.tag)):
+            if top[n] in found:
+                found[top[n]].add(f"l{self.label[n]}")
+        return [(_signed(place[n]), {_signed(xxhash.xxh64_intdigest(f)) for f in names}) for n, names in found.items()]
+
+    def _tops(self) -> list[int]:
+        """For each element the marked block that it is in and that is in no other, or 0."""
+        top = [0] * len(self.tag)
+        for n in range(1, len(self.tag)):
+            top[n] = top[self.parent[n]] or (n if self.noise[n] and self.tag[n] in BLOCK else 0)
+        return top
+
+    def marked_tops(self) -> list[tuple[int, set[str]]]:
+        """Those marked blocks that have text, with its words."""
+        top, found = self._tops(), {}
+        for n, t in self.blocks:
+            if top[n]:
+                found.setdefault(top[n], set()).update(f"w{w}" for w in t.lower().split())
+        return list(found.items())
+
     def around(self) -> set[int]:
         """Elements that the article lies in."""
         out = set()
@@ -266,9 +322,16 @@ class Page:
                 up = self.parent[up]
         return out
 
-    def text(self, found: set[int] | None = None) -> str:
+    def removed(self, found: set[int]) -> int:
+        """Branches that the tree itself removes: marked places and repeated branches."""
+        place = self.places()
+        top = [n for n, _ in self.marked_tops()]
+        return sum(~_signed(place[n]) in found for n in top) + sum(branch_key(p, c, k) in found for _, p, _, c, _, k in self.judged() if k != MARKED)
+
+    def text(self, found: set[int] | None = None, marks: bool = True) -> str:
         """The article's blocks, by the prior and what the tree ``found``: unimportant branches
-        are left out with all below them, important places outside the article come in."""
+        are left out with all below them, important places outside the article come in, marked
+        ones only with ``marks`` off."""
         kept = self.kept()
         whole = "\n\n".join(t for n, t in self.blocks if kept[n])
         if not found:
@@ -276,6 +339,8 @@ class Page:
         judged = self.judged()
         cut = {n for n, place, _, said, _, kind in judged if branch_key(place, said, kind) in found}
         more = {n for n, place, _, _, _, kind in judged if kind == OUTSIDE and n not in cut and place in found}
+        if not marks:
+            more |= {n for n, place, _, _, _, kind in judged if kind == MARKED and place in found}
         if not cut and not more:
             return whole
         around = self.around() if more else set()
@@ -284,7 +349,11 @@ class Page:
             up = self.parent[n]
             if kept[n]:
                 stays[n] = n not in cut and (not kept[up] or stays[up])
-            elif not self.noise[n]:
+            elif n in more and self.noise[n]:
+                stays[n] = True
+            elif self.noise[n]:
+                stays[n] = not marks and stays[up] and self.noise[up]
+            else:
                 free = up == 0 or up in around or self.tag[up] in ("html", "body")
                 stays[n] = n in more and (free or stays[up]) or (self.tag[n] not in BLOCK and not free and stays[up])
         stays[0] = kept[0]
@@ -321,6 +390,37 @@ def style_rows(pages: DataFrame) -> DataFrame:
     return map_texts(pages.select("host", "html"), run, schema, "html")
 
 
+def feature_rows(pages: DataFrame) -> DataFrame:
+    """(host, place, feature, page): the features of each marked branch, once a page each."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            if host and source:
+                page = Page(source)
+                own = _signed(xxhash.xxh64_intdigest(page.text() or source))
+                out.extend({(host, place, f, own) for place, names in page.marked() for f in names})
+        cols = list(zip(*out)) if out else [()] * 4
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "place", "feature", "page"])
+
+    return map_texts(pages.select("host", "html"), run, "host string, place long, feature long, page long", "html")
+
+
+def marked_places(features: DataFrame, places: DataFrame) -> DataFrame:
+    """(host, place, m, importance) of the marked places that the tree judges: their presentations'
+    importance, and the mean importance of their features over the pages that have the place."""
+    seen = features.distinct()
+    k = seen.groupBy("host", "place", "feature").agg(F.count(F.lit(1)).alias("k"))
+    told = k.groupBy("host", "place").agg(F.count(F.lit(1)).alias("n"), F.sum(F.log("k")).alias("logk"))
+    # a copy of a page may differ outside its article: it has its features, but is no page of its own
+    copies = seen.select("host", "place", "page").distinct().groupBy("host", "place").agg(F.count(F.lit(1)).alias("m"))
+    met = told.join(copies.where(F.col("m") >= MIN_PAGES), ["host", "place"]).join(places.select("host", "place", "kids", "shown"), ["host", "place"])
+    fade = F.pow(F.lit(GAMMA), F.col("kids"))
+    mean = 1 - F.col("logk") / (F.col("n") * F.log("m"))
+    return met.select("host", "place", "m", ((1 - fade) * F.col("shown") + fade * mean).alias("importance"))
+
+
 def _spread(nlogn, m):
     """Entropy to the base m of counts n with sum m: (log m - sum(n log n) / m) / log m."""
     return F.when(m > 1, 1 - nlogn / (m * F.log(m))).otherwise(1.0)
@@ -346,45 +446,69 @@ def judge(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return branches.withColumn("importance", (1 - fade) * F.col("shown") + fade * (1 - F.log("k") / F.log("m"))), places
 
 
-def findings(rows: DataFrame) -> DataFrame:
+def findings(rows: DataFrame, features: DataFrame | None = None) -> DataFrame:
     """(host, branches): each host's branches below their kind's bar, by key, and its important
-    places outside the article.  Marked branches need no entry: no importance reaches their bar."""
+    places outside the article; of marked places (with ``features``) those that reach their bar, and
+    the complements of those that don't."""
     branches, places = judge(rows)
     bar = F.when(F.col("kind") == OUTSIDE, BARS[OUTSIDE]).when(F.col("kind") == HINTED, BARS[HINTED]).otherwise(BARS[PLAIN])
     low = branches.where((F.col("kind") != MARKED) & (F.col("k") >= F.col("m") * MIN_SHARE) & (F.col("importance") < bar))
     fade = F.pow(F.lit(GAMMA), F.col("kids"))
     high = places.where((F.col("kind") == OUTSIDE) & ((1 - fade) * F.col("shown") + fade * F.col("told") >= BARS[OUTSIDE]))
     both = low.select("host", "key").unionAll(high.select("host", F.col("place").alias("key")))
+    if features is not None:  # the place itself stays, its complement goes
+        seen = marked_places(features, places)
+        key = F.when(F.col("importance") >= BARS[MARKED], F.col("place")).otherwise(F.bitwise_not("place"))
+        both = both.unionAll(seen.select("host", key.alias("key")))
     return both.groupBy("host").agg(F.collect_set("key").alias("branches"))
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """``pages`` (url, html) plus ``text`` and ``n_chars``.
+def hosted(pages: DataFrame) -> DataFrame:
+    """(host, html) of ``pages``."""
+    return pages.select(host_and_path(F.col("url"))[0].alias("host"), "html")
+
+
+def tree_report(pages: DataFrame) -> DataFrame:
+    """What the tree finds of marked branches: host, place, m (pages), importance, removed (it is
+    below the bar, so the branch goes without a look at its marks)."""
+    own = hosted(pages)
+    _, places = judge(style_rows(own))
+    out = marked_places(feature_rows(own), places)
+    return out.withColumn("removed", F.col("importance") < BARS[MARKED])
+
+
+def main_text(pages: DataFrame, marks: bool = True) -> DataFrame:
+    """``pages`` (url, html) plus ``text``, ``n_chars`` and ``tree_removed``, the number of
+    branches that the tree itself found unimportant (marks may remove further ones).
 
     Null and empty pages give an empty text.  Pages without a host are judged
-    alone, as are hosts with few pages.  Repeated rows stay (and count as one page of
+    alone, as are hosts with few pages.  With ``marks`` off, marked branches of hosts that the
+    tree judges stay if their place reaches the bar.  Repeated rows stay (and count as one page of
     their host).  Other columns pass through; own columns named like the results
     are replaced.  No pages: no rows."""
-    pages = pages.drop("text", "n_chars")
-    hosted = pages.withColumn("_site", host_and_path(F.col("url"))[0])
-    low = settle(findings(style_rows(hosted.select(F.col("_site").alias("host"), "html"))))
-    hosts, branches = low.agg(F.count(F.lit(1)), F.sum(F.size("branches"))).first()
-    low = low.withColumnRenamed("host", "_low_host")
+    pages = pages.drop("text", "n_chars", "tree_removed")
     own = pages.columns
+    site, found, name = (free_name(pages, c) for c in ("_site", "_low", "_low_host"))
+    with_host = pages.withColumn(site, host_and_path(F.col("url"))[0])
+    trees = hosted(pages)
+    low = settle(findings(style_rows(trees), feature_rows(trees)))
+    hosts, branches = low.agg(F.count(F.lit(1)), F.sum(F.size("branches"))).first()
+    low = low.select(F.col("host").alias(name), F.col("branches").alias(found))
     if not hosts:
-        met = pages.withColumn("_low", F.lit(None).cast("array<long>"))
+        met = pages.withColumn(found, F.lit(None).cast("array<long>"))
     else:
         table = F.broadcast(low) if 16 * branches + 128 * hosts <= BROADCAST_BYTES else low
-        met = hosted.join(table, F.col("_site") == F.col("_low_host"), "left").select(*[hosted[c] for c in own], F.col("branches").alias("_low"))
+        met = with_host.join(table, F.col(site) == F.col(name), "left").select(*[F.col(f"`{c}`") for c in own], found)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = []
-        low_col = batch.column("_low")
-        for i, source in enumerate(batch.column("html").to_pylist()):
-            keys = low_col[i].as_py()
-            texts.append(Page(source).text(set(keys) if keys else None) if source else "")
+        texts, removed = [], []
+        keys = [set(k) if k else None for k in batch.column(found).to_pylist()]
+        for source, low_keys in zip(batch.column("html").to_pylist(), keys):
+            page = Page(source) if source else None
+            texts.append(page.text(low_keys, marks) if page else "")
+            removed.append(page.removed(low_keys) if page and low_keys else 0)
         cols = [batch.column(c) for c in own]
-        cols += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-        return pa.RecordBatch.from_arrays(cols, names=[*own, "text", "n_chars"])
+        cols += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64())]
+        return pa.RecordBatch.from_arrays(cols, names=[*own, "text", "n_chars", "tree_removed"])
 
-    return map_texts(met, run, plus(pages.schema, text="string", n_chars="bigint"), "html")
+    return map_texts(met, run, plus(pages.schema, text="string", n_chars="bigint", tree_removed="bigint"), "html")
