@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import key_text, uniform
-from tabforge.llm.common import WORD_PATTERN, settle
+from tabforge.llm.common import WORD_PATTERN, free_name, settle
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -101,6 +101,9 @@ def mix(
     results are replaced.  No documents: no rows."""
     made = ["size", "source_size", "target", "copies", "taken"]
     docs = docs.drop(*made)
+    own = docs.columns  # those named like helper columns are put aside
+    aside = {c: free_name(docs, f"own{c}") for c in own if c.lower().startswith("_mix")}
+    docs = docs.withColumnsRenamed(aside)
     sized = docs.withColumn("size", words_in(F.col("text")))
     u = uniform(key_text(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed=seed, salt="mix"))
     lean = settle(sized.select("source", "doc_id", "size", u.alias("_mix_u"), F.xxhash64("text").alias("_mix_h")))
@@ -162,7 +165,7 @@ def mix(
     more = more.when(F.col("_mix_range") < F.col("_mix_r"), True).otherwise((F.col("_mix_range") == F.col("_mix_r")) & F.coalesce(at_cut, F.lit(False)))
     out = out.withColumn("copies", (F.col("_mix_sure") + F.coalesce(more, F.lit(False)).cast("int")).cast("long"))
     out = out.withColumn("taken", F.col("copies") * F.col("size"))
-    return out.select(*docs.columns, *made)
+    return out.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in own], *made)
 
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
