@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import map_texts, plus
+from tabforge.llm.common import free_name, map_texts, plus
 
 #: Default place of the public piece model; pass another path to the functions.
 MODEL_PATH = os.environ.get("TABFORGE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -43,7 +43,7 @@ MARK = "▁"
 #: Stretches up to this length are merged in numpy, longer ones with a heap.
 LONG = 48
 #: Distinct stretches, and decisions in their trees, that a task keeps at most before it starts anew.
-CACHE, NODES = 200_000, 2_000_000
+CACHE, NODES = 60_000, 600_000
 #: Occurrences without a result yet from which one of each tree end runs first.
 MANY = 16_384
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -477,9 +477,10 @@ def encode_docs(
         key = F.xxhash64(F.lit(seed), *told_apart)
     else:
         key = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants))
-    given = docs.withColumn("_doc_key", key).drop(*([copy_col] if copy_col else []))
-    kept = given.columns[:-1]
-    schema = plus(given.drop("_doc_key").schema, pieces="array<int>", n_pieces="bigint", lossless="boolean")
+    own_key = free_name(docs, "_doc_key")
+    given = docs.withColumn(own_key, key).drop(*([copy_col] if copy_col else []))
+    kept = [c for c in given.columns if c != own_key]
+    schema = plus(given.drop(own_key).schema, pieces="array<int>", n_pieces="bigint", lossless="boolean")
     state: dict[str, Segmenter] = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -487,7 +488,7 @@ def encode_docs(
             state["s"] = Segmenter(load(path), rate, seed, shared=variants is not None)
         seg = state["s"]
         texts = batch.column("text").to_pylist()
-        ids, bounds = seg.encode(texts, batch.column("_doc_key").to_pylist())
+        ids, bounds = seg.encode(texts, batch.column(own_key).to_pylist())
         same = []
         raw = seg.pieces.raw
         for t, a, b in zip(texts, bounds[:-1], bounds[1:]):
