@@ -13,23 +13,45 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabforge.llm import langid, mixing, simhash, spdropout, toxicity
+from tabforge.llm.common import free_name
 from tabforge.session import scratch_path
 
 
+#: Rows of an Arrow batch in the stages' Python tasks, unless the session says otherwise.
+BATCH_ROWS = 2000
+#: Texts of so many bytes are rejected if no language has more than so many times its share by chance.
+SURE_BYTES, SURE_TIMES = 500, 1.5
+
+
+def _apart(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with own columns of these names renamed, and the way back: a stage's operator
+    replaces columns that are named like its results."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if docs.sparkSession.conf.get(key, "10000") == "10000":
+        docs.sparkSession.conf.set(key, str(BATCH_ROWS))
+    moved = {c: free_name(docs, f"{c}_of_document") for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(moved), {v: k for k, v in moved.items()}
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects only undetermined texts (``und``: null, empty or without a letter).  No language
-    is rejected, so which one the network gives decides nothing here.  Without any labelled
-    language to learn from there is no network, and texts with a letter pass all the same."""
+    """Rejects undetermined texts: ``und`` (null, empty or without a letter), and texts of
+    SURE_BYTES bytes or more of which the network is as unsure as by chance (no language has
+    SURE_TIMES its equal share).  Short texts and all languages stay.  Without any labelled
+    language to learn from there is no network, and texts with a letter pass."""
     net = langid.train(docs)
     if net is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return langid.identify(docs, net).where(F.col("lang_pred") != "und").select(*docs.columns)
+    own, back = _apart(docs, "lang_pred", "score")
+    unsure = (F.octet_length("text") >= SURE_BYTES) & (F.col("score") < SURE_TIMES / len(net.langs))
+    out = langid.identify(own, net).where((F.col("lang_pred") != "und") & (~unsure | F.lit(len(net.langs) < 2)))
+    return out.select(*own.columns).withColumnsRenamed(back)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a toxicity score below 0.5."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score_docs(docs, model).where(F.col("score") < 0.5).select(*docs.columns)
+    own, back = _apart(docs, "score", "spans")
+    return toxicity.score_docs(own, model).where(F.col("score") < 0.5).select(*own.columns).withColumnsRenamed(back)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +61,16 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mix of sources does (possibly not at all)."""
-    return mixing.repeated(mixing.mix(docs), docs.columns)
+    own, back = _apart(docs, "size", "source_size", "target", "copies", "taken")
+    return mixing.repeated(mixing.mix(own), own.columns).withColumnsRenamed(back)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document: doc_id, source, pieces, n_pieces, lossless.  The copies
     that the mix makes of a document are numbered, so that each is segmented anew."""
+    own, _ = _apart(docs)
     alike = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source")
-    numbered = docs.select("doc_id", "source", "text", F.row_number().over(alike).alias("_copy"))
+    numbered = own.select("doc_id", "source", "text", F.row_number().over(alike).alias("_copy"))
     return spdropout.encode_docs(numbered, copy_col="_copy").drop("text")
 
 
