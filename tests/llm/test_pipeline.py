@@ -61,3 +61,28 @@ def test_stages_take_odd_documents(spark, tmp_path):
             now = stage(spark, now, str(tmp_path))
             n = now.count()
             assert (n == 0) if empty else n >= 0
+
+
+def test_stages_keep_own_columns(spark):
+    """Own columns named like a stage's results or helpers come through every stage but the last."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
+    own = ("score", "lang_pred", "size", "source_size", "target", "copies", "taken", "_id", "_fp", "_mix_source", "_mix_q", "Spans")
+    docs = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in own]).cache()
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF).cache()
+        assert now.columns == docs.columns, name
+        row = now.first()
+        assert row and all(row[c] == f"own {c}" for c in own), name
+
+
+def test_unsure_long_texts_are_rejected(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    real = corpus_pipeline.langid.train(docs)
+    flat = type(real)(real.langs, real.embed, real.filters, real.bias, real.dense * 0, real.dense_bias * 0)
+    rows = [(1, "word " * 200, "en", "s", 1000), (2, "word", "en", "s", 4), (3, "12", "en", "s", 2)]
+    odd = spark.createDataFrame(rows, docs.schema.simpleString()[7:-1].replace(":", " "))
+    monkeypatch.setattr(corpus_pipeline.langid, "train", lambda d: flat)
+    assert [r.doc_id for r in corpus_pipeline.language_stage(spark, odd, SF).collect()] == [2]
+    monkeypatch.setattr(corpus_pipeline.langid, "train", lambda d: real)
+    assert [r.doc_id for r in corpus_pipeline.language_stage(spark, odd, SF).collect()] == [1, 2]
