@@ -9,7 +9,8 @@ in a bucket are verified by their cosine in double precision.
 Equal vectors are one row with a count from the start.  Buckets are dealt into
 cells of bounded size, a vector's links are counted inside the cells (a pair
 that meets in several tables counts in its first), and each cell gives a vector
-one edge to the smallest it links to: neither pairs nor groups are ever gathered.
+one edge to the smallest it links to: neither pairs nor groups are ever gathered.  A vector
+travels once per table, with its code there; codes of other tables follow from the seed.
 """
 
 from __future__ import annotations
@@ -61,47 +62,55 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def sign_codes(vectors: DataFrame, dim: int, bits: int, tables: int, seed: int = SEED) -> DataFrame:
-    """(id, embedding, weight) -> plus table and code, one row per table, and all codes."""
-    planes = np.random.default_rng(seed).normal(size=(dim, bits * tables))
+def hyperplanes(dim: int, bits: int, tables: int, seed: int = SEED) -> np.ndarray:
+    return np.random.default_rng(seed).normal(size=(dim, bits * tables))
+
+
+def codes_of(unit: np.ndarray, planes: np.ndarray, bits: int) -> np.ndarray:
+    """(rows, tables): the sign code of each unit row in each table of ``planes``."""
     place = 1 << np.arange(bits, dtype=np.int64)
+    return ((unit @ planes > 0).reshape(len(unit), -1, bits) * place).sum(axis=2)
+
+
+def sign_codes(vectors: DataFrame, dim: int, bits: int, tables: int, seed: int = SEED, narrow: bool = False) -> DataFrame:
+    """(id, embedding, weight) -> plus table and code, one row per table; ``narrow``: table and code alone."""
+    planes = hyperplanes(dim, bits, tables, seed)
+    slices = max(1, min(2000, 60_000 // tables))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for a in range(0, whole.num_rows, 2000):
-                batch = whole.slice(a, 2000)
-                n = batch.num_rows
-                up = (unit_rows(matrix(batch.column("embedding"))) @ planes > 0).reshape(n, tables, bits)
-                codes = (up * place).sum(axis=2)
-                row = np.repeat(np.arange(n), tables)
-                out = batch.take(pa.array(row))
-                every = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(row) + 1) * tables, tables, dtype=np.int32)), pa.array(codes[row].ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [*out.columns, pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(codes.ravel()), every],
-                    names=["id", "embedding", "weight", "tab", "code", "codes"],
-                )
+            for a in range(0, whole.num_rows, slices):
+                batch = whole.slice(a, slices)
+                codes = codes_of(unit_rows(matrix(batch.column("embedding"))), planes, bits)
+                made = [pa.array(np.tile(np.arange(tables, dtype=np.int32), len(codes))), pa.array(codes.ravel())]
+                if narrow:
+                    yield pa.RecordBatch.from_arrays(made, names=["tab", "code"])
+                else:
+                    out = batch.take(pa.array(np.repeat(np.arange(len(codes)), tables)))
+                    yield pa.RecordBatch.from_arrays([*out.columns, *made], names=["id", "embedding", "weight", "tab", "code"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    return vectors.select("id", "embedding", "weight").mapInArrow(
-        run, f"id long, embedding {kind}, weight long, tab int, code long, codes array<long>"
-    )
+    shape = "tab int, code long" if narrow else f"id long, embedding {kind}, weight long, tab int, code long"
+    return vectors.select("id", "embedding", "weight").mapInArrow(run, shape)
 
 
-def _links(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterable[pa.RecordBatch], threshold: float, planes: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Links in the cells: a pair counts in the first table that it meets in, so only pairs that
+    link have their codes in the tables before computed, once a cell."""
     keys = ["tab", "code", "cell_a", "cell_b"]
 
     def read(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in [*keys, "id", "weight", "chunk"]}
-        return cols | {"x": unit_rows(matrix(batch.column("embedding"))), "codes": matrix(batch.column("codes")).astype(np.int64)}
+        return cols | {"x": unit_rows(matrix(batch.column("embedding")))}
 
     for cols, bounds in complete_runs(batches, keys, read):
         out: list[list[np.ndarray]] = [[], [], []]
         for g in np.flatnonzero(np.diff(bounds) > 1):
             cut = slice(bounds[g], bounds[g + 1])
-            x, w, codes, ids, chunk = (cols[c][cut] for c in ("x", "weight", "codes", "id", "chunk"))
+            x, w, ids, chunk = (cols[c][cut] for c in ("x", "weight", "id", "chunk"))
             a, b, tab = cols["cell_a"][bounds[g]], cols["cell_b"][bounds[g]], int(cols["tab"][bounds[g]])
             left, right = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
-            count, sets = np.zeros(len(ids), dtype=np.int64), LocalSets(len(ids))
+            count, sets, codes = np.zeros(len(ids), dtype=np.int64), LocalSets(len(ids)), None
             for s in range(0, len(left), 512):
                 rows = left[s : s + 512]
                 i, j = np.nonzero(x[rows] @ x[right].T >= threshold - 1e-9)
@@ -116,6 +125,8 @@ def _links(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.R
                     ok[q] = (x[i[q]] * x[j[q]]).sum(axis=1) >= threshold
                 i, j = i[ok], j[ok]
                 sets.link(i, j)
+                if codes is None and tab:
+                    codes = codes_of(x, planes[:, : tab * bits], bits)
                 first = np.ones(len(i), dtype=bool)
                 for t in range(tab):
                     first &= codes[i, t] != codes[j, t]
@@ -150,11 +161,14 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, seed: int = S
     sizes = classes.groupBy(F.size("embedding").alias("d")).count().orderBy("d").collect()  # the distinct vector lengths
     for d, n in sizes:
         bits, tables = plan_tables(n, threshold)
-        coded = sign_codes(classes.where(F.size("embedding") == d), d, bits, tables, seed)
-        cells = split_buckets(settle(coded), ["tab", "code"], "id", CELL)
+        own = classes.where(F.size("embedding") == d)
+        cells = split_buckets(
+            sign_codes(own, d, bits, tables, seed), ["tab", "code"], "id", CELL, sign_codes(own, d, bits, tables, seed, narrow=True)
+        )
         keys = ["tab", "code", "cell_a", "cell_b"]
         dealt = cells.repartition(*keys).sortWithinPartitions(*keys, "id")
-        found = dealt.mapInArrow(lambda b: _links(b, threshold), "id long, links long, to long")
+        planes = hyperplanes(d, bits, tables, seed)
+        found = dealt.mapInArrow(lambda b, p=planes, k=bits: _links(b, threshold, p, k), "id long, links long, to long")
         links = found if links is None else links.unionAll(found)
     if links is None:
         alone = marked.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -165,8 +179,9 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, seed: int = S
     known = classes.select("id", "embedding", "weight", "least").join(counts, "id", "left").join(groups, "id", "left")
     known = known.withColumn("group", F.coalesce("label", "id"))
     heads = known.groupBy("group").agg(F.min("least").alias("component_id"))
-    table = settle(known.join(heads, "group").select("id", "weight", "links", "component_id"))
-    out = marked.join(table, marked["_node"] == table["id"], "left")
+    table = settle(known.join(heads, "group").select("id", F.col("embedding").alias("_vector"), "weight", "links", "component_id"))
+    # by the vector too: of two vectors with one hash each row finds its own
+    out = marked.join(table, (marked["_node"] == table["id"]) & (marked["embedding"] == table["_vector"]), "left")
     n_links = F.when(F.col("_node").isNull(), 0).otherwise(F.col("weight") - 1 + F.coalesce("links", F.lit(0)))
     group = F.when(F.col("_node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     out = out.select("vec_id", n_links.cast("long").alias("n_links"), group.alias("component_id"))
