@@ -1,17 +1,19 @@
 """Approximate nearest neighbours: inverted lists and an adaptive dimension scan.
 
 Vectors are scaled to length one and turned by a random rotation; the nearest of
-LISTS centroids (fitted on a bounded sample) names a vector's list, every row is
-listed.  A query probes the lists of its nearest centroids.  Within a probed list
+the centroids (fitted on a bounded sample, about the square root of the rows in number) names a
+vector's list, every row is listed.  A query probes the lists of its nearest centroids, as many as
+are calibrated: a bounded sample of the queries is compared with all rows, and the lists
+that hold RECALL of their true neighbours are enough.  Within a probed list
 candidates lie in column blocks of BLOCK_DIMS rotated dimensions and are scanned
 block by block: after d of D dimensions the partial squared distance, scaled by
 D/d, estimates the whole one, and a candidate is abandoned when the estimate
 exceeds the query's current k-th distance by more than the hypothesis test at
 EPSILON allows.  Survivors get the exact cosine of the original vectors.
 
-Lists and the queries that probe them are cut into chunks of bounded size; each
-pair of a candidate chunk and a query chunk is one group of a task.  A list with a
-third of all rows is many chunks.  Each group returns k rows a query.
+A list's rows are dealt into blocks of bounded size, and queries stream past them: a
+candidate travels once for up to ASKS queries of its list, so a list with a third of all
+rows is many blocks and no task holds more than one.  Each block returns k rows a query.
 
 A query with fewer than k results after its probes (small lists, or few rows) is
 run again over all lists without abandoning, so it gets all there is.
@@ -28,142 +30,157 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import complete_runs, settle
+from tabforge.llm.common import settle
 from tabforge.llm.vecdedup import matrix, unit_rows, usable
 
 K = 5
-#: Rows, and numbers in all, that centroids are fitted on, at most (chosen by a hash of the id).
-SAMPLE, SAMPLE_VALUES = 20_000, 2_000_000
-#: Lists, at most; fewer for small tables.
-LISTS = 128
-#: Share of the lists that a query probes.  Measured recall at 5 against brute
-#: force on the test tables, whose clusters are weak: 0.97 and more (0.94 at 0.5).
-PROBE_SHARE = 0.7
+#: Lists, at most; else the square root of the rows.
+LISTS = 4096
+#: Sample rows a list, and numbers in all, that centroids are fitted on, at most (chosen by a hash of the row).
+SAMPLE_PER_LIST, SAMPLE_VALUES = 16, 4_000_000
+#: Queries that the probes are calibrated on, at most, and the share of their neighbours to be found.
+CALIBRATE, RECALL = 128, 0.98
 BLOCK_DIMS = 16
 #: Width of the hypothesis test, in units of 1 / sqrt(dimensions read).
 EPSILON = 2.1
-#: Rows of a candidate chunk, queries of a query chunk, candidates scanned at once.
-CANDIDATES, QUERIES, STEP = 4096, 512, 1024
+#: Rows of a block, queries that one copy of it serves, both about; queries looked at together, candidates scanned at once.
+CANDIDATES, ASKS, TOGETHER, STEP = 4096, 1 << 16, 512, 1024
 SEED = 99
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by a power of two of their own, so that squares neither overflow nor vanish; cosines
+    are the same to the last bit."""
+    _, power = np.frexp(np.abs(x).max(axis=1, initial=0.0))
+    return np.ldexp(x, -power[:, None])
+
+
 @dataclass
 class Index:
     centroids: np.ndarray
     rotation: np.ndarray
-    probes: int
 
     def lists_of(self, unit: np.ndarray) -> np.ndarray:
         return (unit @ self.centroids.T).argmax(axis=1)
 
-    def probed(self, unit: np.ndarray, probes: int) -> np.ndarray:
-        return np.argsort(-(unit @ self.centroids.T), axis=1, kind="stable")[:, :probes]
+    def order(self, unit: np.ndarray) -> np.ndarray:
+        """Lists of each row, nearest first."""
+        return np.argsort(-(unit @ self.centroids.T), axis=1, kind="stable")
 
 
-def fit_index(sample: np.ndarray, n: int, share: float = PROBE_SHARE, lists: int = LISTS, rounds: int = 8, seed: int = SEED) -> Index:
+def fit_index(sample: np.ndarray, n: int, lists: int = LISTS, rounds: int = 8, seed: int = SEED) -> Index:
     """Centroids by spherical k-means on the sample, and a random rotation."""
     rng = np.random.default_rng(seed)
     unit = unit_rows(sample)
     k = int(max(1, min(lists, len(unit) // 8, round(math.sqrt(n)))))
     c = unit[rng.choice(len(unit), k, replace=False)]
     for _ in range(rounds):
-        near = (unit @ c.T).argmax(axis=1)
+        near = np.concatenate([(unit[a : a + 4096] @ c.T).argmax(axis=1) for a in range(0, len(unit), 4096)])
         total = np.zeros_like(c)
         np.add.at(total, near, unit)
         size = np.sqrt((total * total).sum(axis=1))
         c = np.where(size[:, None] > 1e-9, total / np.maximum(size, 1e-9)[:, None], c)
     d = unit.shape[1]
     q, r = np.linalg.qr(rng.normal(size=(d, d)))
-    return Index(c, q * np.sign(np.diag(r)), max(1, math.ceil(share * k)))
-
-
-def scan(
-    x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, rotation: np.ndarray, k: int, adaptive: bool = True
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, cosine): up to k of the candidates ``x`` for each query of ``q``."""
-    dim = x.shape[1]
-    norm_x, norm_q = np.sqrt((x * x).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
-    turned, turned_q = (x / norm_x[:, None]) @ rotation, (q / norm_q[:, None]) @ rotation
-    cuts = list(range(0, dim, BLOCK_DIMS)) + [dim]
-    blocks = [np.ascontiguousarray(turned[:, a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-    test = [(b / dim) * (1 + EPSILON / math.sqrt(b)) ** 2 if b < dim else 1.0 for b in cuts[1:]]
-    out: list[list[np.ndarray]] = [[], [], []]
-    for j in range(len(q)):
-        best_at, best_d = np.zeros(0, dtype=np.int64), np.zeros(0)
-        worst = np.inf
-        a = 0
-        while a < len(x):
-            b = min(len(x), a + (STEP if np.isfinite(worst) else 32))
-            live = np.arange(a, b)
-            live = live[ids[a:b] != qids[j]]
-            part = np.zeros(len(live))
-            for block, lo, hi, factor in zip(blocks, cuts[:-1], cuts[1:], test):
-                rows = block[live[0] : live[-1] + 1] if len(live) and live[-1] - live[0] + 1 == len(live) else block[live]
-                gap = rows - turned_q[j, lo:hi]
-                part = part + np.einsum("ij,ij->i", gap, gap)
-                if adaptive and np.isfinite(worst):
-                    stay = part <= worst * factor + 1e-12
-                    live, part = live[stay], part[stay]
-            best_at, best_d = np.concatenate([best_at, live]), np.concatenate([best_d, part])
-            if len(best_at) > k:
-                worst = np.partition(best_d, k - 1)[k - 1]
-                stay = best_d <= worst + 1e-9  # ties stay until the exact cosine decides
-                best_at, best_d = best_at[stay], best_d[stay]
-                if len(best_at) > 4 * k + 64:  # very many ties: the exact order now, smaller ids first
-                    stay = _nearest(x, ids, norm_x, q[j], norm_q[j], best_at, k)[0]
+    return Index(c, q * np.sign(np.diag(r)))
+
+
+class Block:
+    """Candidates in column blocks of rotated dimensions, ready for queries."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, rotation: np.ndarray):
+        self.x, self.ids, self.rotation = scaled(x), ids, rotation
+        self.norm = np.sqrt((self.x * self.x).sum(axis=1))
+        self.dim = x.shape[1]
+        self.cuts = list(range(0, self.dim, BLOCK_DIMS)) + [self.dim]
+        turned = (self.x / self.norm[:, None]) @ rotation
+        self.columns = [np.ascontiguousarray(turned[:, a:b]) for a, b in zip(self.cuts[:-1], self.cuts[1:])]
+        self.test = [(b / self.dim) * (1 + EPSILON / math.sqrt(b)) ** 2 if b < self.dim else 1.0 for b in self.cuts[1:]]
+
+    def scan(self, q: np.ndarray, qids: np.ndarray, k: int, adaptive: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, id, cosine): up to k candidates for each query of ``q``."""
+        q = scaled(q)
+        norm_q = np.sqrt((q * q).sum(axis=1))
+        turned_q = (q / norm_q[:, None]) @ self.rotation
+        out: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]]
+        for j in range(len(q)):
+            best_at, best_d = np.zeros(0, dtype=np.int64), np.zeros(0)
+            worst = np.inf
+            a = 0
+            while a < len(self.x):
+                b = min(len(self.x), a + (STEP if np.isfinite(worst) else 32))
+                live = np.arange(a, b)
+                live = live[self.ids[a:b] != qids[j]]
+                part = np.zeros(len(live))
+                for column, lo, hi, factor in zip(self.columns, self.cuts[:-1], self.cuts[1:], self.test):
+                    rows = column[live[0] : live[-1] + 1] if len(live) and live[-1] - live[0] + 1 == len(live) else column[live]
+                    gap = rows - turned_q[j, lo:hi]
+                    part = part + np.einsum("ij,ij->i", gap, gap)
+                    if adaptive and np.isfinite(worst):
+                        stay = part <= worst * factor + 1e-12
+                        live, part = live[stay], part[stay]
+                best_at, best_d = np.concatenate([best_at, live]), np.concatenate([best_d, part])
+                if len(best_at) > k:
+                    worst = np.partition(best_d, k - 1)[k - 1]
+                    stay = best_d <= worst + 1e-9  # ties stay until the exact cosine decides
                     best_at, best_d = best_at[stay], best_d[stay]
-            elif len(best_at) == k:
-                worst = best_d.max()
-            a = b
-        if len(best_at):
-            pick, cos = _nearest(x, ids, norm_x, q[j], norm_q[j], best_at, k)
-            out[0].append(np.full(len(pick), j))
-            out[1].append(ids[best_at[pick]])
-            out[2].append(cos)
-    if not out[0]:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
-    return np.concatenate(out[0]), np.concatenate(out[1]), np.concatenate(out[2])
-
-
-def _nearest(x, ids, norm_x, q, norm_q, at, k):
-    """Positions in ``at`` of the k largest exact cosines (ties to smaller ids), and the cosines."""
-    cos = (x[at] * q).sum(axis=1) / (norm_x[at] * norm_q)
-    pick = np.lexsort((ids[at], -cos))[:k]
-    return pick, cos[pick]
-
-
-def _scan_groups(batches: Iterable[pa.RecordBatch], rotation: np.ndarray, k: int, adaptive: bool) -> Iterator[pa.RecordBatch]:
-    keys = ["list", "block", "turn"]
+                    if len(best_at) > 4 * k + 64:  # very many ties: the exact order now, smaller ids first
+                        stay = self._nearest(q[j], norm_q[j], best_at, k)[0]
+                        best_at, best_d = best_at[stay], best_d[stay]
+                elif len(best_at) == k:
+                    worst = best_d.max()
+                a = b
+            if len(best_at):
+                pick, cos = self._nearest(q[j], norm_q[j], best_at, k)
+                for o, v in zip(out, (np.full(len(pick), j), self.ids[best_at[pick]], cos)):
+                    o.append(v)
+        return tuple(np.concatenate(o) for o in out)
+
+    def _nearest(self, q: np.ndarray, norm_q: float, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``at`` of the k largest exact cosines (ties to smaller ids), and the cosines."""
+        cos = (self.x[at] * q).sum(axis=1) / (self.norm[at] * norm_q)
+        pick = np.lexsort((self.ids[at], -cos))[:k]
+        return pick, cos[pick]
 
-    def read(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in [*keys, "asks", "vec_id", "mark"]}
-        return cols | {"x": matrix(batch.column("embedding"))}
 
-    for cols, bounds in complete_runs(batches, keys, read):
-        got: list[list[np.ndarray]] = [[], [], [], []]
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            asks = cols["asks"][a:b] == 1
-            if asks.all() or not asks.any():
+def _blocks(batches: Iterable[pa.RecordBatch], rotation: np.ndarray, k: int, adaptive: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block, candidates before queries -> (query_id, mark, vec_id, score)."""
+    key: tuple | None = None
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    block: Block | None = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in ("list", "block", "turn", "asks")], axis=1)
+        ids, marks = batch.column("vec_id").to_numpy(), batch.column("mark").to_numpy()
+        cut = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cut], [*cut, len(keys)]):
+            if a == b:
                 continue
-            x, ids, marks = cols["x"][a:b], cols["vec_id"][a:b], cols["mark"][a:b]
-            row, near, cos = scan(x[~asks], ids[~asks], x[asks], ids[asks], rotation, k, adaptive)
-            for g, v in zip(got, (ids[asks][row], marks[asks][row], near, cos)):
-                g.append(v)
-        if got[0]:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(g)) for g in got], names=["query_id", "mark", "vec_id", "score"]
-            )
+            if tuple(keys[a, :3]) != key:
+                key, held, block = tuple(keys[a, :3]), [], None
+            for c in range(a, b, TOGETHER):
+                part = slice(c, min(b, c + TOGETHER))
+                x = matrix(batch.column("embedding").slice(c, part.stop - c))
+                if not keys[a, 3]:
+                    held.append((x, ids[part].copy()))
+                    continue
+                if held:
+                    block, held = Block(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), rotation), []
+                if block is not None:
+                    row, near, cos = block.scan(x, ids[part], k, adaptive)
+                    cols = ids[part][row], marks[part][row], near, cos
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in cols], names=["query_id", "mark", "vec_id", "score"])
 
 
 def _listed(vectors: DataFrame, index: Index, probes: int, role: int) -> DataFrame:
     """Rows with their list (role 0), or once for each probed list (role 1)."""
+    step = max(1, min(2000, (4 << 20) // len(index.centroids)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for a in range(0, whole.num_rows, 2000):
-                batch = whole.slice(a, 2000)
+            for a in range(0, whole.num_rows, step):
+                batch = whole.slice(a, step)
                 unit = unit_rows(matrix(batch.column("embedding")))
-                lists = index.probed(unit, probes) if role else index.lists_of(unit)[:, None]
+                lists = index.order(unit)[:, :probes] if role else index.lists_of(unit)[:, None]
                 out = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), lists.shape[1])))
                 cols = [*out.columns, pa.array(lists.ravel().astype(np.int32)), pa.array(np.full(out.num_rows, role, dtype=np.int32))]
                 yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "mark", "embedding", "list", "asks"])
@@ -174,27 +191,62 @@ def _listed(vectors: DataFrame, index: Index, probes: int, role: int) -> DataFra
     )
 
 
+def calibrate(vectors: DataFrame, queries: DataFrame, index: Index, k: int, share: float = RECALL) -> int:
+    """Lists to probe: up to CALIBRATE queries are compared with all rows, each task keeping k rows a
+    query; as many lists as hold ``share`` of their true neighbours."""
+    few = queries.orderBy(F.xxhash64(F.lit(SEED), "vec_id", "mark"), "vec_id", "mark").limit(CALIBRATE).select("vec_id", "embedding").collect()
+    if not few:
+        return 1
+    asked, qids = unit_rows(np.array([r.embedding for r in few], dtype=np.float64)), np.array([r.vec_id for r in few])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, where = np.full((len(asked), k), -2.0), np.full((len(asked), k), -1)
+        for whole in batches:
+            for a in range(0, whole.num_rows, 2000):
+                batch = whole.slice(a, 2000)
+                unit = unit_rows(matrix(batch.column("embedding")))
+                lists = index.lists_of(unit)
+                cos = asked @ unit.T
+                cos[qids[:, None] == batch.column("vec_id").to_numpy()[None, :]] = -2.0
+                score = np.concatenate([score, cos], axis=1)
+                where = np.concatenate([where, np.broadcast_to(lists, cos.shape)], axis=1)
+                best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                score, where = np.take_along_axis(score, best, 1), np.take_along_axis(where, best, 1)
+        at = np.repeat(np.arange(len(asked)), k)
+        keep = where.ravel() >= 0
+        cols = [at[keep].astype(np.int32), score.ravel()[keep], where.ravel()[keep].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["q", "score", "list"])
+
+    best = Window.partitionBy("q").orderBy(F.desc("score"))
+    near = vectors.select("vec_id", "embedding").mapInArrow(run, "q int, score double, list int")
+    near = near.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).select("q", "list").collect()  # CALIBRATE * k rows
+    place = np.argsort(index.order(asked), axis=1)
+    ranks = np.sort([place[r.q, r.list] for r in near]) if near else np.zeros(1, dtype=np.int64)
+    return int(ranks[min(len(ranks) - 1, math.ceil(share * len(ranks)) - 1)]) + 1
+
+
 def _search(vectors: DataFrame, queries: DataFrame, index: Index, probes: int, k: int, adaptive: bool) -> DataFrame:
+    spark = vectors.sparkSession
     rows, asks = _listed(vectors, index, probes, 0), _listed(queries, index, probes, 1)
-    n_lists = len(index.centroids)
     sizes = dict(rows.groupBy("list").count().collect())  # at most LISTS rows
     asked = dict(asks.groupBy("list").count().collect())
-    lists = F.col("list") + 1
-    blocks = F.element_at(F.array(*[F.lit(max(1, -(-sizes.get(i, 0) // CANDIDATES))) for i in range(n_lists)]), lists)
-    turns = F.element_at(F.array(*[F.lit(max(1, -(-asked.get(i, 0) // QUERIES))) for i in range(n_lists)]), lists)
-    spread = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "vec_id", "mark"), n).cast("int")
-    rows = rows.withColumn("block", spread(1, blocks)).withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1)))
-    asks = asks.withColumn("turn", spread(2, turns)).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    plan = [(i, -(-sizes[i] // CANDIDATES), -(-asked[i] // ASKS)) for i in sizes if asked.get(i)]
+    table = F.broadcast(spark.createDataFrame(plan, "list int, blocks int, turns int"))
+    spread = lambda seed, of: F.pmod(F.xxhash64(F.lit(seed), "vec_id", "mark"), F.col(of)).cast("int")
+    each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    rows = rows.join(table, "list").withColumn("block", spread(1, "blocks")).withColumn("turn", each("turns"))
+    asks = asks.join(table, "list").withColumn("turn", spread(2, "turns")).withColumn("block", each("blocks"))
     keys = ["list", "block", "turn"]
-    dealt = rows.unionByName(asks).repartition(*keys).sortWithinPartitions(*keys, "asks", "vec_id")
+    cols = [*keys, "asks", "vec_id", "mark", "embedding"]
+    dealt = rows.select(*cols).unionByName(asks.select(*cols)).repartition(*keys).sortWithinPartitions(*keys, "asks", "vec_id")
     found = dealt.mapInArrow(
-        lambda b: _scan_groups(b, index.rotation, k, adaptive), "query_id long, mark long, vec_id long, score double"
+        lambda b: _blocks(b, index.rotation, k, adaptive), "query_id long, mark long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = K, share: float = PROBE_SHARE) -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, k: int = K, recall: float = RECALL) -> DataFrame:
     """Each query's k nearest rows by cosine: query_id, rank, vec_id, score.
 
     ``rows`` and ``queries`` have vec_id and embedding.  Rows without an id and
@@ -210,9 +262,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, share: float = PROBE
     for d, n in vectors.groupBy(F.size("embedding")).count().orderBy(F.size("embedding")).collect():
         own = vectors.where(F.size("embedding") == d)
         own_asks = asked.where(F.size("embedding") == d)
-        sample = own.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id", "mark").limit(max(1, min(SAMPLE, SAMPLE_VALUES // d))).select("embedding").collect()
-        index = fit_index(np.array([r[0] for r in sample], dtype=np.float64), n, share)
-        found = settle(_search(own, own_asks, index, index.probes, k, True))
+        if not own_asks.take(1):
+            continue
+        want = max(1, min(SAMPLE_PER_LIST * round(math.sqrt(n)) + 64, SAMPLE_PER_LIST * LISTS, SAMPLE_VALUES // d))
+        turn = F.xxhash64(F.lit(SEED), "vec_id", "mark")
+        drawn = own.where(F.pmod(turn, F.lit(n)) < 2 * want + 64).orderBy(turn, "vec_id", "mark").limit(want).select("embedding").collect()
+        if not drawn:  # copies of few rows may all miss the draw
+            drawn = own.limit(want).select("embedding").collect()
+        index = fit_index(np.array([r[0] for r in drawn], dtype=np.float64), n)
+        probes = calibrate(own, own_asks, index, k, recall)
+        found = settle(_search(own, own_asks, index, probes, k, True))
         counts = found.groupBy("query_id", "mark").agg(F.count(F.lit(1)).alias("n"))
         short = own_asks.join(
             counts.where(F.col("n") >= k), (F.col("vec_id") == F.col("query_id")) & (own_asks["mark"] == counts["mark"]), "left_anti"
