@@ -53,6 +53,8 @@ PLAIN, OUTSIDE, MARKED, HINTED = 0, 1, 2, 3
 BARS = (0.35, 0.85, 0.985, 0.7)
 #: Pages, and share of a place's pages, on which an unimportant branch is seen at least.
 MIN_PAGES, MIN_SHARE = 4, 0.02
+#: Feature of a marked branch that stands for the branch itself.
+WHOLE = 0
 #: Counted bytes of all hosts' lists up to which they are broadcast.
 BROADCAST_BYTES = 64 << 20
 
@@ -105,12 +107,13 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Page:
     """Elements of a page in order: parent, tag, label (tag with classes), noise; and its text blocks."""
 
-    __slots__ = ("parent", "tag", "label", "noise", "hinted", "inside", "blocks", "when", "links", "homes")
+    __slots__ = ("parent", "tag", "label", "noise", "hinted", "inside", "blocks", "when", "links", "homes", "_known")
 
     def __init__(self, source: str):
         self.parent, self.tag, self.label = [-1], ["#"], ["#"]
         self.noise, self.hinted, self.inside = [False], [False], [""]
         self.blocks: list[tuple[int, str]] = []
+        self._known: dict = {}
         self.when: list[int] = []  # elements opened before each block
         self.links: list[tuple[int, str]] = []
         self._read(source)
@@ -248,6 +251,11 @@ class Page:
 
     def judged(self) -> list[tuple[int, int, int, int, int, int]]:
         """Elements that the style tree judges: (element, place, presentation, content, children, kind)."""
+        if "judged" not in self._known:
+            self._known["judged"] = self._judged()
+        return self._known["judged"]
+
+    def _judged(self) -> list[tuple[int, int, int, int, int, int]]:
         kept = self.kept()
         said = self._contents()
         kids: list[list[int]] = [[] for _ in self.tag]
@@ -267,10 +275,11 @@ class Page:
 
     def places(self) -> list[int]:
         """Hash of the chain of labels down to each element."""
-        place = [0] * len(self.tag)
-        for n in range(1, len(self.tag)):
-            place[n] = xxhash.xxh64_intdigest(f"{place[self.parent[n]]}>{self.label[n]}")
-        return place
+        if "places" not in self._known:
+            place = self._known["places"] = [0] * len(self.tag)
+            for n in range(1, len(self.tag)):
+                place[n] = xxhash.xxh64_intdigest(f"{place[self.parent[n]]}>{self.label[n]}")
+        return self._known["places"]
 
     def _contents(self) -> list[int | None]:
         """Hash of what is below each element, from those of its children; None without text."""
@@ -324,9 +333,9 @@ class Page:
 
     def removed(self, found: set[int]) -> int:
         """Branches that the tree itself removes: marked places and repeated branches."""
-        place = self.places()
-        top = [n for n, _ in self.marked_tops()]
-        return sum(~_signed(place[n]) in found for n in top) + sum(branch_key(p, c, k) in found for _, p, _, c, _, k in self.judged() if k != MARKED)
+        place, top = self.places(), self._tops()
+        tops = {top[n] for n, _ in self.blocks if top[n]}
+        return sum(~_signed(place[n]) in found for n in tops) + sum(branch_key(p, c, k) in found for _, p, _, c, _, k in self.judged() if k != MARKED)
 
     def text(self, found: set[int] | None = None, marks: bool = True) -> str:
         """The article's blocks, by the prior and what the tree ``found``: unimportant branches
@@ -391,7 +400,8 @@ def style_rows(pages: DataFrame) -> DataFrame:
 
 
 def feature_rows(pages: DataFrame) -> DataFrame:
-    """(host, place, feature, page): the features of each marked branch, once a page each."""
+    """(host, place, feature, page): the features of each marked branch, once a page each, and
+    WHOLE, a feature that every such branch has."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
@@ -399,7 +409,7 @@ def feature_rows(pages: DataFrame) -> DataFrame:
             if host and source:
                 page = Page(source)
                 own = _signed(xxhash.xxh64_intdigest(page.text() or source))
-                out.extend({(host, place, f, own) for place, names in page.marked() for f in names})
+                out.extend({(host, place, f, own) for place, names in page.marked() for f in (*names, WHOLE)})
         cols = list(zip(*out)) if out else [()] * 4
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "place", "feature", "page"])
@@ -410,12 +420,13 @@ def feature_rows(pages: DataFrame) -> DataFrame:
 def marked_places(features: DataFrame, places: DataFrame) -> DataFrame:
     """(host, place, m, importance) of the marked places that the tree judges: their presentations'
     importance, and the mean importance of their features over the pages that have the place."""
-    seen = features.distinct()
-    k = seen.groupBy("host", "place", "feature").agg(F.count(F.lit(1)).alias("k"))
-    told = k.groupBy("host", "place").agg(F.count(F.lit(1)).alias("n"), F.sum(F.log("k")).alias("logk"))
+    k = features.distinct().groupBy("host", "place", "feature").agg(F.count(F.lit(1)).alias("k"))
+    own = F.col("feature") != WHOLE
     # a copy of a page may differ outside its article: it has its features, but is no page of its own
-    copies = seen.select("host", "place", "page").distinct().groupBy("host", "place").agg(F.count(F.lit(1)).alias("m"))
-    met = told.join(copies.where(F.col("m") >= MIN_PAGES), ["host", "place"]).join(places.select("host", "place", "kids", "shown"), ["host", "place"])
+    told = k.groupBy("host", "place").agg(
+        F.max(F.when(~own, F.col("k"))).alias("m"), F.count_if(own).alias("n"), F.sum(F.when(own, F.log("k"))).alias("logk")
+    )
+    met = told.where(F.col("m") >= MIN_PAGES).join(places.select("host", "place", "kids", "shown"), ["host", "place"])
     fade = F.pow(F.lit(GAMMA), F.col("kids"))
     mean = 1 - F.col("logk") / (F.col("n") * F.log("m"))
     return met.select("host", "place", "m", ((1 - fade) * F.col("shown") + fade * mean).alias("importance"))
