@@ -5,12 +5,13 @@ Targets: the words of all sources are shared out by weight; a source stops at
 until none is above (water filling).
 
 Copies: a source whose target is r times its words takes every document
-floor(r) times for certain.  The rest is a sample with inclusion probability
-p = r - floor(r).  Pareto order sampling ranks documents by the random odds
-u / (1 - u) divided by their inclusion odds p / (1 - p), smallest first, and
-takes ranks until the rest of the target is filled: a sample of fixed size
-in words, with probabilities that differ between sources.  u is a hash of the id, so
-reruns, retries and any partitioning agree.
+floor(r) times for certain.  The rest is a sample of unequal probabilities: a document's
+weight is that of its length's class (LENGTH_WEIGHTS: below half of the source's mean
+length, about it, above twice of it), inclusion probabilities are in proportion to the weights and add up
+to the rest in words, and a class that would exceed one is taken for certain.  Pareto order
+sampling ranks documents by the random odds u / (1 - u) divided by their inclusion odds
+p / (1 - p), smallest first, and takes ranks until the rest is filled: a sample of fixed size
+in words.  u is a hash of the id and the text, so reruns, retries and any partitioning agree.
 
 The rank cut needs no sort of a source: sizes are summed over equal ranges of the
 ranking variable, then over finer ranges of the one where the target is met, and only
@@ -32,6 +33,8 @@ from tabforge.llm.common import WORD_PATTERN, free_name, settle
 WEIGHTS = (5, 2, 1)
 #: Times its words that a source or document may be taken, at most.
 MAX_REPEAT = 3
+#: Weights of short, middling and long documents within their source, ascending.
+LENGTH_WEIGHTS = (1.0, 1.5, 2.0)
 SEED = 29
 #: Ranges of the ranking variable whose sizes are summed, in two steps of its square root.
 RANGES = 1 << 16
@@ -86,6 +89,26 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat
     return weighted.select("source", "source_size", F.least(limit, share).alias("target"))
 
 
+def _probabilities(words: DataFrame) -> DataFrame:
+    """The plan of each source from its words by class: certain copies, inclusion probabilities
+    _mix_p0 to _mix_p2 of the classes, and the words left to the sample.
+
+    Probabilities are a common factor times the weights.  Long documents reach one first; they are
+    then certain, and the factor of the others is found anew, and once more for middling ones."""
+    g0, g1, g2 = (F.lit(float(g)) for g in LENGTH_WEIGHTS)
+    z0, z1, z2, rest = (F.col(f"_mix_{c}") for c in ("z0", "z1", "z2", "all"))
+    some = lambda c: F.when(c.isNull() | (c < 0), 0.0).otherwise(F.least(c, F.lit(1.0)))
+    sure = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    out = words.withColumn("_mix_sure", sure)
+    out = out.withColumn("_mix_all", F.greatest(F.col("target") - F.col("_mix_sure") * F.col("source_size"), F.lit(0.0)))
+    every = F.try_divide(rest, z0 * g0 + z1 * g1 + z2 * g2)
+    lower = F.when(every * g2 < 1, every).otherwise(F.try_divide(rest - z2, z0 * g0 + z1 * g1))
+    least = F.when(lower * g1 < 1, lower).otherwise(F.try_divide(rest - z2 - z1, z0 * g0))
+    out = out.withColumns({"_mix_p2": some(every * g2), "_mix_p1": some(lower * g1), "_mix_p0": some(least * g0)})
+    certain = sum((F.when(F.col(f"_mix_p{c}") >= 1, F.col(f"_mix_z{c}")).otherwise(0.0) for c in range(3)), F.lit(0.0))
+    return out.withColumn("_mix_rest", F.greatest(rest - certain, F.lit(0.0))).drop("_mix_z0", "_mix_z1", "_mix_z2", "_mix_all")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -105,30 +128,34 @@ def mix(
     aside = {c: free_name(docs, f"own{c}") for c in own if c.lower().startswith("_mix")}
     docs = docs.withColumnsRenamed(aside)
     sized = docs.withColumn("size", words_in(F.col("text")))
-    u = uniform(key_text(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed=seed, salt="mix"))
+    text_print = F.coalesce(F.md5(F.col("text")), F.lit(""))
+    u = uniform(key_text(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_print, seed=seed, salt="mix"))
     lean = settle(sized.select("source", "doc_id", "size", u.alias("_mix_u"), F.xxhash64("text").alias("_mix_h")))
-    per_source = lean.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goal = settle(targets(per_source, weights, max_repeat))
+    per_source = settle(lean.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")))
+    goal = settle(targets(per_source.select("source", "source_size"), weights, max_repeat))
     n_sources = goal.agg(F.count(F.lit(1)), F.sum(F.length("source"))).first()
-    small = 64 * n_sources[0] + 2 * (n_sources[1] or 0) <= BROADCAST_BYTES
-    plan = goal.select(
-        F.col("source").alias("_mix_source"),
-        "source_size",
-        "target",
-        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("_mix_sure"),
-    )
-    plan = plan.withColumn("_mix_rest", F.greatest(F.col("target") - F.col("_mix_sure") * F.col("source_size"), F.lit(0.0)))
-    plan = plan.withColumn("_mix_p", F.when(F.col("source_size") > 0, F.col("_mix_rest") / F.col("source_size")).otherwise(0.0))
+    small = 96 * n_sources[0] + 2 * (n_sources[1] or 0) <= BROADCAST_BYTES
 
     def by_source(rows: DataFrame, table: DataFrame) -> DataFrame:
         on = rows["source"].eqNullSafe(table["_mix_source"])
         return rows.join(F.broadcast(table) if small else table, on)
 
-    # ranking variable: random odds over inclusion odds, brought to [0, 1) as q / (1 + q)
-    odds = (F.col("_mix_u") / (1 - F.col("_mix_u"))) * ((1 - F.col("_mix_p")) / F.col("_mix_p"))
-    rank = F.when(F.col("_mix_p") > 0, odds / (1 + odds))
-    ranked = by_source(lean, plan).where(F.col("_mix_p") > 0).withColumn("_mix_q", rank)
-    ranked = ranked.withColumn("_mix_range", F.floor(F.col("_mix_q") * ranges).cast("int"))
+    goal = goal.withColumnRenamed("source", "_mix_source")
+    goal = settle(by_source(per_source.select("source", "n"), goal).select("_mix_source", "source_size", "target", (F.col("source_size") / F.col("n")).alias("_mix_mean")))
+    of_class = F.when(F.col("size") * 2 < F.col("_mix_mean"), 0).when(F.col("size") > F.col("_mix_mean") * 2, 2).otherwise(1)
+    words = by_source(lean, goal).withColumn("_mix_class", of_class).groupBy("_mix_source", "source_size", "target", "_mix_mean")
+    words = words.agg(*[F.coalesce(F.sum(F.when(F.col("_mix_class") == c, F.col("size"))), F.lit(0)).cast("double").alias(f"_mix_z{c}") for c in range(3)])
+    plan = settle(_probabilities(words))
+    rank_p = F.when(F.col("_mix_class") == 0, F.col("_mix_p0")).when(F.col("_mix_class") == 2, F.col("_mix_p2")).otherwise(F.col("_mix_p1"))
+
+    def with_rank(rows: DataFrame) -> DataFrame:
+        # ranking variable: random odds over inclusion odds, brought to [0, 1) as q / (1 + q)
+        rows = rows.withColumn("_mix_class", of_class).withColumn("_mix_p", rank_p)
+        odds = (F.col("_mix_u") / (1 - F.col("_mix_u"))) * ((1 - F.col("_mix_p")) / F.col("_mix_p"))
+        rows = rows.withColumn("_mix_q", F.when((F.col("_mix_p") > 0) & (F.col("_mix_p") < 1), odds / (1 + odds)))
+        return rows.withColumn("_mix_range", F.floor(F.col("_mix_q") * ranges).cast("int"))
+
+    ranked = with_rank(by_source(lean, plan)).where(F.col("_mix_q").isNotNull())
     ranked = ranked.select("_mix_source", "_mix_rest", "_mix_range", "_mix_q", "doc_id", "size", "_mix_h")
     step = max(1, math.isqrt(ranges))
 
@@ -156,12 +183,11 @@ def mix(
     cut = settle(
         plan.join(met, plan["_mix_source"].eqNullSafe(met["_s"]), "left")
         .join(last.withColumnRenamed("_mix_source", "_s2"), F.col("_mix_source").eqNullSafe(F.col("_s2")), "left")
-        .select("_mix_source", "source_size", "target", "_mix_sure", "_mix_p", "_mix_r", "_mix_last")
+        .drop("_s", "_s2", "_mix_before")
     )
-    out = by_source(sized.withColumn("_mix_u", u).withColumn("_mix_h", F.xxhash64("text")), cut)
-    out = out.withColumn("_mix_q", rank).withColumn("_mix_range", F.floor(F.col("_mix_q") * ranges).cast("int"))
+    out = with_rank(by_source(sized.withColumn("_mix_u", u).withColumn("_mix_h", F.xxhash64("text")), cut))
     at_cut = F.struct("_mix_q", "doc_id", "_mix_h") <= F.col("_mix_last")
-    more = F.when(F.col("_mix_p") <= 0, False).when(F.col("_mix_r").isNull(), True)
+    more = F.when(F.col("_mix_p") >= 1, True).when(F.col("_mix_p") <= 0, False).when(F.col("_mix_r").isNull(), F.col("_mix_rest") > 0)
     more = more.when(F.col("_mix_range") < F.col("_mix_r"), True).otherwise((F.col("_mix_range") == F.col("_mix_r")) & F.coalesce(at_cut, F.lit(False)))
     out = out.withColumn("copies", (F.col("_mix_sure") + F.coalesce(more, F.lit(False)).cast("int")).cast("long"))
     out = out.withColumn("taken", F.col("copies") * F.col("size"))

@@ -56,10 +56,10 @@ def op1_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     WITH RECURSIVE d AS (
         SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-               (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|mix|29'), 1, 13))::BIGINT)::DOUBLE / 4503599627370496.0 AS u
+               (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(md5(text), '') || '|mix|29'), 1, 13))::BIGINT)::DOUBLE / 4503599627370496.0 AS u
         FROM documents),
-    s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
-    w AS (SELECT source, source_size, 3.0::DOUBLE * source_size AS lim,
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM d GROUP BY source),
+    w AS (SELECT source, source_size, n, 3.0::DOUBLE * source_size AS lim,
                  [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT] AS weight
           FROM s),
     lv(k, level) AS (
@@ -68,15 +68,26 @@ def op1_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT k + 1, (SELECT ((SELECT sum(source_size) FROM w)::DOUBLE - coalesce(sum(w.lim) FILTER (w.lim <= w.weight * lv.level), 0.0))
                               / sum(w.weight) FILTER (w.lim > w.weight * lv.level) FROM w)
         FROM lv WHERE k < 60 AND level IS NOT NULL),
-    t AS (SELECT source, source_size, least(lim, weight * (SELECT max(level) FROM lv)) AS target FROM w),
-    p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS sure FROM t),
-    r AS (SELECT *, greatest(target - sure * source_size, 0.0) AS rest FROM p),
-    q AS (SELECT *, CASE WHEN source_size > 0 THEN rest / source_size ELSE 0 END AS pr FROM r),
-    o AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.sure, q.rest, q.pr,
-                 sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto
-          FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+    t AS (SELECT source, source_size, source_size::DOUBLE / n AS mean, least(lim, weight * (SELECT max(level) FROM lv)) AS target FROM w),
+    e AS (SELECT d.*, source_size, target, CASE WHEN size * 2 < mean THEN 0 WHEN size > mean * 2 THEN 2 ELSE 1 END AS class
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    z AS (SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS sure,
+                 coalesce(sum(size) FILTER (class = 0), 0)::DOUBLE AS z0, coalesce(sum(size) FILTER (class = 1), 0)::DOUBLE AS z1,
+                 coalesce(sum(size) FILTER (class = 2), 0)::DOUBLE AS z2 FROM e GROUP BY source, source_size, target),
+    r AS (SELECT *, greatest(target - sure * source_size, 0.0) AS rest FROM z),
+    f2 AS (SELECT *, rest / nullif(z0 + z1 * 1.5 + z2 * 2, 0) AS c2 FROM r),
+    f1 AS (SELECT *, CASE WHEN c2 * 2 < 1 THEN c2 ELSE (rest - z2) / nullif(z0 + z1 * 1.5, 0) END AS c1 FROM f2),
+    f0 AS (SELECT *, CASE WHEN c1 * 1.5 < 1 THEN c1 ELSE (rest - z2 - z1) / nullif(z0, 0) END AS c0 FROM f1),
+    p AS (SELECT *, coalesce(greatest(least(c0, 1), 0), 0) AS p0, coalesce(greatest(least(c1 * 1.5, 1), 0), 0) AS p1,
+                 coalesce(greatest(least(c2 * 2, 1), 0), 0) AS p2 FROM f0),
+    q AS (SELECT *, greatest(rest - CASE WHEN p0 >= 1 THEN z0 ELSE 0 END - CASE WHEN p1 >= 1 THEN z1 ELSE 0 END - CASE WHEN p2 >= 1 THEN z2 ELSE 0 END, 0) AS left_ FROM p),
+    h AS (SELECT e.doc_id, e.source, e.size, e.u, e.source_size, e.target, q.sure, q.left_, CASE class WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END AS pr
+          FROM e JOIN q ON e.source IS NOT DISTINCT FROM q.source),
+    o AS (SELECT *, sum(CASE WHEN pr > 0 AND pr < 1 THEN size ELSE 0 END) OVER (
+                        PARTITION BY source ORDER BY CASE WHEN pr > 0 AND pr < 1 THEN (u / (1 - u)) * ((1 - pr) / pr) END NULLS LAST, doc_id
+                        ROWS UNBOUNDED PRECEDING) AS upto FROM h)
     SELECT doc_id, size, source_size, target,
-           (size * (sure + CASE WHEN pr > 0 AND upto - size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
+           (size * (sure + CASE WHEN pr >= 1 OR (pr > 0 AND upto - size / 2.0 <= left_) THEN 1 ELSE 0 END))::BIGINT AS taken
     FROM o
     """,
 )

@@ -65,3 +65,41 @@ def test_license_positions_are_those_of_the_text():
     text = "İİİ İ said: Released under the MIT License. İ"
     ((name, start, end, *_),) = licenses.Scanner().scan(text)
     assert name == "MIT" and text[start:end] == "Released under the MIT License"
+
+
+def test_inclusion_follows_the_length_weights(spark):
+    """Over many seeds long documents are taken in proportion to their weights, sources meet their targets."""
+    from tabforge.llm import mixing
+
+    lengths = [4] * 60 + [20] * 60 + [70] * 20
+    rows = [(i, "w " * n, "en", s) for s in ("a", "b") for i, n in enumerate(lengths)]
+    docs = spark.createDataFrame(rows, DOC).cache()
+    total = sum(lengths)
+    taken = {k: 0 for k in (4, 20, 70)}
+    seeds = range(12)
+    for seed in seeds:
+        out = mixing.mix(docs, weights=(5.0, 1.0), max_repeat=1.6, seed=seed, ranges=64).select("source", "size", "taken", "copies", "target").collect()
+        for s in ("a", "b"):
+            part = [r for r in out if r.source == s]
+            assert abs(sum(r.taken for r in part) - part[0].target) <= 35 and max(r.copies for r in part) <= 2
+        for r in out:
+            if r.source == "b":
+                assert r.target == pytest.approx(0.4 * total)
+                taken[r["size"]] += r.copies
+    share = {n: taken[n] / (lengths.count(n) * len(seeds)) for n in taken}
+    # mean 20 words: 4 is short (weight 1), 20 middling (1.5), 70 long (2); a common factor fills 0.4 of all words
+    factor = 0.4 * total / sum(n * g * lengths.count(n) for n, g in ((4, 1.0), (20, 1.5), (70, 2.0)))
+    for n, g in ((4, 1.0), (20, 1.5), (70, 2.0)):
+        assert share[n] == pytest.approx(factor * g, abs=0.07)
+
+
+def test_certain_classes_and_shared_ids(spark):
+    from tabforge.llm import mixing
+
+    lengths = [4] * 30 + [20] * 30 + [70] * 10
+    rows = [(None if i % 2 else 1, "w " * n + f"x{i}", "en", "a") for i, n in enumerate(lengths)] + [(9, "y", "en", "b")]
+    out = mixing.mix(spark.createDataFrame(rows, DOC), weights=(0.95, 10.0), max_repeat=1.0, ranges=16).collect()
+    part = [r for r in out if r.source == "a"]
+    long = [r for r in part if r["size"] > 60]
+    assert len(out) == 71 and abs(sum(r.taken for r in part) - part[0].target) <= 36
+    assert all(r.copies == 1 for r in long)  # nearly all words are wanted: the long ones are certain
