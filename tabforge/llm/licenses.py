@@ -33,7 +33,7 @@ MIN_COVERAGE = 0.8
 LCS_CELLS = 10_000
 _WORD = re.compile(r"\w+")
 
-#: Public license notices and headers.
+#: Public license notices, headers and whole texts.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -56,6 +56,37 @@ TEMPLATES = (
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
             "following conditions are met:"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR
+ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS
+ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("BSD", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
 )
 
 
@@ -187,6 +218,21 @@ class Scanner:
                     heapq.heappush(work, (low - high, low, high))
         return None
 
+    def widen(self, words: list[str], a: int, b: int, start: int, match: tuple[int, int, int], tmpl: list[str], need: int) -> tuple[int, int, int]:
+        """The match with all of the notice: a seed that the template has several times may have opened
+        a window that ends within it, so it is aligned again with room for the words not yet matched."""
+        while True:
+            k, first, last = match
+            room = math.ceil((len(tmpl) - k) / self.coverage) + 1
+            low, high = max(start, first - room), min(len(words), last + 1 + room)
+            if k == len(tmpl) or (low >= a and high <= b):
+                return match
+            a, b = low, high
+            again = self.align(words, a, b, tmpl, need)
+            if again is None or again[0] <= k:
+                return match
+            match = again
+
     def scan(self, text: str | None) -> list[tuple[str, int, int, int, int, float]]:
         """(license, start, end, matched words, template words, coverage) in text order; offsets
         are code points of the text.  Of matches that overlap, the one with more
@@ -216,7 +262,7 @@ class Scanner:
                     continue
                 match = self.align(words, max(a, done), b, tmpl, need)
                 if match:
-                    k, first, last = match
+                    k, first, last = self.widen(words, max(a, done), b, max(0, done), match, tmpl, need)
                     found.append((k, k / n, rank, first, last, name, n))
                     done = last + 1
         found.sort(key=lambda f: (-f[0], -f[1], f[2], f[3]))
