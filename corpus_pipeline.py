@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabforge.llm import langid, mixing, simhash, spdropout, toxicity
 from tabforge.llm.common import free_name
-from tabforge.session import scratch_path
+from tabforge.session import remove_scratch, scratch_path
 
 
 #: Rows of an Arrow batch in the stages' Python tasks, unless the session says otherwise.
@@ -87,7 +87,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
+    """All stages over ``documents``; each result is written and read again, and removed when the
+    next one is written.  What the last stage reads stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     place = scratch_path(spark, f"corpus-{uuid.uuid4().hex}")
     for k, (_, stage) in enumerate(STAGES):
@@ -96,4 +97,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return out
         out.write.parquet(f"{place}/{k}")
         docs = spark.read.schema(out.schema).parquet(f"{place}/{k}")
+        if k:
+            remove_scratch(spark, f"{place}/{k - 1}")
     raise AssertionError("no stages")

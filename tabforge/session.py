@@ -110,6 +110,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of this package that no later read needs, on whatever file system it is."""
+    if not path.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not under the checkpoint folder")
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def prepare_session(spark: SparkSession) -> None:
     """Settings the operators rely on, applied to an existing session: UTC
     session time zone (window bounds, epoch arithmetic) and a checkpoint

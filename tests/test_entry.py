@@ -29,3 +29,20 @@ def test_every_sql_sum_of_whole_numbers_is_cast():
 
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_scratch_folders_can_be_removed(spark):
+    import os
+    import uuid
+
+    import pytest
+
+    from tabforge.session import remove_scratch, scratch_path
+
+    path = scratch_path(spark, f"gone/{uuid.uuid4().hex}")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path.replace("file:", ""))
+    remove_scratch(spark, path)
+    assert not os.path.exists(path.replace("file:", ""))
+    with pytest.raises(ValueError):
+        remove_scratch(spark, "/tmp/else")
