@@ -4,7 +4,7 @@ A listed entry is a host and a path start; its canonical key is the two written
 together (``example.net/en/``).  It fits a URL if the URL's host is the entry's
 host or a subdomain of it and the URL's path starts with the entry's path.  The
 keys that can fit a URL are its host's suffixes at label borders, each with the
-path's starts of the lengths that the list has.
+path's starts of the lengths that the list has for that suffix.
 
 The Bloom filter is a table of 256-bit blocks (eight words of 32 bits): a key's
 hash picks one block and one bit in each of its words.  Keys of distinct URLs are
@@ -71,17 +71,18 @@ def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
     return made.groupBy("block").agg(*[F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS)])
 
 
-def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Array of the keys that could fit: host suffixes times path starts of the given lengths."""
-    labels = F.split(host, r"\.")
+def candidate_keys(places: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, path, key): of each of ``places`` (host, path) the keys that could fit: its host's
+    suffixes at label borders that are listed, each with the path's starts of the lengths that
+    the suffix has in the list (``hosts``: suffix, lengths)."""
+    labels = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
-    starts = F.filter(
-        F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda s: s.isNotNull()
-    )
-    keys = F.flatten(F.transform(suffixes, lambda h: F.transform(starts, lambda p: F.concat(h, p))))
-    return F.when(host != "", F.array_distinct(keys)).otherwise(F.array().cast("array<string>"))
+    met = places.withColumn("suffix", F.explode(F.array_distinct(suffixes))).join(hosts, "suffix")
+    short = F.filter("lengths", lambda n: n <= F.length("path"))
+    met = met.withColumn("n", F.explode(short))
+    return met.select("host", "path", F.concat("suffix", F.substring("path", F.lit(1), F.col("n"))).alias("key")).distinct()
 
 
 def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", url: str = "url") -> DataFrame:
@@ -104,7 +105,6 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", url: str
         .groupBy("key", F.length("_h").alias("host_length"), F.length("_p").alias("path_length"))
         .agg(F.min("verdict").alias("rule_verdict"))
     )
-    lengths = sorted(r[0] for r in entries.select("path_length").distinct().collect())  # at most as many as a path is long
     n, chars = entries.agg(F.count(F.lit(1)), F.sum(F.length("key"))).first()
     blocks = max(1, math.ceil(n * BITS_PER_KEY / 256))
     judged = pages.withColumn("host", host).withColumn("path", path)
@@ -112,14 +112,17 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", url: str
         return judged.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(default))
     # the verdict depends on host and path alone: each distinct pair is looked up once
     places = judged.select("host", "path").where("host <> ''").distinct()
-    wanted = places.withColumn("key", F.explode(candidate_keys(F.col("host"), F.col("path"), lengths)))
+    listed_hosts = entries.groupBy(F.substring("key", F.lit(1), F.col("host_length")).alias("suffix"))
+    listed_hosts = listed_hosts.agg(F.collect_set("path_length").alias("lengths"))  # as many numbers as a path is long
+    exact_bytes = 2 * chars + 64 * n
+    wanted = candidate_keys(places, F.broadcast(listed_hosts) if exact_bytes <= BROADCAST_BYTES else listed_hosts)
     wanted = wanted.withColumn("block", _block(F.col("key"), blocks))
     filter_table = bloom_blocks(entries.select("key"), blocks)
     filter_table = F.broadcast(filter_table) if blocks * 96 <= BROADCAST_BYTES else filter_table
     possible = wanted.join(filter_table, "block")
     for k, bit in enumerate(_bits(F.col("key"))):
         possible = possible.where(F.col(f"w{k}").bitwiseAND(bit) != 0)
-    exact = F.broadcast(entries) if 2 * chars + 64 * n <= BROADCAST_BYTES else entries
+    exact = F.broadcast(entries) if exact_bytes <= BROADCAST_BYTES else entries
     hits = possible.select("host", "path", "key").join(exact, "key")
     # an entry's text splits into host and path in one way for a given host: the one that fits it
     hits = hits.where(

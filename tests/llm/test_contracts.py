@@ -103,3 +103,22 @@ def test_certain_classes_and_shared_ids(spark):
     long = [r for r in part if r["size"] > 60]
     assert len(out) == 71 and abs(sum(r.taken for r in part) - part[0].target) <= 36
     assert all(r.copies == 1 for r in long)  # nearly all words are wanted: the long ones are certain
+
+
+def test_a_long_list_of_whole_urls(spark):
+    """3,000 listed URLs of hundreds of lengths: a page makes as many keys as its host has lengths."""
+    import random
+
+    rng = random.Random(5)
+    listed = [(f"h{i % 50}.example", "/" + "p" * rng.randrange(400) + str(i), rng.choice(["block", "allow"])) for i in range(3000)]
+    rules = spark.createDataFrame(listed, "host string, path string, verdict string")
+    urls = [(k, f"http://{rng.choice(['', 'www.'])}{h}{p}{rng.choice(['', '/x', '?q'])}") for k, (h, p, _) in enumerate(rng.sample(listed, 300))]
+    urls += [(1000 + k, f"http://h{k}.example/pp") for k in range(60)]
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge(spark.createDataFrame(urls, "page_id int, url string"), rules).collect()}
+    for k, url in urls:
+        host, path = re.match(r"http://([^/]*)([^?]*)", url).groups()
+        fits = [(h + p, v) for h, p, v in listed if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert got[k] == (max(fits, key=lambda f: len(f[0])) if fits else (None, "allow")), url
+    hosts = spark.createDataFrame([("h1.example", [3, 400])], "suffix string, lengths array<int>")
+    places = spark.createDataFrame([("www.h1.example", "/pppp"), ("h2.example", "/pppp"), ("", "/x")], "host string, path string")
+    assert [r.key for r in urlfilter.candidate_keys(places, hosts).collect()] == ["h1.example/pp"]
