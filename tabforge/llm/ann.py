@@ -9,7 +9,8 @@ candidates lie in column blocks of BLOCK_DIMS rotated dimensions and are scanned
 block by block: after d of D dimensions the partial squared distance, scaled by
 D/d, estimates the whole one, and a candidate is abandoned when the estimate
 exceeds the query's current k-th distance by more than the hypothesis test at
-EPSILON allows.  Survivors get the exact cosine of the original vectors.
+EPSILON allows.  Survivors get the exact cosine of the original vectors.  The lists nearest to a
+query come first; the k-th distance in them is where it starts in all others.
 
 A list's rows are dealt into blocks of bounded size, and queries stream past them: a
 candidate travels once for up to ASKS queries of its list, so a list with a third of all
@@ -44,7 +45,9 @@ BLOCK_DIMS = 16
 #: Width of the hypothesis test, in units of 1 / sqrt(dimensions read).
 EPSILON = 2.1
 #: Rows of a block, queries that one copy of it serves, both about; queries looked at together, candidates scanned at once.
-CANDIDATES, ASKS, TOGETHER, STEP = 4096, 1 << 16, 512, 1024
+CANDIDATES, ASKS, TOGETHER, STEP = 4096, 1 << 16, 64, 1024
+#: Lists of the first wave.
+FIRST = 4
 SEED = 99
 
 
@@ -97,50 +100,54 @@ class Block:
         self.columns = [np.ascontiguousarray(turned[:, a:b]) for a, b in zip(self.cuts[:-1], self.cuts[1:])]
         self.test = [(b / self.dim) * (1 + EPSILON / math.sqrt(b)) ** 2 if b < self.dim else 1.0 for b in self.cuts[1:]]
 
-    def scan(self, q: np.ndarray, qids: np.ndarray, k: int, adaptive: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query row, id, cosine): up to k candidates for each query of ``q``."""
+    def scan(
+        self, q: np.ndarray, qids: np.ndarray, k: int, adaptive: bool = True, bound: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, id, cosine): up to k candidates for each query of ``q``, best first.  ``bound``:
+        squared distances (of unit vectors) beyond which a query wants none."""
         q = scaled(q)
         norm_q = np.sqrt((q * q).sum(axis=1))
-        turned_q = (q / norm_q[:, None]) @ self.rotation
-        out: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]]
-        for j in range(len(q)):
-            best_at, best_d = np.zeros(0, dtype=np.int64), np.zeros(0)
-            worst = np.inf
-            a = 0
-            while a < len(self.x):
-                b = min(len(self.x), a + (STEP if np.isfinite(worst) else 32))
-                live = np.arange(a, b)
-                live = live[self.ids[a:b] != qids[j]]
-                part = np.zeros(len(live))
-                for column, lo, hi, factor in zip(self.columns, self.cuts[:-1], self.cuts[1:], self.test):
-                    rows = column[live[0] : live[-1] + 1] if len(live) and live[-1] - live[0] + 1 == len(live) else column[live]
-                    gap = rows - turned_q[j, lo:hi]
-                    part = part + np.einsum("ij,ij->i", gap, gap)
-                    if adaptive and np.isfinite(worst):
-                        stay = part <= worst * factor + 1e-12
-                        live, part = live[stay], part[stay]
-                best_at, best_d = np.concatenate([best_at, live]), np.concatenate([best_d, part])
-                if len(best_at) > k:
-                    worst = np.partition(best_d, k - 1)[k - 1]
-                    stay = best_d <= worst + 1e-9  # ties stay until the exact cosine decides
-                    best_at, best_d = best_at[stay], best_d[stay]
-                    if len(best_at) > 4 * k + 64:  # very many ties: the exact order now, smaller ids first
-                        stay = self._nearest(q[j], norm_q[j], best_at, k)[0]
-                        best_at, best_d = best_at[stay], best_d[stay]
-                elif len(best_at) == k:
-                    worst = best_d.max()
-                a = b
-            if len(best_at):
-                pick, cos = self._nearest(q[j], norm_q[j], best_at, k)
-                for o, v in zip(out, (np.full(len(pick), j), self.ids[best_at[pick]], cos)):
-                    o.append(v)
-        return tuple(np.concatenate(o) for o in out)
-
-    def _nearest(self, q: np.ndarray, norm_q: float, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``at`` of the k largest exact cosines (ties to smaller ids), and the cosines."""
-        cos = (self.x[at] * q).sum(axis=1) / (self.norm[at] * norm_q)
-        pick = np.lexsort((self.ids[at], -cos))[:k]
-        return pick, cos[pick]
+        turned = (q / norm_q[:, None]) @ self.rotation
+        worst = np.full(len(q), np.inf) if bound is None else bound.copy()
+        best = np.full((len(q), k), np.inf)
+        hits: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]]
+        lead, width = self.columns[0], self.cuts[1]
+        lead_size, q_size = (lead * lead).sum(axis=1), (turned[:, :width] ** 2).sum(axis=1)
+        a = 0
+        while a < len(self.x):
+            b = min(len(self.x), a + (STEP if np.isfinite(worst).all() else 32))
+            part = q_size[:, None] + lead_size[None, a:b] - 2 * (turned[:, :width] @ lead[a:b].T)
+            part[self.ids[a:b][None, :] == qids[:, None]] = np.inf
+            limit = worst * self.test[0] + 1e-9 if adaptive else np.full(len(q), np.inf)
+            i, j = np.nonzero((part <= limit[:, None]) & np.isfinite(part))
+            d, j = part[i, j], j + a
+            for column, lo, hi, factor in zip(self.columns[1:], self.cuts[1:-1], self.cuts[2:], self.test[1:]):
+                gap = column[j] - turned[i, lo:hi]
+                d = d + np.einsum("ij,ij->i", gap, gap)
+                if adaptive:
+                    stay = d <= worst[i] * factor + 1e-9
+                    i, j, d = i[stay], j[stay], d[stay]
+            for hit, found in zip(hits, (i, j, d)):
+                hit.append(found)
+            order = np.lexsort((d, i))
+            place = np.arange(len(i)) - np.searchsorted(i[order], i[order])
+            few = place < k
+            new = np.full((len(q), k), np.inf)
+            new[i[order][few], place[few]] = d[order][few]
+            best = np.sort(np.concatenate([best, new], axis=1), axis=1)[:, :k]
+            worst = np.minimum(worst, best[:, k - 1])
+            a = b
+        i, j, d = (np.concatenate(h) for h in hits)
+        stay = d <= worst[i] + 1e-9  # ties stay until the exact cosine decides
+        i, j = i[stay], j[stay]
+        cos = np.empty(len(i))
+        for a in range(0, len(i), 1 << 15):
+            part = slice(a, a + (1 << 15))
+            cos[part] = (self.x[j[part]] * q[i[part]]).sum(axis=1) / (self.norm[j[part]] * norm_q[i[part]])
+        order = np.lexsort((self.ids[j], -cos, i))
+        i, j, cos = i[order], j[order], cos[order]
+        few = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return i[few], self.ids[j[few]], cos[few]
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], rotation: np.ndarray, k: int, adaptive: bool) -> Iterator[pa.RecordBatch]:
@@ -150,7 +157,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], rotation: np.ndarray, k: int, ada
     block: Block | None = None
     for batch in batches:
         keys = np.stack([batch.column(c).to_numpy() for c in ("list", "block", "turn", "asks")], axis=1)
-        ids, marks = batch.column("vec_id").to_numpy(), batch.column("mark").to_numpy()
+        ids, marks, bounds = (batch.column(c).to_numpy() for c in ("vec_id", "mark", "bound"))
         cut = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
         for a, b in zip([0, *cut], [*cut, len(keys)]):
             if a == b:
@@ -166,29 +173,28 @@ def _blocks(batches: Iterable[pa.RecordBatch], rotation: np.ndarray, k: int, ada
                 if held:
                     block, held = Block(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), rotation), []
                 if block is not None:
-                    row, near, cos = block.scan(x, ids[part], k, adaptive)
+                    row, near, cos = block.scan(x, ids[part], k, adaptive, bounds[part])
                     cols = ids[part][row], marks[part][row], near, cos
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in cols], names=["query_id", "mark", "vec_id", "score"])
 
 
-def _listed(vectors: DataFrame, index: Index, probes: int, role: int) -> DataFrame:
-    """Rows with their list (role 0), or once for each probed list (role 1)."""
+def _listed(vectors: DataFrame, index: Index, role: int, start: int = 0, stop: int = 1) -> DataFrame:
+    """Rows with their list (role 0), or once for each list at places start to stop of their order (role 1)."""
     step = max(1, min(2000, (4 << 20) // len(index.centroids)))
+    cols = ["vec_id", "mark", "embedding", "bound"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, whole.num_rows, step):
                 batch = whole.slice(a, step)
                 unit = unit_rows(matrix(batch.column("embedding")))
-                lists = index.order(unit)[:, :probes] if role else index.lists_of(unit)[:, None]
+                lists = index.order(unit)[:, start:stop] if role else index.lists_of(unit)[:, None]
                 out = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), lists.shape[1])))
-                cols = [*out.columns, pa.array(lists.ravel().astype(np.int32)), pa.array(np.full(out.num_rows, role, dtype=np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "mark", "embedding", "list", "asks"])
+                made = [pa.array(lists.ravel().astype(np.int32)), pa.array(np.full(out.num_rows, role, dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays([*out.columns, *made], names=[*cols, "list", "asks"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    return vectors.select("vec_id", "mark", "embedding").mapInArrow(
-        run, f"vec_id long, mark long, embedding {kind}, list int, asks int"
-    )
+    return vectors.select(*cols).mapInArrow(run, f"vec_id long, mark long, embedding {kind}, bound double, list int, asks int")
 
 
 def calibrate(vectors: DataFrame, queries: DataFrame, index: Index, k: int, share: float = RECALL) -> int:
@@ -225,9 +231,15 @@ def calibrate(vectors: DataFrame, queries: DataFrame, index: Index, k: int, shar
     return int(ranks[min(len(ranks) - 1, math.ceil(share * len(ranks)) - 1)]) + 1
 
 
-def _search(vectors: DataFrame, queries: DataFrame, index: Index, probes: int, k: int, adaptive: bool) -> DataFrame:
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _wave(vectors: DataFrame, queries: DataFrame, index: Index, start: int, stop: int, k: int, adaptive: bool) -> DataFrame:
+    """Hits (query_id, mark, vec_id, score) in the lists at places start to stop of each query's order."""
     spark = vectors.sparkSession
-    rows, asks = _listed(vectors, index, probes, 0), _listed(queries, index, probes, 1)
+    rows, asks = _listed(vectors, index, 0), _listed(queries, index, 1, start, stop)
     sizes = dict(rows.groupBy("list").count().collect())  # at most LISTS rows
     asked = dict(asks.groupBy("list").count().collect())
     plan = [(i, -(-sizes[i] // CANDIDATES), -(-asked[i] // ASKS)) for i in sizes if asked.get(i)]
@@ -237,13 +249,26 @@ def _search(vectors: DataFrame, queries: DataFrame, index: Index, probes: int, k
     rows = rows.join(table, "list").withColumn("block", spread(1, "blocks")).withColumn("turn", each("turns"))
     asks = asks.join(table, "list").withColumn("turn", spread(2, "turns")).withColumn("block", each("blocks"))
     keys = ["list", "block", "turn"]
-    cols = [*keys, "asks", "vec_id", "mark", "embedding"]
+    cols = [*keys, "asks", "vec_id", "mark", "bound", "embedding"]
     dealt = rows.select(*cols).unionByName(asks.select(*cols)).repartition(*keys).sortWithinPartitions(*keys, "asks", "vec_id")
-    found = dealt.mapInArrow(
+    return dealt.mapInArrow(
         lambda b: _blocks(b, index.rotation, k, adaptive), "query_id long, mark long, vec_id long, score double"
     )
-    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _search(vectors: DataFrame, queries: DataFrame, index: Index, probes: int, k: int, adaptive: bool) -> DataFrame:
+    """The nearest lists first; their k-th distance is the bound in the others."""
+    first = min(FIRST, probes) if adaptive else probes
+    found = _wave(vectors, queries, index, 0, first, k, adaptive)
+    if first < probes:
+        found = settle(found)
+        kth = _best(found, k).where(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("mark").alias("_m"), F.col("score").alias("_s"))
+        met = queries.join(kth, (queries["vec_id"] == kth["_q"]) & (queries["mark"] == kth["_m"]), "left")
+        # squared distance of unit vectors, with room for rounding
+        bound = F.coalesce(2 - 2 * F.col("_s") + F.lit(1e-9), F.col("bound"))
+        asks = settle(met.select("vec_id", "mark", "embedding", bound.alias("bound")))
+        found = found.unionAll(_wave(vectors, asks, index, first, probes, k, adaptive))
+    return _best(found, k)
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = K, recall: float = RECALL) -> DataFrame:
@@ -256,8 +281,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, recall: float = RECA
     repeated equal query rows are one query.  Empty tables: no rows."""
     fine = usable() & F.col("vec_id").isNotNull()
     mark = F.xxhash64("embedding")
-    vectors = settle(rows.where(fine).select("vec_id", mark.alias("mark"), "embedding"))
-    asked = settle(queries.where(fine).select("vec_id", mark.alias("mark"), "embedding").dropDuplicates(["vec_id", "mark"]))
+    open_ = F.lit(float("inf")).alias("bound")
+    vectors = settle(rows.where(fine).select("vec_id", mark.alias("mark"), "embedding", open_))
+    asked = settle(queries.where(fine).select("vec_id", mark.alias("mark"), "embedding", open_).dropDuplicates(["vec_id", "mark"]))
     result = None
     for d, n in vectors.groupBy(F.size("embedding")).count().orderBy(F.size("embedding")).collect():
         own = vectors.where(F.size("embedding") == d)

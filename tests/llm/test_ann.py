@@ -44,7 +44,7 @@ def test_clustered_rows_need_few_lists(spark):
     centres = rng.normal(size=(60, 16))
     x = (np.repeat(centres, 100, axis=0) + 0.15 * rng.normal(size=(6000, 16))).astype(np.float32)
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    vectors = table.selectExpr("vec_id", "xxhash64(embedding) AS mark", "embedding")
+    vectors = table.selectExpr("vec_id", "xxhash64(embedding) AS mark", "embedding", "double('inf') AS bound")
     index = ann.fit_index(x[::5].astype(float), len(x))
     assert len(index.centroids) == round(6000**0.5)
     probes = ann.calibrate(vectors, vectors.where("vec_id % 50 = 0"), index, 5)
@@ -61,14 +61,14 @@ def test_candidates_travel_once(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 8))
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    vectors = table.selectExpr("vec_id", "xxhash64(embedding) AS mark", "embedding")
+    vectors = table.selectExpr("vec_id", "xxhash64(embedding) AS mark", "embedding", "double('inf') AS bound")
     index = ann.fit_index(x[::3], len(x))
     probes = len(index.centroids)
     plan = ann._search(vectors, vectors, index, probes, 5, True)  # every row is a query of every list
     text = plan._jdf.queryExecution().toString()
     assert "MapInArrow" in text
-    listed = ann._listed(vectors, index, probes, 0)
-    assert listed.count() == 3000 and ann._listed(vectors, index, probes, 1).count() == 3000 * probes
+    listed = ann._listed(vectors, index, 0)
+    assert listed.count() == 3000 and ann._listed(vectors, index, 1, 0, probes).count() == 3000 * probes
     assert -(-3000 // ann.ASKS) == 1  # so each candidate has one turn
 
 
@@ -89,3 +89,27 @@ def test_scaling_keeps_cosines_to_the_last_bit():
     s = ann.scaled(x)
     cos = lambda m: (m * m[0]).sum(axis=1) / (np.sqrt((m * m).sum(axis=1)) * np.sqrt((m[0] * m[0]).sum()))
     assert (cos(x) == cos(s)).all() and (np.abs(s).max(axis=1) < 1).all()
+
+
+def test_scan_finds_the_nearest_within_the_bound():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 40))
+    x[100:300] = x[100]  # ties
+    ids = rng.permutation(2000)[:900]
+    index = ann.fit_index(x, len(x))
+    block = ann.Block(x, ids, index.rotation)
+    q, qids = x[:20].copy(), ids[:20].copy()
+    q[3], qids[3] = x[100], ids[100]
+    y = x / np.sqrt((x * x).sum(axis=1))[:, None]
+    for adaptive in (False, True):
+        for limit in (np.inf, 1.2):
+            row, near, cos = block.scan(q, qids, 5, adaptive, np.full(20, limit))
+            for j in range(20):
+                unit = q[j] / np.sqrt((q[j] * q[j]).sum())
+                own = np.round(y @ unit, 12)
+                order = [i for i in np.lexsort((ids, -own)) if ids[i] != qids[j] and 2 - 2 * own[i] <= limit + 1e-9][:5]
+                got = near[row == j].tolist()
+                if adaptive:
+                    assert len(set(got) & set(ids[order])) >= len(order) - 1
+                else:
+                    assert got[: len(order)] == ids[order].tolist()
