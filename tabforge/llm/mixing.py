@@ -196,5 +196,7 @@ def mix(
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: each document as many times as it is taken, columns as given."""
-    rows = mixed.where(F.col("copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return rows.select(*columns)
+    # no filter on the copies: it would work them out a second time below the explode
+    turn = free_name(mixed, "_copy")
+    rows = mixed.withColumn(turn, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select(*[F.col(f"`{c}`") for c in columns])
