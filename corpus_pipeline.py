@@ -16,11 +16,8 @@ from tabforge.llm import langid, mixing, simhash, spdropout, toxicity
 from tabforge.llm.common import free_name
 from tabforge.session import remove_scratch, scratch_path
 
-
 #: Rows of an Arrow batch in the stages' Python tasks, unless the session says otherwise.
 BATCH_ROWS = 2000
-#: Texts of so many bytes are rejected if no language has more than so many times its share by chance.
-SURE_BYTES, SURE_TIMES = 500, 1.5
 
 
 def _apart(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
@@ -34,17 +31,15 @@ def _apart(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects undetermined texts: ``und`` (null, empty or without a letter), and texts of
-    SURE_BYTES bytes or more of which the network is as unsure as by chance (no language has
-    SURE_TIMES its equal share).  Short texts and all languages stay.  Without any labelled
-    language to learn from there is no network, and texts with a letter pass."""
+    """Rejects only undetermined texts (``und``: null, empty or without a letter).  No language
+    is rejected, nor is a text that the network is unsure of: mixed texts and repeated words are
+    as unsure as any other.  Without any labelled language to learn from there is no network, and texts with a
+    letter pass all the same."""
     net = langid.train(docs)
     if net is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     own, back = _apart(docs, "lang_pred", "score")
-    unsure = (F.octet_length("text") >= SURE_BYTES) & (F.col("score") < SURE_TIMES / len(net.langs))
-    out = langid.identify(own, net).where((F.col("lang_pred") != "und") & (~unsure | F.lit(len(net.langs) < 2)))
-    return out.select(*own.columns).withColumnsRenamed(back)
+    return langid.identify(own, net).where(F.col("lang_pred") != "und").select(*own.columns).withColumnsRenamed(back)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
