@@ -150,11 +150,12 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, seed: int = S
     smallest non-null vec_id of the component.  No rows: no rows."""
     rows = rows.select("vec_id", "embedding")
     good = usable()
-    marked = settle(rows.withColumn("_node", F.when(good, F.xxhash64("embedding"))).select("vec_id", "embedding", "_node"))
+    twin = F.xxhash64(F.lit(1), "embedding")  # with the first hash 128 bits, so that rows find their own vector
+    marked = settle(rows.select("vec_id", "embedding", F.when(good, F.xxhash64("embedding")).alias("_node"), twin.alias("_own")))
     classes = settle(
         marked.where("_node is not null")
         .groupBy("_node", "embedding")
-        .agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least"))
+        .agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least"), F.min("_own").alias("_twin"))
         .withColumnRenamed("_node", "id")
     )
     links = None
@@ -176,12 +177,12 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, seed: int = S
     links = settle(links)
     counts = links.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(links.select(F.col("id").alias("a"), F.col("to").alias("b"))).withColumnRenamed("node", "id")
-    known = classes.select("id", "embedding", "weight", "least").join(counts, "id", "left").join(groups, "id", "left")
+    known = classes.select("id", "_twin", "weight", "least").join(counts, "id", "left").join(groups, "id", "left")
     known = known.withColumn("group", F.coalesce("label", "id"))
     heads = known.groupBy("group").agg(F.min("least").alias("component_id"))
-    table = settle(known.join(heads, "group").select("id", F.col("embedding").alias("_vector"), "weight", "links", "component_id"))
-    # by the vector too: of two vectors with one hash each row finds its own
-    out = marked.join(table, (marked["_node"] == table["id"]) & (marked["embedding"] == table["_vector"]), "left")
+    table = settle(known.join(heads, "group").select("id", "_twin", "weight", "links", "component_id"))
+    rows = marked.select("vec_id", "_node", "_own")
+    out = rows.join(table, (rows["_node"] == table["id"]) & (rows["_own"] == table["_twin"]), "left")
     n_links = F.when(F.col("_node").isNull(), 0).otherwise(F.col("weight") - 1 + F.coalesce("links", F.lit(0)))
     group = F.when(F.col("_node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     out = out.select("vec_id", n_links.cast("long").alias("n_links"), group.alias("component_id"))

@@ -122,3 +122,12 @@ def test_a_long_list_of_whole_urls(spark):
     hosts = spark.createDataFrame([("h1.example", [3, 400])], "suffix string, lengths array<int>")
     places = spark.createDataFrame([("www.h1.example", "/pppp"), ("h2.example", "/pppp"), ("", "/x")], "host string, path string")
     assert [r.key for r in urlfilter.candidate_keys(places, hosts).collect()] == ["h1.example/pp"]
+
+
+def test_signed_zeros_are_one_vector(spark):
+    from tabforge.llm import vecdedup
+
+    rows = [(1, [0.0, 1.0]), (2, [-0.0, 1.0]), (3, [1.0, 0.0]), (4, [1.0, -0.0]), (5, [-1.0, 0.0])]
+    out = vecdedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out) == [
+        (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True)]
