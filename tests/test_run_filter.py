@@ -9,8 +9,8 @@ from tabforge.operators.run_filter import FilterError, run_filter, run_order, se
 
 SCHEMA = "run_id string, run_name string, status string, start_time long, `odd name` string, metrics map<string,double>, params map<string,string>, tags map<string,string>"
 ROWS = [
-    ("a", "one", "FINISHED", 10, "x", {"auc": 0.5, "my key": 1.0}, {"n": "1"}, {"mlflow.source.type": "JOB", "it's": "q"}),
-    ("b", "two", "FINISHED", 30, "y", {"auc": float("nan")}, {"n": None}, {"mlflow.source.type": "LOCAL"}),
+    ("a", "one", "FINISHED", 10, "x", {"auc": 0.5, "my key": 1.0}, {"n": "1"}, {"job.source.type": "JOB", "it's": "q"}),
+    ("b", "two", "FINISHED", 30, "y", {"auc": float("nan")}, {"n": None}, {"job.source.type": "LOCAL"}),
     ("c", "Two-3", "FAILED", 30, None, {"auc": 0.9}, {}, {}),
     ("d", None, None, None, "it's", None, None, None),
 ]
@@ -30,7 +30,7 @@ def runs(spark, tmp_path_factory):
         ("start_time<3e1 and status='FINISHED'", "a"), ("run_name LIKE 't%'", "b"), ("run_name ilike 't%'", "bc"), ("run_name NOT LIKE 't%'", "ac"),
         ("metrics.auc > 0.5", "c"), ("metrics.auc != 0.5", "c"), ("metrics.auc is null", "bd"), ("metrics.auc IS  NOT NULL", "ac"),
         ("metrics.\"my key\" = 1", "a"), ("metrics.`my key` <= +1.0", "a"), ("metric.'my key' > -1", "a"),
-        ("tags.mlflow.source.type != 'JOB'", "b"), ("tags.mlflow.source.type IN ('JOB', \"LOCAL\")", "ab"), ("tags.\"it's\" = 'q'", "a"),
+        ("tags.job.source.type != 'JOB'", "b"), ("tags.job.source.type IN ('JOB', \"LOCAL\")", "ab"), ("tags.\"it's\" = 'q'", "a"),
         ("params.n = '1'", "a"), ("params.n is null", "bcd"), ("`odd name` = 'it''s'", "d"), ("attributes.`odd name` in ('x','y')", "ab"),
         ("run_id not in ('a')", "bcd"), ("status='FINISHED'  AND\tstart_time > 10 AND run_id <> 'z'", "b"),
     ],
@@ -68,7 +68,7 @@ def test_order_and_limit(runs):
     assert [r.run_id for r in search(runs).collect()] == ["b", "c", "a", "d"]
     assert [r.run_id for r in search(runs, "", ["start_time ASC", "run_id desc"]).collect()] == ["a", "c", "b", "d"]
     assert [r.run_id for r in search(runs, "", ["metrics.auc DESC"], 2).collect()] == ["c", "a"]
-    assert [r.run_id for r in search(runs, "", ["tags.`mlflow.source.type`"], 2).collect()] == ["a", "b"]
+    assert [r.run_id for r in search(runs, "", ["tags.`job.source.type`"], 2).collect()] == ["a", "b"]
     for text in ("start_time UP", "nope ASC", "start_time ASC DESC"):
         with pytest.raises(FilterError):
             run_order(text, runs.schema)
