@@ -31,7 +31,7 @@ Copies of a page weigh one: pages of a host with the same kept text are one page
 counts.  Work per host is counts only: (host, place, content) and (host, place,
 presentation) and (host, place, feature) are partial aggregates.  What a host's pages get back are
 its unimportant branches, each on at least MIN_SHARE of the pages that have the place, and its
-important places outside the article.
+important places outside the article; where those are many, each page looks up its own.
 """
 
 from __future__ import annotations
@@ -57,6 +57,8 @@ MIN_PAGES, MIN_SHARE = 4, 0.02
 WHOLE = 0
 #: Counted bytes of all hosts' lists up to which they are broadcast.
 BROADCAST_BYTES = 64 << 20
+#: Findings of a host up to which all of them go to each of its pages.
+HOST_KEYS = 2048
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -458,7 +460,7 @@ def judge(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def findings(rows: DataFrame, features: DataFrame | None = None) -> DataFrame:
-    """(host, branches): each host's branches below their kind's bar, by key, and its important
+    """(host, key): each host's branches below their kind's bar, by key, and its important
     places outside the article; of marked places (with ``features``) those that reach their bar, and
     the complements of those that don't."""
     branches, places = judge(rows)
@@ -471,7 +473,23 @@ def findings(rows: DataFrame, features: DataFrame | None = None) -> DataFrame:
         seen = marked_places(features, places)
         key = F.when(F.col("importance") >= BARS[MARKED], F.col("place")).otherwise(F.bitwise_not("place"))
         both = both.unionAll(seen.select("host", key.alias("key")))
-    return both.groupBy("host").agg(F.collect_set("key").alias("branches"))
+    return both.distinct()
+
+
+def page_keys(pages: DataFrame) -> DataFrame:
+    """(host, print, key): of each different page (``pages``: host, html, print) all keys that a finding may have."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for host, source, print_ in zip(*[batch.column(c).to_pylist() for c in ("host", "html", "print")]):
+            if host and source:
+                page = Page(source)
+                keys = {branch_key(p, c, k) for _, p, _, c, _, k in page.judged()} | {p for _, p, _, _, _, k in page.judged() if k in (OUTSIDE, MARKED)}
+                out.extend((host, print_, key) for key in keys | {~p for p, _ in page.marked()})
+        cols = list(zip(*out)) if out else [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()))], names=["host", "print", "key"])
+
+    return map_texts(pages.select("host", "html", "print"), run, "host string, print long, key long", "html")
 
 
 def hosted(pages: DataFrame) -> DataFrame:
@@ -503,13 +521,20 @@ def main_text(pages: DataFrame, marks: bool = True) -> DataFrame:
     with_host = pages.withColumn(site, host_and_path(F.col("url"))[0])
     trees = hosted(pages)
     low = settle(findings(style_rows(trees), feature_rows(trees)))
-    hosts, branches = low.agg(F.count(F.lit(1)), F.sum(F.size("branches"))).first()
-    low = low.select(F.col("host").alias(name), F.col("branches").alias(found))
+    per_host = low.groupBy("host").count()
+    hosts, branches, most = per_host.agg(F.count(F.lit(1)), F.sum("count"), F.max("count")).first()
     if not hosts:
         met = pages.withColumn(found, F.lit(None).cast("array<long>"))
-    else:
-        table = F.broadcast(low) if 16 * branches + 128 * hosts <= BROADCAST_BYTES else low
-        met = with_host.join(table, F.col(site) == F.col(name), "left").select(*[F.col(f"`{c}`") for c in own], found)
+    elif 16 * branches + 128 * hosts <= BROADCAST_BYTES and most <= HOST_KEYS:
+        table = low.groupBy(F.col("host").alias(name)).agg(F.collect_set("key").alias(found))  # HOST_KEYS numbers a host at most
+        met = with_host.join(F.broadcast(table), F.col(site) == F.col(name), "left")
+    else:  # each page looks up its own keys, and gets back what is found of them
+        mark, theirs = free_name(with_host, "_print"), free_name(with_host, "_low_print")
+        with_host = with_host.withColumn(mark, F.xxhash64("html"))
+        own_keys = page_keys(trees.withColumn("print", F.xxhash64("html"))).distinct()
+        table = own_keys.join(low, ["host", "key"]).groupBy(F.col("host").alias(name), F.col("print").alias(theirs)).agg(F.collect_set("key").alias(found))
+        met = with_host.join(table, (F.col(site) == F.col(name)) & (F.col(mark) == F.col(theirs)), "left")
+    met = met.select(*[F.col(f"`{c}`") for c in own], found)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, removed = [], []

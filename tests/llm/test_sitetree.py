@@ -103,3 +103,17 @@ def test_hostile_pages_take_linear_time(part):
 
     took(500)
     assert took(16_000) < 20 * took(2000) + 0.5
+
+
+@pytest.mark.parametrize("limit", ["BROADCAST_BYTES", "HOST_KEYS"])
+def test_many_findings_are_looked_up_by_page(spark, monkeypatch, limit):
+    """Hosts with more findings than a page should carry: the same texts by a join of each page's own keys."""
+    html = "<body><nav>menu</nav><div class='x%d'>Same words</div><div class='y'>Lead %d</div><article><h1>T %d</h1><div class='z'>Join us</div><p>Text %d</p></article></body>"
+    rows = [(i, f"http://s{i % 2}.example/{i}", html % (i % 6, i, i, i)) for i in range(60)]
+    rows += [(100, None, html % (1, 1, 1, 1)), (101, "http://s0.example/x", None), (102, "http://s1.example/", rows[3][2]), (3, *rows[3][1:])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_print", F.lit("own")).withColumn("key", F.lit("k"))
+    want = sorted(map(tuple, sitetree.main_text(df).collect()), key=str)
+    monkeypatch.setattr(sitetree, limit, 1)
+    got = sorted(map(tuple, sitetree.main_text(df).collect()), key=str)
+    assert got == want and len(got) == 64
+    assert sum(r[-1] for r in got) > 100 and any(r[5] == "Lead 7\n\nT 7\n\nText 7" for r in got)
